@@ -1,0 +1,5 @@
+"""Empty on purpose: the pipeline has no stream operator.
+
+Encoding and scoring are stateless column expressions, so there is nothing to add
+for them here.
+"""
