@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from foldwise.functions.names import q, qs
 from foldwise.functions.ranges import range_bucket
+from foldwise.sources.settle import settle
 
 #: Rows one sorted range should hold.
 ROWS_PER_RANGE = 2_000_000
@@ -60,19 +61,21 @@ def dense_position(df: DataFrame, order_by: Sequence[str], name: str, rows: int,
     cut on ``order_by``.
     """
     ranges = min(MAX_RANGES, max(1, ceil(rows / rows_per_range)))
+    if ranges == 1:
+        order = W.orderBy(*qs(within), *qs(order_by))
+        return df.withColumn(name, (F.row_number().over(order) - 1).cast("bigint"))
     cuts = splitters(df, order_by, ranges, rows)
     ranged = df.withColumn("_range", range_bucket(_key(order_by), cuts))
-    groups = [*qs(within), F.col("_range")]
-    before = W.orderBy(*groups).rowsBetween(W.unboundedPreceding, -1)
-    offsets = (ranged.groupBy(*groups).agg(F.count("*").alias("_n"))
-               .withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-               .drop("_n"))
-    numbered = ranged.withColumn(
-        "_rank", F.row_number().over(W.partitionBy(*groups).orderBy(*qs(order_by))))
     keys = [*within, "_range"]
+    before = W.orderBy(*qs(keys)).rowsBetween(W.unboundedPreceding, -1)
+    offsets = settle(ranged.groupBy(*qs(keys)).agg(F.count("*").alias("_n")), "range-sizes")
+    offsets = offsets.over(lambda t: t.select(
+        *[q(k).alias(f"_key{i}") for i, k in enumerate(keys)],
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")))
+    numbered = ranged.withColumn(
+        "_rank", F.row_number().over(W.partitionBy(*qs(keys)).orderBy(*qs(order_by))))
     on = [q(k).eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(keys)]
-    offsets = offsets.select(*[q(k).alias(f"_key{i}") for i, k in enumerate(keys)], "_offset")
-    return (numbered.join(F.broadcast(offsets), on, "inner")
+    return (numbered.join(offsets.joinable, on, "inner")
             .withColumn(name, F.col("_offset") + F.col("_rank") - 1)
             .drop("_range", "_rank", "_offset", *[f"_key{i}" for i in range(len(keys))]))
 

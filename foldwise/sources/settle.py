@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -51,6 +52,10 @@ class Settled:
         """The table with a broadcast hint where its size allows one."""
         return F.broadcast(self.df) if self.local else self.df
 
+    def over(self, step: Callable[[DataFrame], DataFrame]) -> Settled:
+        """The same table after a step that does not add rows."""
+        return Settled(step(self.df), self.local)
+
 
 def settle(df: DataFrame, name: str, max_rows: int = LOCAL_ROWS) -> Settled:
     """Evaluate an aggregate once and keep it: locally if small, else as a table."""
