@@ -35,6 +35,7 @@ _PLAIN_LOSSES = ("mse", "rmse")
 _CURVE_LIMIT = 1.5
 
 HISTORY_SCHEMA = "fold string, epoch int, measure string, group string, value double"
+GUESS_SCHEMA = "fold string, measure string, guess double"
 
 
 @dataclass(frozen=True)
@@ -44,6 +45,7 @@ class CrossValidation:
     fold_results: DataFrame
     oof: DataFrame
     history: DataFrame | None = None
+    guesses: DataFrame | None = None
 
 
 # ---------------------------------------------------------------- estimators
@@ -252,7 +254,9 @@ def cross_validate(table: ModelTable, params: TrainParams, parallel_fits: int =
         result = (fold, errors[False]["n"], errors[True]["n"], epochs_of(model),
                   *[errors[False][m] for m in METRICS], *[errors[True][m] for m in METRICS])
         oof = oof_rows(model.transform(vectors.where(inside)), table.row_id)
-        return result, oof, [(fold, *h) for h in fit_history(model, train, params)]
+        history = [(fold, *h) for h in fit_history(model, train, params)]
+        guesses = [(fold, *g) for g in guess_on_train_rows(train, params)] if history else []
+        return result, oof, history, guesses
 
     folds = (r[0] for r in sizes.df.select(FOLD_COLUMN).orderBy(FOLD_COLUMN).toLocalIterator())
     with ThreadPoolExecutor(max_workers=parallel_fits) as pool:
@@ -264,8 +268,9 @@ def cross_validate(table: ModelTable, params: TrainParams, parallel_fits: int =
     baseline = baseline_by_fold(table.df).withColumnRenamed(FOLD_COLUMN, "fold").drop(
         "train_rows", "evaluation_rows", "train_mean")
     history = spark.createDataFrame([h for d in done for h in d[2]], HISTORY_SCHEMA)
+    guesses = spark.createDataFrame([g for d in done for g in d[3]], GUESS_SCHEMA)
     return CrossValidation(results.join(baseline, "fold"),
-                           reduce(DataFrame.unionByName, [d[1] for d in done]), history)
+                           reduce(DataFrame.unionByName, [d[1] for d in done]), history, guesses)
 
 
 def _validation(params: TrainParams, row_id: Sequence[str]) -> list[Column]:
@@ -282,11 +287,19 @@ def training_vectors(table: ModelTable, params: TrainParams) -> DataFrame:
         *qs(table.row_id), TARGET_COLUMN, VECTOR_COLUMN, *_validation(params, table.row_id))
 
 
-def guess_values(sums: DataFrame, measures: Sequence[str]) -> DataFrame:
-    """``(fold, measure, guess)`` of baseline rows for :func:`training_curves`."""
-    return sums.select("fold", F.explode(F.array(*[
-        F.struct(F.lit(m).alias("measure"), F.col(f"baseline_{m}").alias("guess"))
-        for m in dict.fromkeys(measures)])).alias("g")).select("fold", "g.*")
+def guess_on_train_rows(rows: DataFrame, params: TrainParams) -> list[tuple[str, float]]:
+    """``(measure, error)`` of guessing the mean, on the rows a model was fitted on.
+
+    With early stopping the mean comes from the train part and the error from the
+    held-out part, otherwise both come from all rows.
+    """
+    held = VALIDATION_COLUMN in rows.columns
+    seen = rows.where(~F.col(VALIDATION_COLUMN)) if held else rows
+    judged = rows.where(VALIDATION_COLUMN) if held else rows
+    mean = F.lit(seen.agg(F.avg(TARGET_COLUMN)).first()[0]).cast("double")
+    measures = list(dict.fromkeys((params.loss, params.metric)))
+    errors = judged.agg(*[METRICS[m](q(TARGET_COLUMN), mean).alias(m) for m in measures]).first()
+    return [(m, errors[m]) for m in measures]
 
 
 def summarise_folds(fold_results: DataFrame) -> DataFrame:
