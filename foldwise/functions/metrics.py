@@ -16,6 +16,12 @@ def absolute_error(y: Column, pred: Column) -> Column:
     return F.abs(pred - y)
 
 
+def huber_sql(error: str) -> str:
+    """Huber loss of an error with limit 1, as SQL text."""
+    return (f"CASE WHEN abs({error}) <= {HUBER_DELTA}D THEN 0.5D * {error} * {error} "
+            f"ELSE {HUBER_DELTA}D * (abs({error}) - {0.5 * HUBER_DELTA}D) END")
+
+
 def huber_error(y: Column, pred: Column) -> Column:
     e = F.abs(pred - y)
     return F.when(e <= HUBER_DELTA, e * e * 0.5).otherwise(HUBER_DELTA * (e - 0.5 * HUBER_DELTA))

@@ -15,14 +15,14 @@ from pyspark.sql import functions as F
 
 from foldwise.config import FOLD_COLUMN, TARGET_COLUMN, TrainParams
 from foldwise.errors import ConfigError
-from foldwise.functions.metrics import METRICS, absolute_error, huber_error
-from foldwise.functions.names import q, qs
+from foldwise.functions.metrics import METRICS, huber_sql
+from foldwise.functions.names import q, qs, text_literal
 from foldwise.functions.text import capped
-from foldwise.operators.baseline import baseline_by_fold
+from foldwise.operators import linear
+from foldwise.operators.baseline import baseline_by_fold, train_means
 from foldwise.operators.folds import fold_sizes, holdout
-from foldwise.operators.linear import fit_by_fold, fold_predictions, linear_prediction
 from foldwise.operators.table import VECTOR_COLUMN, ModelTable, with_vector
-from foldwise.sources.settle import Settled, settle
+from foldwise.sources.settle import Settled, write_table
 
 PREDICTION = "prediction"
 VALIDATION_COLUMN = "_validation"
@@ -157,6 +157,11 @@ def training_curves(history: DataFrame, guesses: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- fold results
 
+SIDES = ("train", "evaluation", "baseline")
+RESULT_COLUMNS = ("fold", "train_rows", "evaluation_rows", "train_epochs",
+                  *(f"{side}_{m}" for side in SIDES for m in METRICS))
+
+
 def oof_rows(scored: DataFrame, row_id: Sequence[str]) -> DataFrame:
     return scored.select(
         *qs(row_id), q(FOLD_COLUMN).alias("fold_key"), q(TARGET_COLUMN).alias("y_true"),
@@ -167,54 +172,52 @@ def with_deviation(oof: DataFrame) -> DataFrame:
     return oof.withColumn("deviation", F.col("fold_model_y_pred") - F.col("y_true"))
 
 
-def _combine(sizes: DataFrame, train: DataFrame, evaluation: DataFrame, baseline: DataFrame
-             ) -> DataFrame:
-    return (sizes.join(train, "fold").join(evaluation, "fold").join(baseline, "fold")
-            .select("fold", "train_rows", "evaluation_rows", "train_epochs",
-                    *[f"{side}_{m}" for side in ("train", "evaluation", "baseline")
-                      for m in METRICS]))
-
-
 def cross_validate_ols(table: ModelTable) -> CrossValidation:
-    """Least squares: all folds from one pass, no fit per fold."""
-    models = fit_by_fold(table.df, table.features)
-    scored = fold_predictions(table.df, table.features, models,
-                              [*table.row_id, FOLD_COLUMN, TARGET_COLUMN])
-    evaluation = scored.groupBy(q(FOLD_COLUMN).alias("fold")).agg(*[
-        build(q(TARGET_COLUMN), q(PREDICTION)).alias(f"evaluation_{m}")
-        for m, build in METRICS.items()])
+    """Least squares: all folds from one fitting pass, no fit per fold.
+
+    Four passes in all, whatever the number of folds up to 32: sums, moments, model
+    errors, baseline errors.
+    """
+    columns = [*table.features, TARGET_COLUMN]
+    sums = linear.fold_sums(table.df, columns)
+    models = linear.fit_by_fold(table.df, table.features, sums)
+    means = train_means(sums.over(lambda t: t.select(
+        FOLD_COLUMN, "n", F.col("sums")[len(columns) - 1].alias("y_sum"))))
     sizes = models.df.select("fold", "train_rows", "evaluation_rows",
                              F.lit(1).alias("train_epochs"))
-    baseline = baseline_by_fold(table.df).withColumnRenamed(FOLD_COLUMN, "fold").drop(
-        "train_rows", "evaluation_rows", "train_mean")
-    return CrossValidation(
-        _combine(sizes, ols_train_metrics(table, models), evaluation, baseline),
-        oof_rows(scored, table.row_id))
+    results = (sizes.join(ols_errors(table, models), "fold")
+               .join(_baseline(table, means), "fold").select(*RESULT_COLUMNS))
+    scored = linear.fold_predictions(table.df, table.features, models,
+                                     [*table.row_id, FOLD_COLUMN, TARGET_COLUMN])
+    return CrossValidation(results, oof_rows(scored, table.row_id))
+
+
+def _baseline(table: ModelTable, means: Settled | None = None) -> DataFrame:
+    return (baseline_by_fold(table.df, means).withColumnRenamed(FOLD_COLUMN, "fold")
+            .drop("train_rows", "evaluation_rows", "train_mean"))
 
 
-def ols_train_metrics(table: ModelTable, models: Settled) -> DataFrame:
-    """Error of each fold model on its own train rows.
+def ols_errors(table: ModelTable, models: Settled) -> DataFrame:
+    """Errors of each fold model on its train rows and on its evaluation rows.
 
-    Squared error follows from the moments. Absolute and Huber error need the rows:
-    a pass sums them for up to 32 models at once, and rows are never multiplied.
+    A pass applies up to 32 models to every row and sums the errors per fold of the
+    row, so rows are never multiplied and both sides come from the same sums.
     """
-    parts = []
-    chunk: list = []
-    y = q(TARGET_COLUMN)
+    parts, chunk = [], []
 
     def flush() -> None:
-        sums = []
-        for i, m in enumerate(chunk):
-            pred = linear_prediction(m["intercept"], m["weights"], table.features)
-            outside = q(FOLD_COLUMN) != F.lit(m["fold"])
-            sums += [F.avg(F.when(outside, err(y, pred))).alias(f"{name}{i}")
-                     for name, err in (("a", absolute_error), ("h", huber_error))]
-        row = table.df.agg(*sums)
-        parts.append(row.select(F.explode(F.array(*[
-            F.struct(F.lit(m["fold"]).alias("fold"), F.lit(m["train_mse"]).alias("train_mse"),
-                     F.sqrt(F.lit(m["train_mse"])).alias("train_rmse"),
-                     F.col(f"a{i}").alias("train_mae"), F.col(f"h{i}").alias("train_huber_loss"))
-            for i, m in enumerate(chunk)])).alias("m")).select("m.*"))
+        # As SQL text, since the expressions are many.
+        away = table.df.selectExpr(f"{FOLD_COLUMN} AS row_fold", *[
+            f"{linear.prediction_sql(m['intercept'], m['weights'], table.features)}"
+            f" - {TARGET_COLUMN} AS e{i}" for i, m in enumerate(chunk)])
+        sums = [F.expr(sql) for i in range(len(chunk)) for sql in (
+            f"sum(e{i} * e{i}) AS sq{i}", f"sum(abs(e{i})) AS ab{i}",
+            f"sum({huber_sql(f'e{i}')}) AS hu{i}")]
+        models_of_pass = ", ".join(
+            f"named_struct('fold', {text_literal(m['fold'])}, 'sq', sq{i}, 'ab', ab{i}, "
+            f"'hu', hu{i})" for i, m in enumerate(chunk))
+        parts.append(away.groupBy("row_fold").agg(F.count("*").alias("n"), *sums)
+                     .selectExpr("row_fold", "n", f"inline(array({models_of_pass}))"))
         chunk.clear()
 
     for model in models.df.toLocalIterator():
@@ -223,7 +226,18 @@ def ols_train_metrics(table: ModelTable, models: Settled) -> DataFrame:
             flush()
     if chunk:
         flush()
-    return reduce(DataFrame.unionByName, parts)
+    inside = F.col("row_fold") == F.col("fold")
+
+    def side(name: str, rows: Column) -> list[Column]:
+        total = lambda e: F.sum(F.when(rows, F.col(e)))
+        n = total("n")
+        return [F.try_divide(total("sq"), n).alias(f"{name}_mse"),
+                F.sqrt(F.try_divide(total("sq"), n)).alias(f"{name}_rmse"),
+                F.try_divide(total("ab"), n).alias(f"{name}_mae"),
+                F.try_divide(total("hu"), n).alias(f"{name}_huber_loss")]
+
+    return reduce(DataFrame.unionByName, parts).groupBy("fold").agg(
+        *side("train", ~inside), *side("evaluation", inside))
 
 
 def cross_validate(table: ModelTable, params: TrainParams, parallel_fits: int = 4
@@ -238,11 +252,9 @@ def cross_validate(table: ModelTable, params: TrainParams, parallel_fits: int =
             and params.early_stopping is None):
         return cross_validate_ols(table)
     spark = table.df.sparkSession
-    vectors = with_vector(
-        table.df.select(*qs([*table.row_id, TARGET_COLUMN, FOLD_COLUMN]), *qs(table.features)),
-        table.features).select(*qs(table.row_id), TARGET_COLUMN, FOLD_COLUMN, VECTOR_COLUMN,
-                               *_validation(params, table.row_id))
-    sizes = fold_sizes(table.df)
+    # Written once: k fits of many rounds then read it, and nothing before it.
+    vectors = write_table(training_vectors(table, params), "vectors")
+    sizes = fold_sizes(vectors)
 
     def run(fold: str) -> tuple:
         train = vectors.where(q(FOLD_COLUMN) != fold)
@@ -265,11 +277,9 @@ def cross_validate(table: ModelTable, params: TrainParams, parallel_fits: int =
               + ", ".join(f"{side}_{m} double" for side in ("train", "evaluation")
                           for m in METRICS))
     results = spark.createDataFrame([d[0] for d in done], schema)
-    baseline = baseline_by_fold(table.df).withColumnRenamed(FOLD_COLUMN, "fold").drop(
-        "train_rows", "evaluation_rows", "train_mean")
     history = spark.createDataFrame([h for d in done for h in d[2]], HISTORY_SCHEMA)
     guesses = spark.createDataFrame([g for d in done for g in d[3]], GUESS_SCHEMA)
-    return CrossValidation(results.join(baseline, "fold"),
+    return CrossValidation(results.join(_baseline(table), "fold"),
                            reduce(DataFrame.unionByName, [d[1] for d in done]), history, guesses)
 
 
@@ -284,7 +294,8 @@ def _validation(params: TrainParams, row_id: Sequence[str]) -> list[Column]:
 def training_vectors(table: ModelTable, params: TrainParams) -> DataFrame:
     """All rows as vectors, with the hold-out flag when early stopping is on."""
     return with_vector(table.df, table.features).select(
-        *qs(table.row_id), TARGET_COLUMN, VECTOR_COLUMN, *_validation(params, table.row_id))
+        *qs(table.row_id), TARGET_COLUMN, FOLD_COLUMN, VECTOR_COLUMN,
+        *_validation(params, table.row_id))
 
 
 def guess_on_train_rows(rows: DataFrame, params: TrainParams) -> list[tuple[str, float]]:

@@ -11,6 +11,7 @@ from pyspark.ml import Model
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from foldwise.functions.hashing import HASH_RANGE, hash32, row_digest
 from foldwise.functions.names import q, qs
@@ -111,7 +112,7 @@ def permutation_shapley(model: Model, table: ModelTable, seed: int = 0,
     background = np.array(
         [r["x"] for r in sample_rows(wanted, ids, size, seed + 1, rows).collect()])
     sample = sample_rows(wanted, ids, size, seed, rows).collect()
-    schema = wanted.schema.add("sample", "int")
+    schema = T.StructType([*wanted.schema.fields, T.StructField("sample", T.IntegerType())])
     local = spark.createDataFrame([(*r, i) for i, r in enumerate(sample)], schema)
     expand = partial(_coalitions, background=background, permutations=permutations, seed=seed)
     coalitions = (local.select("sample", "x").repartition(len(sample), "sample")

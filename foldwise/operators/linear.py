@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foldwise.config import FOLD_COLUMN, TARGET_COLUMN
-from foldwise.functions.names import q, qs, total
+from foldwise.functions.names import number, q, qs, quoted, total_sql
 from foldwise.sources.settle import LOCAL_ROWS, Settled, settle, write_table
 
 #: Up to this many variables the moments are SQL sums, beyond it NumPy products.
@@ -26,10 +26,21 @@ _MERGE_GROUPS = 256
 _RANK_TOLERANCE = 1e-9
 
 
-def centre(df: DataFrame, columns: Sequence[str]) -> list[float]:
+def fold_sums(df: DataFrame, columns: Sequence[str]) -> Settled:
+    """Rows and sums of the columns per fold, from one pass.
+
+    Global means for :func:`moments` and train means for the baseline both follow.
+    """
+    sums = [F.sum(q(c).cast("double")) for c in columns]
+    return settle(df.groupBy(q(FOLD_COLUMN)).agg(
+        F.count("*").alias("n"), F.array(*sums).alias("sums")), "fold-sums")
+
+
+def centre(sums: Settled, width: int) -> np.ndarray:
     """Global means, by which all moments are shifted against cancellation."""
-    row = df.agg(*[F.avg(q(c)).alias(f"c{i}") for i, c in enumerate(columns)]).first()
-    return [float(v) if v is not None else 0.0 for v in row]
+    row = sums.df.agg(F.sum("n").alias("n"), *[
+        F.sum(F.col("sums")[i]).alias(f"s{i}") for i in range(width)]).first()
+    return np.array([(row[f"s{i}"] or 0.0) / max(row["n"] or 0, 1) for i in range(width)])
 
 
 def moments(df: DataFrame, columns: Sequence[str], shift: Sequence[float],
@@ -42,17 +53,18 @@ def moments(df: DataFrame, columns: Sequence[str], shift: Sequence[float],
 
 def _moments_sql(df: DataFrame, columns: Sequence[str], shift: Sequence[float], by: str
                  ) -> DataFrame:
+    # Generated as SQL text: hundreds of sums would be as many calls into the JVM.
     m = len(columns)
-    z = df.select(q(by).alias("by"), *[
-        (q(c).cast("double") - F.lit(shift[i])).alias(f"z{i}") for i, c in enumerate(columns)])
-    sums = [F.sum(f"z{i}").alias(f"s{i}") for i in range(m)]
-    products = [F.sum(F.col(f"z{i}") * F.col(f"z{j}")).alias(f"g{i}_{j}")
-                for i in range(m) for j in range(i, m)]
-    return (z.groupBy("by").agg(F.count("*").alias("n"), *sums, *products)
-            .select(F.col("by").alias(by), "n",
-                    F.array(*[F.col(f"s{i}") for i in range(m)]).alias("s"),
-                    F.array(*[F.col(f"g{i}_{j}") for i in range(m) for j in range(i, m)])
-                    .alias("g")))
+    upper = [(i, j) for i in range(m) for j in range(i, m)]
+    z = df.selectExpr(f"{quoted(by)} AS by", *[
+        f"CAST({quoted(c)} AS DOUBLE) - {number(shift[i])} AS z{i}"
+        for i, c in enumerate(columns)])
+    sums = z.groupBy("by").agg(
+        F.count("*").alias("n"), *[F.expr(f"sum(z{i}) AS s{i}") for i in range(m)],
+        *[F.expr(f"sum(z{i} * z{j}) AS g{i}_{j}") for i, j in upper])
+    return sums.selectExpr(
+        f"by AS {quoted(by)}", "n", f"array({', '.join(f's{i}' for i in range(m))}) AS s",
+        f"array({', '.join(f'g{i}_{j}' for i, j in upper)}) AS g")
 
 
 def _partial_moments(batches: Iterator[pd.DataFrame], shift: np.ndarray
@@ -143,14 +155,14 @@ def _solve_rows(rows: pd.DataFrame, whole: tuple, shift: np.ndarray) -> pd.DataF
     return pd.DataFrame(out, columns=[c.split()[0] for c in _COEF_SCHEMA.split(", ")])
 
 
-def fit_by_fold(df: DataFrame, features: Sequence[str],
+def fit_by_fold(df: DataFrame, features: Sequence[str], sums: Settled | None = None,
                 max_sql_variables: int = MAX_SQL_VARIABLES) -> Settled:
     """One model per fold, fitted on all other folds.
 
     Columns: fold, train_rows, evaluation_rows, intercept, weights, train_mse.
     """
     columns = [*features, TARGET_COLUMN]
-    shift = np.asarray(centre(df, columns))
+    shift = centre(sums or fold_sums(df, columns), len(columns))
     per_fold = moments(df, columns, shift, FOLD_COLUMN, max_sql_variables)
     kept = settle(per_fold.withColumnRenamed(FOLD_COLUMN, "fold"), "moments",
                   max(1, min(LOCAL_ROWS, _LOCAL_MOMENTS // len(columns) ** 2)))
@@ -158,7 +170,8 @@ def fit_by_fold(df: DataFrame, features: Sequence[str],
     if kept.local:
         rows = kept.df.toPandas()
         whole = _whole(rows)
-        return Settled(spark.createDataFrame(_solve_rows(rows, whole, shift), _COEF_SCHEMA), True)
+        solved = spark.createDataFrame(_solve_rows(rows, whole, shift), _COEF_SCHEMA)
+        return Settled(solved.coalesce(1), True)
     whole = _whole(whole_moments(df, columns, shift, max_sql_variables))
     solver = partial(_solve_batches, whole=whole, shift=shift)
     return Settled(write_table(kept.df.mapInPandas(solver, _COEF_SCHEMA), "fold-models"), False)
@@ -185,18 +198,21 @@ def _solve_batches(batches: Iterator[pd.DataFrame], whole: tuple, shift: np.ndar
 def fit_all(df: DataFrame, features: Sequence[str]) -> tuple[float, np.ndarray, list[float]]:
     """Model on all rows: intercept, weights and feature means."""
     columns = [*features, TARGET_COLUMN]
-    shift = np.asarray(centre(df, columns))
+    shift = centre(fold_sums(df, columns), len(columns))
     intercept, beta, _ = solve(*_whole(whole_moments(df, columns, shift)), shift)
     return intercept, beta, list(shift[:-1])
 
 
-def linear_prediction(intercept: Column | float, weights: Sequence[float] | Column,
-                      features: Sequence[str]) -> Column:
+def prediction_sql(intercept: float, weights: Sequence[float], features: Sequence[str]) -> str:
+    """A fitted linear model as SQL text over the feature columns."""
+    return total_sql([number(intercept), *[
+        f"{quoted(c)} * {number(w)}" for c, w in zip(features, weights)]])
+
+
+def linear_prediction(intercept: float, weights: Sequence[float], features: Sequence[str]
+                      ) -> Column:
     """Prediction as one codegen expression over the feature columns."""
-    start = intercept if isinstance(intercept, Column) else F.lit(float(intercept))
-    weight = (lambda i: weights[i]) if isinstance(weights, Column) else (
-        lambda i: F.lit(float(weights[i])))
-    return start + total(q(c) * weight(i) for i, c in enumerate(features))
+    return F.expr(prediction_sql(intercept, weights, features))
 
 
 def fold_predictions(df: DataFrame, features: Sequence[str], models: Settled,
@@ -206,6 +222,6 @@ def fold_predictions(df: DataFrame, features: Sequence[str], models: Settled,
         F.col("fold").alias("_fold"), F.col("intercept").alias("_intercept"),
         F.col("weights").alias("_weights")))
     joined = df.join(held.joinable, q(FOLD_COLUMN) == F.col("_fold"))
-    return joined.select(
-        *qs(keep),
-        linear_prediction(F.col("_intercept"), F.col("_weights"), features).alias("prediction"))
+    prediction = total_sql(["_intercept", *[
+        f"{quoted(c)} * _weights[{i}]" for i, c in enumerate(features)]])
+    return joined.select(*qs(keep), F.expr(prediction).alias("prediction"))

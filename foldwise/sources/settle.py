@@ -64,7 +64,7 @@ def settle(df: DataFrame, name: str, max_rows: int = LOCAL_ROWS) -> Settled:
     try:
         head = df.limit(max_rows + 1).toArrow()
         if head.num_rows <= max_rows:
-            return Settled(spark.createDataFrame(head, schema=df.schema), local=True)
+            return Settled(spark.createDataFrame(head, schema=df.schema).coalesce(1), local=True)
         return Settled(write_table(df, name), local=False)
     finally:
         df.unpersist()
