@@ -95,6 +95,21 @@ def fit_model(params: TrainParams, vectors: DataFrame, n_features: int) -> Model
     return build_estimator(params, n_features).fit(vectors)
 
 
+def fit_final(table: ModelTable, params: TrainParams, vectors: DataFrame | None = None) -> Model:
+    """The model of all rows; plain least squares in closed form, like its folds."""
+    if takes_closed_form(table, params):
+        intercept, weights, _ = linear.fit_all(table.df, table.features)
+        return linear.LeastSquaresModel(intercept, weights)._set(
+            featuresCol=VECTOR_COLUMN, predictionCol=PREDICTION)
+    return fit_model(params, training_vectors(table, params) if vectors is None else vectors,
+                     len(table.features))
+
+
+def takes_closed_form(table: ModelTable, params: TrainParams) -> bool:
+    return params.early_stopping is None and is_plain_least_squares(
+        build_estimator(params, len(table.features)))
+
+
 def is_plain_least_squares(estimator: Estimator) -> bool:
     """Whether the estimator's optimum is the closed form of the moment matrices."""
     return (isinstance(estimator, LinearRegression) and estimator.getRegParam() == 0
@@ -248,8 +263,7 @@ def cross_validate(table: ModelTable, params: TrainParams, parallel_fits: int =
     fold; fits run side by side, and each model's errors on both sides come from
     one pass over its predictions.
     """
-    if (is_plain_least_squares(build_estimator(params, len(table.features)))
-            and params.early_stopping is None):
+    if takes_closed_form(table, params):
         return cross_validate_ols(table)
     spark = table.df.sparkSession
     # Written once: k fits of many rounds then read it, and nothing before it.

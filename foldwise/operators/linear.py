@@ -6,12 +6,16 @@ minus that fold, so k fits cost one scan. Rows never leave the executors.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator, Sequence
 from functools import partial
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.ml import Model
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.param.shared import HasFeaturesCol, HasPredictionCol
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foldwise.config import FOLD_COLUMN, TARGET_COLUMN
@@ -215,6 +219,35 @@ def linear_prediction(intercept: float, weights: Sequence[float], features: Sequ
     return F.expr(prediction_sql(intercept, weights, features))
 
 
+class LeastSquaresModel(Model, HasFeaturesCol, HasPredictionCol):
+    """Closed-form least squares; predicts by one expression."""
+
+    def __init__(self, intercept: float, weights: Sequence[float]):
+        super().__init__()
+        self._setDefault(featuresCol="features", predictionCol="prediction")
+        self.intercept, self.weights = float(intercept), [float(w) for w in weights]
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        names = [f"_x[{i}]" for i in range(len(self.weights))]
+        terms = [f"{n} * {number(w)}" for n, w in zip(names, self.weights)]
+        return (dataset.withColumn("_x", vector_to_array(q(self.getFeaturesCol())))
+                .withColumn(self.getPredictionCol(),
+                            F.expr(total_sql([number(self.intercept), *terms]))).drop("_x"))
+
+    def save(self, path: str) -> None:
+        text = json.dumps({"intercept": self.intercept, "weights": self.weights,
+                           "columns": [self.getFeaturesCol(), self.getPredictionCol()]})
+        (SparkSession.active().createDataFrame([(text,)], "value string")
+         .coalesce(1).write.text(path))
+
+    @classmethod
+    def load(cls, path: str) -> LeastSquaresModel:
+        kept = json.loads(SparkSession.active().read.text(path).first()[0])
+        features, prediction = kept["columns"]
+        return cls(kept["intercept"], kept["weights"])._set(
+            featuresCol=features, predictionCol=prediction)
+
+
 def fold_predictions(df: DataFrame, features: Sequence[str], models: Settled,
                      keep: Sequence[str]) -> DataFrame:
     """Every row predicted by the model that did not see its fold."""

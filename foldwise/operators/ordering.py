@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from foldwise.functions.names import q, qs
+from foldwise.functions.names import number, q, qs, quoted, text_literal
 from foldwise.functions.ranges import range_bucket
 from foldwise.sources.settle import settle
 
@@ -112,22 +112,21 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     """
     spark = df.sparkSession
     names = list(columns)
-    values = df.select(*[F.when(~F.isnan(q(c).cast("double")), q(c).cast("double"))
-                         .alias(f"c{i}") for i, c in enumerate(names)])
-    counts = values.agg(*[F.count(f"c{i}").alias(f"c{i}") for i in range(len(names))]).first()
+    values = df.selectExpr(*[
+        f"CASE WHEN NOT isnan(CAST({quoted(c)} AS DOUBLE)) THEN CAST({quoted(c)} AS DOUBLE) END"
+        f" AS c{i}" for i, c in enumerate(names)])
+    counts = values.selectExpr(*[f"count(c{i})" for i in range(len(names))] or ["0"]).first()
     schema = "column string, prob double, value double"
     if not names or max(counts) == 0:
         return spark.createDataFrame([(c, float(p), None) for c in names for p in probs], schema)
 
     if max(counts) <= in_memory_rows:
-        wide = values.agg(*[
-            F.percentile(f"c{i}", [float(p) for p in probs]).alias(f"c{i}")
-            for i in range(len(names))])
-        pieces = F.explode(F.array(*[
-            F.struct(F.lit(c).alias("column"), F.lit(float(p)).alias("prob"),
-                     F.col(f"c{i}")[j].alias("value"))
-            for i, c in enumerate(names) for j, p in enumerate(probs)]))
-        return wide.select(pieces.alias("p")).select("p.*")
+        at = ", ".join(number(p) for p in probs)
+        wide = values.selectExpr(*[
+            f"percentile(c{i}, array({at})) AS c{i}" for i in range(len(names))])
+        return wide.selectExpr("inline(array(" + ", ".join(
+            f"named_struct('column', {text_literal(c)}, 'prob', {number(p)}, 'value', c{i}[{j}])"
+            for i, c in enumerate(names) for j, p in enumerate(probs)) + "))")
 
     ranges = min(MAX_RANGES, ceil(max(counts) / rows_per_range))
     long = values.select(F.explode(F.array(*[

@@ -15,7 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foldwise.functions.names import q, qs
+from foldwise.functions.names import number, quoted, text_literal
 from foldwise.operators.ordering import exact_quantiles
 from foldwise.operators.prepare import missing_by_column
 
@@ -36,47 +36,48 @@ def text_columns(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c not in numeric]
 
 
-def _number(name: str) -> Column:
-    """The value as double, null where it is missing; -0.0 counts as 0.0."""
-    value = q(name).cast("double")
-    return F.when(~F.isnan(value), value + F.lit(0.0))
+def _values(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The columns as ``c0, c1, ...``: numbers as double, all else as text.
 
+    NaN becomes null and -0.0 becomes 0.0. Sections build on this as SQL text, since
+    one expression per column and measure is many.
+    """
+    numeric = set(numeric_columns(df))
 
-def _text(name: str) -> Column:
-    return q(name).cast("string")
-
+    def value(name: str) -> str:
+        if name not in numeric:
+            return f"CAST({quoted(name)} AS STRING)"
+        number = f"CAST({quoted(name)} AS DOUBLE)"
+        return f"CASE WHEN NOT isnan({number}) THEN {number} + 0D END"
 
-def _unstack(wide: DataFrame, names: Sequence[str], fields: Sequence[str]) -> DataFrame:
-    """Turn one row with columns ``field_i`` into a row per column name."""
-    rows = F.array(*[
-        F.struct(F.lit(c).alias("column"), *[F.col(f"{f}_{i}").alias(f) for f in fields])
-        for i, c in enumerate(names)])
-    return wide.select(F.explode(rows).alias("r")).select("r.*")
+    return df.selectExpr(*[f"{value(c)} AS c{i}" for i, c in enumerate(names)])
 
 
-def _wide(df: DataFrame, names: Sequence[str], fields: dict) -> DataFrame:
-    """One aggregate of every field over every column."""
-    wide = df.agg(*[build(c).alias(f"{f}_{i}") for i, c in enumerate(names)
-                    for f, build in fields.items()])
-    return _unstack(wide, names, list(fields))
+def _rows(entries: Sequence[str]) -> str:
+    return f"inline(array({', '.join(f'named_struct({e})' for e in entries)}))"
 
 
-def _cells(df: DataFrame, names: Sequence[str], value) -> DataFrame:
-    """``(column, value)`` per present cell."""
-    cells = F.array(*[F.struct(F.lit(c).alias("column"), value(c).alias("value")) for c in names])
-    return df.select(F.explode(cells).alias("c")).select("c.*").where(F.col("value").isNotNull())
+def _wide(df: DataFrame, names: Sequence[str], fields: dict[str, str]) -> DataFrame:
+    """One aggregate of every field over every column, as a row per column."""
+    wide = _values(df, names).selectExpr(*[
+        f"{sql.format(c=f'c{i}')} AS {f}_{i}" for i in range(len(names))
+        for f, sql in fields.items()])
+    return wide.selectExpr(_rows([
+        ", ".join([f"'column', {text_literal(c)}", *[f"'{f}', {f}_{i}" for f in fields]])
+        for i, c in enumerate(names)]))
 
 
-def _frequencies(df: DataFrame, names: Sequence[str], value) -> DataFrame:
-    return _cells(df, names, value).groupBy("column", "value").agg(F.count("*").alias("count"))
+def _frequencies(df: DataFrame, names: Sequence[str], value: str = "{c}") -> DataFrame:
+    """``(column, value, count)`` of the present cells."""
+    cells = _values(df, names).selectExpr(_rows([
+        f"'column', {text_literal(c)}, 'value', {value.format(c=f'c{i}')}"
+        for i, c in enumerate(names)]))
+    return (cells.where(F.col("value").isNotNull())
+            .groupBy("column", "value").agg(F.count("*").alias("count")))
 
 
 def numeric_frequencies(df: DataFrame) -> DataFrame:
-    return _frequencies(df, numeric_columns(df), _number)
-
-
-def text_frequencies(df: DataFrame) -> DataFrame:
-    return _frequencies(df, text_columns(df), _text)
+    return _frequencies(df, numeric_columns(df))
 
 
 def frequencies(df: DataFrame) -> DataFrame:
@@ -85,7 +86,7 @@ def frequencies(df: DataFrame) -> DataFrame:
     if numeric_columns(df):
         parts.append(numeric_frequencies(df).withColumn("value", F.col("value").cast("string")))
     if text_columns(df):
-        parts.append(text_frequencies(df))
+        parts.append(_frequencies(df, text_columns(df)))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -95,10 +96,10 @@ def overview(df: DataFrame) -> DataFrame:
     Duplicates need every row compared, which shuffles distinct rows once; repeated
     rows are merged before the shuffle.
     """
-    names, numeric = list(df.columns), set(numeric_columns(df))
-    empty = reduce(lambda a, b: a + b, [
-        (_number(c) if c in numeric else _text(c)).isNull().cast("bigint") for c in names])
-    per_row = df.groupBy(*qs(names)).agg(F.count("*").alias("_n"))
+    names = list(df.columns)
+    columns = [f"c{i}" for i in range(len(names))]
+    empty = F.expr(" + ".join(f"CAST({c} IS NULL AS BIGINT)" for c in columns))
+    per_row = _values(df, names).groupBy(*columns).agg(F.count("*").alias("_n"))
     cells = F.col("rows") * len(names)
     return (per_row.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"),
                         F.coalesce(F.sum(F.col("_n") * empty), F.lit(0)).alias("missing_cells"),
@@ -116,13 +117,9 @@ def variables(df: DataFrame, exact: bool = True) -> DataFrame:
     The exact form groups all values. With ``exact=False`` distinct values are
     estimated in one pass without a shuffle of values, and ``unique`` is null.
     """
-    numeric = set(numeric_columns(df))
-    names = list(df.columns)
-    value = lambda c: _number(c) if c in numeric else _text(c)
-    counted = _wide(df, names, {
-        "count": lambda c: F.count(value(c)),
-        "missing": lambda c: F.count(F.when(value(c).isNull(), True)),
-    } | ({} if exact else {"distinct": lambda c: F.approx_count_distinct(value(c), 0.01)}))
+    counted = _wide(df, list(df.columns), {
+        "count": "count({c})", "missing": "count(*) - count({c})",
+    } | ({} if exact else {"distinct": "approx_count_distinct({c}, 0.01D)"}))
     if not exact:
         return counted.withColumn("unique", F.lit(None).cast("bigint"))
     distinct = frequencies(df).groupBy("column").agg(
@@ -134,15 +131,9 @@ def variables(df: DataFrame, exact: bool = True) -> DataFrame:
 
 def numeric_stats(df: DataFrame) -> DataFrame:
     stats = _wide(df, numeric_columns(df), {
-        "mean": lambda c: F.avg(_number(c)),
-        "std": lambda c: F.stddev_samp(_number(c)),
-        "variance": lambda c: F.var_samp(_number(c)),
-        "min": lambda c: F.min(_number(c)),
-        "max": lambda c: F.max(_number(c)),
-        "sum": lambda c: F.sum(_number(c)),
-        "zeros": lambda c: F.count(F.when(_number(c) == 0, True)),
-        "negatives": lambda c: F.count(F.when(_number(c) < 0, True)),
-    })
+        "mean": "avg({c})", "std": "stddev_samp({c})", "variance": "var_samp({c})",
+        "min": "min({c})", "max": "max({c})", "sum": "sum({c})",
+        "zeros": "count_if({c} = 0)", "negatives": "count_if({c} < 0)"})
     return stats.withColumn("cv", F.try_divide(F.col("std"), F.col("mean")))
 
 
@@ -159,35 +150,43 @@ def quantiles(df: DataFrame) -> DataFrame:
 def shape(df: DataFrame) -> DataFrame:
     """Skewness and excess kurtosis (population form) and median absolute deviation."""
     names = numeric_columns(df)
-    moments = _wide(df, names, {"skewness": lambda c: F.skewness(_number(c)),
-                                "kurtosis": lambda c: F.kurtosis(_number(c))})
+    moments = _wide(df, names, {"skewness": "skewness({c})", "kurtosis": "kurtosis({c})"})
     medians = {r["column"]: r["value"] for r in exact_quantiles(df, names, [0.5]).collect()}
-    away = df.select(*[F.abs(_number(c) - F.lit(medians[c])).alias(c) for c in names])
+    away = df.selectExpr(*[
+        f"abs(CAST({quoted(c)} AS DOUBLE) - {number(_or_nan(medians[c]))}) AS {quoted(c)}"
+        for c in names])
     mad = exact_quantiles(away, names, [0.5]).select("column", F.col("value").alias("mad"))
     return moments.join(F.broadcast(mad), "column")
 
 
+def _or_nan(value: float | None) -> float:
+    return float("nan") if value is None else value
+
+
 def histogram(df: DataFrame, bins: int = 10) -> DataFrame:
     """Counts in ``bins`` equal steps between minimum and maximum of each column."""
-    names = numeric_columns(df)
-    limits = {r["column"]: (r["min"], r["max"]) for r in _wide(df, names, {
-        "min": lambda c: F.min(_number(c)), "max": lambda c: F.max(_number(c))}).collect()}
-    names = [c for c in names if limits[c][0] is not None]
+    limits = {r["column"]: (r["min"], r["max"]) for r in _wide(
+        df, numeric_columns(df), {"min": "min({c})", "max": "max({c})"}).collect()}
+    names = [c for c in numeric_columns(df) if limits[c][0] is not None]
+    if not names:
+        return df.sparkSession.createDataFrame(
+            [], "column string, bin int, bin_start double, count bigint")
 
-    def place(c: str) -> Column:
-        low, high = limits[c]
+    def place(i: int, name: str) -> str:
+        low, high = limits[name]
         if low == high:
-            return F.when(_number(c).isNotNull(), F.lit(0))
-        at = F.floor((_number(c) - F.lit(low)) / F.lit(high - low) * bins)
-        return F.least(at, F.lit(bins - 1)).cast("int")
+            return f"CASE WHEN c{i} IS NOT NULL THEN 0 END"
+        return (f"CAST(least(floor((c{i} - {number(low)}) / {number(high - low)} * {bins}), "
+                f"{bins - 1}) AS INT)")
 
-    counts = (_frequencies(df, names, place).withColumnRenamed("value", "bin"))
-    low = F.element_at(F.create_map(*[F.lit(x) for c in names for x in (c, limits[c][0])]),
-                       F.col("column"))
-    width = F.element_at(F.create_map(*[
-        F.lit(x) for c in names for x in (c, (limits[c][1] - limits[c][0]) / bins)]),
-        F.col("column"))
-    return counts.select("column", "bin", (low + width * F.col("bin")).alias("bin_start"), "count")
+    cells = _values(df, names).selectExpr(_rows([
+        f"'column', {text_literal(c)}, 'bin', {place(i, c)}, 'low', {number(limits[c][0])}, "
+        f"'width', {number((limits[c][1] - limits[c][0]) / bins)}"
+        for i, c in enumerate(names)]))
+    return (cells.where(F.col("bin").isNotNull()).groupBy("column", "bin", "low", "width")
+            .agg(F.count("*").alias("count"))
+            .select("column", "bin", (F.col("low") + F.col("width") * F.col("bin"))
+                    .alias("bin_start"), "count"))
 
 
 def top_values(df: DataFrame, k: int = 5) -> DataFrame:
@@ -211,40 +210,37 @@ def extreme_values(df: DataFrame, k: int = 5) -> DataFrame:
 
 def text_lengths(df: DataFrame) -> DataFrame:
     return _wide(df, text_columns(df), {
-        "min_length": lambda c: F.min(F.length(_text(c))),
-        "mean_length": lambda c: F.avg(F.length(_text(c))),
-        "max_length": lambda c: F.max(F.length(_text(c))),
-    })
+        "min_length": "min(length({c}))", "mean_length": "avg(length({c}))",
+        "max_length": "max(length({c}))"})
 
 
 def correlations(df: DataFrame) -> DataFrame:
-    """Pearson correlation of every pair of numeric columns, over rows that have both."""
-    pairs = list(combinations(numeric_columns(df), 2))
+    """Pearson correlation of every pair of numeric columns, over rows that have both.
+
+    Null where a side is constant; the built-in ``corr`` is an error there.
+    """
+    names = numeric_columns(df)
+    pairs = list(combinations(range(len(names)), 2))
     parts = []
     for start in range(0, len(pairs), _PAIRS_PER_PASS):
         chunk = pairs[start:start + _PAIRS_PER_PASS]
-        wide = df.agg(*[_correlation(a, b).alias(f"r{i}") for i, (a, b) in enumerate(chunk)])
-        parts.append(wide.select(F.explode(F.array(*[
-            F.struct(F.lit(a).alias("left"), F.lit(b).alias("right"),
-                     F.col(f"r{i}").alias("correlation"))
-            for i, (a, b) in enumerate(chunk)])).alias("r")).select("r.*"))
+        sums = _values(df, names).selectExpr(*[sql for i, j in chunk for sql in (
+            f"covar_pop(c{i}, c{j}) AS v{i}_{j}",
+            f"stddev_pop(c{i}) FILTER (WHERE c{j} IS NOT NULL) AS a{i}_{j}",
+            f"stddev_pop(c{j}) FILTER (WHERE c{i} IS NOT NULL) AS b{i}_{j}")])
+        parts.append(sums.selectExpr(_rows([
+            f"'left', {text_literal(names[i])}, 'right', {text_literal(names[j])}, "
+            f"'correlation', try_divide(v{i}_{j}, a{i}_{j} * b{i}_{j})" for i, j in chunk])))
     if not parts:
         return df.sparkSession.createDataFrame(
             [], "left string, right string, correlation double")
     return reduce(DataFrame.unionByName, parts)
 
 
-def _correlation(a: str, b: str) -> Column:
-    r = F.corr(_number(a), _number(b))
-    return F.when(~F.isnan(r), r)
-
-
 def missing(df: DataFrame) -> DataFrame:
     """Missing cells per column with percent; empty text counts as a value here."""
     counted = _wide(df, list(df.columns), {
-        "missing": lambda c: F.count(F.when(
-            (_number(c) if c in set(numeric_columns(df)) else _text(c)).isNull(), True)),
-        "rows": lambda c: F.count("*")})
+        "missing": "count(*) - count({c})", "rows": "count(*)"})
     return counted.withColumn(
         "missing_pct", F.try_divide(F.col("missing"), F.col("rows")) * 100)
 
@@ -256,9 +252,12 @@ def blank_cells(df: DataFrame) -> DataFrame:
 
 def alerts(df: DataFrame) -> DataFrame:
     """``(column, alert)``: constant, unique, missing or many zeros."""
-    zeros = _wide(df, numeric_columns(df), {
-        "zeros": lambda c: F.count(F.when(_number(c) == 0, True))})
-    facts = variables(df).join(F.broadcast(zeros), "column", "left")
+    facts = variables(df)
+    if numeric_columns(df):
+        zeros = _wide(df, numeric_columns(df), {"zeros": "count_if({c} = 0)"})
+        facts = facts.join(F.broadcast(zeros), "column", "left")
+    else:
+        facts = facts.withColumn("zeros", F.lit(0))
     rows = F.col("count") + F.col("missing")
     rules = {
         "constant": F.col("distinct") <= 1,
@@ -272,15 +271,23 @@ def alerts(df: DataFrame) -> DataFrame:
     return facts.select("column", F.explode(fired).alias("alert"))
 
 
+SECTIONS = {
+    "overview": overview, "variables": variables, "missing": missing, "top_values": top_values,
+    "alerts": alerts, "numeric_stats": numeric_stats, "quantiles": quantiles, "shape": shape,
+    "histogram": histogram, "extreme_values": extreme_values, "correlations": correlations,
+    "text_lengths": text_lengths,
+}
+_NUMERIC_ONLY = {"numeric_stats", "quantiles", "shape", "histogram", "extreme_values",
+                 "correlations"}
+
+
+def section_names(df: DataFrame) -> list[str]:
+    """The sections that apply to the column types of ``df``."""
+    skipped = (set() if numeric_columns(df) else _NUMERIC_ONLY) | (
+        set() if text_columns(df) else {"text_lengths"})
+    return [name for name in SECTIONS if name not in skipped]
+
+
 def profile(df: DataFrame) -> dict[str, DataFrame]:
     """All sections by name."""
-    sections = {"overview": overview(df), "variables": variables(df), "missing": missing(df),
-                "top_values": top_values(df), "alerts": alerts(df)}
-    if numeric_columns(df):
-        sections |= {
-            "numeric_stats": numeric_stats(df), "quantiles": quantiles(df), "shape": shape(df),
-            "histogram": histogram(df), "extreme_values": extreme_values(df),
-            "correlations": correlations(df)}
-    if text_columns(df):
-        sections["text_lengths"] = text_lengths(df)
-    return sections
+    return {name: SECTIONS[name](df) for name in section_names(df)}
