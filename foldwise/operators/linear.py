@@ -23,11 +23,12 @@ from foldwise.functions.names import number, q, qs, quoted, total_sql
 from foldwise.sources.settle import LOCAL_ROWS, Settled, settle, write_table
 
 #: Up to this many variables the moments are SQL sums, beyond it NumPy products.
-MAX_SQL_VARIABLES = 20
+MAX_SQL_VARIABLES = 12
 #: Moment entries the driver may hold to solve all folds itself.
 _LOCAL_MOMENTS = 4_000_000
 _MERGE_GROUPS = 256
 _RANK_TOLERANCE = 1e-9
+PARTIAL_SCHEMA = "by string, n bigint, s array<double>, g array<double>"
 
 
 def fold_sums(df: DataFrame, columns: Sequence[str]) -> Settled:
@@ -99,17 +100,21 @@ def _merge_moments(group: pd.DataFrame) -> pd.DataFrame:
 
 def _moments_numpy(df: DataFrame, columns: Sequence[str], shift: Sequence[float], by: str
                    ) -> DataFrame:
-    schema = (f"by {df.schema[by].dataType.simpleString()}, n bigint, "
-              "s array<double>, g array<double>")
-    rows = df.select(q(by).alias("by"), *[
+    rows = df.select(q(by).cast("string").alias("by"), *[
         q(c).cast("double").alias(f"z{i}") for i, c in enumerate(columns)])
-    parts = rows.mapInPandas(partial(_partial_moments, shift=np.asarray(shift)), schema)
-    # Two steps, so that one group never holds the matrices of every task.
+    parts = rows.mapInPandas(partial(_partial_moments, shift=np.asarray(shift)), PARTIAL_SCHEMA)
+    return merge_partials(parts).withColumnRenamed("by", by)
+
+
+def merge_partials(parts: DataFrame) -> DataFrame:
+    """Add up partial sums of equal key from many tasks.
+
+    Two steps, so that one group never holds the matrices of every task.
+    """
     spread = F.pmod(F.spark_partition_id(), F.lit(_MERGE_GROUPS))
-    merged = (parts.withColumn("part", spread).groupBy("by", "part")
-              .applyInPandas(_merge_moments, schema)
-              .groupBy("by").applyInPandas(_merge_moments, schema))
-    return merged.withColumnRenamed("by", by)
+    return (parts.withColumn("part", spread).groupBy("by", "part")
+            .applyInPandas(_merge_moments, PARTIAL_SCHEMA)
+            .groupBy("by").applyInPandas(_merge_moments, PARTIAL_SCHEMA))
 
 
 def unpack(n: int, s: Sequence[float], g: Sequence[float]) -> tuple[int, np.ndarray, np.ndarray]:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from foldwise.functions.names import number, q, qs, quoted, text_literal
+from foldwise.functions.names import number, q, qs, quoted
 from foldwise.functions.ranges import range_bucket
 from foldwise.sources.settle import settle
 
@@ -101,73 +101,73 @@ def running_totals(groups: DataFrame, key: str, size: str, name: str, rows: int,
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
-                    in_memory_rows: int = 5_000_000, rows_per_range: int = ROWS_PER_RANGE
-                    ) -> DataFrame:
+                    rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """Linear-interpolation quantiles as ``(column, prob, value)`` rows.
 
-    Null and NaN are left out. Up to ``in_memory_rows`` the ``percentile``
-    aggregate, which keeps every distinct value in one buffer, does it in a pass.
-    Beyond that the wanted ranks are located in range counts, and only the ranges
-    that hold one are sorted.
+    Null and NaN are left out. Up to ``rows_per_range`` rows the ``percentile``
+    aggregate holds the distinct values of a column. Beyond that the wanted ranks are
+    located in the row counts of value ranges, and only ranges that hold one are
+    sorted, equal values merged first.
     """
-    spark = df.sparkSession
-    names = list(columns)
+    spark, names = df.sparkSession, list(columns)
+    schema = "column string, prob double, value double"
+    if not names:
+        return spark.createDataFrame([], schema)
     values = df.selectExpr(*[
         f"CASE WHEN NOT isnan(CAST({quoted(c)} AS DOUBLE)) THEN CAST({quoted(c)} AS DOUBLE) END"
         f" AS c{i}" for i, c in enumerate(names)])
-    counts = values.selectExpr(*[f"count(c{i})" for i in range(len(names))] or ["0"]).first()
-    schema = "column string, prob double, value double"
-    if not names or max(counts) == 0:
-        return spark.createDataFrame([(c, float(p), None) for c in names for p in probs], schema)
-
-    if max(counts) <= in_memory_rows:
-        at = ", ".join(number(p) for p in probs)
-        wide = values.selectExpr(*[
-            f"percentile(c{i}, array({at})) AS c{i}" for i in range(len(names))])
-        return wide.selectExpr("inline(array(" + ", ".join(
-            f"named_struct('column', {text_literal(c)}, 'prob', {number(p)}, 'value', c{i}[{j}])"
-            for i, c in enumerate(names) for j, p in enumerate(probs)) + "))")
-
+    counts = values.selectExpr(*[f"count(c{i})" for i in range(len(names))]).first()
     ranges = min(MAX_RANGES, ceil(max(counts) / rows_per_range))
-    long = values.select(F.explode(F.array(*[
-        F.struct(F.lit(i).alias("i"), F.col(f"c{i}").alias("v"),
-                 range_bucket(F.col(f"c{i}"), splitters(
-                     values.where(F.col(f"c{i}").isNotNull()), [f"c{i}"], ranges, counts[i])
-                 ).alias("b"))
-        for i in range(len(names))])).alias("s")).select("s.*").where(F.col("v").isNotNull())
-
-    # A rank is 1-based; each quantile needs the two ranks around its position.
-    wanted = {}
-    for i in range(len(names)):
-        for p in probs:
-            at = (counts[i] - 1) * float(p)
-            wanted[i, p] = (int(at) + 1, min(int(at) + 2, counts[i]), at - int(at))
-    sizes: dict[int, list[tuple[int, int, int]]] = {}
-    seen: dict[int, int] = {}
-    for r in long.groupBy("i", "b").count().orderBy("i", "b").collect():
-        low = seen.get(r["i"], 0)
-        sizes.setdefault(r["i"], []).append((r["b"], low, low + r["count"]))
-        seen[r["i"]] = low + r["count"]
-    hit = {(i, b, low) for (i, _), (r1, r2, _) in wanted.items() if counts[i]
-           for b, low, high in sizes[i] for r in (r1, r2) if low < r <= high}
-    hits = spark.createDataFrame(sorted(hit), "i int, b int, low bigint")
-    upto = W.partitionBy("i", "b").orderBy("v").rowsBetween(W.unboundedPreceding, 0)
-    ranks = [(i, r) for (i, _), (r1, r2, _) in wanted.items() if counts[i] for r in (r1, r2)]
-    located = (
-        long.join(F.broadcast(hits), ["i", "b"])
-        .groupBy("i", "b", "low", "v").agg(F.count("*").alias("n"))
-        .withColumn("last", F.col("low") + F.sum("n").over(upto))
-        .join(F.broadcast(spark.createDataFrame(sorted(set(ranks)), "i int, r bigint")), "i")
-        .where((F.col("r") <= F.col("last")) & (F.col("r") > F.col("last") - F.col("n")))
-        .select("i", "r", "v").collect())
-    at_rank = {(x["i"], x["r"]): x["v"] for x in located}
+    if ranges <= 1:
+        at = ", ".join(number(p) for p in probs)
+        found = (values.unpivot([], list(values.columns), "c", "v").groupBy("c")
+                 .agg(F.expr(f"percentile(v, array({at})) AS q")).collect())
+        by_name = {r["c"]: r["q"] or [None] * len(probs) for r in found}
+        return spark.createDataFrame([
+            (c, float(p), by_name.get(f"c{i}", [None] * len(probs))[j])
+            for i, c in enumerate(names) for j, p in enumerate(probs)], schema).coalesce(1)
+    cells = values.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("i"), range_bucket(F.col(c), splitters(
+            values.where(F.col(c).isNotNull()), [c], ranges, counts[i])).alias("b"),
+            F.col(c).alias("v"))
+        for i, c in enumerate(values.columns)])).alias("s")).select("s.*")
+    cells = cells.where(F.col("v").isNotNull())
+    sizes = cells.groupBy("i", "b").count().orderBy("i", "b").collect()
+    spans: dict[int, list[tuple[int, int, int]]] = {i: [] for i in range(len(names))}
+    for i, b, n in sizes:
+        low = spans[i][-1][2] if spans[i] else 0
+        spans[i].append((b, low, low + n))
+
+    # Ranks count from 1; a quantile lies between two neighbouring ones.
+    around = {}
+    for i, n in enumerate(counts):
+        for p in probs if n else ():
+            at = (n - 1) * float(p)
+            around[i, p] = (int(at) + 1, min(int(at) + 2, n), at - int(at))
+    ranks = sorted({(i, r) for (i, _), (r1, r2, _) in around.items() for r in (r1, r2)})
+    hit = sorted({(i, b, low) for i, r in ranks for b, low, high in spans[i] if low < r <= high})
+    found = {}
+    if hit:
+        upto = W.partitionBy("i", "b").orderBy("v").rowsBetween(W.unboundedPreceding, 0)
+        hits = spark.createDataFrame(hit, "i int, b int, low bigint").coalesce(1)
+        merged = (cells.join(F.broadcast(hits.drop("low")), ["i", "b"])
+                  .groupBy("i", "b", "v").agg(F.count("*").alias("n")))
+        merged = (merged.join(F.broadcast(hits), ["i", "b"])
+                  .withColumn("last", F.col("low") + F.sum("n").over(upto)))
+        # As plain comparisons, so that all but the rows wanted drop out early.
+        by_column = {i: [r for j, r in ranks if j == i] for i, _ in ranks}
+        holds = " ".join(f"WHEN {i} THEN " + " OR ".join(
+            f"({r} <= last AND {r} > last - n)" for r in rs) for i, rs in by_column.items())
+        rows = (merged.where(f"CASE i {holds} ELSE false END")
+                .select("i", "v", "n", "last").collect())
+        found = {(x["i"], r): x["v"] for x in rows for r in by_column[x["i"]]
+                 if x["last"] - x["n"] < r <= x["last"]}
     out = []
     for i, c in enumerate(names):
         for p in probs:
-            if not counts[i]:
+            if (i, p) not in around:
                 out.append((c, float(p), None))
                 continue
-            r1, r2, part = wanted[i, p]
-            v1, v2 = at_rank[i, r1], at_rank[i, r2]
-            out.append((c, float(p), v1 + (v2 - v1) * part))
-    return spark.createDataFrame(out, schema)
+            r1, r2, part = around[i, p]
+            out.append((c, float(p), found[i, r1] + (found[i, r2] - found[i, r1]) * part))
+    return spark.createDataFrame(out, schema).coalesce(1)

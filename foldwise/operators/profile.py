@@ -6,21 +6,24 @@ Sections over all columns run as one wide aggregate, or as one grouped pass over
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from functools import reduce
+from collections.abc import Iterator, Sequence
+from functools import partial, reduce
 from itertools import combinations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foldwise.functions.names import number, quoted, text_literal
+from foldwise.functions.names import number, qs, quoted, text_literal
+from foldwise.operators.linear import PARTIAL_SCHEMA, merge_partials
 from foldwise.operators.ordering import exact_quantiles
 from foldwise.operators.prepare import missing_by_column
 
 QUANTILES = (0.05, 0.25, 0.5, 0.75, 0.95)
-_PAIRS_PER_PASS = 150
+_SQL_PAIRS = 10
 
 # Limits of the profile alerts.
 ZEROS_ALERT_PCT = 10.0
@@ -57,22 +60,29 @@ def _rows(entries: Sequence[str]) -> str:
     return f"inline(array({', '.join(f'named_struct({e})' for e in entries)}))"
 
 
-def _wide(df: DataFrame, names: Sequence[str], fields: dict[str, str]) -> DataFrame:
-    """One aggregate of every field over every column, as a row per column."""
-    wide = _values(df, names).selectExpr(*[
-        f"{sql.format(c=f'c{i}')} AS {f}_{i}" for i in range(len(names))
-        for f, sql in fields.items()])
-    return wide.selectExpr(_rows([
-        ", ".join([f"'column', {text_literal(c)}", *[f"'{f}', {f}_{i}" for f in fields]])
-        for i, c in enumerate(names)]))
+def _cells(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """``(column, value)`` per cell, made inside the scan stage."""
+    named = _values(df, names).toDF(*names)
+    return named.unpivot([], qs(names), "column", "value")
+
+
+def _by_column(df: DataFrame, names: Sequence[str], fields: dict[str, str]) -> DataFrame:
+    """Every field over every column, as a row per column.
+
+    Cells are grouped by column name: partial aggregates keep a row per column and
+    task, and generated code stays small however many columns there are. Numbers and
+    texts are read apart, each with its own columns only.
+    """
+    numeric = set(numeric_columns(df))
+    parts = [[c for c in names if c in numeric], [c for c in names if c not in numeric]]
+    return reduce(DataFrame.unionByName, [
+        _cells(df, part).groupBy("column").agg(*[F.expr(sql).alias(f) for f, sql in fields.items()])
+        for part in parts if part])
 
 
-def _frequencies(df: DataFrame, names: Sequence[str], value: str = "{c}") -> DataFrame:
+def _frequencies(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """``(column, value, count)`` of the present cells."""
-    cells = _values(df, names).selectExpr(_rows([
-        f"'column', {text_literal(c)}, 'value', {value.format(c=f'c{i}')}"
-        for i, c in enumerate(names)]))
-    return (cells.where(F.col("value").isNotNull())
+    return (_cells(df, names).where(F.col("value").isNotNull())
             .groupBy("column", "value").agg(F.count("*").alias("count")))
 
 
@@ -117,9 +127,9 @@ def variables(df: DataFrame, exact: bool = True) -> DataFrame:
     The exact form groups all values. With ``exact=False`` distinct values are
     estimated in one pass without a shuffle of values, and ``unique`` is null.
     """
-    counted = _wide(df, list(df.columns), {
-        "count": "count({c})", "missing": "count(*) - count({c})",
-    } | ({} if exact else {"distinct": "approx_count_distinct({c}, 0.01D)"}))
+    counted = _by_column(df, list(df.columns), {
+        "count": "count(value)", "missing": "count(*) - count(value)",
+    } | ({} if exact else {"distinct": "approx_count_distinct(value, 0.01D)"}))
     if not exact:
         return counted.withColumn("unique", F.lit(None).cast("bigint"))
     distinct = frequencies(df).groupBy("column").agg(
@@ -130,10 +140,10 @@ def variables(df: DataFrame, exact: bool = True) -> DataFrame:
 
 
 def numeric_stats(df: DataFrame) -> DataFrame:
-    stats = _wide(df, numeric_columns(df), {
-        "mean": "avg({c})", "std": "stddev_samp({c})", "variance": "var_samp({c})",
-        "min": "min({c})", "max": "max({c})", "sum": "sum({c})",
-        "zeros": "count_if({c} = 0)", "negatives": "count_if({c} < 0)"})
+    stats = _by_column(df, numeric_columns(df), {
+        "mean": "avg(value)", "std": "stddev_samp(value)", "variance": "var_samp(value)",
+        "min": "min(value)", "max": "max(value)", "sum": "sum(value)",
+        "zeros": "count_if(value = 0)", "negatives": "count_if(value < 0)"})
     return stats.withColumn("cv", F.try_divide(F.col("std"), F.col("mean")))
 
 
@@ -150,7 +160,7 @@ def quantiles(df: DataFrame) -> DataFrame:
 def shape(df: DataFrame) -> DataFrame:
     """Skewness and excess kurtosis (population form) and median absolute deviation."""
     names = numeric_columns(df)
-    moments = _wide(df, names, {"skewness": "skewness({c})", "kurtosis": "kurtosis({c})"})
+    moments = _by_column(df, names, {"skewness": "skewness(value)", "kurtosis": "kurtosis(value)"})
     medians = {r["column"]: r["value"] for r in exact_quantiles(df, names, [0.5]).collect()}
     away = df.selectExpr(*[
         f"abs(CAST({quoted(c)} AS DOUBLE) - {number(_or_nan(medians[c]))}) AS {quoted(c)}"
@@ -165,8 +175,8 @@ def _or_nan(value: float | None) -> float:
 
 def histogram(df: DataFrame, bins: int = 10) -> DataFrame:
     """Counts in ``bins`` equal steps between minimum and maximum of each column."""
-    limits = {r["column"]: (r["min"], r["max"]) for r in _wide(
-        df, numeric_columns(df), {"min": "min({c})", "max": "max({c})"}).collect()}
+    limits = {r["column"]: (r["min"], r["max"]) for r in _by_column(
+        df, numeric_columns(df), {"min": "min(value)", "max": "max(value)"}).collect()}
     names = [c for c in numeric_columns(df) if limits[c][0] is not None]
     if not names:
         return df.sparkSession.createDataFrame(
@@ -209,38 +219,64 @@ def extreme_values(df: DataFrame, k: int = 5) -> DataFrame:
 
 
 def text_lengths(df: DataFrame) -> DataFrame:
-    return _wide(df, text_columns(df), {
-        "min_length": "min(length({c}))", "mean_length": "avg(length({c}))",
-        "max_length": "max(length({c}))"})
+    return _by_column(df, text_columns(df), {
+        "min_length": "min(length(value))", "mean_length": "avg(length(value))",
+        "max_length": "max(length(value))"})
 
 
 def correlations(df: DataFrame) -> DataFrame:
     """Pearson correlation of every pair of numeric columns, over rows that have both.
 
-    Null where a side is constant; the built-in ``corr`` is an error there.
+    Null where a side is constant. Few columns are summed in SQL; for more, each
+    task multiplies its batches as matrices and a two-step merge adds them up.
     """
     names = numeric_columns(df)
     pairs = list(combinations(range(len(names)), 2))
-    parts = []
-    for start in range(0, len(pairs), _PAIRS_PER_PASS):
-        chunk = pairs[start:start + _PAIRS_PER_PASS]
-        sums = _values(df, names).selectExpr(*[sql for i, j in chunk for sql in (
+    schema = "left string, right string, correlation double"
+    if not pairs:
+        return df.sparkSession.createDataFrame([], schema)
+    if len(pairs) <= _SQL_PAIRS:
+        sums = _values(df, names).selectExpr(*[sql for i, j in pairs for sql in (
             f"covar_pop(c{i}, c{j}) AS v{i}_{j}",
             f"stddev_pop(c{i}) FILTER (WHERE c{j} IS NOT NULL) AS a{i}_{j}",
             f"stddev_pop(c{j}) FILTER (WHERE c{i} IS NOT NULL) AS b{i}_{j}")])
-        parts.append(sums.selectExpr(_rows([
+        return sums.selectExpr(_rows([
             f"'left', {text_literal(names[i])}, 'right', {text_literal(names[j])}, "
-            f"'correlation', try_divide(v{i}_{j}, a{i}_{j} * b{i}_{j})" for i, j in chunk])))
-    if not parts:
-        return df.sparkSession.createDataFrame(
-            [], "left string, right string, correlation double")
-    return reduce(DataFrame.unionByName, parts)
+            f"'correlation', try_divide(v{i}_{j}, a{i}_{j} * b{i}_{j})" for i, j in pairs]))
+    means = {r["column"]: r["mean"] or 0.0
+             for r in _by_column(df, names, {"mean": "avg(value)"}).collect()}
+    shift = np.array([means[c] for c in names])
+    parts = _values(df, names).mapInPandas(partial(_pair_sums, shift=shift), PARTIAL_SCHEMA)
+    merged = merge_partials(parts).first()
+    n, x, xx, xy = np.asarray(merged["g"]).reshape(4, len(names), len(names))
+    with np.errstate(divide="ignore", invalid="ignore"):
+        spread = xx / n - (x / n) ** 2
+        r = (xy / n - (x / n) * (x.T / n)) / np.sqrt(spread * spread.T)
+    # Rounding leaves a speck of variance in a constant column.
+    live = spread > 1e-14 * np.maximum(np.abs(xx / n), 1e-300)
+    return df.sparkSession.createDataFrame([
+        (names[i], names[j], float(r[i, j]) if live[i, j] and live[j, i] else None)
+        for i, j in pairs], schema)
+
+
+def _pair_sums(batches: Iterator[pd.DataFrame], shift: np.ndarray) -> Iterator[pd.DataFrame]:
+    """Counts and sums over rows that have both columns, for every ordered pair."""
+    d = len(shift)
+    total, rows = np.zeros((4, d, d)), 0
+    for batch in batches:
+        z = batch.to_numpy(np.float64) - shift
+        there = (~np.isnan(z)).astype(np.float64)
+        z = np.nan_to_num(z)
+        total += np.stack([there.T @ there, z.T @ there, (z * z).T @ there, z.T @ z])
+        rows += len(z)
+    if rows:
+        yield pd.DataFrame({"by": ["all"], "n": [rows], "s": [[]], "g": [total.ravel()]})
 
 
 def missing(df: DataFrame) -> DataFrame:
     """Missing cells per column with percent; empty text counts as a value here."""
-    counted = _wide(df, list(df.columns), {
-        "missing": "count(*) - count({c})", "rows": "count(*)"})
+    counted = _by_column(df, list(df.columns), {
+        "missing": "count(*) - count(value)", "rows": "count(*)"})
     return counted.withColumn(
         "missing_pct", F.try_divide(F.col("missing"), F.col("rows")) * 100)
 
@@ -254,7 +290,7 @@ def alerts(df: DataFrame) -> DataFrame:
     """``(column, alert)``: constant, unique, missing or many zeros."""
     facts = variables(df)
     if numeric_columns(df):
-        zeros = _wide(df, numeric_columns(df), {"zeros": "count_if({c} = 0)"})
+        zeros = _by_column(df, numeric_columns(df), {"zeros": "count_if(value = 0)"})
         facts = facts.join(F.broadcast(zeros), "column", "left")
     else:
         facts = facts.withColumn("zeros", F.lit(0))
