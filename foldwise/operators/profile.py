@@ -186,8 +186,9 @@ def histogram(df: DataFrame, bins: int = 10) -> DataFrame:
         low, high = limits[name]
         if low == high:
             return f"CASE WHEN c{i} IS NOT NULL THEN 0 END"
-        return (f"CAST(least(floor((c{i} - {number(low)}) / {number(high - low)} * {bins}), "
-                f"{bins - 1}) AS INT)")
+        # ``least`` skips nulls, so empty cells are kept out by name.
+        return (f"CASE WHEN c{i} IS NOT NULL THEN CAST(least(floor((c{i} - {number(low)}) / "
+                f"{number(high - low)} * {bins}), {bins - 1}) AS INT) END")
 
     cells = _values(df, names).selectExpr(_rows([
         f"'column', {text_literal(c)}, 'bin', {place(i, c)}, 'low', {number(limits[c][0])}, "
