@@ -1,7 +1,7 @@
 """Time the headline queries; prints one JSON line.
 
 ``BENCH_SF_DIR`` names the table folder, ``BENCH_CPUS`` the cores. Each query runs
-once to warm up and then three times; the median counts.
+once to warm up and then ``BENCH_RUNS`` times (2 by default); the median counts.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from foldwise.plans.pipeline import score, train_and_evaluate
 
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-RUNS = int(os.environ.get("BENCH_RUNS", "3"))
+RUNS = int(os.environ.get("BENCH_RUNS", "2"))
 HEADLINE = ("impute_funnel", "category_distribution", "one_hot", "preprocessed_table",
             "hash_folds", "fold_gini", "baseline_by_fold", "metrics_all", "ols_cv_folds",
             "oof_deviation", "score_ols", "linear_importance", "profile_overview",

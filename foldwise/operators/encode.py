@@ -155,6 +155,13 @@ class Encoder:
     def output_columns(self) -> list[str]:
         return [c for e in self.encodings for c in e.output_columns]
 
+    def rare_categories(self, encoding: FeatureEncoding) -> list[str]:
+        """Names folded into the shared bucket; callers check ``rare_count`` first."""
+        if not encoding.rare_count:
+            return []
+        rows = self.category_df.where(F.col("is_rare") & (F.col("feature") == encoding.feature))
+        return [r["category"] for r in rows.select("category").collect()]
+
     def unknown_categories(self, df: DataFrame,
                            encodings: Sequence[FeatureEncoding] | None = None) -> DataFrame:
         """``(feature, category)`` of values the fitted table did not have.

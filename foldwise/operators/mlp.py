@@ -164,7 +164,7 @@ class DenseRegressor(Estimator, _NetParams):
 
     @keyword_only
     def __init__(self, *, hidden=DEFAULT_HIDDEN, dropout=DEFAULT_DROPOUT, batchSize=BATCH_ROWS,
-                 workers=64, maxIter=100, stepSize=0.001, loss="mse", optimizer="adam", seed=0,
+                 workers=256, maxIter=100, stepSize=0.001, loss="mse", optimizer="adam", seed=0,
                  patience=10):
         super().__init__()
         self._setDefault(featuresCol="features", labelCol="label", predictionCol="prediction")

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foldwise.config import (FOLD_COLUMN, TARGET_COLUMN, FeaturesConfig, FoldSplit, TrainParams)
@@ -20,6 +20,8 @@ from foldwise.operators.prepare import (check_column_types, check_columns, check
 
 VECTOR_COLUMN = "_features"
 ROW_ID_COLUMN = "row_id"
+#: Rare categories of one feature that may be listed in an expression.
+MAX_INLINE_CATEGORIES = 1000
 
 
 @dataclass(frozen=True)
@@ -101,6 +103,28 @@ class Preparation:
             listed = sorted((r["feature"], r["category"]) for r in found)
             raise DataError(f"categories that the fitted table did not have: {listed}")
 
+    def inline_guards(self, df: DataFrame) -> Column | None:
+        """A condition that fails the job at the first bad row, else true.
+
+        It spares the counting pass. None when a feature has too many known rare
+        categories for a list; the table form of the check is needed then.
+        """
+        check_columns(df, self.config.columns)
+        check_column_types(df, self.config)
+        strict = [e for e in self.encoder.encodings if not e.allow_unknown]
+        if any(e.rare_count > MAX_INLINE_CATEGORIES for e in strict):
+            return None
+        guard = F.when(F.lit(False), F.lit(True))
+        for c in self.config.columns:
+            guard = guard.when(is_missing(df, c), F.raise_error(F.lit(
+                f"the feature column '{c}' must not contain empty values")).cast("boolean"))
+        for e in strict:
+            known = [*e.own, *self.encoder.rare_categories(e)]
+            guard = guard.when(~q(e.feature).isin(*known), F.raise_error(F.concat(
+                F.lit(f"a category that '{e.feature}' did not have when fitted: "),
+                q(e.feature))).cast("boolean"))
+        return guard.otherwise(F.lit(True))
+
     def scoring_table(self, df: DataFrame, keep: Sequence[str] = (), check: bool = True
                       ) -> DataFrame:
         """``keep`` columns followed by the features the model takes."""

@@ -97,8 +97,10 @@ def train_and_evaluate(df: DataFrame, features: Mapping[str, Any] | FeaturesConf
     outputs.write_fold_table(keep("fold_table", display), f"{run}/{FOLD_TABLE}")
     sample_id = q(table.row_id[0]) if len(table.row_id) == 1 else F.concat_ws(
         "-", *qs(table.row_id))
-    outputs.write_predictions(oof.withColumn("sample_id", sample_id).orderBy("fold_key"),
-                              f"{run}/{OOF_TABLE}")
+    # The row id in the order splits a fold of any size over several sorted files.
+    outputs.write_predictions(
+        oof.withColumn("sample_id", sample_id).orderBy("fold_key", *qs(table.row_id)),
+        f"{run}/{OOF_TABLE}")
 
     vectors = cv.training_vectors(table, params)
     if not cv.takes_closed_form(table, params):
@@ -159,16 +161,25 @@ def attribute(model: Model, table: ModelTable, seed: int, rows: int) -> DataFram
     return explain.linear_attribution(sample, table.row_id, table.features, weights, list(means))
 
 
-def score(df: DataFrame, path: str, output: str = "model_prediction") -> DataFrame:
+def score(df: DataFrame, path: str, output: str = "model_prediction",
+          check: str = "first") -> DataFrame:
     """Input rows and columns with the stored model's prediction behind.
 
-    The table is checked first: missing columns, empty values and, unless allowed,
-    unknown categories are errors. The target column is not needed.
+    Missing columns, empty values and, unless allowed, unknown categories are errors.
+    ``check="first"`` counts them in a pass of its own and names all of them;
+    ``check="inline"`` scores in a single pass, which fails at the first bad row.
+    The target column is not needed.
     """
+    if check not in ("first", "inline"):
+        raise ConfigError(f"check must be 'first' or 'inline', got {check!r}")
     model, preparation = store.load_fitted(path)
     if output in df.columns:
         raise ConfigError(f"the table already has a column '{output}'")
-    preparation.check_scoring_table(df)
+    guard = preparation.inline_guards(df) if check == "inline" else None
+    if guard is None:
+        preparation.check_scoring_table(df)
+    else:
+        df = df.where(guard)
     features = [f"_x{i}" for i in range(len(preparation.output_columns))]
     wide = df.select(*qs(df.columns), *[
         c.cast("double").alias(n) for c, n in zip(preparation.feature_columns(), features)])

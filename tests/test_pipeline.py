@@ -2,6 +2,7 @@ import numpy as np
 import pandas as pd
 import pytest
 from pyspark.ml.regression import GBTRegressor, LinearRegression
+from pyspark.sql import functions as F
 
 from foldwise import ConfigError, DataError, StoreError, score, train_and_evaluate
 from foldwise.operators.table import Preparation
@@ -73,6 +74,12 @@ def test_score(raw, finished):
         + pdf["עומק"] * weights[names.index("עומק")] \
         + pdf["soil  code"].map(lambda c: weights[names.index(f"soil  code_OHE__{c}")])
     np.testing.assert_allclose(pdf["model_prediction"], by_hand)
+    single = score(rows, path, check="inline")
+    np.testing.assert_allclose(single.toPandas()["model_prediction"], pdf["model_prediction"])
+    with pytest.raises(Exception, match="must not contain empty"):
+        score(raw, path, check="inline").collect()
+    with pytest.raises(Exception, match="did not have when fitted: 9"):
+        score(rows.limit(1).withColumn("soil  code", F.lit("9")), path, check="inline").collect()
     with pytest.raises(DataError, match="soil  code"):
         score(raw, path)
     with pytest.raises(DataError, match="depth"):
