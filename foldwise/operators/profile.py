@@ -7,6 +7,7 @@ Sections over all columns run as one wide aggregate, or as one grouped pass over
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 from functools import partial, reduce
 from itertools import combinations
 
@@ -21,6 +22,7 @@ from foldwise.functions.names import number, qs, quoted, text_literal
 from foldwise.operators.linear import PARTIAL_SCHEMA, merge_partials
 from foldwise.operators.ordering import exact_quantiles
 from foldwise.operators.prepare import missing_by_column
+from foldwise.sources.settle import write_table
 
 QUANTILES = (0.05, 0.25, 0.5, 0.75, 0.95)
 _SQL_PAIRS = 10
@@ -86,18 +88,32 @@ def _frequencies(df: DataFrame, names: Sequence[str]) -> DataFrame:
             .groupBy("column", "value").agg(F.count("*").alias("count")))
 
 
-def numeric_frequencies(df: DataFrame) -> DataFrame:
-    return _frequencies(df, numeric_columns(df))
+@dataclass(frozen=True)
+class ValueCounts:
+    """``(column, value, count)`` of present cells: numbers as double, texts as text.
 
+    Telling values apart shuffles them, the costliest step of a profile; sections
+    that need it can share one.
+    """
+
+    numeric: DataFrame | None
+    text: DataFrame | None
+
+    def written(self) -> ValueCounts:
+        """The same counts as tables, computed once."""
+        return ValueCounts(*[None if t is None else write_table(t, "value-counts")
+                             for t in (self.numeric, self.text)])
+
+    @property
+    def as_text(self) -> DataFrame:
+        parts = [t.withColumn("value", F.col("value").cast("string"))
+                 for t in (self.numeric, self.text) if t is not None]
+        return reduce(DataFrame.unionByName, parts)
 
-def frequencies(df: DataFrame) -> DataFrame:
-    """``(column, value, count)`` of all columns, values as text."""
-    parts = []
-    if numeric_columns(df):
-        parts.append(numeric_frequencies(df).withColumn("value", F.col("value").cast("string")))
-    if text_columns(df):
-        parts.append(_frequencies(df, text_columns(df)))
-    return reduce(DataFrame.unionByName, parts)
+
+def value_counts(df: DataFrame) -> ValueCounts:
+    return ValueCounts(*[_frequencies(df, names) if names else None
+                         for names in (numeric_columns(df), text_columns(df))])
 
 
 def overview(df: DataFrame) -> DataFrame:
@@ -121,7 +137,7 @@ def overview(df: DataFrame) -> DataFrame:
                     .alias("duplicate_pct")))
 
 
-def variables(df: DataFrame, exact: bool = True) -> DataFrame:
+def variables(df: DataFrame, exact: bool = True, counts: ValueCounts | None = None) -> DataFrame:
     """Per column: present and missing cells, distinct values, values seen once.
 
     The exact form groups all values. With ``exact=False`` distinct values are
@@ -132,7 +148,7 @@ def variables(df: DataFrame, exact: bool = True) -> DataFrame:
     } | ({} if exact else {"distinct": "approx_count_distinct(value, 0.01D)"}))
     if not exact:
         return counted.withColumn("unique", F.lit(None).cast("bigint"))
-    distinct = frequencies(df).groupBy("column").agg(
+    distinct = (counts or value_counts(df)).as_text.groupBy("column").agg(
         F.count("*").alias("distinct"), F.count(F.when(F.col("count") == 1, True)).alias("unique"))
     return (counted.join(F.broadcast(distinct), "column", "left")
             .select("column", "count", "missing", F.coalesce("distinct", F.lit(0)).alias("distinct"),
@@ -200,20 +216,21 @@ def histogram(df: DataFrame, bins: int = 10) -> DataFrame:
                     .alias("bin_start"), "count"))
 
 
-def top_values(df: DataFrame, k: int = 5) -> DataFrame:
+def top_values(df: DataFrame, k: int = 5, counts: ValueCounts | None = None) -> DataFrame:
     """Most frequent values per column; ties go to the smaller text."""
     rank = F.row_number().over(
         W.partitionBy("column").orderBy(F.desc("count"), F.asc("value")))
-    return frequencies(df).withColumn("rank", rank).where(F.col("rank") <= k)
+    return ((counts or value_counts(df)).as_text.withColumn("rank", rank)
+            .where(F.col("rank") <= k))
 
 
-def extreme_values(df: DataFrame, k: int = 5) -> DataFrame:
+def extreme_values(df: DataFrame, k: int = 5, counts: ValueCounts | None = None) -> DataFrame:
     """Smallest and largest distinct values per numeric column, with counts."""
-    counts = numeric_frequencies(df)
+    cells = (counts or value_counts(df)).numeric
 
     def side(name: str, order: Column) -> DataFrame:
         rank = F.row_number().over(W.partitionBy("column").orderBy(order))
-        return (counts.withColumn("rank", rank).where(F.col("rank") <= k)
+        return (cells.withColumn("rank", rank).where(F.col("rank") <= k)
                 .select("column", F.lit(name).alias("side"), "rank", "value", "count"))
 
     return side("smallest", F.asc("value")).unionByName(side("largest", F.desc("value")))
@@ -287,9 +304,9 @@ def blank_cells(df: DataFrame) -> DataFrame:
     return missing_by_column(df, df.columns)
 
 
-def alerts(df: DataFrame) -> DataFrame:
+def alerts(df: DataFrame, counts: ValueCounts | None = None) -> DataFrame:
     """``(column, alert)``: constant, unique, missing or many zeros."""
-    facts = variables(df)
+    facts = variables(df, counts=counts)
     if numeric_columns(df):
         zeros = _by_column(df, numeric_columns(df), {"zeros": "count_if(value = 0)"})
         facts = facts.join(F.broadcast(zeros), "column", "left")
@@ -325,6 +342,15 @@ def section_names(df: DataFrame) -> list[str]:
     return [name for name in SECTIONS if name not in skipped]
 
 
+_COUNTED = {"variables", "top_values", "extreme_values", "alerts"}
+
+
+def section(name: str, df: DataFrame, counts: ValueCounts | None = None) -> DataFrame:
+    """One section by name; those that tell values apart use the given counts."""
+    return SECTIONS[name](df, counts=counts) if name in _COUNTED else SECTIONS[name](df)
+
+
 def profile(df: DataFrame) -> dict[str, DataFrame]:
-    """All sections by name."""
-    return {name: SECTIONS[name](df) for name in section_names(df)}
+    """All sections by name, with the value counts computed once."""
+    counts = value_counts(df).written()
+    return {name: section(name, df, counts) for name in section_names(df)}

@@ -70,8 +70,10 @@ def train_and_evaluate(df: DataFrame, features: Mapping[str, Any] | FeaturesConf
         tables[name] = spark.read.parquet(f"{run}/report/{name}")
         return tables[name]
 
-    funnel = keep("funnel", prepare.funnel(df, required))
-    preparation, clean = fit_preparation(df, features, split.key_column)
+    # The source, whatever it is, is read once; only the columns needed are kept.
+    source = write_table(df.select(*qs(dict.fromkeys([*ids, *required]))), "input")
+    funnel = keep("funnel", prepare.funnel(source, required))
+    preparation, clean = fit_preparation(source, features, split.key_column)
     raw_table = preparation.train_table(clean, split, params.hash_seed, ids)
     table = raw_table.over(lambda t: write_table(t, "prepared"))
     n_columns = len(table.full_dataset.columns)
@@ -121,10 +123,13 @@ def train_and_evaluate(df: DataFrame, features: Mapping[str, Any] | FeaturesConf
     keep("importance", explain.importance(attribution))
 
     if params.profile:
-        sources = {"input": prepare.profiled_columns(df, required), "prepared": table.full_dataset}
+        sources = {"input": prepare.profiled_columns(source, required),
+                   "prepared": table.full_dataset}
+        counts = {s: profile.value_counts(data).written() for s, data in sources.items()}
 
-        def write_section(source: str, name: str) -> None:
-            keep(f"profile_{source}_{name}", profile.SECTIONS[name](sources[source]))
+        def write_section(source_name: str, name: str) -> None:
+            keep(f"profile_{source_name}_{name}",
+                 profile.section(name, sources[source_name], counts[source_name]))
 
         sections = [(s, n) for s, data in sources.items() for n in profile.section_names(data)]
         with ThreadPoolExecutor(max_workers=parallel_fits) as pool:
