@@ -17,10 +17,12 @@ from foldwise.functions.metrics import all_metrics
 from foldwise.functions.names import q, qs
 from foldwise.operators import (baseline, cv, encode, explain, folds, linear, prepare, profile,
                                 quality)
+from foldwise.operators.mlp import DenseRegressor
 from foldwise.operators.ordering import dense_position
 from foldwise.operators.table import ModelTable, fit_preparation, prepare_training
 from foldwise.plans import bindings as b
 from foldwise.plans import report
+from foldwise.sources.settle import write_table
 from foldwise.sources.tables import read_table
 
 SEED = 42
@@ -476,12 +478,12 @@ def gbt_cv_folds(spark, folder):
     return cv.cross_validate(model_table(spark, folder, b.SEGMENTS), params).fold_results
 
 
-@query
-def gbt_training_curves(spark, folder):
-    params = b.SEGMENTS.params(_trees, seed=SEED, epochs=3,
+def _training_curves(spark, folder, builder, epochs: int) -> DataFrame:
+    """Epoch history of one fit on the whole table, a fifth of it held out."""
+    params = b.SEGMENTS.params(builder, seed=SEED, epochs=epochs,
                                early_stopping=EarlyStopping(0.2, 2))
     table = model_table(spark, folder, b.SEGMENTS)
-    vectors = cv.training_vectors(table, params)
+    vectors = write_table(cv.training_vectors(table, params), "vectors")
     model = cv.fit_model(params, vectors, len(table.features))
     history = spark.createDataFrame(
         [("final", *h) for h in cv.fit_history(model, vectors, params)], cv.HISTORY_SCHEMA)
@@ -490,6 +492,17 @@ def gbt_training_curves(spark, folder):
     return cv.training_curves(history, guesses)
 
 
+@query
+def gbt_training_curves(spark, folder):
+    return _training_curves(spark, folder, _trees, 3)
+
+
+@query
+def network_training_curves(spark, folder):
+    return _training_curves(spark, folder, lambda n: DenseRegressor(
+        hidden=[16], dropout=0.0, batchSize=256), 2)
+
+
 @query
 def shapley_importance(spark, folder):
     params = b.SEGMENTS.params(_trees, seed=SEED, epochs=3)
