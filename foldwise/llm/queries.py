@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldwise.llm import quality, toxicity
+from foldwise.llm import langid, quality, secret_scan, toxicity
 
 
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -19,6 +19,27 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 4 == 2, F.lit(False))
 
 
+def op6_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
+    found = secret_scan.scan(read(spark, folder, "documents"))
+    kinds = F.array(*[F.lit(k) for k in secret_scan.KINDS])
+
+    def listed(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(
+            ":", F.get(kinds, s.kind), s.start, s.end)), ",")
+
+    def number(of) -> Column:
+        return F.size(F.filter("found", of)).cast("long")
+
+    base = F.filter("found", lambda s: s.kind < secret_scan.KINDS.index("live"))
+    return found.select(
+        "doc_id", number(lambda s: s.kind == 0).alias("n_assign"),
+        number(lambda s: s.kind == 1).alias("n_access"),
+        number(lambda s: s.kind == 2).alias("n_hex"),
+        F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("found")).alias("spans"),
+        number(lambda s: s.live).alias("n_live"),
+        number(lambda s: ~s.live).alias("n_copied"))
+
+
 def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents")
     model = toxicity.fit(docs, read(spark, folder, "labels").where(~held_out()))
@@ -28,6 +49,13 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
                          spans.alias("offending_spans"))
 
 
+def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    profiles = langid.fit(docs, ~held_out())
+    told = langid.apply(docs, profiles)
+    return told.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents")
     model = quality.fit(docs, read(spark, folder, "labels"))
