@@ -7,18 +7,29 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldwise.llm import langid, quality, secret_scan, toxicity
+from foldwise.llm import bpe, langid, quality, secret_scan, toxicity
 
 
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def word_vocabulary() -> str:
+    """Where the installed vocabulary package keeps its word-end file."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def held_out(id_col: str = "doc_id") -> Column:
     """Rows of which no label may be learned: checksum of the id modulo four is two."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 4 == 2, F.lit(False))
 
 
+def op4_bpe(spark: SparkSession, folder: str, path: str | None = None) -> DataFrame:
+    return bpe.apply(read(spark, folder, "documents"), path or word_vocabulary(), digest=True)
+
+
 def op6_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     found = secret_scan.scan(read(spark, folder, "documents"))
     kinds = F.array(*[F.lit(k) for k in secret_scan.KINDS])
