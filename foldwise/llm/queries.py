@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldwise.llm import bpe, langid, quality, secret_scan, toxicity
+from foldwise.llm import bpe, langid, quality, secret_scan, topk, toxicity
 
 
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -67,15 +67,35 @@ def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return told.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op9_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.search(read(spark, folder, "embeddings"), F.col("id") % 50 == 0, 5)
+
+
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents")
     model = quality.fit(docs, read(spark, folder, "labels"))
     return quality.apply(docs, model)
 
 
+TOPK = """
+WITH v AS (
+  SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) for x in embedding] AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
+r AS (
+  SELECT query_id, vec_id, score,
+         row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_exact_topk": TOPK}
