@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldwise.llm import bpe, langid, quality, secret_scan, topk, toxicity
+from foldwise.llm import bpe, langid, mixing, quality, secret_scan, topk, toxicity
 
 
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -26,6 +26,10 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 4 == 2, F.lit(False))
 
 
+def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(read(spark, folder, "documents"))
+
+
 def op4_bpe(spark: SparkSession, folder: str, path: str | None = None) -> DataFrame:
     return bpe.apply(read(spark, folder, "documents"), path or word_vocabulary(), digest=True)
 
