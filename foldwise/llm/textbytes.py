@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Bytes of text handled at once; one longer text makes a chunk of its own.
-CHUNK_BYTES = 3 << 20
+CHUNK_BYTES = 1 << 20
 
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
