@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldwise.llm import bpe, langid, mixing, quality, secret_scan, topk, toxicity
+from foldwise.llm import (bpe, jaccard_join, langid, mixing, quality, secret_scan, topk,
+                          toxicity)
 
 
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -34,6 +35,10 @@ def op4_bpe(spark: SparkSession, folder: str, path: str | None = None) -> DataFr
     return bpe.apply(read(spark, folder, "documents"), path or word_vocabulary(), digest=True)
 
 
+def op5_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.link(read(spark, folder, "documents"))
+
+
 def op6_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     found = secret_scan.scan(read(spark, folder, "documents"))
     kinds = F.array(*[F.lit(k) for k in secret_scan.KINDS])
