@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldwise.llm import (bpe, jaccard_join, langid, mixing, quality, secret_scan, topk,
-                          toxicity)
+from foldwise.llm import (bpe, jaccard_join, langid, mixing, quality, secret_scan,
+                          suffix_family, topk, toxicity)
 
 
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -31,6 +31,10 @@ def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(read(spark, folder, "documents"))
 
 
+def op3_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_family.dedup(read(spark, folder, "documents"), digest=True)
+
+
 def op4_bpe(spark: SparkSession, folder: str, path: str | None = None) -> DataFrame:
     return bpe.apply(read(spark, folder, "documents"), path or word_vocabulary(), digest=True)
 
