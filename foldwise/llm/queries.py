@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldwise.llm import (bpe, jaccard_join, langid, mixing, quality, secret_scan,
+from foldwise.llm import (bpe, jaccard_join, langid, lm_scoring, mixing, quality, secret_scan,
                           suffix_family, topk, toxicity)
 
 
@@ -27,6 +27,11 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 4 == 2, F.lit(False))
 
 
+def op1_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    return lm_scoring.apply(docs, lm_scoring.fit(docs))
+
+
 def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(read(spark, folder, "documents"))
 
