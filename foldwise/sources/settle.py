@@ -42,6 +42,36 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Intermediate tables of one job, deleted when the job no longer reads them."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{shared_folder(self.spark)}/foldwise-{name}-{uuid.uuid4().hex}"
+        self.paths.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, keep: tuple[DataFrame, ...] = ()) -> None:
+        """Delete all tables but those that the plans of ``keep`` still read."""
+        read = [f for df in keep for f in df.inputFiles()]
+        left = []
+        for path in self.paths:
+            if any(path.rstrip("/").rsplit("/", 1)[-1] in f for f in read):
+                left.append(path)
+            else:
+                delete_folder(self.spark, path)
+        self.paths = left
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this package wrote, wherever the session's file systems put it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 @dataclass(frozen=True)
 class Settled:
     df: DataFrame
