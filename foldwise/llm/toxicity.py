@@ -23,7 +23,7 @@ from foldwise.llm.textbytes import Chunk, RangeHash, chunks, mix, pick
 
 FEATURE_BITS = 18
 #: Labelled rows the sentence model is fitted on, chosen by a hash of the id.
-SAMPLE_ROWS = 8000
+SAMPLE_ROWS = 5000
 #: Probability from which a text, or a sentence, is called toxic.
 TOXIC_FROM = 0.3
 #: Bytes of a word's beginning that are features of their own.
