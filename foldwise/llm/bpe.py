@@ -298,13 +298,14 @@ def decode(ids: bytes, vocabulary: Vocabulary) -> str:
 
 
 def apply(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
-          digest: bool = False) -> DataFrame:
+          digest: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
     """Encode and decode every text.
 
-    Returns ``id_col, n_tokens long`` and either ``ids array<int>, decoded string`` or, with
-    ``digest``, their SHA-256 in lower-case hexadecimal as ``ids_sha256, decoded_sha256``.
+    Returns ``id_col``, the columns named by ``carry``, ``n_tokens long`` and either
+    ``ids array<int>, decoded string`` or, with ``digest``, their SHA-256 in lower-case
+    hexadecimal as ``ids_sha256, decoded_sha256``.
     """
-    source = pick(docs, id_col, text_col)
+    source = pick(docs, id_col, text_col, *carry)
     shared = docs.sparkSession.sparkContext.broadcast(load(path))  # one vocabulary
 
     def run(batches):
@@ -315,6 +316,7 @@ def apply(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "t
             encoder.learn(texts)
             ids = [encoder.encode(w) for w in texts]
             columns = {id_col: chunk.rows.column(0),
+                       **{c: chunk.rows.column(2 + k) for k, c in enumerate(carry)},
                        "n_tokens": pa.array([len(x) // 4 for x in ids], pa.int64())}
             if digest:
                 columns["ids_sha256"] = pa.array(
@@ -329,6 +331,7 @@ def apply(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "t
                                               pa.string())
             yield pa.RecordBatch.from_pydict(columns)
 
-    kind = source.schema[id_col].dataType.simpleString()
+    kinds = ", ".join(f"`{c}` {source.schema[c].dataType.simpleString()}"
+                      for c in (id_col, *carry))
     rest = "ids_sha256 string, decoded_sha256 string" if digest else "ids array<int>, decoded string"
-    return source.mapInArrow(run, f"`{id_col}` {kind}, n_tokens long, {rest}")
+    return source.mapInArrow(run, f"{kinds}, n_tokens long, {rest}")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foldwise.llm.shared import write_table
+from foldwise.llm.shared import Scratch
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -16,6 +16,8 @@ def components(edges: DataFrame) -> DataFrame:
     number of ids in play at least halves. Every round's tables are written to the shared
     folder, so lineage stays short. An empty edge table gives an empty result.
     """
+    scratch = Scratch(edges.sparkSession)
+    write_table = scratch.write
     live = edges.where("a is not null and b is not null and a <> b").select("a", "b").distinct()
     live = write_table(live, "edges")
     ids = live.select(F.explode(F.array("a", "b")).alias("id")).distinct()
@@ -40,4 +42,5 @@ def components(edges: DataFrame) -> DataFrame:
         three = point.select(F.col("at").alias("component"), F.col("to").alias("root"))
         labels = write_table(labels.join(three, "component", "left").select(
             "id", F.coalesce("root", "component").alias("component")), "labels")
+        scratch.drop((live, labels))
     return labels

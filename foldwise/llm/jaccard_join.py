@@ -25,8 +25,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from foldwise.llm.array_sums import summed
 from foldwise.llm.graph import components
-from foldwise.llm.shared import write_table
+from foldwise.llm.shared import Scratch
 from foldwise.llm.textbytes import Chunk, RangeHash, chunks, mix, pick, sequence_hash
 
 #: Counters of token rarity, and parts in which they are summed.
@@ -69,38 +70,16 @@ def sets(chunk: Chunk, words: int) -> list[np.ndarray]:
 def rarity(source: DataFrame, text_col: str, words: int) -> np.ndarray:
     """Four times the binary logarithm of the shingles that fall on each counter."""
     cells = 1 << CELL_BITS
-    part = cells // CELL_PARTS
 
     def count(batches):
         total = np.zeros(cells, dtype=np.int64)
         for chunk in chunks(batches, text_col):
             grams, _ = shingles(chunk, words)
             total += np.bincount((grams & np.uint64(cells - 1)).astype(np.int64), minlength=cells)
-        for i in range(CELL_PARTS):
-            yield _cells(i, total[i * part:(i + 1) * part])
+        return np.minimum(total, 2**32 - 1)
 
-    def add(batches):
-        total: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for i, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                row = np.frombuffer(blob, "<u4")
-                total[i] = total[i] + row if i in total else row.astype(np.int64)
-        for i, row in total.items():
-            yield _cells(i, row)
-
-    schema = "part int, n binary"
-    rows = (source.select(text_col).mapInArrow(count, schema)
-            .repartition(CELL_PARTS, "part").mapInArrow(add, schema).toArrow().to_pylist())
-    out = np.zeros(cells, dtype=np.int64)
-    for row in rows:
-        out[row["part"] * part:(row["part"] + 1) * part] = np.frombuffer(row["n"], "<u4")
-    return np.floor(4 * np.log2(out + 1)).astype(np.uint8)
-
-
-def _cells(i: int, row: np.ndarray) -> pa.RecordBatch:
-    blob = np.minimum(row, 2**32 - 1).astype("<u4").tobytes()
-    return pa.RecordBatch.from_pydict({"part": pa.array([i], pa.int32()),
-                                       "n": pa.array([blob], pa.binary())})
+    total = summed(source.select(text_col), count, cells, CELL_PARTS, "<u4")
+    return np.floor(4 * np.log2(total + 1)).astype(np.uint8)
 
 
 def prefix(tokens: np.ndarray, rare: np.ndarray, order: int, percent: int) -> np.ndarray:
@@ -137,7 +116,7 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
     Returns ``id_col, n_shingles long, component_id long`` per row; ids must be whole
     numbers. The component is the smallest id within reach, the row's own included.
     """
-    spark = docs.sparkSession
+    spark, scratch = docs.sparkSession, Scratch(docs.sparkSession)
     source = pick(docs, id_col, text_col).select(F.col(id_col).cast("long").alias("id"),
                                                  F.col(text_col).alias("text"))
     rare = spark.sparkContext.broadcast(rarity(source, "text", words))  # one byte a counter
@@ -173,7 +152,7 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
                     "token": pa.array(np.concatenate(parts).view(np.int64)),
                     "copy_of": pa.nulls(len(owner), pa.int64())})
 
-    found = write_table(source.mapInArrow(
+    found = scratch.write(source.mapInArrow(
         tokens, "id long, n long, token long, copy_of long"), "shingle-prefixes")
     nodes = found.where("token is null").select("id", "n", "copy_of")
     copies = nodes.where("copy_of is not null").select(F.col("id").alias("a"),
@@ -186,7 +165,7 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
               .where(F.col("leader.id") < F.col("last"))
               .select("token", "id", "n", F.col("leader.id").alias("leader"),
                       F.col("leader.n").alias("leader_n")))
-    shared = write_table(shared, "shingle-buckets")
+    shared = scratch.write(shared, "shingle-buckets")
 
     # First every text against one other.
     best = (shared.where(F.col("id") != F.col("leader"))
@@ -194,8 +173,9 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
             .groupBy("id", "leader").agg(F.count(F.lit(1)).alias("m"))
             .groupBy("id").agg(F.max_by("leader", F.struct("m", "leader")).alias("b"))
             .select(F.col("id").alias("a"), "b"))
-    links = write_table(copies.union(verified(source, best, rare, words, percent)),
-                        "shingle-links")
+    best = scratch.write(best, "shingle-candidates")
+    links = scratch.write(copies.union(verified(source, best, rare, words, percent)),
+                          "shingle-links")
     told = components(links)
 
     # Then what still lies apart within a bucket.
@@ -209,8 +189,9 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
     apart = (placed.join(other, "token")
              .where((F.col("component") < F.col("theirs")) & close("n", "m", percent))
              .select(F.col("id").alias("a"), "b").distinct())
-    more = verified(source, write_table(apart, "shingle-pairs"), rare, words, percent)
-    told = components(links.union(more))
+    apart = scratch.write(apart, "shingle-pairs")
+    told = components(links.union(verified(source, apart, rare, words, percent)))
+    scratch.drop((nodes, told))
     return nodes.select("id", "n").join(told, "id", "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
         F.coalesce("component", "id").alias("component_id"))
@@ -223,7 +204,6 @@ def close(a: str, b: str, percent: int):
 
 def verified(source: DataFrame, pairs: DataFrame, rare, words: int, percent: int) -> DataFrame:
     """The pairs ``a, b`` that pass every filter and the similarity."""
-    pairs = write_table(pairs.select("a", "b"), "shingle-candidates")
 
     def held(side: str) -> DataFrame:
         wanted = _bits(pairs.select(F.col(side).alias("id")))
@@ -266,3 +246,17 @@ def _bits(ids: DataFrame) -> np.ndarray:
     for row in rows:
         out[row["part"] * 4096:(row["part"] + 1) * 4096] = np.frombuffer(row["bits"], np.uint8)
     return out
+
+
+def survivors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5,
+              percent: int = 80) -> DataFrame:
+    """The given rows without all but the smallest id of each component.
+
+    All columns stay. Of equal rows that repeat an id one stays; null ids all stay.
+    """
+    linked = link(docs, id_col, text_col, words, percent)
+    gone = linked.where(F.col("component_id") < F.col(id_col)).select(id_col).distinct()
+    same = Window.partitionBy(id_col, F.xxhash64(text_col)).orderBy(F.lit(1))
+    named = docs.where(F.col(id_col).isNotNull()).join(gone, id_col, "left_anti")
+    once = named.withColumn("__copy", F.row_number().over(same)).where("__copy = 1")
+    return once.select(*docs.columns).union(docs.where(F.col(id_col).isNull()))

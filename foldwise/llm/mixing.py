@@ -173,3 +173,18 @@ def mix(docs: DataFrame, weights: dict | None = None, id_col: str = "doc_id",
                          F.col("begin") + F.expr("((turn + 1) * total + slots - 1) div slots")))
     return timed.select(F.col("id").alias(id_col), F.col("source").alias(source_col), "place",
                         "block", "slot", "release", "deadline")
+
+
+def arranged(docs: DataFrame, id_col: str = "doc_id", files: int | None = None,
+             **options) -> DataFrame:
+    """The given rows, all columns kept, in mixed order: partition by partition, row by row.
+
+    Written to files, the order of file numbers and of rows within them is the mix. Rows
+    that repeat an id stand together; rows with a null id come first.
+    """
+    places = (mix(docs, id_col=id_col, **options).where(F.col(id_col).isNotNull())
+              .groupBy(id_col).agg(F.min(F.struct("slot", "place")).alias("__at")))
+    placed = docs.join(places, id_col, "left")
+    order = [F.col("__at.slot"), F.col("__at.place"), F.col(id_col)]
+    spread = placed.repartitionByRange(files, *order) if files else placed.repartitionByRange(*order)
+    return spread.sortWithinPartitions(*order).select(*docs.columns)

@@ -145,7 +145,7 @@ def chunks(batches: Iterable[pa.RecordBatch], text: str = "text",
     for batch in batches:
         if not batch.num_rows:
             continue
-        column = batch.column(batch.schema.get_field_index(text))
+        column = batch.column(batch.schema.names.index(text))
         column = column.fill_null("").cast(pa.large_binary())
         offsets = np.frombuffer(column.buffers()[1], dtype=np.int64,
                                 count=len(column) + 1, offset=8 * column.offset)

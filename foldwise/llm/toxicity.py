@@ -189,3 +189,15 @@ def apply(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     kind = source.schema[id_col].dataType.simpleString()
     return source.mapInArrow(run, f"`{id_col}` {kind}, score double, predicted int, offending "
                                   "array<struct<start: bigint, end: bigint, score: double>>")
+
+
+def keep(docs: DataFrame, model: Model, text_col: str = "text",
+         toxic_from: float = TOXIC_FROM) -> DataFrame:
+    """The given rows, all columns kept, without those that score ``toxic_from`` or more."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # 2**18 floats
+
+    def run(batches):
+        for chunk in chunks(batches, text_col):
+            yield chunk.rows.filter(pa.array(score(chunk, shared.value)[0] < toxic_from))
+
+    return docs.mapInArrow(run, docs.schema)
