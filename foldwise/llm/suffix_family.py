@@ -9,10 +9,11 @@ smaller id is removed. Such strings are found without comparing texts pairwise:
    judged alone. Equal pieces within a task are merged first; all but those of the smallest
    id are settled there, so a passage that a third of all texts hold leaves a task once.
 2. Within a part, pieces whose anchor occurs in one text only are set aside. The others come
-   in batches by ascending id. A batch's suffixes are sorted (its suffix array, compared up
-   to ``length`` bytes), scanned for equal neighbours, and merge-scanned against the levels
-   of the family, which hold the suffixes seen before. Its new suffixes become a level, and
-   levels of like size merge, so there are only logarithmically many.
+   in batches by ascending id. A batch's suffixes are sorted (its suffix array; they are
+   ordered by a 64-bit hash of their first ``length`` bytes, so that equal ones meet),
+   scanned for equal neighbours, and merge-scanned against the levels of the family, which
+   hold the suffixes seen before. Its new suffixes become a level, and levels of like size
+   merge, so there are only logarithmically many.
 3. Removed stretches meet the texts, grouped by a hash of the id.
 
 Nulls: a null text counts as empty. Rows with a null id are kept whole and remove nothing.
@@ -31,13 +32,13 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foldwise.llm.textbytes import Chunk, RangeHash, chunks, mix, pick
+from foldwise.llm.textbytes import CHUNK_BYTES, Chunk, RangeHash, chunks, mix, pick
 
 #: Bytes of an anchor.
 GRAM = 10
 #: Bytes of text a task gathers before it sends pieces, bytes of pieces in a part, and bytes
 #: of text in a group of texts. They bound memory, not results.
-FLUSH_BYTES, PART_BYTES, GROUP_BYTES = 32 << 20, 16 << 20, 8 << 20
+FLUSH_BYTES, PART_BYTES, GROUP_BYTES = 6 << 20, 8 << 20, 4 << 20
 #: Suffixes in a batch of the family, as far as ids allow.
 BATCH_SUFFIXES = 1 << 17
 
@@ -107,8 +108,32 @@ def pieces(chunk: Chunk, length: int, gram: int) -> tuple[np.ndarray, ...]:
 def gather(data: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
     """The named stretches of an array, end to end."""
     ends = np.cumsum(size)
-    at = np.arange(int(ends[-1]) if len(ends) else 0)
-    return data[at + np.repeat(begin - (ends - size), size)]
+    at = np.arange(int(ends[-1]) if len(ends) else 0, dtype=np.int32)
+    at += np.repeat((begin - (ends - size)).astype(np.int32), size)
+    return data[at]
+
+
+def piece_hashes(data: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Hash of each stretch, worked through in slices of about one chunk."""
+    out = np.empty(len(begin), dtype=np.uint64)
+    total, a = np.cumsum(size), 0
+    while a < len(begin):
+        b = max(int(np.searchsorted(total, total[a] - size[a] + CHUNK_BYTES)), a + 1)
+        place = np.append(0, np.cumsum(size[a:b]))
+        out[a:b] = RangeHash(gather(data, begin[a:b], size[a:b])).of(place[:-1], place[1:])
+        a = b
+    return out
+
+
+def gram_keys(data: np.ndarray, at: np.ndarray, gram: int) -> np.ndarray:
+    """A 64-bit key of the ``gram`` bytes at each place."""
+    held = np.zeros((len(at), -(-gram // 8) * 8), dtype=np.uint8)
+    held[:, :gram] = np.lib.stride_tricks.sliding_window_view(data, gram)[at]
+    words = held.view("<u8")
+    out = mix(words[:, 0] + np.uint64(gram))
+    for k in range(1, words.shape[1]):
+        out = mix(out ^ mix(words[:, k] + np.uint64(k)))
+    return out
 
 
 def _squeeze(*columns: np.ndarray) -> bytes:
@@ -201,7 +226,7 @@ def cut(batches, length: int, gram: int, parts: int, groups: int) -> Iterator[pa
             meta = _squeeze(ids[some], marks[some], begin[some].astype("<u4"),
                             size[some].astype("<u2"), off[some].astype("<u2"))
             text = gather(data, at[some], size[some].astype(np.int64)).tobytes()
-            rows.append((int(part[some[0]]), meta, zstandard.compress(text, 4)))
+            rows.append((int(part[some[0]]), meta, zstandard.compress(text, 3)))
             if len(rows) >= 64:
                 yield _rows(rows)
                 rows = []
@@ -238,10 +263,7 @@ def judge(table: pa.Table, length: int, gram: int, groups: int) -> pa.Table:
     at = np.append(0, np.cumsum(size))[:-1]
 
     # Pieces whose anchor one text alone has cannot be repeated.
-    anchor = np.lib.stride_tricks.sliding_window_view(data, gram)[at + off]
-    key = RangeHash(np.ascontiguousarray(anchor).reshape(-1))
-    rows = np.arange(len(at)) * gram
-    key = key.of(rows, rows + gram)
+    key = gram_keys(data, at + off, gram)
     order = np.argsort(key, kind="stable")
     start = np.flatnonzero(np.append(True, np.diff(key[order])))
     low = np.minimum.reduceat(ids[order], start)
@@ -252,9 +274,7 @@ def judge(table: pa.Table, length: int, gram: int, groups: int) -> pa.Table:
     spans: list[tuple[np.ndarray, ...]] = []
     if len(own):
         # Equal pieces: the smallest id's stay, all others are covered whole.
-        text = gather(data, at[own], size[own])
-        place = np.append(0, np.cumsum(size[own]))
-        keep = _firsts(RangeHash(text).of(place[:-1], place[1:]), ids[own])
+        keep = _firsts(piece_hashes(data, at[own], size[own]), ids[own])
         done = own[~keep]
         spans.append((ids[done], marks[done], begin[done].astype(np.int64),
                       begin[done] + size[done]))
@@ -271,11 +291,10 @@ def judge(table: pa.Table, length: int, gram: int, groups: int) -> pa.Table:
             some, n = own[a:b], count[a:b]
             piece = np.repeat(np.arange(len(some)), n)
             step = np.arange(len(piece)) - np.repeat(np.cumsum(n) - n, n)
-            # A closing byte keeps zeros at a suffix's end.
-            suffixes = np.ones((len(piece), length + 1), dtype=np.uint8)
-            suffixes[:, :length] = np.lib.stride_tricks.sliding_window_view(data, length)[
-                at[some][piece] + step]
-            hit = family.add(suffixes.view(f"S{length + 1}").reshape(-1), ids[some][piece])
+            text = RangeHash(gather(data, at[some], size[some]))
+            start = (np.cumsum(size[some]) - size[some])[piece] + step
+            suffixes = text.of(start, start + length)
+            hit = family.add(suffixes, ids[some][piece])
             edge = np.flatnonzero(hit & np.append(
                 True, ~hit[:-1] | (piece[1:] != piece[:-1])))
             last = np.flatnonzero(hit & np.append(
@@ -300,7 +319,7 @@ def pack(batches, groups: int) -> Iterator[pa.RecordBatch]:
         for g, own in held.items():
             ids, marks, size = (np.array([o[i] for o in own]) for i in range(3))
             meta = _squeeze(ids.astype("<i8"), marks.astype("<u2"), size.astype("<u4"))
-            blob = zstandard.compress(b"".join(o[3] for o in own), 4)
+            blob = zstandard.compress(b"".join(o[3] for o in own), 3)
             yield pa.RecordBatch.from_pydict({"group": pa.array([g], pa.int64()),
                                               "meta": pa.array([meta], pa.binary()),
                                               "bytes": pa.array([blob], pa.binary())})

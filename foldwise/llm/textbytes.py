@@ -55,7 +55,7 @@ def mix(h: np.ndarray) -> np.ndarray:
 def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the multiplier and of its inverse modulo 2**64."""
     if len(_powers.get("up", ())) < n:
-        size = max(n, CHUNK_BYTES + 1024)
+        size = max(1 << n.bit_length(), CHUNK_BYTES + 1024)
         for name, base in (("up", _MULTIPLIER), ("down", pow(_MULTIPLIER, -1, 1 << 64))):
             row = np.full(size, base, dtype=np.uint64)
             row[0] = 1
