@@ -36,6 +36,8 @@ from foldwise.llm.textbytes import chunks, pick
 REMEMBERED = 250_000
 #: Symbols from which a word gets a tree of its own.
 LONG = 64
+#: Precedes an added token among words; no text holds half a surrogate pair.
+MARK = "\ud800"
 _NONE = np.iinfo(np.int64).max
 
 
@@ -257,7 +259,7 @@ class Encoder:
             return self._cut(text)
         out: list[str] = []
         for k, part in enumerate(self.marks.split(text)):
-            out += ["\0" + part] if k % 2 else self._cut(part)
+            out += [MARK + part] if k % 2 else self._cut(part)
         return out
 
     def _cut(self, text: str) -> list[str]:
@@ -275,9 +277,9 @@ class Encoder:
             self.ids.clear()
             self.shown.clear()
             new = list(set().union(*texts))
-        known = [w for w in new if w[0] != "\0"]
+        known = [w for w in new if w[0] != MARK]
         for w in new:
-            if w[0] == "\0":
+            if w[0] == MARK:
                 i = self.vocabulary.added[w[1:]]
                 self.ids[w], self.shown[w] = np.uint32(i).tobytes(), w[1:]
         names = self.vocabulary.tokens
