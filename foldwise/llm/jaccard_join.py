@@ -8,9 +8,12 @@ Rarity comes from a fixed number of counters filled by the whole corpus.
 
 Groups of copies never become all pairs. Equal sets within a task are linked at once. Then
 every text is verified against one text of its buckets, the one it shares most with; the
-links found give components. Last, all pairs of a bucket that still lie in different
-components are verified. A pair left out is one whose texts are already connected, so the
-components are exact.
+links found give components. Last come the pairs of a bucket that still lie in different
+components. They are held against each other within the task by parity sketches: two
+sketches differ in no more bits than the sets differ in tokens, so pairs whose sketches are
+too far apart are not alike and never leave the task; the others are verified. A pair left
+out is refuted or already connected, so the components are exact. Large buckets are cut
+into blocks, and every two blocks meet in a task of their own.
 
 Nulls: a null text counts as empty; texts without words have an empty set and are linked
 with nothing. A null id has no links and a null component. Rows that repeat an id are one
@@ -34,6 +37,8 @@ from foldwise.llm.textbytes import Chunk, RangeHash, chunks, mix, pick, sequence
 CELL_BITS, CELL_PARTS = 20, 64
 #: Bits of the filter that keeps texts without a candidate from moving; speed only.
 FILTER_BITS = 1 << 25
+#: Bits of the largest parity sketch, and rows of a bucket that one task holds at once.
+SKETCH_BITS, BLOCK_ROWS = 1 << 13, 2048
 #: Sets a task remembers to spot equal ones; beyond it they meet in their buckets.
 SEEN = 200_000
 
@@ -96,6 +101,55 @@ def prefix(tokens: np.ndarray, rare: np.ndarray, order: int, percent: int) -> np
     return tokens[np.argpartition(key, size - 1)[:size]] if size < n else tokens
 
 
+def parity(tokens: np.ndarray) -> bytes:
+    """One bit per cell: whether an odd number of tokens falls on it."""
+    size = min(max(64, 1 << int(len(tokens)).bit_length()), SKETCH_BITS)
+    at = (mix(tokens + np.uint64(3)) & np.uint64(size - 1)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=size) & 1).astype(np.uint8),
+                       bitorder="little").tobytes()
+
+
+def near_pairs(group: np.ndarray, size: np.ndarray, component: np.ndarray, block: np.ndarray,
+               mixed: np.ndarray, sketches: list, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows of one group that their sizes, components and sketches allow.
+
+    Groups are runs of equal numbers. Where ``mixed``, two blocks meet and only rows of
+    different ones are paired.
+    """
+    words = np.array([len(x) // 8 for x in sketches], dtype=np.int64)
+    wide = int(words.max(initial=1))
+    held = np.zeros((len(group), wide), dtype=np.uint64)
+    for i, x in enumerate(sketches):
+        held[i, :words[i]] = np.frombuffer(x, np.uint64)
+    left, right = [], []
+    last = np.searchsorted(group, group, side="right") - 1
+    live, d = np.arange(len(group)), 0
+    while True:
+        d += 1
+        live = live[live + d <= last[live]]
+        if not len(live):
+            break
+        i, j = live, live + d
+        small, large = np.minimum(size[i], size[j]), np.maximum(size[i], size[j])
+        fits = ((component[i] != component[j]) & (100 * small >= percent * large)
+                & (~mixed[i] | (block[i] != block[j])))
+        i, j = i[fits], j[fits]
+        swap = words[i] > words[j]
+        i, j = np.where(swap, j, i), np.where(swap, i, j)
+        for w in np.unique(words[i]).tolist():
+            own = words[i] == w
+            a, b = i[own], j[own]
+            other = held[b, :w].copy()
+            for part in range(1, int(words[b].max()) // w):  # longer sketches fold onto shorter
+                other ^= held[b, part * w:(part + 1) * w]
+            off = np.bitwise_count(held[a, :w] ^ other).sum(axis=1, dtype=np.int64)
+            good = (100 + percent) * off <= (100 - percent) * (size[a] + size[b])
+            left.append(a[good])
+            right.append(b[good])
+    none = np.zeros(0, dtype=np.int64)
+    return np.concatenate([*left, none]), np.concatenate([*right, none])
+
+
 def alike(a: np.ndarray, b: np.ndarray, rare: np.ndarray, percent: int) -> bool:
     """Filters under every order, then the similarity itself."""
     small, large = sorted((len(a), len(b)))
@@ -143,18 +197,20 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
             yield pa.RecordBatch.from_pydict({
                 "id": chunk.rows.column(0), "n": pa.array(sizes),
                 "token": pa.nulls(len(ids), pa.int64()),
-                "copy_of": pa.array(copy_of, pa.int64())})
+                "copy_of": pa.array(copy_of, pa.int64()),
+                "sketch": pa.array([parity(x) for x in each], pa.binary())})
             if parts:
                 owner = np.concatenate(owners)
                 yield pa.RecordBatch.from_pydict({
                     "id": chunk.rows.column(0).take(pa.array(owner)),
                     "n": pa.array(sizes[owner]),
                     "token": pa.array(np.concatenate(parts).view(np.int64)),
-                    "copy_of": pa.nulls(len(owner), pa.int64())})
+                    "copy_of": pa.nulls(len(owner), pa.int64()),
+                    "sketch": pa.nulls(len(owner), pa.binary())})
 
     found = scratch.write(source.mapInArrow(
-        tokens, "id long, n long, token long, copy_of long"), "shingle-prefixes")
-    nodes = found.where("token is null").select("id", "n", "copy_of")
+        tokens, "id long, n long, token long, copy_of long, sketch binary"), "shingle-prefixes")
+    nodes = found.where("token is null").select("id", "n", "copy_of", "sketch")
     copies = nodes.where("copy_of is not null").select(F.col("id").alias("a"),
                                                        F.col("copy_of").alias("b"))
 
@@ -179,16 +235,49 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
     told = components(links)
 
     # Then what still lies apart within a bucket.
-    placed = (shared.select("token", "id", "n").join(told, "id", "left")
-              .withColumn("component", F.coalesce("component", "id"))
+    marks = (nodes.where("copy_of is null and id is not null").select("id", "n", "sketch")
+             .join(told, "id", "left").withColumn("component", F.coalesce("component", "id")))
+    placed = (shared.select("token", "id", "n").join(marks, ["id", "n"])
               .withColumn("low", F.min("component").over(bucket))
               .withColumn("high", F.max("component").over(bucket))
-              .where("low < high").select("token", "id", "n", "component"))
-    other = placed.select("token", F.col("id").alias("b"), F.col("n").alias("m"),
-                          F.col("component").alias("theirs"))
-    apart = (placed.join(other, "token")
-             .where((F.col("component") < F.col("theirs")) & close("n", "m", percent))
-             .select(F.col("id").alias("a"), "b").distinct())
+              .withColumn("held", F.count(F.lit(1)).over(bucket))
+              .where("low < high"))
+    ways = F.ceil(F.col("held") / BLOCK_ROWS)
+    dealt = (placed.withColumn("ways", ways)
+             .withColumn("block", F.pmod(F.xxhash64("id"), F.col("ways")))
+             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("ways") - 1)))
+             .select("token", F.least("block", "other").alias("one"),
+                     F.greatest("block", "other").alias("two"), "block", "id", "n", "component",
+                     "sketch"))
+    key = ["token", "one", "two"]
+
+    def meet(batches):
+        held = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            rows = rows if held is None else pa.concat_tables([held, rows])
+            marks = np.stack([rows[k].to_numpy() for k in key])
+            change = np.append(True, (marks[:, 1:] != marks[:, :-1]).any(axis=0))
+            begin = int(np.flatnonzero(change)[-1])  # the last group may go on
+            held = rows.slice(begin)
+            yield from paired(rows.slice(0, begin), np.cumsum(change)[:begin])
+        if held is not None:
+            yield from paired(held, np.zeros(len(held), dtype=np.int64))
+
+    def paired(rows: pa.Table, group: np.ndarray):
+        if not len(rows):
+            return
+        ids = rows["id"].to_numpy()
+        a, b = near_pairs(group, rows["n"].to_numpy(), rows["component"].to_numpy(),
+                          rows["block"].to_numpy(),
+                          rows["one"].to_numpy() != rows["two"].to_numpy(),
+                          rows["sketch"].to_pylist(), percent)
+        a, b = ids[a], ids[b]
+        yield pa.RecordBatch.from_pydict({"a": pa.array(np.minimum(a, b)),
+                                          "b": pa.array(np.maximum(a, b))})
+
+    apart = dealt.repartition(*key).sortWithinPartitions(*key).mapInArrow(
+        meet, "a long, b long").distinct()
     apart = scratch.write(apart, "shingle-pairs")
     told = components(links.union(verified(source, apart, rare, words, percent)))
     scratch.drop((nodes, told))
@@ -224,9 +313,9 @@ def verified(source: DataFrame, pairs: DataFrame, rare, words: int, percent: int
 
     def check(batches):
         for batch in batches:
-            a, b, one, two = (c.to_pylist() for c in batch.columns)
-            good = [alike(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), rare.value,
-                          percent) for x, y in zip(one, two)]
+            good = [alike(np.frombuffer(x.as_buffer(), np.uint64),
+                          np.frombuffer(y.as_buffer(), np.uint64), rare.value, percent)
+                    for x, y in zip(batch.column(2), batch.column(3))]
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     rows = pairs.join(held("a"), "a").join(held("b"), "b")
