@@ -13,8 +13,8 @@ from pyspark.ml.regression import GBTRegressionModel, LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foldwise.config import FOLD_COLUMN, TARGET_COLUMN, TrainParams
-from foldwise.errors import ConfigError
+from foldwise.config import FOLD_COLUMN, TARGET_COLUMN, Optimizer, TrainParams
+from foldwise.errors import ConfigError, DataError
 from foldwise.functions.metrics import METRICS, huber_sql
 from foldwise.functions.names import q, qs, text_literal
 from foldwise.functions.text import capped
@@ -22,7 +22,7 @@ from foldwise.operators import linear
 from foldwise.operators.baseline import baseline_by_fold, train_means
 from foldwise.operators.folds import fold_sizes, holdout
 from foldwise.operators.table import VECTOR_COLUMN, ModelTable, with_vector
-from foldwise.sources.settle import Settled, write_table
+from foldwise.sources.settle import Settled, in_this_context, write_table
 
 PREDICTION = "prediction"
 VALIDATION_COLUMN = "_validation"
@@ -64,7 +64,11 @@ def build_estimator(params: TrainParams, n_features: int) -> Estimator:
         raise ConfigError("optimizer_builder must return an Optimizer")
     values = {"featuresCol": VECTOR_COLUMN, "labelCol": TARGET_COLUMN,
               "predictionCol": PREDICTION, "maxIter": params.epochs, "seed": params.seed}
-    if estimator.hasParam("optimizer"):
+    if not estimator.hasParam("optimizer") and estimator.hasParam("stepSize"):
+        # Trees have a default of their own; only an optimizer that was asked for changes it.
+        if params.optimizer_builder is not Optimizer:
+            values["stepSize"] = float(optimizer.learning_rate)
+    elif estimator.hasParam("optimizer"):
         values |= {"optimizer": optimizer.name, "stepSize": float(optimizer.learning_rate)}
     if params.early_stopping is not None and estimator.hasParam("validationIndicatorCol"):
         values["validationIndicatorCol"] = VALIDATION_COLUMN
@@ -92,7 +96,14 @@ def _set_loss(estimator: Estimator, loss: str) -> None:
 
 
 def fit_model(params: TrainParams, vectors: DataFrame, n_features: int) -> Model:
-    return build_estimator(params, n_features).fit(vectors)
+    """Fit on ``vectors``; rows held out for early stopping are never fitted on.
+
+    An estimator that cannot watch held-out rows is fitted without them.
+    """
+    estimator = build_estimator(params, n_features)
+    if VALIDATION_COLUMN in vectors.columns and not estimator.hasParam("validationIndicatorCol"):
+        vectors = vectors.where(~F.col(VALIDATION_COLUMN))
+    return estimator.fit(vectors)
 
 
 def fit_final(table: ModelTable, params: TrainParams, vectors: DataFrame | None = None) -> Model:
@@ -177,6 +188,12 @@ RESULT_COLUMNS = ("fold", "train_rows", "evaluation_rows", "train_epochs",
                   *(f"{side}_{m}" for side in SIDES for m in METRICS))
 
 
+def check_folds(folds: int) -> None:
+    """Every fold needs another one to be trained on."""
+    if folds < 2:
+        raise DataError(f"cross-validation needs at least 2 folds, the table has {folds}")
+
+
 def oof_rows(scored: DataFrame, row_id: Sequence[str]) -> DataFrame:
     return scored.select(
         *qs(row_id), q(FOLD_COLUMN).alias("fold_key"), q(TARGET_COLUMN).alias("y_true"),
@@ -195,6 +212,7 @@ def cross_validate_ols(table: ModelTable) -> CrossValidation:
     """
     columns = [*table.features, TARGET_COLUMN]
     sums = linear.fold_sums(table.df, columns)
+    check_folds(sums.df.limit(2).count())
     models = linear.fit_by_fold(table.df, table.features, sums)
     means = train_means(sums.over(lambda t: t.select(
         FOLD_COLUMN, "n", F.col("sums")[len(columns) - 1].alias("y_sum"))))
@@ -269,6 +287,7 @@ def cross_validate(table: ModelTable, params: TrainParams, parallel_fits: int =
     # Written once: k fits of many rounds then read it, and nothing before it.
     vectors = write_table(training_vectors(table, params), "vectors")
     sizes = fold_sizes(vectors)
+    check_folds(sizes.df.limit(2).count())
 
     def run(fold: str) -> tuple:
         train = vectors.where(q(FOLD_COLUMN) != fold)
@@ -286,7 +305,7 @@ def cross_validate(table: ModelTable, params: TrainParams, parallel_fits: int =
 
     folds = (r[0] for r in sizes.df.select(FOLD_COLUMN).orderBy(FOLD_COLUMN).toLocalIterator())
     with ThreadPoolExecutor(max_workers=parallel_fits) as pool:
-        done = list(pool.map(inheritable_thread_target(spark)(run), folds))
+        done = list(pool.map(in_this_context(inheritable_thread_target(spark)(run)), folds))
     schema = ("fold string, train_rows bigint, evaluation_rows bigint, train_epochs int, "
               + ", ".join(f"{side}_{m} double" for side in ("train", "evaluation")
                           for m in METRICS))

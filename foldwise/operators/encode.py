@@ -19,6 +19,9 @@ from foldwise.errors import DataError
 from foldwise.functions.names import q
 from foldwise.sources.settle import Settled, settle
 
+#: Clashing categories an error names; it states how many there are.
+NAMED = 20
+
 
 def indicator_name(feature: str, category: str) -> str:
     return f"{feature}_OHE__{category}"
@@ -192,10 +195,14 @@ def fit_encoder(df: DataFrame, specs: Sequence[FeatureSpec], strict_case: bool =
     distribution = counts.over(lambda t: category_distribution(t, specs))
     summary = {r["feature"]: r for r in encoding_summary(distribution.df).collect()}
     _check_summary(summary, specs)
-    clash = case_collisions(counts.df, strict_case).limit(5).collect()
+    clashes = case_collisions(counts.df, strict_case)
+    clash = clashes.orderBy("feature", "lower_form").limit(NAMED).collect()
     if clash:
-        raise DataError("categories differ by letter case only: " + "; ".join(
-            f"'{r['feature']}': '{r['lower_form']}' in {r['forms']} forms" for r in clash))
+        raise DataError(
+            f"{clashes.count()} categories differ from others in letter case only; "
+            "case_collisions() gives all, the first are: " + "; ".join(
+                f"'{r['lower_form']}' of '{r['feature']}' ({r['forms']} spellings)"
+                for r in clash))
     own: dict[str, list[str]] = {f: [] for f in features}
     # At most max_categories rows per feature, as checked above.
     for r in distribution.df.where(~F.col("is_rare")).select("feature", "category").collect():
@@ -224,5 +231,5 @@ def _check_summary(summary: dict, specs: Sequence[FeatureSpec]) -> None:
             raise DataError(f"the category column '{s.column}' needs at least 2 categories")
         if row["final_categories"] > s.max_categories:
             raise DataError(
-                f"'{s.column}' has {row['final_categories']} categories after folding rare ones, "
+                f"too many categories in '{s.column}': {row['final_categories']} would get a column, "
                 f"the maximum is {s.max_categories}")

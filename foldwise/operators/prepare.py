@@ -39,7 +39,7 @@ def check_column_types(df: DataFrame, config: FeaturesConfig) -> None:
     """Categorical features hold text; the target and numeric features hold numbers."""
     for spec in config.categorical:
         if not isinstance(df.schema[spec.column].dataType, T.StringType):
-            raise DataError(f"all values of the category column '{spec.column}' must be strings")
+            raise DataError(f"'{spec.column}' is declared categorical but does not hold strings")
     numeric = [s.column for s in config.numeric] + [config.target] * (config.target in df.columns)
     for name in numeric:
         if not isinstance(df.schema[name].dataType, (T.NumericType, T.BooleanType)):

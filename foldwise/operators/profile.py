@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from foldwise.functions.names import number, qs, quoted, text_literal
 from foldwise.operators.linear import PARTIAL_SCHEMA, merge_partials
-from foldwise.operators.ordering import exact_quantiles
+from foldwise.operators.ordering import ROWS_PER_RANGE, exact_quantiles
 from foldwise.operators.prepare import missing_by_column
 from foldwise.sources.settle import write_table
 
@@ -163,25 +163,25 @@ def numeric_stats(df: DataFrame) -> DataFrame:
     return stats.withColumn("cv", F.try_divide(F.col("std"), F.col("mean")))
 
 
-def quantiles(df: DataFrame) -> DataFrame:
+def quantiles(df: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """5, 25, 50, 75 and 95 percent quantiles with interquartile range and range."""
     names = numeric_columns(df)
-    at = exact_quantiles(df, names, (0.0, *QUANTILES, 1.0))
+    at = exact_quantiles(df, names, (0.0, *QUANTILES, 1.0), rows_per_range)
     pick = lambda p: F.max(F.when(F.col("prob") == p, F.col("value")))
     return (at.groupBy("column").agg(
         *[pick(p).alias(f"q{round(p * 100):02d}") for p in QUANTILES],
         (pick(0.75) - pick(0.25)).alias("iqr"), (pick(1.0) - pick(0.0)).alias("range")))
 
 
-def shape(df: DataFrame) -> DataFrame:
+def shape(df: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """Skewness and excess kurtosis (population form) and median absolute deviation."""
     names = numeric_columns(df)
     moments = _by_column(df, names, {"skewness": "skewness(value)", "kurtosis": "kurtosis(value)"})
-    medians = {r["column"]: r["value"] for r in exact_quantiles(df, names, [0.5]).collect()}
+    medians = {r["column"]: r["value"] for r in exact_quantiles(df, names, [0.5], rows_per_range).collect()}
     away = df.selectExpr(*[
         f"abs(CAST({quoted(c)} AS DOUBLE) - {number(_or_nan(medians[c]))}) AS {quoted(c)}"
         for c in names])
-    mad = exact_quantiles(away, names, [0.5]).select("column", F.col("value").alias("mad"))
+    mad = exact_quantiles(away, names, [0.5], rows_per_range).select("column", F.col("value").alias("mad"))
     return moments.join(F.broadcast(mad), "column")
 
 

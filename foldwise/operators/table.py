@@ -20,8 +20,8 @@ from foldwise.operators.prepare import (check_column_types, check_columns, check
 
 VECTOR_COLUMN = "_features"
 ROW_ID_COLUMN = "row_id"
-#: Rare categories of one feature that may be listed in an expression.
-MAX_INLINE_CATEGORIES = 1000
+#: Offending categories an error names; it states how many there are.
+NAMED = 20
 
 
 @dataclass(frozen=True)
@@ -98,32 +98,40 @@ class Preparation:
             self._refuse_unknown(df, strange)
 
     def _refuse_unknown(self, df: DataFrame, strict: Sequence[FeatureEncoding]) -> None:
-        found = self.encoder.unknown_categories(df, strict).limit(20).collect()
+        unknown = self.encoder.unknown_categories(df, strict)
+        found = unknown.count()
         if found:
-            listed = sorted((r["feature"], r["category"]) for r in found)
-            raise DataError(f"categories that the fitted table did not have: {listed}")
+            first = unknown.orderBy("feature", "category").limit(NAMED).collect()
+            raise DataError(
+                f"{found} categories that the fitted table did not have; "
+                f"encoder.unknown_categories(df) gives all, the first are: "
+                f"{[(r['feature'], r['category']) for r in first]}")
 
-    def inline_guards(self, df: DataFrame) -> Column | None:
-        """A condition that fails the job at the first bad row, else true.
+    def inline_checked(self, df: DataFrame) -> DataFrame:
+        """``df`` with guards that fail the job at the first bad row.
 
-        It spares the counting pass. None when a feature has too many known rare
-        categories for a list; the table form of the check is needed then.
+        It spares the counting pass. Rare categories are looked up in their table,
+        however many there are.
         """
         check_columns(df, self.config.columns)
         check_column_types(df, self.config)
-        strict = [e for e in self.encoder.encodings if not e.allow_unknown]
-        if any(e.rare_count > MAX_INLINE_CATEGORIES for e in strict):
-            return None
         guard = F.when(F.lit(False), F.lit(True))
         for c in self.config.columns:
             guard = guard.when(is_missing(df, c), F.raise_error(F.lit(
                 f"the feature column '{c}' must not contain empty values")).cast("boolean"))
-        for e in strict:
-            known = [*e.own, *self.encoder.rare_categories(e)]
-            guard = guard.when(~q(e.feature).isin(*known), F.raise_error(F.concat(
+        wide = df
+        for i, e in enumerate(e for e in self.encoder.encodings if not e.allow_unknown):
+            known = e.is_own
+            if e.rare_count:
+                rare = self.encoder.categories.over(lambda t, e=e: t.where(
+                    F.col("is_rare") & (F.col("feature") == e.feature)).select(
+                    F.col("category").alias(f"_rare{i}")))
+                wide = wide.join(rare.joinable, q(e.feature) == F.col(f"_rare{i}"), "left")
+                known = known | F.col(f"_rare{i}").isNotNull()
+            guard = guard.when(~known, F.raise_error(F.concat(
                 F.lit(f"a category that '{e.feature}' did not have when fitted: "),
                 q(e.feature))).cast("boolean"))
-        return guard.otherwise(F.lit(True))
+        return wide.where(guard.otherwise(F.lit(True))).select(*qs(df.columns))
 
     def scoring_table(self, df: DataFrame, keep: Sequence[str] = (), check: bool = True
                       ) -> DataFrame:

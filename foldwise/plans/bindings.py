@@ -82,6 +82,10 @@ SEGMENTS = Task(orders, FeaturesConfig("o_totalprice", (
 BALANCES = Task(orders, FeaturesConfig("o_totalprice", (
     numeric("c_acctbal"), numeric("c_nationkey"))), "o_year", ("o_orderkey",))
 
+#: One number.
+BALANCE = Task(orders, FeaturesConfig("o_totalprice", (numeric("c_acctbal"),)), "o_year",
+               ("o_orderkey",))
+
 #: One state only is frequent enough to keep its column.
 STATUSES = Task(orders, FeaturesConfig("o_totalprice", (
     categorical("o_orderstatus", rare_below_pct=33.5),)), "o_year", ("o_orderkey",))

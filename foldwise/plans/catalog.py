@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -22,8 +23,10 @@ from foldwise.operators.ordering import dense_position
 from foldwise.operators.table import ModelTable, fit_preparation, prepare_training
 from foldwise.plans import bindings as b
 from foldwise.plans import report
-from foldwise.sources.settle import write_table
-from foldwise.sources.tables import read_table
+from foldwise.plans.pipeline import score, train_and_evaluate
+from foldwise.sources import outputs, store
+from foldwise.sources.settle import shared_folder, write_table
+from foldwise.sources.tables import read_csv, read_table
 
 SEED = 42
 Query = Callable[[SparkSession, str], DataFrame]
@@ -337,6 +340,109 @@ def linear_importance(spark, folder):
     return rounded(out.withColumn("rank", rank), importance=3)
 
 
+# ------------------------------------------------------------ whole runs, stored and read back
+
+_runs: dict[tuple[str, str], str] = {}
+
+
+def finished_run(spark: SparkSession, folder: str) -> str:
+    """A stored run over all orders: trained once per session and table folder."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _runs:
+        path = f"{shared_folder(spark)}/foldwise-run-{uuid.uuid4().hex}"
+        task = b.SEGMENTS
+        train_and_evaluate(task.load(spark, folder), task.config,
+                           task.params(seed=SEED, profile=False), path, task.row_id)
+        _runs[key] = path
+    return _runs[key]
+
+
+def _stored_score(spark, folder, check: str) -> DataFrame:
+    path = finished_run(spark, folder)
+    rows = b.SEGMENTS.load(spark, folder).select("o_orderkey", "c_acctbal", "c_mktsegment")
+    out = f"{path}/scored-{check}"
+    outputs.write_scored(score(rows, path, check=check), out, "parquet")
+    return rounded(spark.read.parquet(out), model_prediction=3)
+
+
+@query
+def score_stored(spark, folder):
+    """Train, store, load, score and write; then read what was written."""
+    return _stored_score(spark, folder, "first")
+
+
+@query
+def score_stored_inline(spark, folder):
+    return _stored_score(spark, folder, "inline")
+
+
+@query
+def run_oof(spark, folder):
+    """The out-of-fold file of a run."""
+    run = store.current_run(finished_run(spark, folder))
+    df = read_csv(spark, f"{run}/oof_predictions", {
+        "sample_id": str, "fold_key": str, "y_true": float, "fold_model_y_pred": float})
+    return rounded(df, y_true=2, fold_model_y_pred=3)
+
+
+@query
+def run_fold_measures(spark, folder):
+    results = store.read_report(finished_run(spark, folder), "fold_measures")
+    return rounded(results.drop("train_epochs"), **{
+        f"{side}_{m}": 0 if m == "mse" else 3 for side in ("train", "evaluation", "baseline")
+        for m in ("mse", "rmse", "mae", "huber_loss")})
+
+
+@query
+def run_preprocessing_page(spark, folder):
+    return store.read_report(finished_run(spark, folder), "preprocessing_page")
+
+
+@query
+def run_importance(spark, folder):
+    """Importance of the number among the features, over all rows of the run."""
+    table = store.read_report(finished_run(spark, folder), "importance")
+    return rounded(table.where("feature = 'c_acctbal'"), importance=3)
+
+
+@query
+def holdout_fit(spark, folder):
+    """Least squares with early stopping: fitted on the rows that are not held out."""
+    task = b.BALANCE
+    params = task.params(lambda n: LinearRegression(solver="normal"), seed=SEED,
+                         early_stopping=EarlyStopping(0.2, 2))
+    table = model_table(spark, folder, task)
+    model = cv.fit_model(params, cv.training_vectors(table, params), 1)
+    fitted = [(float(model.intercept), float(model.coefficients[0]))]
+    return rounded(spark.createDataFrame(fitted, "intercept double, slope double"),
+                   intercept=2, slope=4)
+
+
+# ------------------------------------------------------------ the same over many ranges
+
+_FEW_ROWS = 700  # forces many ranges; the default leaves test tables in one
+
+
+@query
+def oof_deviation_ranges(spark, folder):
+    oof = cv.with_deviation(_ols(spark, folder, b.SEGMENTS)[1].oof)
+    placed = dense_position(oof, ["row_id"], "sample_index", oof.count(), within=["fold_key"],
+                            rows_per_range=_FEW_ROWS)
+    return rounded(placed, y_true=2, fold_model_y_pred=3, deviation=3)
+
+
+@query
+def profile_quantiles_ranges(spark, folder):
+    return rounded(profile.quantiles(_lineitem_numbers(spark, folder), _FEW_ROWS), q05=6, q25=6,
+                   q50=6, q75=6, q95=6, iqr=6, range=6)
+
+
+@query
+def profile_shape_ranges(spark, folder):
+    return rounded(profile.shape(_lineitem_numbers(spark, folder), _FEW_ROWS), skewness=6,
+                   kurtosis=6, mad=6)
+
+
 # ------------------------------------------------------------ warnings and report
 
 @query

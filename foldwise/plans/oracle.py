@@ -367,6 +367,35 @@ def oracle_sql() -> dict[str, str]:
     out["scored_input"] = f"""{all_rows}
         SELECT o_orderkey, c_acctbal, c_mktsegment, model_prediction
         FROM orders_all LEFT JOIN scored ON o_orderkey = id"""
+    for check in ("score_stored", "score_stored_inline"):
+        out[check] = f"""{all_rows}
+            SELECT o_orderkey, c_acctbal, c_mktsegment, model_prediction
+            FROM orders_all JOIN scored ON o_orderkey = id"""
+    out["run_oof"] = _with(["fitted"], """
+        SELECT CAST(id AS VARCHAR) AS sample_id, fold AS fold_key, round(y, 2) AS y_true,
+               round(p, 3) AS fold_model_y_pred
+        FROM fitted WHERE fold = model_fold""")
+    out["run_fold_measures"] = out["ols_cv_folds"]
+    out["run_preprocessing_page"] = _with(["orders_all"], f"""
+        SELECT 'preprocessed dataset size' AS key,
+               concat({_comma('count(*)')}, ' rows, ',
+                      4 + count(DISTINCT c_mktsegment), ' columns') AS value FROM orders_all
+        UNION ALL SELECT 'unused dropped columns count', CAST(
+               (SELECT count(*) FROM information_schema.columns
+                WHERE table_name IN ('orders', 'customer')) + 1 - 4 AS VARCHAR)
+        UNION ALL SELECT 'imputation funnel', concat(
+               '100.00% rows remained after the imputation funnel (before: ',
+               {_comma('count(*)')}, ' | after: ', {_comma('count(*)')}, ')') FROM orders_all""")
+    out["run_importance"] = f"""{all_rows}
+        SELECT 'c_acctbal' AS feature,
+               round(avg(abs((SELECT b FROM s) * (x - (SELECT avg(x) FROM folded)))), 3)
+                   AS importance FROM folded"""
+    out["holdout_fit"] = f"""
+        SELECT round(regr_intercept(y, x), 2) AS intercept, round(regr_slope(y, x), 4) AS slope
+        FROM (SELECT o_orderkey, CAST(o_totalprice AS DOUBLE) AS y, CAST(c_acctbal AS DOUBLE) AS x
+              FROM orders JOIN customer ON o_custkey = c_custkey)
+        WHERE {_hash(SEED + 1, 'o_orderkey')} >= {int(0.2 * 2**32)}"""
+    out["oof_deviation_ranges"] = out["oof_deviation"]
     out["linear_attribution"] = _with(["two_fit"], f"""
         , s AS (SELECT id, x, x2 FROM folded ORDER BY md5('{SEED}:' || id), id LIMIT 100),
         w AS (SELECT * FROM two_fit WHERE fold = 'none')
@@ -521,4 +550,6 @@ def oracle_sql() -> dict[str, str]:
         UNION ALL SELECT "column", 'unique' FROM s WHERE d = present AND d > 1
         UNION ALL SELECT "column", 'missing' FROM s WHERE present < n
         UNION ALL SELECT "column", 'zeros' FROM s WHERE z::DOUBLE / n > 0.1""")
+    for name in ("profile_quantiles", "profile_shape"):
+        out[f"{name}_ranges"] = out[name]
     return out

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from foldwise.config import (FOLD_COLUMN, TARGET_COLUMN, FeaturesConfig, TrainParams,
                              parse_features_config, parse_train_params)
-from foldwise.errors import ConfigError
+from foldwise.errors import ConfigError, DataError
 from foldwise.functions.names import q, qs, quoted
 from foldwise.functions.text import duration_text, warning_count_text
 from foldwise.operators import cv, encode, explain, folds, prepare, profile, quality
@@ -25,7 +25,7 @@ from foldwise.operators.linear import LeastSquaresModel, linear_prediction
 from foldwise.operators.table import VECTOR_COLUMN, ModelTable, Preparation, fit_preparation
 from foldwise.plans import report
 from foldwise.sources import outputs, store
-from foldwise.sources.settle import write_table
+from foldwise.sources.settle import delete_folder, in_this_context, scratch_tables, write_table
 
 _GENERATED_ID = "_row_id"
 OOF_TABLE = "oof_predictions"
@@ -44,11 +44,15 @@ class Run:
 
 def train_and_evaluate(df: DataFrame, features: Mapping[str, Any] | FeaturesConfig,
                        params: Mapping[str, Any] | TrainParams, out_path: str,
-                       row_id: Sequence[str] | None = None, parallel_fits: int = 4) -> Run:
+                       row_id: Sequence[str] | None = None, parallel_fits: int = 4,
+                       explained_rows: int = explain.SAMPLE_ROWS) -> Run:
     """Prepare, cross-validate, fit on all rows, explain, profile, report and store.
 
     ``row_id`` names the columns that identify a row. Without it ids are generated
-    and frozen with the prepared table, so they hold for this run only.
+    and frozen with the prepared table, so they hold for this run only. ``explained_rows``
+    rows get an attribution each. The importance of a linear model's features covers all
+    rows, that of any other model the explained ones. Intermediate tables are deleted at
+    the end; a run that fails leaves nothing.
     """
     started = datetime.now()
     features, params = parse_features_config(features), parse_train_params(params)
@@ -57,6 +61,20 @@ def train_and_evaluate(df: DataFrame, features: Mapping[str, Any] | FeaturesConf
     prepare.check_columns(df, [*required, *(row_id or [])])
     prepare.check_not_empty(df)
     run = store.new_run_folder(out_path)
+    try:
+        with scratch_tables(df.sparkSession):
+            return _run(df, features, params, out_path, run, row_id, parallel_fits,
+                        explained_rows, started)
+    except BaseException:
+        delete_folder(df.sparkSession, run)
+        raise
+
+
+def _run(df: DataFrame, features: FeaturesConfig, params: TrainParams, out_path: str, run: str,
+         row_id: Sequence[str] | None, parallel_fits: int, explained_rows: int,
+         started: datetime) -> Run:
+    split = params.fold_split
+    required = prepare.required_columns(features, split.key_column)
     ids = list(row_id) if row_id else [_GENERATED_ID]
     if row_id is None:
         df = df.withColumn(_GENERATED_ID, F.monotonically_increasing_id())
@@ -73,11 +91,13 @@ def train_and_evaluate(df: DataFrame, features: Mapping[str, Any] | FeaturesConf
     # The source, whatever it is, is read once; only the columns needed are kept.
     source = write_table(df.select(*qs(dict.fromkeys([*ids, *required]))), "input")
     funnel = keep("funnel", prepare.funnel(source, required))
+    n_rows = funnel.first()["rows_after"]
+    if not n_rows:
+        raise DataError("no row has a value in every required column")
     preparation, clean = fit_preparation(source, features, split.key_column)
     raw_table = preparation.train_table(clean, split, params.hash_seed, ids)
     table = raw_table.over(lambda t: write_table(t, "prepared"))
     n_columns = len(table.full_dataset.columns)
-    n_rows = funnel.first()["rows_after"]
 
     found = [quality.funnel_warnings(funnel)]
     if preparation.encoder.encodings:
@@ -88,6 +108,7 @@ def train_and_evaluate(df: DataFrame, features: Mapping[str, Any] | FeaturesConf
         found.append(quality.encoding_warnings(summary, features.categorical))
     sizes = keep("fold_sizes", folds.fold_sizes(table.df).df)
     stats = keep("fold_stats", folds.fold_stats(sizes))
+    cv.check_folds(stats.first()["folds"])
     found.append(quality.fold_warnings(stats))
     warnings = keep("warnings", report.warnings_page(quality.warnings_table(*found)))
 
@@ -119,8 +140,12 @@ def train_and_evaluate(df: DataFrame, features: Mapping[str, Any] | FeaturesConf
     keep("final_model", spark.createDataFrame(
         [(cv.epochs_of(model), type(model).__name__, len(table.features))],
         "train_epochs int, model string, features int"))
-    attribution = keep("attribution", attribute(model, table, params.hash_seed, n_rows))
-    keep("importance", explain.importance(attribution))
+    attribution = keep("attribution", attribute(model, table, params.hash_seed, n_rows,
+                                                explained_rows))
+    weights = linear_weights(model)
+    keep("importance", explain.importance(attribution) if weights is None else
+         explain.linear_importance(table.df, table.features, weights, feature_means(table))
+         .orderBy(F.desc("importance"), "feature"))
 
     if params.profile:
         sources = {"input": prepare.profiled_columns(source, required),
@@ -133,7 +158,7 @@ def train_and_evaluate(df: DataFrame, features: Mapping[str, Any] | FeaturesConf
 
         sections = [(s, n) for s, data in sources.items() for n in profile.section_names(data)]
         with ThreadPoolExecutor(max_workers=parallel_fits) as pool:
-            work = inheritable_thread_target(spark)(write_section)
+            work = in_this_context(inheritable_thread_target(spark)(write_section))
             for done in [pool.submit(work, *s) for s in sections]:
                 done.result()
 
@@ -153,17 +178,26 @@ def train_and_evaluate(df: DataFrame, features: Mapping[str, Any] | FeaturesConf
     return Run(run, model, preparation, tables)
 
 
-def attribute(model: Model, table: ModelTable, seed: int, rows: int) -> DataFrame:
-    """``(row id, feature, phi)`` of a sample: exact for linear models, else permutations."""
+def linear_weights(model: Model) -> Sequence[float] | None:
+    """One weight per feature, where the model is a weighted sum."""
     if isinstance(model, LeastSquaresModel):
-        weights = model.weights
-    elif isinstance(model, LinearRegressionModel):
-        weights = model.coefficients.toArray()
-    else:
-        return explain.permutation_shapley(model, table, seed, rows=rows)
-    means = table.df.selectExpr(*[f"avg({quoted(f)})" for f in table.features]).first()
-    sample = explain.sample_rows(table.df, table.row_id, explain.SAMPLE_ROWS, seed, rows)
-    return explain.linear_attribution(sample, table.row_id, table.features, weights, list(means))
+        return model.weights
+    return model.coefficients.toArray() if isinstance(model, LinearRegressionModel) else None
+
+
+def feature_means(table: ModelTable) -> list[float]:
+    return list(table.df.selectExpr(*[f"avg({quoted(f)})" for f in table.features]).first())
+
+
+def attribute(model: Model, table: ModelTable, seed: int, rows: int,
+              size: int = explain.SAMPLE_ROWS) -> DataFrame:
+    """``(row id, feature, phi)`` of ``size`` rows: exact if linear, else permutations."""
+    weights = linear_weights(model)
+    if weights is None:
+        return explain.permutation_shapley(model, table, seed, size=size, rows=rows)
+    sample = explain.sample_rows(table.df, table.row_id, size, seed, rows)
+    return explain.linear_attribution(sample, table.row_id, table.features, weights,
+                                      feature_means(table))
 
 
 def score(df: DataFrame, path: str, output: str = "model_prediction",
@@ -173,18 +207,18 @@ def score(df: DataFrame, path: str, output: str = "model_prediction",
     Missing columns, empty values and, unless allowed, unknown categories are errors.
     ``check="first"`` counts them in a pass of its own and names all of them;
     ``check="inline"`` scores in a single pass, which fails at the first bad row.
-    The target column is not needed.
+    An empty table is an error for both. The target column is not needed.
     """
     if check not in ("first", "inline"):
         raise ConfigError(f"check must be 'first' or 'inline', got {check!r}")
     model, preparation = store.load_fitted(path)
     if output in df.columns:
         raise ConfigError(f"the table already has a column '{output}'")
-    guard = preparation.inline_guards(df) if check == "inline" else None
-    if guard is None:
-        preparation.check_scoring_table(df)
+    if check == "inline":
+        prepare.check_not_empty(df)
+        df = preparation.inline_checked(df)
     else:
-        df = df.where(guard)
+        preparation.check_scoring_table(df)
     features = [f"_x{i}" for i in range(len(preparation.output_columns))]
     wide = df.select(*qs(df.columns), *[
         c.cast("double").alias(n) for c, n in zip(preparation.feature_columns(), features)])

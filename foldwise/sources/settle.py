@@ -8,15 +8,19 @@ outlives a lost executor, and is read back from there.
 
 from __future__ import annotations
 
+import contextvars
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from foldwise.errors import DataError
+
 #: Rows an aggregate may have to be held locally and broadcast.
 LOCAL_ROWS = 50_000
 
@@ -24,19 +28,31 @@ _fallback_dir: str | None = None
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The checkpoint folder of the session; a temporary one only where none is set."""
+    """The checkpoint folder of the session, by call or by setting.
+
+    A temporary one is made only where none is set and driver and tasks are one process.
+    """
     global _fallback_dir
-    configured = (spark.conf.get("spark.checkpoint.dir", None)
-                  or spark.sparkContext.getConf().get("spark.checkpoint.dir"))
+    context = spark.sparkContext
+    configured = (context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+                  or context.getConf().get("spark.checkpoint.dir"))
     if configured:
         return configured.rstrip("/")
+    if context.master.split("[")[0] != "local":
+        raise DataError("set spark.checkpoint.dir to a folder that driver and executors share")
     if _fallback_dir is None:
         _fallback_dir = tempfile.mkdtemp(prefix="foldwise-")
     return _fallback_dir
 
 
 def write_table(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back, cutting lineage."""
+    """Write ``df`` once to the shared folder and read it back, cutting lineage.
+
+    Within :func:`scratch_tables` the table goes when the job ends, else it stays.
+    """
+    scratch = _current.get()
+    if scratch is not None:
+        return scratch.write(df, name)
     path = f"{shared_folder(df.sparkSession)}/foldwise-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -66,6 +82,27 @@ class Scratch:
         self.paths = left
 
 
+_current: contextvars.ContextVar[Scratch | None] = contextvars.ContextVar("scratch", default=None)
+
+
+@contextmanager
+def scratch_tables(spark: SparkSession) -> Iterator[Scratch]:
+    """Delete what is written by :func:`write_table` inside, also when the job fails."""
+    scratch = Scratch(spark)
+    token = _current.set(scratch)
+    try:
+        yield scratch
+    finally:
+        _current.reset(token)
+        scratch.drop()
+
+
+def in_this_context(work: Callable) -> Callable:
+    """``work`` for another thread, writing its tables as the calling thread would."""
+    context = contextvars.copy_context()
+    return lambda *args: context.copy().run(work, *args)
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder that this package wrote, wherever the session's file systems put it."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
