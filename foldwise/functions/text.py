@@ -26,6 +26,7 @@ def short_number(x: Column, places: int = 3) -> Column:
     return F.regexp_replace(fixed, r"(\.\d+?)0+$", "$1")
 
 
+# The texts of the next four functions.
 def mean_std_text(mean: Column, std: Column) -> Column:
     return F.concat(F.lit("mean: "), short_number(mean),
                     F.lit(" (std: "), short_number(std), F.lit(")"))

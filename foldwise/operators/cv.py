@@ -64,6 +64,8 @@ def build_estimator(params: TrainParams, n_features: int) -> Estimator:
         raise ConfigError("optimizer_builder must return an Optimizer")
     values = {"featuresCol": VECTOR_COLUMN, "labelCol": TARGET_COLUMN,
               "predictionCol": PREDICTION, "maxIter": params.epochs, "seed": params.seed}
+    if estimator.hasParam("metric"):
+        values["metric"] = params.metric
     if not estimator.hasParam("optimizer") and estimator.hasParam("stepSize"):
         # Trees have a default of their own; only an optimizer that was asked for changes it.
         if params.optimizer_builder is not Optimizer:

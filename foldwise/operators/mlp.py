@@ -2,14 +2,15 @@
 
 In each epoch every worker runs mini-batch steps over its partitions, starting from
 the same weights, and the results are averaged by row count (parameter averaging).
-With one partition that is ordinary mini-batch training. Only the weights travel
-through the driver; their size depends on the layers, never on the data.
+With one partition that is ordinary mini-batch training. Rows are dealt and ordered by a
+hash before the first epoch, so the order of the table does not matter. Only the weights
+travel through the driver; their size depends on the layers, never on the data.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from functools import partial
 
 import numpy as np
@@ -20,12 +21,14 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import (HasFeaturesCol, HasLabelCol, HasMaxIter, HasPredictionCol,
                                      HasSeed, HasStepSize)
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from foldwise.errors import DataError
 from foldwise.functions.metrics import METRICS
 from foldwise.functions.names import q
+from foldwise.sources.settle import write_table
 
 # Layers and rates of the default network, constants of the step rule.
 DEFAULT_HIDDEN = (512, 1024, 1024)
@@ -149,6 +152,8 @@ class _NetParams(HasFeaturesCol, HasLabelCol, HasPredictionCol, HasMaxIter, HasS
     dropout = Param(Params._dummy(), "dropout", "share of the last hidden layer dropped",
                     TypeConverters.toFloat)
     loss = Param(Params._dummy(), "loss", "mse, rmse, mae or huber_loss", TypeConverters.toString)
+    metric = Param(Params._dummy(), "metric", "a second measure to record, or empty",
+                   TypeConverters.toString)
     optimizer = Param(Params._dummy(), "optimizer", "adam or sgd", TypeConverters.toString)
     batchSize = Param(Params._dummy(), "batchSize", "rows per step", TypeConverters.toInt)
     patience = Param(Params._dummy(), "patience", "epochs without gain before stopping",
@@ -164,14 +169,14 @@ class DenseRegressor(Estimator, _NetParams):
 
     @keyword_only
     def __init__(self, *, hidden=DEFAULT_HIDDEN, dropout=DEFAULT_DROPOUT, batchSize=BATCH_ROWS,
-                 workers=256, maxIter=100, stepSize=0.001, loss="mse", optimizer="adam", seed=0,
-                 patience=10):
+                 workers=256, maxIter=100, stepSize=0.001, loss="mse", metric="",
+                 optimizer="adam", seed=0, patience=10):
         super().__init__()
         self._setDefault(featuresCol="features", labelCol="label", predictionCol="prediction")
         self._set(**{k: list(v) if k == "hidden" else v for k, v in self._input_kwargs.items()})
         for name, value in dict(hidden=list(hidden), dropout=dropout, batchSize=batchSize,
                                 workers=workers, maxIter=maxIter, stepSize=stepSize, loss=loss,
-                                optimizer=optimizer, seed=seed, patience=patience).items():
+                                metric=metric, optimizer=optimizer, seed=seed, patience=patience).items():
             if not self.isSet(name):
                 self._set(**{name: value})
 
@@ -186,10 +191,16 @@ class DenseRegressor(Estimator, _NetParams):
         rows = dataset.select(vector_to_array(q(self.getFeaturesCol())).alias("x"),
                               q(self.getLabelCol()).cast("double").alias("y"),
                               held.alias("held"))
-        train = rows.where(~F.col("held")).select("x", "y").coalesce(self._get("workers"))
-        width = len(train.select("x").first()["x"])
-        sizes = [width, *self._get("hidden"), 1]
-        seed, loss = int(self._get("seed") or 0), self._get("loss")
+        seed, loss, metric = int(self._get("seed") or 0), self._get("loss"), self._get("metric")
+        mixed = F.xxhash64("x", "y", F.lit(seed))
+        spread = min(self._get("workers"), max(1, dataset.rdd.getNumPartitions()))
+        train = write_table(rows.where(~F.col("held")).select("x", "y").repartition(spread, mixed)
+                            .sortWithinPartitions(mixed), "network-rows")
+        head = train.first()
+        if head is None:
+            raise DataError("the network has no row to train on")
+        sizes = [len(head["x"]), *self._get("hidden"), 1]
+        measures = dict.fromkeys(m for m in (loss, metric) if m)
         flat = initial_weights(sizes, seed)
         state, steps, history, best, stale = np.concatenate([flat, flat * 0, flat * 0]), 0, [], \
             np.inf, 0
@@ -207,11 +218,15 @@ class DenseRegressor(Estimator, _NetParams):
             steps = chunks[0]["steps"]
             mean = chunks[0]["loss"] / chunks[0]["rows"]
             history.append((epoch, loss, "train", float(np.sqrt(mean) if loss == "rmse" else mean)))
+            if held_col is None and len(measures) == 1:
+                continue
+            seen = self._model(np.split(state, 3)[0], sizes, []).measured(
+                dataset, held, self.getLabelCol(), measures)
+            history += [(epoch, m, group, v) for group, m, v in seen
+                        if (m, group) != (loss, "train")]
             if held_col is None:
                 continue
-            model = self._model(np.split(state, 3)[0], sizes, [])
-            value = model.evaluate(dataset.where(held), self.getLabelCol(), loss)
-            history.append((epoch, loss, "validation", value))
+            value = next((v for group, m, v in seen if (m, group) == (loss, "validation")), np.inf)
             best, stale = (value, 0) if value < best else (best, stale + 1)
             if stale >= self._get("patience"):
                 break
@@ -228,8 +243,10 @@ class DenseRegressorModel(Model, _NetParams):
         self.flat, self.sizes, self.history = flat, list(sizes), list(history)
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        shared = dataset.sparkSession.sparkContext.broadcast(self.flat)
-        sizes = self.sizes
+        # One broadcast per model, however often it is applied.
+        if getattr(self, "_shared", None) is None:
+            self._shared = dataset.sparkSession.sparkContext.broadcast(self.flat)
+        shared, sizes = self._shared, self.sizes
 
         @F.pandas_udf(T.DoubleType())
         def predict(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -248,6 +265,17 @@ class DenseRegressorModel(Model, _NetParams):
         value = METRICS[measure](q(label), q(self.getPredictionCol()))
         return float(scored.agg(value).first()[0])
 
+    def measured(self, dataset: DataFrame, held: Column, label: str,
+                 measures: Iterable[str]) -> list[tuple[str, str, float]]:
+        """``(group, measure, value)`` of train and held-out rows from one pass."""
+        y, p, names = q(label), q(self.getPredictionCol()), list(measures)
+        rows = self.transform(dataset).groupBy(held.alias("held")).agg(
+            *[METRICS[m](y, p).alias(f"m{i}") for i, m in enumerate(names)]).collect()
+        self._shared.destroy()
+        self._shared = None
+        return [("validation" if r["held"] else "train", m, float(r[f"m{i}"]))
+                for r in rows for i, m in enumerate(names)]
+
     def save(self, path: str) -> None:
         """Weights as rows of a table, the layout as one line of text."""
         spark = SparkSession.active()

@@ -618,6 +618,16 @@ def shapley_importance(spark, folder):
         model, table, seed=SEED, permutations=2))
 
 
+@query
+def shapley_linear(spark, folder):
+    """The general attribution on a least-squares model, where it has a closed form."""
+    table = model_table(spark, folder, b.BALANCES)
+    intercept, weights, _ = linear.fit_all(table.df, table.features)
+    model = linear.LeastSquaresModel(intercept, weights)._set(
+        featuresCol=cv.VECTOR_COLUMN, predictionCol=cv.PREDICTION)
+    return rounded(explain.permutation_shapley(model, table, seed=SEED), phi=2)
+
+
 def queries() -> dict[str, Query]:
     return dict(_REGISTRY)
 

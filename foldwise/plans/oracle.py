@@ -401,6 +401,13 @@ def oracle_sql() -> dict[str, str]:
         w AS (SELECT * FROM two_fit WHERE fold = 'none')
         SELECT id AS row_id, 'c_acctbal' AS feature, round(b1 * (x - mx), 3) AS phi FROM s, w
         UNION ALL SELECT id, 'c_nationkey', round(b2 * (x2 - mz), 3) FROM s, w""")
+    out["shapley_linear"] = _with(["two_fit"], f"""
+        , s AS (SELECT id, x, x2 FROM folded ORDER BY md5('{SEED}:' || id), id LIMIT 100),
+        bg AS (SELECT avg(x) AS mx, avg(x2) AS mz FROM (
+            SELECT x, x2 FROM folded ORDER BY md5('{SEED + 1}:' || id), id LIMIT 100)),
+        w AS (SELECT b1, b2 FROM two_fit WHERE fold = 'none')
+        SELECT id AS row_id, 'c_acctbal' AS feature, round(b1 * (x - mx), 2) AS phi FROM s, w, bg
+        UNION ALL SELECT id, 'c_nationkey', round(b2 * (x2 - mz), 2) FROM s, w, bg""")
     out["linear_importance"] = _with(["two_fit"], """
         , w AS (SELECT * FROM two_fit WHERE fold = 'none'),
         i AS (SELECT 'c_acctbal' AS feature, avg(abs(b1 * (x - mx))) AS importance FROM folded, w

@@ -97,6 +97,7 @@ def fold_table(fold_results: DataFrame, loss: str, metric: str, key_column: str
                ) -> DataFrame:
     """One row per fold, in key order, numbers rounded for display."""
     loss_name, metric_name = DISPLAY_NAMES[loss], DISPLAY_NAMES[metric]
+    # The labels of the table.
     key = "fold id (random split)" if key_column is None else f"fold key ({key_column})"
     sides = {"train": "train set model", "evaluation": "evaluation set model",
              "baseline": "guess evaluation set"}

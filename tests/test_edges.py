@@ -8,7 +8,7 @@ from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import functions as F
 
 from foldwise import DataError, score, train_and_evaluate
-from foldwise.config import FOLD_COLUMN, TARGET_COLUMN, EarlyStopping
+from foldwise.config import FOLD_COLUMN, TARGET_COLUMN, EarlyStopping, Optimizer
 from foldwise.operators import cv
 from foldwise.operators.table import ModelTable
 from foldwise.plans import bindings as b
@@ -108,3 +108,22 @@ def test_inline_check_knows_many_rare_categories(spark, tmp_path):
         score(strange, path)
     with pytest.raises(Exception, match="did not have when fitted"):
         score(strange, path, check="inline").collect()
+
+
+def test_network_records_the_metric_and_ignores_row_order(spark):
+    from foldwise import DenseRegressor
+    run = b.BALANCE.params(lambda n: DenseRegressor(hidden=[8], dropout=0.0), seed=3,
+                           epochs=15, early_stopping=EarlyStopping(0.25, 15), loss="mse", metric="mae",
+                           optimizer_builder=lambda: Optimizer("adam", 0.02))
+    plain = spark.range(600, numPartitions=1).select(
+        F.col("id").alias("row_id"), F.lit("k").alias(FOLD_COLUMN),
+        (F.col("id") / 300 - 1).alias("x"), (F.col("id") / 100).alias(TARGET_COLUMN))
+    table = ModelTable(plain, ("x",), ("row_id",))
+    model = cv.fit_model(run, cv.training_vectors(table, run), 1)
+    kinds = {(m, g) for _, m, g, _ in model.history}
+    assert kinds == {(m, g) for m in ("mse", "mae") for g in ("train", "validation")}
+    last = {(m, g): v for _, m, g, v in model.history}
+    assert last["mae", "validation"] < 0.5
+    empty = cv.training_vectors(table, run).where("false")
+    with pytest.raises(DataError, match="no row to train on"):
+        cv.fit_model(run, empty, 1)
