@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Bytes of text handled at once; one longer text makes a chunk of its own.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -146,7 +146,7 @@ def chunks(batches: Iterable[pa.RecordBatch], text: str = "text",
         if not batch.num_rows:
             continue
         column = batch.column(batch.schema.names.index(text))
-        column = column.fill_null("").cast(pa.large_binary())
+        column = column.cast(pa.large_binary()).fill_null(b"")
         offsets = np.frombuffer(column.buffers()[1], dtype=np.int64,
                                 count=len(column) + 1, offset=8 * column.offset)
         held = column.buffers()[2]
