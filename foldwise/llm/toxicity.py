@@ -18,12 +18,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from foldwise.llm.array_sums import summed
 from foldwise.llm.linear_text import LEAST_ROWS, adam, labelled_sample
 from foldwise.llm.textbytes import Chunk, RangeHash, chunks, mix, pick
 
 FEATURE_BITS = 18
 #: Labelled rows the sentence model is fitted on, chosen by a hash of the id.
-SAMPLE_ROWS = 5000
+SAMPLE_ROWS = 12_000
 #: Probability from which a text, or a sentence, is called toxic.
 TOXIC_FROM = 0.3
 #: Bytes of a word's beginning that are features of their own.
@@ -77,58 +78,82 @@ def bags(chunk: Chunk) -> Bags:
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id",
         text_col: str = "text", sample_rows: int = SAMPLE_ROWS) -> Model:
-    """Train on at most ``sample_rows`` labelled texts."""
-    chosen = labelled_sample(pick(labels, id_col, label), id_col, label, sample_rows)
+    """Train on at most ``sample_rows`` labelled texts.
+
+    A first pass counts in how many texts of either label a feature occurs; only features
+    that tell the labels apart reach the driver, with the number of each text's sentences.
+    """
+    spark, size = docs.sparkSession, 1 << FEATURE_BITS
+    chosen = spark.createDataFrame(
+        labelled_sample(pick(labels, id_col, label), id_col, label, sample_rows).toArrow())
     source = pick(docs, id_col, text_col)
     # At most ``sample_rows`` rows of two numbers.
-    rows = source.where(F.col(id_col).isNotNull()).join(F.broadcast(chosen), id_col)
+    rows = source.where(F.col(id_col).isNotNull()).join(F.broadcast(chosen), id_col).select(
+        id_col, text_col, "__label")
+
+    def count(batches):
+        total = np.zeros(2 * size + 2, dtype=np.int64)
+        for chunk in chunks(batches, text_col):
+            marked = chunk.rows.column(2).to_numpy() == 1
+            found = bags(chunk)
+            once = np.unique(found.text[found.owner] << FEATURE_BITS | found.slots)
+            text, slot = once >> FEATURE_BITS, once & (size - 1)
+            total[:-2] += np.bincount(slot + size * ~marked[text], minlength=2 * size)
+            total[-2:] += marked.sum(), (~marked).sum()
+        return total
+
+    known = screened(summed(rows, count, 2 * size + 2, 16, "<u4"))
+    shared = spark.sparkContext.broadcast(known)  # one byte a feature
 
     def run(batches):
         for chunk in chunks(batches, text_col):
             found = bags(chunk)
-            order = np.argsort(found.owner, kind="stable")
-            owner, slots = found.owner[order], found.slots[order]
-            cuts = np.searchsorted(found.text[owner], np.arange(len(chunk) + 1)) \
-                if len(owner) else np.zeros(len(chunk) + 1, int)
+            use = shared.value[found.slots]
+            order = np.argsort(found.owner[use], kind="stable")
+            owner, slots = found.owner[use][order], found.slots[use][order]
+            bounds = np.arange(len(chunk) + 1)
+            cuts = np.searchsorted(found.text[owner], bounds)
+            first = np.searchsorted(found.text, bounds)  # sentences before each text
             yield pa.RecordBatch.from_pydict({
                 "id": chunk.rows.column(0), "label": chunk.rows.column(2),
+                "sentences": pa.array(np.diff(first), pa.int64()),
                 "slots": pa.array([slots[a:b].tobytes() for a, b in zip(cuts, cuts[1:])],
                                   pa.binary()),
-                "owner": pa.array([(owner[a:b] - (owner[a] if b > a else 0)).astype(np.int32)
-                                   .tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary())})
+                "owner": pa.array([(owner[a:b] - f).astype(np.int32).tobytes()
+                                   for a, b, f in zip(cuts, cuts[1:], first)], pa.binary())})
 
     kind = source.schema[id_col].dataType.simpleString()
-    table = rows.select(id_col, text_col, "__label").mapInArrow(
-        run, f"id {kind}, label int, slots binary, owner binary").toArrow().sort_by("id")
+    table = rows.mapInArrow(
+        run, f"id {kind}, label int, sentences long, slots binary, owner binary").toArrow(
+        ).sort_by("id")
     return fit_bags([np.frombuffer(x, np.int32) for x in table["slots"].to_pylist()],
                     [np.frombuffer(x, np.int32) for x in table["owner"].to_pylist()],
-                    np.array(table["label"].to_pylist(), dtype=np.int64))
+                    np.array(table["sentences"].to_pylist(), dtype=np.int64),
+                    np.array(table["label"].to_pylist(), dtype=np.int64), known)
+
+
+def screened(counts: np.ndarray) -> np.ndarray:
+    """Features whose share of toxic texts differs clearly from their share of clean ones."""
+    toxic, clean = counts[:-2].reshape(2, -1)
+    n_toxic, n_clean = np.maximum(counts[-2:], 1)
+    share = (toxic + clean) / (n_toxic + n_clean)
+    error = np.sqrt(share * (1 - np.minimum(share, 1)) * (1 / n_toxic + 1 / n_clean)) + 1e-9
+    return ((toxic + clean >= LEAST_ROWS)
+            & (np.abs(toxic / n_toxic - clean / n_clean) >= SCREEN * error))
 
 
-def fit_bags(slots: list[np.ndarray], owners: list[np.ndarray], labels: np.ndarray,
-             steps: int = 150, rate: float = 0.1, penalty: float = 2e-5) -> Model:
+def fit_bags(slots: list[np.ndarray], owners: list[np.ndarray], sentences: np.ndarray,
+             labels: np.ndarray, known: np.ndarray, steps: int = 150, rate: float = 0.1,
+             penalty: float = 2e-5) -> Model:
     """Maximise the noisy-or likelihood of the labels, with a small penalty on weights."""
-    size = 1 << FEATURE_BITS
+    size = len(known)
     if len(set(labels.tolist())) < 2:
         return Model(np.zeros(size, np.float32), -60.0)
-    counts = np.array([int(o[-1]) + 1 if len(o) else 0 for o in owners])
-    base = np.append(0, np.cumsum(counts))
+    base = np.append(0, np.cumsum(sentences))
     owner = np.concatenate([o + b for o, b in zip(owners, base)])
-    text = np.repeat(np.arange(len(labels)), counts)
-    slot = np.concatenate(slots)
-    row = np.repeat(np.arange(len(labels)), [len(s) for s in slots])
-    once = np.unique(slot.astype(np.int64) << 32 | row)
-    holders, marked = once >> 32, labels[once & 0xFFFFFFFF] == 1
-    toxic = np.bincount(holders[marked], minlength=size)
-    clean = np.bincount(holders[~marked], minlength=size)
-    n_toxic, n_clean = max((labels == 1).sum(), 1), max((labels != 1).sum(), 1)
-    share = (toxic + clean) / len(labels)
-    error = np.sqrt(share * (1 - share) * (1 / n_toxic + 1 / n_clean)) + 1e-9
-    known = ((toxic + clean >= LEAST_ROWS)
-             & (np.abs(toxic / n_toxic - clean / n_clean) >= SCREEN * error))
-    use = known[slot]
+    text = np.repeat(np.arange(len(labels)), sentences)
     dense, back = np.cumsum(known) - 1, np.flatnonzero(known)
-    slot, owner = dense[slot[use]], owner[use]
+    slot = dense[np.concatenate(slots)]
     y = labels.astype(float)
     start = -4.0
 
