@@ -21,6 +21,8 @@ from foldwise.operators.table import VECTOR_COLUMN, ModelTable
 SAMPLE_ROWS = 100
 _FILTER_FROM_ROWS = 100_000
 _OVERSAMPLE = 20
+#: Rows a task holds before it passes them on.
+_COALITION_ROWS = 4096
 
 
 def sample_rows(df: DataFrame, row_id: Sequence[str], size: int, seed: int,
@@ -73,7 +75,8 @@ def _coalitions(batches: Iterator[pd.DataFrame], background: np.ndarray, permuta
     Every order is used forwards and backwards. ``added`` is the feature switched on
     last, ``next`` the one to come.
     """
-    d = background.shape[1]
+    d, rows = background.shape[1], len(background)
+    parts: list[pd.DataFrame] = []
     for batch in batches:
         for sample, x in zip(batch["sample"], batch["x"]):
             x = np.asarray(x, dtype=np.float64)
@@ -81,17 +84,20 @@ def _coalitions(batches: Iterator[pd.DataFrame], background: np.ndarray, permuta
                 rng = np.random.default_rng([seed, int(sample), p // 2])
                 order = rng.permutation(d)
                 order = order[::-1] if p % 2 else order
-                rows = np.repeat(background[None, :, :], d + 1, axis=0)
-                for step, feature in enumerate(order):
-                    rows[step + 1:, :, feature] = x[feature]
-                marks = np.arange(d + 1)
-                added = np.where(marks > 0, order[np.maximum(marks - 1, 0)], -1)
-                following = np.where(marks < d, order[np.minimum(marks, d - 1)], -1)
-                yield pd.DataFrame({
-                    "sample": np.full((d + 1) * len(background), sample),
-                    "added": np.repeat(added, len(background)),
-                    "next": np.repeat(following, len(background)),
-                    "x": list(rows.reshape(-1, d))})
+                current = background.copy()
+                for step in range(d + 1):
+                    if step:
+                        current[:, order[step - 1]] = x[order[step - 1]]
+                    parts.append(pd.DataFrame({
+                        "sample": np.full(rows, sample),
+                        "added": np.full(rows, order[step - 1] if step else -1),
+                        "next": np.full(rows, order[step] if step < d else -1),
+                        "x": list(current.copy())}))
+                    if len(parts) * rows >= _COALITION_ROWS:
+                        yield pd.concat(parts, ignore_index=True)
+                        parts = []
+    if parts:
+        yield pd.concat(parts, ignore_index=True)
 
 
 def permutation_shapley(model: Model, table: ModelTable, seed: int = 0,
