@@ -26,6 +26,8 @@ from foldwise.sources.settle import LOCAL_ROWS, Settled, settle, write_table
 MAX_SQL_VARIABLES = 12
 #: Moment entries the driver may hold to solve all folds itself.
 _LOCAL_MOMENTS = 4_000_000
+#: Keys whose sums a task holds before it passes them on.
+_KEPT_KEYS = 64
 _MERGE_GROUPS = 256
 _RANK_TOLERANCE = 1e-9
 PARTIAL_SCHEMA = "by string, n bigint, s array<double>, g array<double>"
@@ -76,6 +78,14 @@ def _partial_moments(batches: Iterator[pd.DataFrame], shift: np.ndarray
                      ) -> Iterator[pd.DataFrame]:
     upper = np.triu_indices(len(shift))
     kept: dict[object, list] = {}
+
+    def flush() -> pd.DataFrame:
+        out = pd.DataFrame({
+            "by": list(kept), "n": [v[0] for v in kept.values()],
+            "s": [v[1] for v in kept.values()], "g": [v[2] for v in kept.values()]})
+        kept.clear()
+        return out
+
     for batch in batches:
         keys = batch["by"]
         values = batch.drop(columns="by").to_numpy(np.float64) - shift
@@ -85,17 +95,27 @@ def _partial_moments(batches: Iterator[pd.DataFrame], shift: np.ndarray
             have[0] += len(z)
             have[1] += z.sum(axis=0)
             have[2] += (z.T @ z)[upper]
+            if len(kept) >= _KEPT_KEYS:
+                yield flush()
     if kept:
-        yield pd.DataFrame({
-            "by": list(kept), "n": [v[0] for v in kept.values()],
-            "s": [v[1] for v in kept.values()], "g": [v[2] for v in kept.values()]})
+        yield flush()
 
 
-def _merge_moments(group: pd.DataFrame) -> pd.DataFrame:
-    return pd.DataFrame({
-        "by": [group["by"].iloc[0]], "n": [group["n"].sum()],
-        "s": [np.sum(np.stack(group["s"]), axis=0)],
-        "g": [np.sum(np.stack(group["g"]), axis=0)]})
+def _merge_moments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Add neighbouring rows of equal key; one sum is held at a time."""
+    key, have = None, None
+    for batch in batches:
+        for by, n, s, g in zip(batch["by"], batch["n"], batch["s"], batch["g"]):
+            if have is not None and by != key:
+                yield pd.DataFrame({"by": [key], "n": [have[0]], "s": [have[1]], "g": [have[2]]})
+                have = None
+            if have is None:
+                key, have = by, [0, np.zeros(len(s)), np.zeros(len(g))]
+            have[0] += n
+            have[1] += s
+            have[2] += g
+    if have is not None:
+        yield pd.DataFrame({"by": [key], "n": [have[0]], "s": [have[1]], "g": [have[2]]})
 
 
 def _moments_numpy(df: DataFrame, columns: Sequence[str], shift: Sequence[float], by: str
@@ -109,12 +129,15 @@ def _moments_numpy(df: DataFrame, columns: Sequence[str], shift: Sequence[float]
 def merge_partials(parts: DataFrame) -> DataFrame:
     """Add up partial sums of equal key from many tasks.
 
-    Two steps, so that one group never holds the matrices of every task.
+    Two steps, each adding sorted rows as they come: no task holds more than one sum and a
+    batch, and a key's rows are first added in ``_MERGE_GROUPS`` tasks.
     """
     spread = F.pmod(F.spark_partition_id(), F.lit(_MERGE_GROUPS))
-    return (parts.withColumn("part", spread).groupBy("by", "part")
-            .applyInPandas(_merge_moments, PARTIAL_SCHEMA)
-            .groupBy("by").applyInPandas(_merge_moments, PARTIAL_SCHEMA))
+    for keys in (["by", "part"], ["by"]):
+        parts = (parts.withColumn("part", spread).repartition(*keys)
+                 .sortWithinPartitions("by").select("by", "n", "s", "g")
+                 .mapInPandas(_merge_moments, PARTIAL_SCHEMA))
+    return parts
 
 
 def unpack(n: int, s: Sequence[float], g: Sequence[float]) -> tuple[int, np.ndarray, np.ndarray]:

@@ -100,3 +100,14 @@ def test_constant_feature_gets_no_weight(spark, frame):
     df = spark.createDataFrame(frame.assign(flat=1.0))
     _, weights, _ = linear.fit_all(df, ["x.2", "flat"])
     assert weights[1] == 0 and np.isfinite(weights).all()
+
+
+def test_many_partial_sums_merge(spark):
+    from foldwise.operators.linear import PARTIAL_SCHEMA, merge_partials
+    rows = [("k" if i % 2 else None, 1, [float(i), 1.0], [1.0, float(i), 2.0]) for i in range(2000)]
+    got = {r["by"]: r for r in merge_partials(spark.createDataFrame(rows, PARTIAL_SCHEMA)
+                                              .repartition(40)).collect()}
+    for key, odd in (("k", 1), (None, 0)):
+        total = float(sum(range(odd, 2000, 2)))
+        assert got[key]["n"] == 1000 and list(got[key]["s"]) == [total, 1000.0]
+        assert list(got[key]["g"]) == [1000.0, total, 2000.0]
