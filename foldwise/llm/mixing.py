@@ -32,7 +32,7 @@ from foldwise.llm.textbytes import pick
 #: Rows per block, slots per period, and rows ranked by one task.
 BLOCK_ROWS = 32
 PERIOD = 1000
-RANK_ROWS = 20_000
+RANK_ROWS = 2000
 #: Exponent of the default weights: shares of rows, flattened.
 TEMPER = 0.7
 
