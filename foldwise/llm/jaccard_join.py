@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,6 +40,8 @@ CELL_BITS, CELL_PARTS = 20, 64
 FILTER_BITS = 1 << 25
 #: Bits of the largest parity sketch, and rows of a bucket that one task holds at once.
 SKETCH_BITS, BLOCK_ROWS = 1 << 13, 2048
+#: Pairs verified at once.
+CHECK_ROWS = 128
 #: Sets a task remembers to spot equal ones; beyond it they meet in their buckets.
 SEEN = 200_000
 
@@ -88,7 +91,7 @@ def rarity(source: DataFrame, text_col: str, words: int) -> np.ndarray:
 
 
 def prefix(tokens: np.ndarray, rare: np.ndarray, order: int, percent: int) -> np.ndarray:
-    """The first tokens of a set under an order; two similar sets share one of them."""
+    """The first tokens of a set under an order, in that order; similar sets share one."""
     n = len(tokens)
     size = n + (-percent * n // 100) + 1 if n else 0
     if order == 2:
@@ -98,7 +101,8 @@ def prefix(tokens: np.ndarray, rare: np.ndarray, order: int, percent: int) -> np
         spread = tokens if order == 0 else mix(tokens + np.uint64(order))
         level = level if order == 0 else level >> np.uint64(3)
         key = level << np.uint64(56) | spread >> np.uint64(8)
-    return tokens[np.argpartition(key, size - 1)[:size]] if size < n else tokens
+    some = np.argpartition(key, size - 1)[:size] if size < n else np.arange(n)
+    return tokens[some[np.argsort(key[some])]]
 
 
 def parity(tokens: np.ndarray) -> bytes:
@@ -109,9 +113,17 @@ def parity(tokens: np.ndarray) -> bytes:
                        bitorder="little").tobytes()
 
 
-def near_pairs(group: np.ndarray, size: np.ndarray, component: np.ndarray, block: np.ndarray,
-               mixed: np.ndarray, sketches: list, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of rows of one group that their sizes, components and sketches allow.
+def overlap(a, b, percent: int):
+    """Tokens that sets of these sizes have to share."""
+    return -(-percent * (a + b) // (100 + percent))
+
+
+def near_pairs(group: np.ndarray, size: np.ndarray, place: np.ndarray, component: np.ndarray,
+               block: np.ndarray, mixed: np.ndarray, sketches: list,
+               percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows of one group that sizes, places, components and sketches allow.
+
+    The first token two sets share stands so early in both that enough others can follow.
 
     Groups are runs of equal numbers. Where ``mixed``, two blocks meet and only rows of
     different ones are paired.
@@ -131,7 +143,9 @@ def near_pairs(group: np.ndarray, size: np.ndarray, component: np.ndarray, block
             break
         i, j = live, live + d
         small, large = np.minimum(size[i], size[j]), np.maximum(size[i], size[j])
+        most = np.minimum(size[i] - place[i], size[j] - place[j]) + 1
         fits = ((component[i] != component[j]) & (100 * small >= percent * large)
+                & (most >= overlap(small, large, percent))
                 & (~mixed[i] | (block[i] != block[j])))
         i, j = i[fits], j[fits]
         swap = words[i] > words[j]
@@ -181,7 +195,7 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
             ids = chunk.rows.column(0).to_pylist()
             each = sets(chunk, words)
             copy_of: list[int | None] = [None] * len(ids)
-            parts, owners = [], []
+            parts, owners, places = [], [], []
             for i, (name, own) in enumerate(zip(ids, each)):
                 if name is None or not len(own):
                     continue
@@ -193,10 +207,11 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
                     continue
                 parts.append(prefix(own, rare.value, 0, percent))
                 owners.append(np.full(len(parts[-1]), i))
+                places.append(np.arange(1, len(parts[-1]) + 1))
             sizes = np.array([len(x) for x in each], dtype=np.int64)
             yield pa.RecordBatch.from_pydict({
                 "id": chunk.rows.column(0), "n": pa.array(sizes),
-                "token": pa.nulls(len(ids), pa.int64()),
+                "token": pa.nulls(len(ids), pa.int64()), "place": pa.nulls(len(ids), pa.int64()),
                 "copy_of": pa.array(copy_of, pa.int64()),
                 "sketch": pa.array([parity(x) for x in each], pa.binary())})
             if parts:
@@ -205,21 +220,26 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
                     "id": chunk.rows.column(0).take(pa.array(owner)),
                     "n": pa.array(sizes[owner]),
                     "token": pa.array(np.concatenate(parts).view(np.int64)),
+                    "place": pa.array(np.concatenate(places)),
                     "copy_of": pa.nulls(len(owner), pa.int64()),
                     "sketch": pa.nulls(len(owner), pa.binary())})
 
     found = scratch.write(source.mapInArrow(
-        tokens, "id long, n long, token long, copy_of long, sketch binary"), "shingle-prefixes")
+        tokens, "id long, n long, token long, place long, copy_of long, sketch binary"), "shingle-prefixes")
     nodes = found.where("token is null").select("id", "n", "copy_of", "sketch")
     copies = nodes.where("copy_of is not null").select(F.col("id").alias("a"),
                                                        F.col("copy_of").alias("b"))
 
     bucket = Window.partitionBy("token")
-    shared = (found.where("token is not null").select("token", "id", "n")
+    # A row stays if its token can be the first one shared with the smallest set that its
+    # size allows in the bucket.
+    partner = F.greatest(F.min("n").over(bucket), F.expr(f"({percent} * n + 99) div 100"))
+    need = F.expr(f"({percent} * (n + partner) + {99 + percent}) div {100 + percent}")
+    shared = (found.where("token is not null").select("token", "id", "n", "place")
               .withColumn("leader", F.min(F.struct("id", "n")).over(bucket))
-              .withColumn("last", F.max("id").over(bucket))
-              .where(F.col("leader.id") < F.col("last"))
-              .select("token", "id", "n", F.col("leader.id").alias("leader"),
+              .withColumn("last", F.max("id").over(bucket)).withColumn("partner", partner)
+              .where((F.col("leader.id") < F.col("last")) & (F.col("place") <= F.col("n") - need + 1))
+              .select("token", "id", "n", "place", F.col("leader.id").alias("leader"),
                       F.col("leader.n").alias("leader_n")))
     shared = scratch.write(shared, "shingle-buckets")
 
@@ -235,20 +255,21 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
     told = components(links)
 
     # Then what still lies apart within a bucket.
-    marks = (nodes.where("copy_of is null and id is not null").select("id", "n", "sketch")
-             .join(told, "id", "left").withColumn("component", F.coalesce("component", "id")))
-    placed = (shared.select("token", "id", "n").join(marks, ["id", "n"])
+    placed = (shared.select("token", "id", "n", "place").join(told, "id", "left")
+              .withColumn("component", F.coalesce("component", "id"))
               .withColumn("low", F.min("component").over(bucket))
               .withColumn("high", F.max("component").over(bucket))
               .withColumn("held", F.count(F.lit(1)).over(bucket))
-              .where("low < high"))
+              .where("low < high").drop("low", "high"))
+    marks = nodes.where("copy_of is null and id is not null").select("id", "n", "sketch")
+    placed = placed.join(marks, ["id", "n"])
     ways = F.ceil(F.col("held") / BLOCK_ROWS)
     dealt = (placed.withColumn("ways", ways)
              .withColumn("block", F.pmod(F.xxhash64("id"), F.col("ways")))
              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("ways") - 1)))
              .select("token", F.least("block", "other").alias("one"),
-                     F.greatest("block", "other").alias("two"), "block", "id", "n", "component",
-                     "sketch"))
+                     F.greatest("block", "other").alias("two"), "block", "id", "n", "place",
+                     "component", "sketch"))
     key = ["token", "one", "two"]
 
     def meet(batches):
@@ -268,8 +289,8 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
         if not len(rows):
             return
         ids = rows["id"].to_numpy()
-        a, b = near_pairs(group, rows["n"].to_numpy(), rows["component"].to_numpy(),
-                          rows["block"].to_numpy(),
+        a, b = near_pairs(group, rows["n"].to_numpy(), rows["place"].to_numpy(),
+                          rows["component"].to_numpy(), rows["block"].to_numpy(),
                           rows["one"].to_numpy() != rows["two"].to_numpy(),
                           rows["sketch"].to_pylist(), percent)
         a, b = ids[a], ids[b]
@@ -292,7 +313,10 @@ def close(a: str, b: str, percent: int):
 
 
 def verified(source: DataFrame, pairs: DataFrame, rare, words: int, percent: int) -> DataFrame:
-    """The pairs ``a, b`` that pass every filter and the similarity."""
+    """The pairs ``a, b`` that pass every filter and the similarity.
+
+    Compressed texts travel to the pairs, being smaller than their sets.
+    """
 
     def held(side: str) -> DataFrame:
         wanted = _bits(pairs.select(F.col(side).alias("id")))
@@ -304,22 +328,35 @@ def verified(source: DataFrame, pairs: DataFrame, rare, words: int, percent: int
                 mask = own.value[at >> 3] >> (at & 7).astype(np.uint8) & 1
                 batch = batch.filter(pa.array(mask.astype(bool)))
                 for chunk in chunks([batch]):
+                    raw, pack = chunk.data.tobytes(), zstandard.ZstdCompressor(3).compress
+                    held = [pack(raw[x:y]) for x, y in zip(chunk.starts.tolist(),
+                                                           chunk.ends.tolist())]
                     yield pa.RecordBatch.from_arrays(
-                        [chunk.rows.column(0), pa.array([s.tobytes() for s in sets(chunk, words)],
-                                                        pa.binary())], names=[side, f"set_{side}"])
+                        [chunk.rows.column(0), pa.array(held, pa.binary())],
+                        names=[side, f"text_{side}"])
 
         return source.where("id is not null").withColumn("at", _place("id")).mapInArrow(
-            run, f"{side} long, set_{side} binary")
+            run, f"{side} long, text_{side} binary")
+
+    def opened(blobs: pa.Array) -> list[np.ndarray]:
+        """Shingles of compressed texts, equal ones opened once."""
+        coded = blobs.dictionary_encode()
+        texts = [zstandard.decompress(x) for x in coded.dictionary.to_pylist()]
+        batch = pa.RecordBatch.from_pydict({"text": pa.array(texts, pa.large_binary())})
+        each = [x for chunk in chunks([batch]) for x in sets(chunk, words)]
+        return [each[i] for i in coded.indices.to_pylist()]
 
     def check(batches):
         for batch in batches:
-            good = [alike(np.frombuffer(x.as_buffer(), np.uint64),
-                          np.frombuffer(y.as_buffer(), np.uint64), rare.value, percent)
-                    for x, y in zip(batch.column(2), batch.column(3))]
-            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
-
-    rows = pairs.join(held("a"), "a").join(held("b"), "b")
-    return rows.select("a", "b", "set_a", "set_b").mapInArrow(check, "a long, b long")
+            for at in range(0, batch.num_rows, CHECK_ROWS):
+                some = batch.slice(at, CHECK_ROWS)
+                good = [alike(x, y, rare.value, percent)
+                        for x, y in zip(opened(some.column(2)), opened(some.column(3)))]
+                yield some.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    # Pairs grow with the corpus, so both joins sort and merge at every size.
+    rows = pairs.hint("merge").join(held("a"), "a").hint("merge").join(held("b"), "b")
+    return rows.select("a", "b", "text_a", "text_b").mapInArrow(check, "a long, b long")
 
 
 def _place(name: str):
