@@ -226,7 +226,8 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
 
     found = scratch.write(source.mapInArrow(
         tokens, "id long, n long, token long, place long, copy_of long, sketch binary"), "shingle-prefixes")
-    nodes = found.where("token is null").select("id", "n", "copy_of", "sketch")
+    nodes = scratch.write(found.where("token is null").select("id", "n", "copy_of", "sketch"),
+                          "shingle-sets")
     copies = nodes.where("copy_of is not null").select(F.col("id").alias("a"),
                                                        F.col("copy_of").alias("b"))
 
@@ -242,6 +243,7 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
               .select("token", "id", "n", "place", F.col("leader.id").alias("leader"),
                       F.col("leader.n").alias("leader_n")))
     shared = scratch.write(shared, "shingle-buckets")
+    scratch.drop((nodes, shared))
 
     # First every text against one other.
     best = (shared.where(F.col("id") != F.col("leader"))
@@ -252,6 +254,7 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
     best = scratch.write(best, "shingle-candidates")
     links = scratch.write(copies.union(verified(source, best, rare, words, percent)),
                           "shingle-links")
+    scratch.drop((nodes, shared, links))
     told = components(links)
 
     # Then what still lies apart within a bucket.
