@@ -1,15 +1,20 @@
 """Masked pseudo-likelihood of texts under a bidirectional window network.
 
-Every word is hidden in turn and predicted from the words on both its sides; the sum of
-the log-probabilities scores the text. Words are counted over the whole corpus on a fixed
-number of cells. The most frequent cells are classes of their own, all others share
-classes by a hash of the word's last letters. The network (one table per neighbouring
-place, a hidden layer, a softmax over classes) gives the probability of the class, the
-counts that of the cell within its class.
+Every token is hidden in turn and predicted from the tokens on both its sides; the sum of
+the log-probabilities scores the text. Words (ASCII letters lower-cased) are counted one by
+one over the whole corpus. A word that makes up at least ``SHARE`` of all words, and
+``LEAST`` of them, is a token. Any other word is spelled out, each piece a token of its own:
+four bytes where these reach the same count among spelled-out words, else two, else single
+bytes, all of which are tokens. Pieces that begin a word are apart from pieces that go on, so
+two texts with different words never give the same tokens.
+
+The network (a table of tokens, a matrix per neighbouring place, a hidden layer) predicts
+the token itself, by a softmax over classes and a softmax over the tokens of the class, both
+on the hidden layer. Tokens are sorted by count; the classes of frequent ones are narrow.
 
 Training covers every text once, in rounds of growing size. In a round each task starts
 from the same weights and walks its texts in small steps; the tasks' weights are averaged
-by the words they saw.
+by the tokens they saw.
 
 Nulls: null, empty and blank texts have no word, sum 0 and a null mean; a null id is kept.
 Repeated rows each count and each give a row. An empty corpus leaves the network as it
@@ -26,64 +31,179 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foldwise.llm.array_sums import summed
-from foldwise.llm.textbytes import Chunk, RangeHash, chunks, mix, pick
-
-#: Cells of a shared class, shared classes, classes of one cell, and cells in all.
-CELLS_EACH, SHARED_CLASSES, OWN_CLASSES = 1 << 13, 32, 96
-CELLS, CLASSES = CELLS_EACH * SHARED_CLASSES, SHARED_CLASSES + OWN_CLASSES
-#: Places a word is predicted from, and hidden units.
+from foldwise.llm.shared import Scratch
+from foldwise.llm.textbytes import Chunk, RangeHash, chunks, pick
+
+#: Share and number of words from which on a word, or a piece, is a token.
+SHARE, LEAST = 1e-5, 5
+#: Bytes of the pieces of other words, tried in turn; single bytes always are tokens.
+PIECES = (4, 2, 1)
+#: Classes of tokens.
+CLASSES = 96
+#: Places a token is predicted from, and hidden units.
 PLACES = (-2, -1, 1, 2)
 HIDDEN = 16
 #: Sixteenths of the corpus per training round; every text is in one of them.
 ROUNDS = ((0, 1), (1, 4), (4, 16))
-BATCH, RATE = 2048, 0.007
+#: Tokens of a first and of a late training step.
+BATCHES, RATE = (512, 16384), 0.1
 #: Size of scores up to which their exponentials need no shift.
 SAFE = 60.0
-COUNT_PARTS = 64
-_SHAPES = ((len(PLACES), CLASSES + 1, HIDDEN), (HIDDEN,), (HIDDEN, CLASSES), (CLASSES,))
-_SIZE = sum(int(np.prod(s)) for s in _SHAPES)
 
 
-def cells(chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
-    """Cell of each word and the number of its text."""
-    begin, end, text = chunk.words
-    hashed = RangeHash(chunk.lowered)
-    ending = hashed.of(np.maximum(begin, end - 2), end) % np.uint64(SHARED_CLASSES)
-    within = hashed.of(begin, end) % np.uint64(CELLS_EACH)
-    return (ending * np.uint64(CELLS_EACH) + within).astype(np.int64), text
+@dataclass(frozen=True)
+class Tokens:
+    """Hashes of words and keys of pieces, sorted, with the token of each."""
+
+    words: np.ndarray
+    word_ids: np.ndarray
+    pieces: np.ndarray
+    piece_ids: np.ndarray
+
+    def __len__(self) -> int:
+        return len(self.words) + len(self.pieces)
+
+
+def find(table: np.ndarray, ids: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Id of each wanted value, -1 where the sorted table does not hold it."""
+    if not len(table):
+        return np.full(len(wanted), -1, dtype=np.int32)
+    at = np.minimum(np.searchsorted(table, wanted), len(table) - 1)
+    return np.where(table[at] == wanted, ids[at], np.int32(-1))
+
+
+def cut(begin: np.ndarray, end: np.ndarray, size: np.ndarray
+        ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Cut ranges into pieces of at most ``size`` bytes: begin, end, range, number in it."""
+    n = -(-(end - begin) // size)
+    of = np.repeat(np.arange(len(n)), n)
+    k = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+    low = begin[of] + k * size[of]
+    return low, np.minimum(low + size[of], end[of]), of, k
+
+
+def keys(data: np.ndarray, begin: np.ndarray, end: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Number of each piece of up to four bytes: bytes, length, whether it begins a word."""
+    out = (end - begin) * 2 + first
+    for k in range(PIECES[0]):
+        at = np.minimum(begin + k, max(len(data) - 1, 0))
+        out = out << 8 | np.where(begin + k < end, data[at], 0)
+    return out
 
 
-@dataclass(frozen=True)
-class Words:
-    """Class of each cell and log-probability of each cell within its class."""
+def tokens(chunk: Chunk, known: Tokens) -> tuple[np.ndarray, np.ndarray]:
+    """Token numbers in order and the number of the text of each."""
+    begin, end, text = chunk.words
+    ids = find(known.words, known.word_ids, RangeHash(chunk.lowered).of(begin, end))
+    first = np.ones(len(ids), dtype=np.int64)
+    for size in PIECES:
+        whole = ids >= 0
+        if whole.all():
+            break
+        begin, end, of, k = cut(begin, end, np.where(whole, np.maximum(end - begin, 1), size))
+        first, text, ids = first[of] * (k == 0), text[of], ids[of]
+        new = np.flatnonzero(ids < 0)
+        ids[new] = find(known.pieces, known.piece_ids,
+                        keys(chunk.lowered, begin[new], end[new], first[new]))
+    return ids, text
+
+
+def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``word binary, n long``: how often each word of the corpus occurs."""
 
-    class_of: np.ndarray
-    log_share: np.ndarray
+    def run(batches):
+        for chunk in chunks(batches, text_col):
+            begin, end, _ = chunk.words
+            _, at, n = np.unique(RangeHash(chunk.lowered).of(begin, end), return_index=True,
+                                 return_counts=True)
+            raw = chunk.lowered.tobytes()
+            held = [raw[b:e] for b, e in zip(begin[at].tolist(), end[at].tolist())]
+            yield pa.RecordBatch.from_pydict({"word": pa.array(held, pa.binary()),
+                                              "n": pa.array(n, pa.int64())})
 
+    return (pick(docs, text_col).mapInArrow(run, "word binary, n long")
+            .groupBy("word").agg(F.sum("n").alias("n")))
 
-def words_from(counts: np.ndarray) -> Words:
-    own = np.argsort(-counts, kind="stable")[:OWN_CLASSES]
-    class_of = np.arange(CELLS) // CELLS_EACH + OWN_CLASSES
-    class_of[own] = np.arange(OWN_CLASSES)
-    smooth = counts + 0.5
-    totals = np.bincount(class_of, weights=smooth, minlength=CLASSES)
-    return Words(class_of.astype(np.int16), np.log(smooth / totals[class_of]).astype(np.float32))
 
+def piece_counts(words: DataFrame) -> DataFrame:
+    """``piece long, n long``: pieces of four and of two bytes in the given counted words."""
 
-def start(seed: int = 7) -> np.ndarray:
+    def run(batches):
+        for chunk in chunks(batches, "word"):
+            n = chunk.rows.column(1).to_numpy()
+            for size in PIECES[:-1]:
+                low, high, of, k = cut(chunk.starts, chunk.ends, np.full(len(n), size))
+                key, back = np.unique(keys(chunk.data, low, high, (k == 0).astype(np.int64)),
+                                      return_inverse=True)
+                held = np.bincount(back, weights=n[of], minlength=len(key)).astype(np.int64)
+                yield pa.RecordBatch.from_pydict({"piece": pa.array(key), "n": pa.array(held)})
+
+    return words.mapInArrow(run, "piece long, n long").groupBy("piece").agg(F.sum("n").alias("n"))
+
+
+def vocabulary(docs: DataFrame, text_col: str = "text") -> Tokens:
+    """Tokens of a corpus, numbered from the most frequent on.
+
+    At most ``1 / SHARE`` words and some more pieces reach the driver.
+    """
+    scratch = Scratch(docs.sparkSession)
+    words = scratch.write(word_counts(docs, text_col), "lm-words")
+    total = words.agg(F.sum("n")).first()[0] or 0
+    least = max(LEAST, SHARE * total)
+    own = words.where(F.col("n") >= least).toArrow().to_pydict()
+    parts = (piece_counts(words.where(F.col("n") < least)).where(F.col("n") >= least)
+             .toArrow().to_pydict())
+    scratch.drop()
+    held = np.frombuffer(b"".join(own["word"]), dtype=np.uint8)
+    ends = np.cumsum([len(w) for w in own["word"]], dtype=np.int64)
+    starts = np.append(0, ends)[:-1].astype(np.int64)
+    hashed = RangeHash(held).of(starts, ends)
+    byte = np.arange(256, dtype=np.uint8)
+    single = np.concatenate([keys(byte, np.arange(256), np.arange(1, 257), np.full(256, f))
+                             for f in (0, 1)])
+    many = dict.fromkeys(single.tolist(), 0) | dict(zip(parts["piece"], parts["n"]))
+    pieces = np.array(list(many), dtype=np.int64)
+    count = np.array(own["n"] + list(many.values()), dtype=np.int64)
+    tie = np.concatenate([hashed, pieces.astype(np.uint64)])
+    rank = np.empty(len(count), dtype=np.int32)
+    rank[np.lexsort((tie, -count))] = np.arange(len(count), dtype=np.int32)
+    by_word, by_piece = np.argsort(hashed), np.argsort(pieces)
+    return Tokens(hashed[by_word], rank[:len(hashed)][by_word], pieces[by_piece],
+                  rank[len(hashed):][by_piece])
+
+
+def classes_of(size: int) -> np.ndarray:
+    """Where each class begins among the tokens, and their number: widths grow as ranks do."""
+    steps = np.arange(CLASSES + 1, dtype=float) / CLASSES
+    return np.maximum(np.floor(size * steps ** 2).astype(np.int64), np.arange(CLASSES + 1))
+
+
+#: A class for each token.
+ONE_EACH = np.arange(CLASSES + 1)
+
+
+def shapes(cuts: np.ndarray) -> tuple[tuple[int, ...], ...]:
+    return ((int(cuts[-1]) + 1, HIDDEN), (len(PLACES), HIDDEN, HIDDEN), (HIDDEN,),
+            (HIDDEN, CLASSES), (CLASSES,), (int(cuts[-1]), HIDDEN), (int(cuts[-1]),))
+
+
+def start(cuts: np.ndarray = ONE_EACH, seed: int = 7) -> np.ndarray:
     rng = np.random.default_rng(seed)
-    return np.concatenate([rng.normal(0, 0.1, int(np.prod(s))) if len(s) > 1
-                           else np.zeros(s[0]) for s in _SHAPES]).astype(np.float32)
+    return np.concatenate([rng.normal(0, 0.25, int(np.prod(s))) if len(s) > 1
+                           else np.zeros(s[0]) for s in shapes(cuts)]).astype(np.float32)
 
 
-def layers(flat: np.ndarray) -> list[np.ndarray]:
-    cuts = np.cumsum([int(np.prod(s)) for s in _SHAPES])[:-1]
-    return [p.reshape(s) for p, s in zip(np.split(flat, cuts), _SHAPES)]
+def layers(flat: np.ndarray, cuts: np.ndarray = ONE_EACH) -> list[np.ndarray]:
+    """Views of the weights, the beginnings of the classes, and a table for each place."""
+    sizes = shapes(cuts)
+    ends = np.cumsum([int(np.prod(s)) for s in sizes])[:-1]
+    parts = [p.reshape(s) for p, s in zip(np.split(flat, ends), sizes)]
+    return [*parts, cuts, np.matmul(parts[0], parts[1])]
 
 
-def neighbours(classes: np.ndarray, text: np.ndarray) -> np.ndarray:
-    """Classes at every place around each word; ``CLASSES`` beyond the text."""
-    out = np.full((len(classes), len(PLACES)), CLASSES, dtype=np.int16)
+def neighbours(classes: np.ndarray, text: np.ndarray, beyond: int = CLASSES) -> np.ndarray:
+    """Tokens at every place around each token; ``beyond`` outside the text."""
+    out = np.full((len(classes), len(PLACES)), beyond, dtype=np.int32)
     for k, d in enumerate(PLACES):
         a, b = (slice(-d, None), slice(None, d)) if d < 0 else (slice(None, -d), slice(d, None))
         same = text[a] == text[b]
@@ -92,75 +212,120 @@ def neighbours(classes: np.ndarray, text: np.ndarray) -> np.ndarray:
 
 
 def _hidden(net: list[np.ndarray], around: np.ndarray) -> np.ndarray:
-    tables, bias, _, _ = net
+    tables, bias = net[8], net[2]
     held = tables[0][around[:, 0]] + bias
     for k in range(1, len(PLACES)):
         held += tables[k][around[:, k]]
     return np.tanh(held, out=held)
 
 
-def _scores(net: list[np.ndarray], h: np.ndarray) -> np.ndarray:
-    """Class scores, shifted only if their exponentials might overflow."""
-    z = h @ net[2]
-    z += net[3]
-    if np.abs(net[2]).sum(axis=0).max() + np.abs(net[3]).max() > SAFE:  # hidden units reach 1
+def _powers(h: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    """Scores of classes or of tokens, shifted only if their exponentials might overflow."""
+    z = h @ weights
+    z += bias
+    if np.abs(weights).sum(axis=0).max() + np.abs(bias).max() > SAFE:  # hidden units reach 1
         z -= z.max(axis=1)[:, None]
     return z
 
 
+def _sums(z: np.ndarray) -> np.ndarray:
+    """Sum of each row; a product is faster than a reduction."""
+    return z @ np.ones(z.shape[1], dtype=z.dtype)
+
+
+def _by_class(net: list[np.ndarray], wanted: np.ndarray):
+    """Class of each token, and the rows of each class with several tokens."""
+    cuts = net[7]
+    of = np.searchsorted(cuts, wanted, side="right") - 1
+    order = np.argsort(of.astype(np.int16), kind="stable")
+    ends = np.cumsum(np.bincount(of, minlength=CLASSES))
+    some = [(c, order[a:b]) for c, (a, b) in enumerate(zip([0, *ends[:-1].tolist()], ends.tolist()))
+            if a < b and cuts[c + 1] - cuts[c] > 1]
+    return of, some
+
+
 def log_likelihood(net: list[np.ndarray], around: np.ndarray, classes: np.ndarray) -> np.ndarray:
-    """Log-probability of each word's class given its neighbours."""
+    """Log-probability of each token given its neighbours."""
     out = np.empty(len(classes), dtype=np.float32)
-    ones = np.ones(CLASSES, dtype=np.float32)
-    for a in range(0, len(classes), BATCH):
-        z = _scores(net, _hidden(net, around[a:a + BATCH]))
-        mine = z[np.arange(len(z)), classes[a:a + BATCH]]
-        out[a:a + BATCH] = mine - np.log(np.exp(z, out=z) @ ones)
+    of, some = _by_class(net, classes)
+    h = _hidden(net, around)
+    for a in range(0, len(classes), 2048):
+        z = _powers(h[a:a + 2048], net[3], net[4])
+        mine = z[np.arange(len(z)), of[a:a + 2048]]
+        out[a:a + 2048] = mine - np.log(_sums(np.exp(z, out=z)))
+    for c, rows in some:
+        low, high = int(net[7][c]), int(net[7][c + 1])
+        z = _powers(h[rows], net[5][low:high].T, net[6][low:high])
+        mine = z[np.arange(len(z)), classes[rows] - low]
+        out[rows] += mine - np.log(_sums(np.exp(z, out=z)))
     return out
 
 
+def _errors(z: np.ndarray, right: np.ndarray, n: int) -> np.ndarray:
+    """Gradient by the scores: probabilities less one at the right place, over ``n``."""
+    np.exp(z, out=z)
+    z *= (1 / (n * _sums(z)))[:, None]
+    z[np.arange(len(z)), right] -= z.dtype.type(1 / n)
+    return z
+
+
 def gradient(net: list[np.ndarray], around: np.ndarray, classes: np.ndarray) -> np.ndarray:
     """Mean gradient of the negative log-probability, laid out like the weights."""
+    n = len(classes)
+    of, some = _by_class(net, classes)
     h = _hidden(net, around)
-    z = _scores(net, h)
-    np.exp(z, out=z)
-    z *= (1 / (len(z) * (z @ np.ones(CLASSES, dtype=np.float32))))[:, None]
-    z[np.arange(len(z)), classes] -= np.float32(1 / len(z))
-    back = (z @ net[2].T) * (1 - h * h)
-    tables = np.empty(_SHAPES[0], dtype=np.float32)
+    z = _errors(_powers(h, net[3], net[4]), of, n)
+    back = z @ net[3].T
+    members, member_bias = np.zeros_like(net[5]), np.zeros_like(net[6])
+    for c, rows in some:
+        low, high = int(net[7][c]), int(net[7][c + 1])
+        mine = h[rows]
+        y = _errors(_powers(mine, net[5][low:high].T, net[6][low:high]), classes[rows] - low, n)
+        back[rows] += y @ net[5][low:high]
+        members[low:high] = y.T @ mine
+        member_bias[low:high] = y.sum(axis=0)
+    back *= 1 - h * h
+    table, places = np.zeros_like(net[0]), np.empty_like(net[1])
     for k in range(len(PLACES)):
+        used = np.zeros(len(table), dtype=bool)
+        used[around[:, k]] = True
+        held = np.flatnonzero(used)
+        at = (np.cumsum(used) - 1)[around[:, k]]
+        by_token = np.empty((len(held), HIDDEN), dtype=back.dtype)
         for j in range(HIDDEN):
-            tables[k, :, j] = np.bincount(around[:, k], weights=back[:, j],
-                                          minlength=CLASSES + 1)
-    return np.concatenate([tables.ravel(), back.sum(axis=0), (h.T @ z).ravel(), z.sum(axis=0)])
+            by_token[:, j] = np.bincount(at, weights=back[:, j], minlength=len(held))
+        table[held] += by_token @ net[1][k].T
+        places[k] = net[0][held].T @ by_token
+    return np.concatenate([table.ravel(), places.ravel(), back.sum(axis=0), (h.T @ z).ravel(),
+                           z.sum(axis=0), members.ravel(), member_bias])
 
 
 class Trainer:
-    """Adam steps from given weights."""
-
-    def __init__(self, flat: np.ndarray):
-        self.flat, self.seen = flat.copy(), 0
-        self.m, self.v, self.t = np.zeros_like(flat), np.zeros_like(flat), 0
-        self.rng = np.random.default_rng(1)
-
-    def learn(self, classes: np.ndarray, text: np.ndarray) -> None:
-        around = neighbours(classes, text)
-        order = self.rng.permutation(len(classes))
-        for a in range(0, len(order), BATCH):
-            some = order[a:a + BATCH]
-            g = gradient(layers(self.flat), around[some], classes[some])
-            self.t += 1
-            self.m += 0.1 * (g - self.m)
-            self.v += 0.01 * (g * g - self.v)
-            rate = RATE * min(1.0, len(some) / BATCH)
-            self.flat -= rate * (self.m / (1 - 0.9 ** self.t)) / (
-                np.sqrt(self.v / (1 - 0.99 ** self.t)) + 1e-8)
-        self.seen += len(classes)
+    """Adagrad steps from given weights and sums of squares; steps grow from small ones."""
+
+    def __init__(self, flat: np.ndarray, squares: np.ndarray, cuts: np.ndarray, seen: int = 0):
+        self.flat, self.squares, self.cuts = flat.copy(), squares.copy(), cuts
+        self.before, self.seen = seen, 0
+
+    def learn(self, found: np.ndarray, text: np.ndarray) -> None:
+        around = neighbours(found, text, int(self.cuts[-1]))
+        a = 0
+        while a < len(found):
+            size = min(BATCHES[1], BATCHES[0] + (self.before + self.seen) // 4)
+            some = slice(a, a + size)
+            g = gradient(layers(self.flat, self.cuts), around[some], found[some])
+            self.squares += g * g
+            g *= np.float32(RATE)
+            g /= np.sqrt(self.squares) + np.float32(1e-8)
+            self.flat -= g
+            self.seen += len(found[some])
+            a += size
 
 
 @dataclass(frozen=True)
 class Model:
-    words: Words
+    tokens: Tokens
+    cuts: np.ndarray
     weights: np.ndarray
 
 
@@ -168,42 +333,43 @@ def fit(docs: DataFrame, text_col: str = "text") -> Model:
     """Count all words, then train on every text once."""
     source = pick(docs, text_col)
     context = docs.sparkSession.sparkContext
-
-    def count(batches):
-        total = np.zeros(CELLS, dtype=np.int64)
-        for chunk in chunks(batches, text_col):
-            total += np.bincount(cells(chunk)[0], minlength=CELLS)
-        return total
-
-    words = words_from(summed(source, count, CELLS, COUNT_PARTS, "<u4"))
-    known = context.broadcast(words)  # CELLS numbers
-    flat = start()
+    found = vocabulary(source, text_col)
+    cuts = classes_of(len(found))
+    known = context.broadcast((found, cuts))
+    flat, seen = start(cuts), 0
+    size = len(flat)
+    squares = np.zeros_like(flat)
     share = F.pmod(F.xxhash64(text_col), F.lit(16))
     for low, high in ROUNDS:
-        begin = context.broadcast(flat)  # the weights
+        begin = context.broadcast((flat, squares, seen))
 
         def train(batches, begin=begin):
-            trainer = Trainer(begin.value)
+            held, ends = known.value
+            trainer = Trainer(*begin.value[:2], ends, begin.value[2])
             for chunk in chunks(batches, text_col):
-                found, text = cells(chunk)
-                if len(found):
-                    trainer.learn(known.value.class_of[found], text)
-            return np.append(trainer.flat * float(trainer.seen), float(trainer.seen))
-
-        total = summed(source.where((share >= low) & (share < high)), train, _SIZE + 1, 8, "<f8")
-        if total[-1] > 0:
-            flat = (total[:-1] / total[-1]).astype(np.float32)
-    return Model(words, flat)
+                ids, text = tokens(chunk, held)
+                if len(ids):
+                    trainer.learn(ids, text)
+            n = trainer.seen
+            if not n:
+                return np.zeros(2 * size + 2, dtype=np.float32)
+            return np.concatenate([trainer.flat * n, trainer.squares * n, [n, 1]]).astype("<f4")
+
+        total = summed(source.where((share >= low) & (share < high)), train, 2 * size + 2, 16,
+                       "<f4")
+        if total[-2] > 0:
+            flat, squares = np.split((total[:-2] / total[-2]).astype(np.float32), 2)
+            seen += int(total[-2] / total[-1])
+    return Model(found, cuts, flat)
 
 
 def score(chunk: Chunk, model: Model) -> tuple[np.ndarray, np.ndarray]:
     """Words and summed log-probability of each text."""
-    found, text = cells(chunk)
-    classes = model.words.class_of[found]
-    each = model.words.log_share[found].astype(float)
-    if len(found):
-        each += log_likelihood(layers(model.weights), neighbours(classes, text), classes)
-    return chunk.per_text(text).astype(np.int64), chunk.per_text(text, each).astype(float)
+    found, text = tokens(chunk, model.tokens)
+    each = log_likelihood(layers(model.weights, model.cuts),
+                          neighbours(found, text, int(model.cuts[-1])), found).astype(float)
+    n_words = chunk.per_text(chunk.words[2]).astype(np.int64)
+    return n_words, chunk.per_text(text, each).astype(float)
 
 
 def apply(docs: DataFrame, model: Model, id_col: str = "doc_id",

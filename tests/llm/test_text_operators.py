@@ -2,13 +2,15 @@
 
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
 
 from foldwise.llm import bpe, langid, lm_scoring, quality, secret_scan, toxicity
 from foldwise.llm.queries import word_vocabulary
-from tests.llm.helpers import SCHEMA, awkward, documents, plain_counts, prose, sha
+from foldwise.llm.textbytes import LOWER
+from tests.llm.helpers import SCHEMA, awkward, documents, plain_counts, prose, sha, words
 
 
 def by_id(df):
@@ -210,6 +212,49 @@ def test_lm_edges(spark):
     assert all(r.log_likelihood < 0 for r in got if r.n_words)
 
 
+def test_lm_counts_every_word(spark):
+    rows = documents()
+    got = {bytes(r.word): r.n for r in lm_scoring.word_counts(awkward(spark, rows)).collect()}
+    want = Counter(bytes(LOWER[np.frombuffer(w.encode(), np.uint8)])
+                   for _, t, *_ in rows for w in words(t))
+    assert got == want
+
+
+def test_lm_tokens_spell_the_text(spark):
+    """Different words give different tokens, rare ones and bounds between them included."""
+    import pyarrow as pa
+    from foldwise.llm.textbytes import chunks
+
+    known = lm_scoring.vocabulary(spark.createDataFrame(documents(), SCHEMA))
+    rng = random.Random(12)
+    texts = sorted({" ".join("".join(rng.choice("abé") for _ in range(rng.randint(1, 6)))
+                             for _ in range(rng.randint(1, 3))) for _ in range(3000)})
+    chunk = next(chunks([pa.RecordBatch.from_pydict({"text": pa.array(texts + ["alpha", ""])})]))
+    ids, text = lm_scoring.tokens(chunk, known)
+    assert ids.min() >= 0 and ids.max() < len(known)
+    assert len({tuple(ids[text == i]) for i in range(len(texts))}) == len(texts)
+
+
+def test_lm_context_tells_words_of_one_ending_apart(spark):
+    """Words beyond the most frequent ones, all with one ending, foretell their partners."""
+    rng = random.Random(13)
+    filler = [f"f{i}" for i in range(120)]
+    pairs = [(f"{a}{b}ra", f"{b}{a}tu") for a in "kmpsv" for b in "bdgjlnrz"]
+
+    def line(shift):
+        out = []
+        for k in rng.sample(range(len(pairs)), 12):
+            out += [*rng.choices(filler, k=6), pairs[k][0], pairs[(k + shift) % len(pairs)][1]]
+        return " ".join(out)
+
+    df = spark.createDataFrame([(i, line(0), None, None, 1) for i in range(1500)], SCHEMA)
+    model = lm_scoring.fit(df)
+    right, wrong = (np.mean([r.mean_log_likelihood for r in lm_scoring.apply(spark.createDataFrame(
+        [(i, line(shift), None, None, 1) for i in range(60)], SCHEMA), model).collect()])
+        for shift in (0, 1))
+    assert right > wrong + 0.05
+
+
 @pytest.mark.parametrize("step", ["quality", "toxic", "lang", "secret", "bpe", "lm"])
 def test_empty_tables(spark, step):
     df = spark.createDataFrame([], SCHEMA)
