@@ -5,7 +5,10 @@ its block ``j`` (from zero) may run from slot ``floor(j * A / a)`` on and must h
 slot ``ceil((j + 1) * A / a)``. Taking in every slot the released block with the earliest
 deadline meets all of them, so at any moment a source is less than one block away from its
 share. Windows repeat after ``A`` slots, so one period is scheduled and then reused: the
-slot of a block follows from its number alone, whatever the size of the table.
+slot of a block follows from its number alone, whatever the size of the table. ``A`` grows
+with the number and the unevenness of the sources until whole slots meet the target weights:
+over all its blocks, rounding moves no source by more than one block or ``DRIFT`` of them,
+and all sources together by no more than ``DRIFT`` of the mix.
 
 A source that has no more blocks leaves; from the next period on the others share its slots
 by their weights. Every row is kept and gets a place. Slots that a source's last, unfinished
@@ -13,13 +16,15 @@ period leaves idle are numbers nobody holds.
 
 Nulls: a null source is a source of its own; a null id sorts first. Repeated rows each get
 a place, apart by chance only if all their columns are equal. An empty table gives an empty
-result. Sources without a weight in ``weights`` get the smallest share, one slot a period.
+result. Sources without a weight in ``weights`` get one slot a period; the period is long
+enough for the others' weights to hold all the same.
 """
 
 from __future__ import annotations
 
 import heapq
 from dataclasses import dataclass
+from itertools import count as count_up
 
 import numpy as np
 import pyarrow as pa
@@ -29,10 +34,12 @@ from pyspark.sql import functions as F
 from foldwise.llm.shared import write_table
 from foldwise.llm.textbytes import pick
 
-#: Rows per block, slots per period, and rows ranked by one task.
+#: Rows per block, least slots per period, and rows ranked by one task.
 BLOCK_ROWS = 32
 PERIOD = 1000
 RANK_ROWS = 2000
+#: Share of a source's blocks, and of the mix, that rounding to whole slots may move.
+DRIFT = 0.01
 #: Exponent of the default weights: shares of rows, flattened.
 TEMPER = 0.7
 
@@ -61,6 +68,29 @@ def slots_of(shares: np.ndarray, period: int) -> np.ndarray:
     return out
 
 
+def fitting_slots(shares: np.ndarray, blocks: np.ndarray, least: int) -> np.ndarray:
+    """Slots of the shortest period tried, of at least ``least``, that meets the shares.
+
+    A source's slots over their sum are its share in effect. Besides ``least`` the slots that
+    give the smallest share just one are tried, and both are doubled until one fits.
+    """
+    shares = np.maximum(np.asarray(shares, dtype=float), 0)
+    if not shares.sum() > 0:
+        return slots_of(shares, max(least, len(shares)))
+    wanted = shares / shares.sum()
+    due = wanted > 0
+    unit = round(1 / wanted[due].min())
+    for period in heapq.merge(*((n << k for k in count_up()) for n in (least, max(unit, 1)))):
+        if period < least:
+            continue
+        out = slots_of(wanted, period)
+        real = out / out.sum()
+        moved = blocks * np.abs(1 - wanted / real)
+        if (np.abs(real - wanted).sum() <= 2 * DRIFT
+                and np.all(moved[due] <= np.maximum(1, DRIFT * blocks[due]))):
+            return out
+
+
 def phases(blocks: np.ndarray, slots: np.ndarray) -> list[Phase]:
     """Cut time where a source runs out of blocks."""
     periods = -(-blocks // slots)
@@ -102,7 +132,7 @@ def mix(docs: DataFrame, weights: dict | None = None, id_col: str = "doc_id",
     """Places of all rows in the mixed order.
 
     ``weights`` maps sources to target weights; without it a source weighs its share of
-    rows to the power ``temper``. Returns ``id_col, source_col, place, block, slot, release,
+    rows to the power ``temper``. ``period`` is the least number of slots in a period. Returns ``id_col, source_col, place, block, slot, release,
     deadline`` (all long); ordered by ``slot`` and ``place`` the rows are the mix.
 
     A row's place within its source comes from a hash of the id. A source is cut into
@@ -118,21 +148,21 @@ def mix(docs: DataFrame, weights: dict | None = None, id_col: str = "doc_id",
         share = (count / max(count.sum(), 1)) ** temper
     else:
         share = np.array([float(weights.get(n, 0.0)) for n in names])
-    slots = slots_of(share, period) if names else np.zeros(0, int)
-    plan = phases(-(-count // block_rows), slots)
+    blocks = -(-count // block_rows)
+    slots = fitting_slots(share, blocks, period) if names else np.zeros(0, int)
+    plan = phases(blocks, slots)
 
     # One row per source, phase and block of a period: where in the period that block runs.
     def patterns(batches):
         for batch in batches:
             for number in batch.column(0).to_pylist():
                 phase = plan[number]
-                at = {(i, j): s for s, (i, j) in enumerate(schedule(phase.slots))}
-                keys = list(at)
+                turns = schedule(phase.slots)
                 yield pa.RecordBatch.from_pydict({
-                    "phase": pa.array([number] * len(keys), pa.int64()),
-                    "number": pa.array([phase.sources[i] for i, _ in keys], pa.int64()),
-                    "turn": pa.array([j for _, j in keys], pa.int64()),
-                    "offset": pa.array([at[k] for k in keys], pa.int64())})
+                    "phase": pa.array([number] * len(turns), pa.int64()),
+                    "number": pa.array([phase.sources[i] for i, _ in turns], pa.int64()),
+                    "turn": pa.array([j for _, j in turns], pa.int64()),
+                    "offset": pa.array(range(len(turns)), pa.int64())})
 
     pattern = spark.range(0, len(plan), 1, max(1, min(len(plan), 200))).mapInArrow(
         patterns, "phase long, number long, turn long, offset long")

@@ -146,6 +146,31 @@ def test_schedule_deviation():
         assert count.tolist() == list(slots)
 
 
+def test_mixing_meets_the_weights_of_many_sources(spark):
+    """One source is due a third, three thousand small ones share the rest."""
+    small = [f"s{i}" for i in range(3000)]
+    rows = [(i, None, None, s, 1) for i, s in enumerate(small + ["hot"] * 1500)]
+    weights = {s: 2 / 9000 for s in small} | {"hot": 1 / 3}
+    got = mixing.mix(spark.createDataFrame(rows, SCHEMA), weights, block_rows=1).collect()
+    assert sorted(r.doc_id for r in got) == list(range(len(rows)))
+    assert all(r.release <= r.slot < r.deadline for r in got)
+    order = [r.source for r in sorted(got, key=lambda r: r.slot)]
+    hot = np.cumsum([s == "hot" for s in order])
+    assert np.all(np.abs(hot - np.arange(1, len(order) + 1) / 3) < 1)
+
+
+def test_slots_fit_uneven_weights():
+    rng = np.random.default_rng(14)
+    for n in (1, 40, 5000):
+        shares = np.append(rng.random(n) ** 3, n / 8)
+        slots = mixing.fitting_slots(shares, np.full(n + 1, 10_000), 1000)
+        wanted = shares / shares.sum()
+        assert np.all(np.abs(slots / slots.sum() / wanted - 1) < 0.011)
+    # Sources without a weight take nothing that counts from the others.
+    slots = mixing.fitting_slots(np.array([3.0, 1.0] + [0.0] * 4000), np.full(4002, 1000), 1000)
+    assert slots[0] / slots.sum() == pytest.approx(0.75, rel=0.011) and slots.min() == 1
+
+
 def test_mixing_edges(spark):
     df = awkward(spark, documents())
     got = mixing.mix(df).collect()
