@@ -2,8 +2,8 @@
 
 Plain patterns give the base spans. A wider pattern collects long mixed tokens as further
 candidates. Each candidate's hash is counted over the whole corpus by distinct
-repositories and owners: what many owners hold is a copied example, what one or two owners
-hold looks live. Live-looking wide candidates become spans of their own (kind ``live``),
+repositories and owners: what many owners, or many repositories of few owners, hold is a
+copied example; what a few repositories of a few owners hold looks live. Live-looking wide candidates become spans of their own (kind ``live``),
 and base spans are told apart the same way.
 
 Nulls: a null text counts as empty. A null repository or owner counts as one unnamed one.
@@ -33,8 +33,8 @@ KINDS = ("assign", "access", "hex", "live")
 
 #: Bytes of a wide candidate, and the digits, letters and distinct bytes it must hold.
 WIDE_LEAST, WIDE_DIGITS, WIDE_LETTERS, WIDE_DISTINCT = 20, 3, 3, 10
-#: Owners up to which a candidate looks live.
-LIVE_OWNERS = 2
+#: Owners and repositories up to which, both together, a candidate looks live.
+LIVE_OWNERS, LIVE_REPOS = 4, 8
 
 _HEX = np.zeros(256, dtype=bool)
 _HEX[list(b"0123456789abcdef")] = True
@@ -141,7 +141,7 @@ def ownership(found: DataFrame) -> DataFrame:
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
          repo_col: str = "doc_id", owner_col: str = "source",
-         live_owners: int = LIVE_OWNERS) -> DataFrame:
+         live_owners: int = LIVE_OWNERS, live_repos: int = LIVE_REPOS) -> DataFrame:
     """Spans of every row with the ownership of what they hold.
 
     Returns ``id_col, found array<struct<kind, start, end, n_repos, n_owners, live>>``
@@ -157,7 +157,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     salted = flat.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(spread)).cast("int"))
     copies = owned.withColumn("salt", F.explode(F.array(*[F.lit(i) for i in range(spread)])))
     told = salted.join(copies, ["hash", "salt"]).withColumn(
-        "live", F.col("n_owners") <= live_owners)
+        "live", (F.col("n_owners") <= live_owners) & (F.col("n_repos") <= live_repos))
     listed = (told.where((F.col("kind") < KINDS.index("live")) | F.col("live"))
               .groupBy("row").agg(F.sort_array(F.collect_list(F.struct(
                   "start", "kind", "end", "n_repos", "n_owners", "live"))).alias("found")))
@@ -171,13 +171,14 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
            repo_col: str = "doc_id", owner_col: str = "source",
-           live_owners: int = LIVE_OWNERS) -> DataFrame:
+           live_owners: int = LIVE_OWNERS, live_repos: int = LIVE_REPOS) -> DataFrame:
     """The given rows, all columns kept, with live-looking spans masked by asterisks.
 
     Widely copied examples and texts without a candidate stay as they are.
     """
     keyed = docs.withColumn("__secret_row", F.xxhash64(id_col, text_col))
-    spans = (scan(keyed, "__secret_row", text_col, repo_col, owner_col, live_owners)
+    spans = (scan(keyed, "__secret_row", text_col, repo_col, owner_col, live_owners,
+                  live_repos)
              .withColumn("__spans", F.filter("found", lambda s: s.live))
              .where(F.size("__spans") > 0)
              .groupBy("__secret_row").agg(F.first("__spans").alias("__spans")))

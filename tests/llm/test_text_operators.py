@@ -134,6 +134,21 @@ def test_secrets(spark):
     assert masked[1004] is None and masked[205] == texts[205]
 
 
+def test_secrets_by_owners_and_repositories(spark):
+    """A key copied through one source is an example; a password in three sources is live."""
+    example, password = "AKIA" + "EXAMPLEEXAMPLE01", "password=hunter2hunter2"
+    wide = "Zx9Kq27LmNb35TrWv8Yc1"
+    rows = [(i, f"{example} {wide}", None, "hot", 1) for i in range(400)]
+    rows += [(1000 + i, f"mine {password}", None, f"s{i}", 1) for i in range(3)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    found = {r.doc_id: r.found for r in secret_scan.scan(df).collect()}
+    assert all([(s.kind, s.live, s.n_repos) for s in found[i]] == [(1, False, 400)] for i in range(400))
+    assert all([(s.kind, s.live, s.n_owners) for s in found[1000 + i]] == [(0, True, 3)] for i in range(3))
+    masked = {r.doc_id: r.text for r in secret_scan.redact(df).collect()}
+    assert all(masked[i] == f"{example} {wide}" for i in range(400))
+    assert all(masked[1000 + i] == "mine " + "*" * len(password) for i in range(3))
+
+
 def test_bpe_equals_library(spark):
     from tokenizers import Tokenizer
 
