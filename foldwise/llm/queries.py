@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldwise.llm import (bpe, jaccard_join, langid, lm_scoring, mixing, quality, secret_scan,
-                          suffix_family, topk, toxicity)
+from foldwise.llm import (bpe, filter_audit, jaccard_join, langid, lm_scoring, mixing,
+                          periodic_runs, quality, secret_scan, suffix_family, token_files, topk,
+                          toxicity)
 
 
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -95,6 +96,21 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.apply(docs, model)
 
 
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    h = F.crc32(F.col("doc_id").cast("string"))
+    return periodic_runs.detect(read(spark, folder, "documents"), digest=True,
+                                planted=(F.floor(h / 10), h % 10 == 0))
+
+
+def op12_token_files(spark: SparkSession, folder: str, path: str | None = None) -> DataFrame:
+    return token_files.documents(token_files.write(
+        read(spark, folder, "documents"), path or word_vocabulary(), end=2))
+
+
+def op13_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.audit_texts(read(spark, folder, "documents"), read(spark, folder, "labels"))
+
+
 TOPK = """
 WITH v AS (
   SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) for x in embedding] AS e
@@ -110,10 +126,57 @@ r AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
 """
 
+FILTER_AUDIT = r"""
+WITH docs AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+told AS (
+  SELECT doc_id, max(CAST(quality = 1 AS INT)) AS good, max(CAST(toxic = 1 AS INT)) AS toxic
+  FROM labels GROUP BY doc_id),
+flagged AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+    CASE WHEN len(w) < 50 THEN 'A' ELSE '' END
+    || CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 'B' ELSE '' END
+    || CASE WHEN 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 5 * length(t)
+         THEN 'C' ELSE '' END
+    || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+    || CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' ELSE '' END AS fails
+  FROM docs LEFT JOIN told USING (doc_id)),
+sets AS (
+  SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic
+  FROM flagged GROUP BY part, fails),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+orders AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS filter_order
+  FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+steps AS (
+  SELECT filter_order, CAST(s AS INTEGER) AS step, filter_order[s] AS f,
+         filter_order[:s - 1] AS before
+  FROM orders, unnest([1, 2, 3, 4, 5]) AS u(s)),
+counted AS (
+  SELECT part, filter_order, step, f,
+    sum(CASE WHEN length(translate(fails, before || f, '')) = length(fails) THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN contains(fails, f) AND length(translate(fails, before, '')) = length(fails)
+        THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN contains(fails, f) THEN n ELSE 0 END) AS failing,
+    sum(CASE WHEN fails = f THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN contains(fails, f) AND length(translate(fails, before, '')) = length(fails)
+        THEN good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN contains(fails, f) AND length(translate(fails, before, '')) = length(fails)
+        THEN toxic ELSE 0 END) AS toxic_lost
+  FROM sets, steps GROUP BY part, filter_order, step, f)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(failing - removed AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+  CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM counted
+"""
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_exact_topk": TOPK}
+    return {"op9_exact_topk": TOPK, "op13_filter_audit": FILTER_AUDIT}

@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from foldwise.sources.settle import Scratch, shared_folder, write_table
+from foldwise.sources.settle import Scratch, settle, shared_folder, write_table
 
-__all__ = ["Scratch", "shared_folder", "write_table"]
+__all__ = ["Scratch", "settle", "shared_folder", "write_table"]
