@@ -26,6 +26,8 @@ empty table gives no file and no rows. Any other column is ignored.
 
 from __future__ import annotations
 
+import json
+import os
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -42,7 +44,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foldwise.llm.shared import shared_folder
-from foldwise.llm.textbytes import pick
+from foldwise.llm.textbytes import chunks, pick
 from foldwise.operators.ordering import running_totals
 
 #: Plain bytes of a frame; a longer document goes on in the next.
@@ -51,6 +53,8 @@ FRAME_BYTES = 1 << 18
 FILE_BYTES = 128 << 20
 #: Pieces of text a task remembers the ids of; beyond that it forgets all.
 REMEMBERED = 400_000
+#: Pieces encoded in one call.
+TOGETHER = 512
 #: Fixed values of the seekable form: magic numbers of skippable frames and of the table's end,
 #: and the descriptor bit that says the table holds checksums.
 SKIPPABLE_INDEX, SKIPPABLE_TABLE, TABLE_END, HAS_CHECKSUMS = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1, 0x80
@@ -200,8 +204,12 @@ class PieceEncoder:
     """
 
     def __init__(self, vocabulary: str, end: int | None):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark spreads the work
         from tokenizers import Tokenizer
 
+        marks = {t["content"]: t["id"] for t in json.loads(vocabulary)["added_tokens"]
+                 if not (t["normalized"] or t["lstrip"] or t["rstrip"] or t["single_word"])}
+        self.mark, self.mark_id = next(iter(marks.items()), ("", -1))
         self.tokenizer = Tokenizer.from_str(vocabulary)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
@@ -210,21 +218,37 @@ class PieceEncoder:
 
     def encode(self, texts: list[bytes]) -> Iterator[bytes]:
         """Ids of each text and the end id as little-endian unsigned 32-bit integers."""
-        for text in texts:
-            pieces = text.split()  # at bytes 9 to 13 and 32
-            new = list(set(pieces) - self.known.keys())
-            if len(self.known) + len(new) > REMEMBERED:
-                self.known.clear()
-                new = list(set(pieces))
-            for a in range(0, len(new), 4096):
-                some = new[a:a + 4096]
-                found = self.tokenizer.encode_batch_fast([p.decode() for p in some],
-                                                         add_special_tokens=False)
-                self.known.update((p, np.array(e.ids, "<u4").tobytes())
-                                  for p, e in zip(some, found))
+        cut = [text.split() for text in texts]  # at bytes 9 to 13 and 32
+        met = set().union(*cut)
+        new = [p for p in met if p not in self.known]
+        if len(self.known) + len(new) > REMEMBERED:
+            self.known.clear()
+            new = list(met)
+        self._learn(new)
+        for pieces in cut:
             yield b"".join(map(self.known.__getitem__, pieces)) + self.end
 
 
+    def _learn(self, pieces: list[bytes]) -> None:
+        """Encode pieces, many in one call with the mark of an added token between them."""
+        texts = [p.decode() for p in pieces]
+        alone = [k for k, t in enumerate(texts) if not self.mark or self.mark in t]
+        for k in alone:
+            self.known[pieces[k]] = self._ids(texts[k]).tobytes()
+        if alone:
+            left = set(range(len(texts))) - set(alone)
+            pieces, texts = ([x[k] for k in left] for x in (pieces, texts))
+        for a in range(0, len(texts), TOGETHER):
+            ids = self._ids(self.mark.join(texts[a:a + TOGETHER]))
+            at = np.flatnonzero(ids == self.mark_id).tolist()
+            raw = ids.tobytes()
+            for piece, b, e in zip(pieces[a:a + TOGETHER], [-1, *at], [*at, len(ids)]):
+                self.known[piece] = raw[4 * b + 4:4 * e]
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+
+
 # --- a dataset -----------------------------------------------------------------------------
 
 @dataclass(frozen=True)
@@ -264,9 +288,7 @@ def write(docs: DataFrame, vocabulary_path: str, folder: str | None = None,
         path = file = writer = None
         try:
             encoder = PieceEncoder(shared.value, end)
-            for batch in batches:
-                if not batch.num_rows:
-                    continue
+            for chunk in chunks(batches, limit=1 << 20):
                 if writer is None:
                     shard = TaskContext.get().partitionId()
                     path = f"{folder}/{shard:06d}-{uuid.uuid4().hex}.ids.zst"
@@ -274,9 +296,10 @@ def write(docs: DataFrame, vocabulary_path: str, folder: str | None = None,
                     store.create_dir(place.rsplit("/", 1)[0], recursive=True)
                     file = store.open_output_stream(place, compression=None)
                     writer = FrameWriter(file, frame_bytes)
-                texts = batch.column(1).cast(pa.large_binary())
-                for i, one in zip(batch.column(0).to_pylist(), texts):
-                    writer.add(i, next(encoder.encode([one.as_py() or b""])))
+                texts = [chunk.data[a:b].tobytes() for a, b in zip(chunk.starts.tolist(),
+                                                                   chunk.ends.tolist())]
+                for i, ids in zip(chunk.rows.column(0).to_pylist(), encoder.encode(texts)):
+                    writer.add(i, ids)
             if writer is not None:
                 size = writer.close()
                 file.close()
