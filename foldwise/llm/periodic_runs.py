@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foldwise.llm.textbytes import SPACE, Chunk, chunks, mix, pick
+from foldwise.llm.textbytes import Chunk, chunks, mix, pick
 
 #: Periods up to this many words are found by direct comparison; three of them make the
 #: shortest run of the default settings.
@@ -50,15 +50,8 @@ _NONE = np.zeros(0, dtype=np.int64)
 
 def word_names(chunk: Chunk) -> np.ndarray:
     """A number per word of a chunk; equal numbers are equal words of the same text."""
-    begin, end, text = chunk.words
-    if not len(begin):
-        return _NONE
-    cuts = np.zeros(len(begin) + 1, dtype=np.int64)
-    np.cumsum(end - begin, out=cuts[1:])
-    letters = np.ascontiguousarray(chunk.data[~SPACE[chunk.data]])
-    words = pa.LargeBinaryArray.from_buffers(
-        pa.large_binary(), len(begin), [None, pa.py_buffer(cuts), pa.py_buffer(letters)])
-    codes = words.dictionary_encode().indices.to_numpy().astype(np.int64)
+    text = chunk.words[2]
+    codes = chunk.coded_words.indices.to_numpy().astype(np.int64)
     return codes * len(chunk) + text
 
 

@@ -129,6 +129,17 @@ class Chunk:
     def words(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         return self.runs(~SPACE[self.data])
 
+    @cached_property
+    def coded_words(self) -> pa.DictionaryArray:
+        """The words, each different one held once."""
+        begin, end, _ = self.words
+        cuts = np.zeros(len(begin) + 1, dtype=np.int64)
+        np.cumsum(end - begin, out=cuts[1:])
+        letters = np.ascontiguousarray(self.data[~SPACE[self.data]])
+        return pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(begin),
+            [None, pa.py_buffer(cuts), pa.py_buffer(letters)]).dictionary_encode()
+
     def count(self, member: np.ndarray) -> np.ndarray:
         """True bytes per text."""
         sums = np.zeros(len(self.data) + 1, dtype=np.int64)

@@ -36,6 +36,7 @@ from math import ceil
 
 import numpy as np
 import pyarrow as pa
+import regex
 import xxhash
 import zstandard
 from pyarrow import fs
@@ -44,16 +45,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foldwise.llm.shared import shared_folder
-from foldwise.llm.textbytes import chunks, pick
+from foldwise.llm.textbytes import Chunk, chunks, pick
 from foldwise.operators.ordering import running_totals
 
 #: Plain bytes of a frame; a longer document goes on in the next.
 FRAME_BYTES = 1 << 18
 #: Bytes of text that one file should take; balances tasks only.
 FILE_BYTES = 128 << 20
-#: Pieces of text a task remembers the ids of; beyond that it forgets all.
-REMEMBERED = 400_000
-#: Pieces encoded in one call.
+#: Pieces of text, and words, a task remembers the ids of; beyond that it forgets all.
+REMEMBERED = 500_000
+#: Bytes of text encoded at once; one longer text is taken whole.
+CHUNK_BYTES = 4 << 20
+#: Words encoded in one call.
 TOGETHER = 512
 #: Fixed values of the seekable form: magic numbers of skippable frames and of the table's end,
 #: and the descriptor bit that says the table holds checksums.
@@ -197,56 +200,105 @@ def opened(path: str) -> FrameReader:
 # --- encoding ------------------------------------------------------------------------------
 
 class PieceEncoder:
-    """Encodes texts with the tokenizers library, one piece between white space at a time.
+    """Encodes texts with the tokenizers library, each piece between white space once.
 
-    Right for vocabularies that drop white space and fold it before they cut words, so that
-    no token, composition or case depends on what stands beyond it.
+    Right for vocabularies that drop white space, fold case and cut words by a pattern, so
+    that no token, composition or case depends on what stands beyond a blank. Pieces of
+    printable ASCII are cut further by the vocabulary's own pattern, so that ``Word,`` and
+    ``word`` share their word; all others go to the library whole.
     """
 
     def __init__(self, vocabulary: str, end: int | None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark spreads the work
         from tokenizers import Tokenizer
 
-        marks = {t["content"]: t["id"] for t in json.loads(vocabulary)["added_tokens"]
+        file = json.loads(vocabulary)
+        marks = {t["content"]: t["id"] for t in file["added_tokens"]
                  if not (t["normalized"] or t["lstrip"] or t["rstrip"] or t["single_word"])}
         self.mark, self.mark_id = next(iter(marks.items()), ("", -1))
+        self.marks = [t["content"].encode() for t in file["added_tokens"]]
+        self.cut = regex.compile(file["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]).findall
         self.tokenizer = Tokenizer.from_str(vocabulary)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.end = b"" if end is None else np.uint32(end).astype("<u4").tobytes()
-        self.known: dict[bytes, bytes] = {}
-
-    def encode(self, texts: list[bytes]) -> Iterator[bytes]:
+        # Where every word ends in a token of its own kind, ids are cut there.
+        suffix = file["model"].get("end_of_word_suffix")
+        last = [i for t, i in file["model"]["vocab"].items() if suffix and t.endswith(suffix)]
+        self.last = np.zeros(self.tokenizer.get_vocab_size() + 1, dtype=bool)
+        self.last[last] = True
+        self.end = np.array([] if end is None else [end], "<u4")
+        self.pieces: dict[bytes, bytes] = {}
+        self.words: dict[str, bytes] = {}
+
+    def encode(self, chunk: Chunk) -> Iterator[bytes]:
         """Ids of each text and the end id as little-endian unsigned 32-bit integers."""
-        cut = [text.split() for text in texts]  # at bytes 9 to 13 and 32
-        met = set().union(*cut)
-        new = [p for p in met if p not in self.known]
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = list(met)
-        self._learn(new)
-        for pieces in cut:
-            yield b"".join(map(self.known.__getitem__, pieces)) + self.end
-
-
-    def _learn(self, pieces: list[bytes]) -> None:
-        """Encode pieces, many in one call with the mark of an added token between them."""
-        texts = [p.decode() for p in pieces]
-        alone = [k for k, t in enumerate(texts) if not self.mark or self.mark in t]
-        for k in alone:
-            self.known[pieces[k]] = self._ids(texts[k]).tobytes()
-        if alone:
-            left = set(range(len(texts))) - set(alone)
-            pieces, texts = ([x[k] for k in left] for x in (pieces, texts))
-        for a in range(0, len(texts), TOGETHER):
-            ids = self._ids(self.mark.join(texts[a:a + TOGETHER]))
-            at = np.flatnonzero(ids == self.mark_id).tolist()
+        coded, text = chunk.coded_words, chunk.words[2]
+        met = coded.dictionary.to_pylist()
+        new = [p for p in met if p not in self.pieces]
+        if len(self.pieces) + len(new) > REMEMBERED:
+            self.pieces.clear()
+            new = met
+        marked = any(m in chunk.data.tobytes() for m in self.marks)
+        for a in range(0, len(new), REMEMBERED // 4):
+            self._learn(new[a:a + REMEMBERED // 4], marked)
+        known = [self.pieces[p] for p in met]
+        size = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        flat = np.frombuffer(b"".join(known), "<u4")
+        start = np.cumsum(size) - size
+        codes = coded.indices.to_numpy()
+        cuts = np.searchsorted(text, np.arange(len(chunk) + 1))
+        for a, b in zip(cuts.tolist(), cuts[1:].tolist()):
+            own = codes[a:b]
+            upto = np.cumsum(size[own])
+            at = np.repeat(start[own] - (upto - size[own]), size[own]) + np.arange(upto[-1] if b > a else 0)
+            yield np.append(flat[at], self.end).astype("<u4").tobytes()
+
+    def _learn(self, pieces: list[bytes], marked: bool) -> None:
+        cut, words = self.cut, []
+        plain: set[str] = set()
+        other: set[str] = set()
+        for t in [p.decode() for p in pieces]:
+            if not marked and t.isascii() and t.isprintable():
+                words.append(cut(t.lower()))
+                plain.update(words[-1])
+            else:
+                words.append([t])
+                other.add(t)
+        new = [w for some in (plain, other) for w in some if w not in self.words]
+        if len(self.words) + len(new) > REMEMBERED:
+            self.words.clear()
+            new = [*plain, *other]
+        spaced = [w for w in new if w not in other] if self.last.any() else []
+        self._ask(spaced, " ")
+        rest = [w for w in new if w in other] if self.last.any() else new
+        alone = [w for w in rest if not self.mark or marked and self.mark in w]
+        for w in alone:
+            self.words[w] = self._ids(w).tobytes()
+        self._ask([w for w in rest if w not in alone] if alone else rest, self.mark)
+        known = self.words
+        for piece, own in zip(pieces, words):
+            self.pieces[piece] = known[own[0]] if len(own) == 1 else b"".join([known[w] for w in own])
+
+    def _ask(self, words: list[str], between: str) -> None:
+        """Encode many words in one call, cut where a word ends or at the mark between them."""
+        for a in range(0, len(words), TOGETHER):
+            some = words[a:a + TOGETHER]
+            ids = self._ids(between.join(some))
             raw = ids.tobytes()
-            for piece, b, e in zip(pieces[a:a + TOGETHER], [-1, *at], [*at, len(ids)]):
-                self.known[piece] = raw[4 * b + 4:4 * e]
+            if between == self.mark:
+                at = np.flatnonzero(ids == self.mark_id)
+                begins, ends = np.append(0, at + 1), np.append(at, len(ids))
+            else:
+                ends = np.flatnonzero(self.last[np.minimum(ids, len(self.last) - 1)]) + 1
+                begins = np.append(0, ends[:-1])
+            if len(ends) != len(some):
+                raise ValueError("the vocabulary does not cut these words as its pattern does")
+            for word, b, e in zip(some, (4 * begins).tolist(), (4 * ends).tolist()):
+                self.words[word] = raw[b:e]
 
     def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+        found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
+        return np.array(found[0].ids, "<u4")
 
 
 # --- a dataset -----------------------------------------------------------------------------
@@ -288,7 +340,7 @@ def write(docs: DataFrame, vocabulary_path: str, folder: str | None = None,
         path = file = writer = None
         try:
             encoder = PieceEncoder(shared.value, end)
-            for chunk in chunks(batches, limit=1 << 20):
+            for chunk in chunks(batches, limit=CHUNK_BYTES):
                 if writer is None:
                     shard = TaskContext.get().partitionId()
                     path = f"{folder}/{shard:06d}-{uuid.uuid4().hex}.ids.zst"
@@ -296,9 +348,7 @@ def write(docs: DataFrame, vocabulary_path: str, folder: str | None = None,
                     store.create_dir(place.rsplit("/", 1)[0], recursive=True)
                     file = store.open_output_stream(place, compression=None)
                     writer = FrameWriter(file, frame_bytes)
-                texts = [chunk.data[a:b].tobytes() for a, b in zip(chunk.starts.tolist(),
-                                                                   chunk.ends.tolist())]
-                for i, ids in zip(chunk.rows.column(0).to_pylist(), encoder.encode(texts)):
+                for i, ids in zip(chunk.rows.column(0).to_pylist(), encoder.encode(chunk)):
                     writer.add(i, ids)
             if writer is not None:
                 size = writer.close()
