@@ -218,6 +218,7 @@ class PieceEncoder:
         self.mark, self.mark_id = next(iter(marks.items()), ("", -1))
         self.marks = [t["content"].encode() for t in file["added_tokens"]]
         self.cut = regex.compile(file["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]).findall
+        self.letters_stay = self.cut("ab") == ["ab"]
         self.tokenizer = Tokenizer.from_str(vocabulary)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
@@ -226,7 +227,7 @@ class PieceEncoder:
         last = [i for t, i in file["model"]["vocab"].items() if suffix and t.endswith(suffix)]
         self.last = np.zeros(self.tokenizer.get_vocab_size() + 1, dtype=bool)
         self.last[last] = True
-        self.end = np.array([] if end is None else [end], "<u4")
+        self.end = b"" if end is None else np.array([end], "<u4").tobytes()
         self.pieces: dict[bytes, bytes] = {}
         self.words: dict[str, bytes] = {}
 
@@ -246,38 +247,45 @@ class PieceEncoder:
         flat = np.frombuffer(b"".join(known), "<u4")
         start = np.cumsum(size) - size
         codes = coded.indices.to_numpy()
-        cuts = np.searchsorted(text, np.arange(len(chunk) + 1))
-        for a, b in zip(cuts.tolist(), cuts[1:].tolist()):
-            own = codes[a:b]
-            upto = np.cumsum(size[own])
-            at = np.repeat(start[own] - (upto - size[own]), size[own]) + np.arange(upto[-1] if b > a else 0)
-            yield np.append(flat[at], self.end).astype("<u4").tobytes()
+        upto = np.append(0, np.cumsum(size[codes]))
+        at = np.repeat(start[codes] - upto[:-1], size[codes])
+        at += np.arange(len(at))
+        ids = flat[at]
+        cuts = upto[np.searchsorted(text, np.arange(len(chunk) + 1))].tolist()
+        for a, b in zip(cuts, cuts[1:]):
+            yield ids[a:b].tobytes() + self.end
 
     def _learn(self, pieces: list[bytes], marked: bool) -> None:
         cut, words = self.cut, []
         plain: set[str] = set()
         other: set[str] = set()
         for t in [p.decode() for p in pieces]:
-            if not marked and t.isascii() and t.isprintable():
-                words.append(cut(t.lower()))
-                plain.update(words[-1])
-            else:
-                words.append([t])
+            if marked or not (t.isascii() and t.isprintable()):
+                words.append(t)
                 other.add(t)
-        new = [w for some in (plain, other) for w in some if w not in self.words]
-        if len(self.words) + len(new) > REMEMBERED:
+            elif self.letters_stay and t.isalpha():
+                words.append(t := t.lower())
+                plain.add(t)
+            else:
+                words.append(own := cut(t.lower()))
+                plain.update(own)
+        if not self.last.any():
+            other |= plain
+            plain = set()
+        new, odd = ([w for w in some if w not in self.words] for some in (plain, other))
+        if len(self.words) + len(new) + len(odd) > REMEMBERED:
             self.words.clear()
-            new = [*plain, *other]
-        spaced = [w for w in new if w not in other] if self.last.any() else []
-        self._ask(spaced, " ")
-        rest = [w for w in new if w in other] if self.last.any() else new
-        alone = [w for w in rest if not self.mark or marked and self.mark in w]
-        for w in alone:
-            self.words[w] = self._ids(w).tobytes()
-        self._ask([w for w in rest if w not in alone] if alone else rest, self.mark)
+            new, odd = list(plain), list(other)
+        self._ask(new, " ")
+        if marked or not self.mark:
+            alone = {w for w in odd if not self.mark or self.mark in w}
+            for w in alone:
+                self.words[w] = self._ids(w).tobytes()
+            odd = [w for w in odd if w not in alone]
+        self._ask(odd, self.mark)
         known = self.words
         for piece, own in zip(pieces, words):
-            self.pieces[piece] = known[own[0]] if len(own) == 1 else b"".join([known[w] for w in own])
+            self.pieces[piece] = known[own] if type(own) is str else b"".join([known[w] for w in own])
 
     def _ask(self, words: list[str], between: str) -> None:
         """Encode many words in one call, cut where a word ends or at the mark between them."""
