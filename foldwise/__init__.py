@@ -8,6 +8,7 @@ from foldwise.config import (EarlyStopping, FeaturesConfig, FeatureSpec, FoldSpl
                              OneHotSettings, Optimizer, TrainParams, parse_features_config,
                              parse_train_params)
 from foldwise.errors import ConfigError, DataError, StoreError
+from foldwise.operators.boosting import BoostedTreesRegressor
 from foldwise.operators.mlp import DenseRegressor, default_regressor
 from foldwise.plans.pipeline import Run, score, train_and_evaluate
 
@@ -15,7 +16,7 @@ from foldwise.plans.pipeline import Run, score, train_and_evaluate
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 __all__ = [
-    "ConfigError", "DataError", "DenseRegressor", "EarlyStopping", "FeatureSpec",
+    "BoostedTreesRegressor", "ConfigError", "DataError", "DenseRegressor", "EarlyStopping", "FeatureSpec",
     "FeaturesConfig", "FoldSplit", "OneHotSettings", "Optimizer", "Run", "StoreError",
     "TrainParams", "default_regressor", "parse_features_config", "parse_train_params", "score",
     "train_and_evaluate",

@@ -20,6 +20,7 @@ from foldwise.functions.names import q, qs, text_literal
 from foldwise.functions.text import capped
 from foldwise.operators import linear
 from foldwise.operators.baseline import baseline_by_fold, train_means
+from foldwise.operators.boosting import BoostedTreesRegressor, grow
 from foldwise.operators.folds import fold_sizes, holdout
 from foldwise.operators.table import VECTOR_COLUMN, ModelTable, with_vector
 from foldwise.sources.settle import Settled, in_this_context, write_table
@@ -279,9 +280,9 @@ def cross_validate(table: ModelTable, params: TrainParams, parallel_fits: int =
                    ) -> CrossValidation:
     """One fresh model per fold, trained on all other folds.
 
-    Plain least squares takes the one-pass route. Any other estimator is fitted per
-    fold; fits run side by side, and each model's errors on both sides come from
-    one pass over its predictions.
+    Plain least squares takes the one-pass route. The models of ``BoostedTreesRegressor`` grow
+    together, a scan serving all folds. Any other estimator is fitted per fold; fits run side
+    by side. Each model's errors on both sides come from one pass over its predictions.
     """
     if takes_closed_form(table, params):
         return cross_validate_ols(table)
@@ -290,10 +291,14 @@ def cross_validate(table: ModelTable, params: TrainParams, parallel_fits: int =
     vectors = write_table(training_vectors(table, params), "vectors")
     sizes = fold_sizes(vectors)
     check_folds(sizes.df.limit(2).count())
+    folds = [r[0] for r in sizes.df.select(FOLD_COLUMN).orderBy(FOLD_COLUMN).toLocalIterator()]
+    estimator, together = build_estimator(params, len(table.features)), {}
+    if isinstance(estimator, BoostedTreesRegressor):
+        together = dict(zip(folds, grow(vectors, estimator, folds, FOLD_COLUMN)))
 
     def run(fold: str) -> tuple:
         train = vectors.where(q(FOLD_COLUMN) != fold)
-        model = fit_model(params, train, len(table.features))
+        model = together.get(fold) or fit_model(params, train, len(table.features))
         inside = q(FOLD_COLUMN) == fold
         errors = {r["inside"]: r for r in model.transform(vectors).groupBy(inside.alias("inside"))
                   .agg(F.count("*").alias("n"), *[b(q(TARGET_COLUMN), q(PREDICTION)).alias(m)
@@ -305,7 +310,6 @@ def cross_validate(table: ModelTable, params: TrainParams, parallel_fits: int =
         guesses = [(fold, *g) for g in guess_on_train_rows(train, params)] if history else []
         return result, oof, history, guesses
 
-    folds = (r[0] for r in sizes.df.select(FOLD_COLUMN).orderBy(FOLD_COLUMN).toLocalIterator())
     with ThreadPoolExecutor(max_workers=parallel_fits) as pool:
         done = list(pool.map(in_this_context(inheritable_thread_target(spark)(run)), folds))
     schema = ("fold string, train_rows bigint, evaluation_rows bigint, train_epochs int, "

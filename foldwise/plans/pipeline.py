@@ -23,6 +23,7 @@ from foldwise.functions.text import duration_text, warning_count_text
 from foldwise.operators import cv, encode, explain, folds, prepare, profile, quality
 from foldwise.operators.linear import LeastSquaresModel, linear_prediction
 from foldwise.operators.table import VECTOR_COLUMN, ModelTable, Preparation, fit_preparation
+from foldwise.operators.tree_paths import TREE_MODELS, tree_attribution, tree_importance
 from foldwise.plans import report
 from foldwise.sources import outputs, store
 from foldwise.sources.settle import delete_folder, in_this_context, scratch_tables, write_table
@@ -50,8 +51,8 @@ def train_and_evaluate(df: DataFrame, features: Mapping[str, Any] | FeaturesConf
 
     ``row_id`` names the columns that identify a row. Without it ids are generated
     and frozen with the prepared table, so they hold for this run only. ``explained_rows``
-    rows get an attribution each. The importance of a linear model's features covers all
-    rows, that of any other model the explained ones. Intermediate tables are deleted at
+    rows get an attribution each. The importance of the features of a linear model or of trees
+    covers all rows, that of any other model the explained ones. Intermediate tables are deleted at
     the end; a run that fails leaves nothing.
     """
     started = datetime.now()
@@ -143,9 +144,12 @@ def _run(df: DataFrame, features: FeaturesConfig, params: TrainParams, out_path:
     attribution = keep("attribution", attribute(model, table, params.hash_seed, n_rows,
                                                 explained_rows))
     weights = linear_weights(model)
-    keep("importance", explain.importance(attribution) if weights is None else
-         explain.linear_importance(table.df, table.features, weights, feature_means(table))
-         .orderBy(F.desc("importance"), "feature"))
+    if weights is not None:
+        ranked = explain.linear_importance(table.df, table.features, weights, feature_means(table))
+        keep("importance", ranked.orderBy(F.desc("importance"), "feature"))
+    else:
+        keep("importance", tree_importance(model, table) if isinstance(model, TREE_MODELS)
+             else explain.importance(attribution))
 
     if params.profile:
         sources = {"input": prepare.profiled_columns(source, required),
@@ -191,11 +195,13 @@ def feature_means(table: ModelTable) -> list[float]:
 
 def attribute(model: Model, table: ModelTable, seed: int, rows: int,
               size: int = explain.SAMPLE_ROWS) -> DataFrame:
-    """``(row id, feature, phi)`` of ``size`` rows: exact if linear, else permutations."""
+    """``(row id, feature, phi)`` of ``size`` rows: exact if linear or trees, else permutations."""
     weights = linear_weights(model)
-    if weights is None:
+    if weights is None and not isinstance(model, TREE_MODELS):
         return explain.permutation_shapley(model, table, seed, size=size, rows=rows)
     sample = explain.sample_rows(table.df, table.row_id, size, seed, rows)
+    if weights is None:
+        return tree_attribution(model, table, sample)
     return explain.linear_attribution(sample, table.row_id, table.features, weights,
                                       feature_means(table))
 
