@@ -15,12 +15,14 @@ from pyspark.sql import functions as F
 
 from foldwise.functions.names import number, q, qs, quoted
 from foldwise.functions.ranges import range_bucket
-from foldwise.sources.settle import settle
+from foldwise.sources.settle import Scratch, settle
 
 #: Rows one sorted range should hold.
 ROWS_PER_RANGE = 2_000_000
 MAX_RANGES = 16_384
 _SAMPLE_PER_RANGE = 8
+#: Share of the rows by which a rank sketch may be off.
+RANK_ERROR = 1e-4
 
 
 def _key(columns: Sequence[str]) -> Column:
@@ -105,9 +107,10 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     """Linear-interpolation quantiles as ``(column, prob, value)`` rows.
 
     Null and NaN are left out. Up to ``rows_per_range`` rows the ``percentile``
-    aggregate holds the distinct values of a column. Beyond that the wanted ranks are
-    located in the row counts of value ranges, and only ranges that hold one are
-    sorted, equal values merged first.
+    aggregate holds the distinct values of a column. Beyond that one pass makes a rank sketch
+    of every column, whose bounds bracket each wanted rank; a second pass counts the values
+    in the brackets one by one and all others by the gap they fall in. The number of
+    jobs does not depend on the number of columns.
     """
     spark, names = df.sparkSession, list(columns)
     schema = "column string, prob double, value double"
@@ -117,8 +120,7 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
         f"CASE WHEN NOT isnan(CAST({quoted(c)} AS DOUBLE)) THEN CAST({quoted(c)} AS DOUBLE) END"
         f" AS c{i}" for i, c in enumerate(names)])
     counts = values.selectExpr(*[f"count(c{i})" for i in range(len(names))]).first()
-    ranges = min(MAX_RANGES, ceil(max(counts) / rows_per_range))
-    if ranges <= 1:
+    if max(counts) <= rows_per_range:
         at = ", ".join(number(p) for p in probs)
         found = (values.unpivot([], list(values.columns), "c", "v").groupBy("c")
                  .agg(F.expr(f"percentile(v, array({at})) AS q")).collect())
@@ -126,42 +128,13 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
         return spark.createDataFrame([
             (c, float(p), by_name.get(f"c{i}", [None] * len(probs))[j])
             for i, c in enumerate(names) for j, p in enumerate(probs)], schema).coalesce(1)
-    cells = values.select(F.explode(F.array(*[
-        F.struct(F.lit(i).alias("i"), range_bucket(F.col(c), splitters(
-            values.where(F.col(c).isNotNull()), [c], ranges, counts[i])).alias("b"),
-            F.col(c).alias("v"))
-        for i, c in enumerate(values.columns)])).alias("s")).select("s.*")
-    cells = cells.where(F.col("v").isNotNull())
-    sizes = cells.groupBy("i", "b").count().orderBy("i", "b").collect()
-    spans: dict[int, list[tuple[int, int, int]]] = {i: [] for i in range(len(names))}
-    for i, b, n in sizes:
-        low = spans[i][-1][2] if spans[i] else 0
-        spans[i].append((b, low, low + n))
-
     # Ranks count from 1; a quantile lies between two neighbouring ones.
     around = {}
     for i, n in enumerate(counts):
         for p in probs if n else ():
             at = (n - 1) * float(p)
             around[i, p] = (int(at) + 1, min(int(at) + 2, n), at - int(at))
-    ranks = sorted({(i, r) for (i, _), (r1, r2, _) in around.items() for r in (r1, r2)})
-    hit = sorted({(i, b, low) for i, r in ranks for b, low, high in spans[i] if low < r <= high})
-    found = {}
-    if hit:
-        upto = W.partitionBy("i", "b").orderBy("v").rowsBetween(W.unboundedPreceding, 0)
-        hits = spark.createDataFrame(hit, "i int, b int, low bigint").coalesce(1)
-        merged = (cells.join(F.broadcast(hits.drop("low")), ["i", "b"])
-                  .groupBy("i", "b", "v").agg(F.count("*").alias("n")))
-        merged = (merged.join(F.broadcast(hits), ["i", "b"])
-                  .withColumn("last", F.col("low") + F.sum("n").over(upto)))
-        # As plain comparisons, so that all but the rows wanted drop out early.
-        by_column = {i: [r for j, r in ranks if j == i] for i, _ in ranks}
-        holds = " ".join(f"WHEN {i} THEN " + " OR ".join(
-            f"({r} <= last AND {r} > last - n)" for r in rs) for i, rs in by_column.items())
-        rows = (merged.where(f"CASE i {holds} ELSE false END")
-                .select("i", "v", "n", "last").collect())
-        found = {(x["i"], r): x["v"] for x in rows for r in by_column[x["i"]]
-                 if x["last"] - x["n"] < r <= x["last"]}
+    found = _ranked_values(values, brackets(values, probs, counts), around)
     out = []
     for i, c in enumerate(names):
         for p in probs:
@@ -171,3 +144,66 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
             r1, r2, part = around[i, p]
             out.append((c, float(p), found[i, r1] + (found[i, r2] - found[i, r1]) * part))
     return spark.createDataFrame(out, schema).coalesce(1)
+
+
+def brackets(values: DataFrame, probs: Sequence[float], counts: Sequence[int]
+             ) -> list[list[tuple[float, float]]]:
+    """Per column, ascending disjoint value ranges that hold the wanted ranks for certain.
+
+    A sketch is off by at most ``RANK_ERROR`` of the rows, and its bounds are taken twice
+    as far away.
+    """
+    away = 2 * RANK_ERROR + 2 / min(n for n in counts if n)
+    asked = sorted({min(1.0, max(0.0, float(p) + d)) for p in probs for d in (-away, away)})
+    found = values.approxQuantile(list(values.columns), asked, RANK_ERROR)
+    out = []
+    for at in found:
+        by_prob, merged = dict(zip(asked, at)), []
+        for p in sorted(map(float, probs)) if at else ():
+            low, high = (by_prob[min(1.0, max(0.0, p + d))] for d in (-away, away))
+            if merged and low <= merged[-1][1]:
+                merged[-1] = (merged[-1][0], max(high, merged[-1][1]))
+            else:
+                merged.append((low, high))
+        out.append(merged)
+    return out
+
+
+def _ranked_values(values: DataFrame, bounds: list[list[tuple[float, float]]],
+                   around: dict) -> dict[tuple[int, int], float]:
+    """The values of the wanted ranks, from one pass over the cells."""
+    # Odd places are brackets, even ones the gaps before and between them.
+    place = " ".join(f"WHEN {i} THEN CASE " + " ".join(
+        f"WHEN v < {number(low)} THEN {2 * k} WHEN v <= {number(high)} THEN {2 * k + 1}"
+        for k, (low, high) in enumerate(own)) + f" ELSE {2 * len(own)} END"
+        for i, own in enumerate(bounds) if own)
+    if not place:
+        return {}
+    cells = (values.unpivot([], list(values.columns), "c", "v").where(F.col("v").isNotNull())
+             .withColumn("i", F.substring("c", 2, 10).cast("int"))
+             .withColumn("b", F.expr(f"CASE i {place} END")))
+    scratch = Scratch(values.sparkSession)
+    try:
+        merged = scratch.write(cells.groupBy(
+            "i", "b", F.when(F.col("b") % 2 == 1, F.col("v")).alias("v"))
+            .agg(F.count("*").alias("n")), "rank-counts")
+        spans, upto = {}, {}
+        for i, b, n in merged.groupBy("i", "b").agg(F.sum("n")).orderBy("i", "b").toLocalIterator():
+            low = upto.get(i, 0)
+            spans.setdefault(i, []).append((b, low, low + n))
+            upto[i] = low + n
+        ranks = sorted({(i, r) for (i, _), (r1, r2, _) in around.items() for r in (r1, r2)})
+        hit = sorted({(i, b, low) for i, r in ranks for b, low, high in spans[i] if low < r <= high})
+        starts = values.sparkSession.createDataFrame(hit, "i int, b int, low bigint").coalesce(1)
+        before = W.partitionBy("i", "b").orderBy("v").rowsBetween(W.unboundedPreceding, 0)
+        reached = (merged.join(F.broadcast(starts), ["i", "b"])
+                   .withColumn("last", F.col("low") + F.sum("n").over(before)))
+        # As plain comparisons, so that all but the rows wanted drop out early.
+        by_column = {i: [r for j, r in ranks if j == i] for i, _ in ranks}
+        holds = " ".join(f"WHEN {i} THEN " + " OR ".join(
+            f"({r} <= last AND {r} > last - n)" for r in rs) for i, rs in by_column.items())
+        rows = reached.where(f"CASE i {holds} ELSE false END").select("i", "v", "n", "last").collect()
+        return {(x["i"], r): x["v"] for x in rows for r in by_column[x["i"]]
+                if x["last"] - x["n"] < r <= x["last"]}
+    finally:
+        scratch.drop()

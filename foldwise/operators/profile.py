@@ -119,17 +119,23 @@ def value_counts(df: DataFrame) -> ValueCounts:
 def overview(df: DataFrame) -> DataFrame:
     """One row: rows, columns, missing cells and duplicate rows with percents.
 
-    Duplicates need every row compared, which shuffles distinct rows once; repeated
-    rows are merged before the shuffle.
+    Rows are told apart by a 128-bit fingerprint, so what is shuffled does not grow with their
+    width. Whole rows are compared only where a fingerprint repeats.
     """
     names = list(df.columns)
     columns = [f"c{i}" for i in range(len(names))]
-    empty = F.expr(" + ".join(f"CAST({c} IS NULL AS BIGINT)" for c in columns))
-    per_row = _values(df, names).groupBy(*columns).agg(F.count("*").alias("_n"))
+    empty = " || ".join(f"CAST({c} IS NULL AS TINYINT)" for c in columns)
+    rows = _values(df, names).selectExpr(
+        "*", f"{empty} AS gaps").selectExpr("*", *[
+            f"xxhash64({seed}, gaps, {', '.join(columns)}) AS h{seed}" for seed in (1, 2)])
+    totals = rows.agg(F.count("*").alias("rows"), F.coalesce(F.sum(
+        F.length(F.translate("gaps", "0", ""))), F.lit(0)).alias("missing_cells"))
+    again = rows.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    repeated = (rows.join(again, ["h1", "h2"], "left_semi").groupBy(*columns)
+                .agg(F.count("*").alias("n"))
+                .agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicate_rows")))
     cells = F.col("rows") * len(names)
-    return (per_row.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"),
-                        F.coalesce(F.sum(F.col("_n") * empty), F.lit(0)).alias("missing_cells"),
-                        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicate_rows"))
+    return (totals.join(F.broadcast(repeated))  # a row each
             .select("rows", F.lit(len(names)).alias("columns"), "missing_cells",
                     (F.try_divide(F.col("missing_cells"), cells) * 100).alias("missing_pct"),
                     "duplicate_rows",
@@ -299,6 +305,38 @@ def missing(df: DataFrame) -> DataFrame:
         "missing_pct", F.try_divide(F.col("missing"), F.col("rows")) * 100)
 
 
+def missing_patterns(df: DataFrame) -> DataFrame:
+    """``(pattern, columns_missing, count, pct)`` per set of cells missing together.
+
+    ``pattern`` has a 1 for every missing column, in column order. Rows are grouped by it where
+    they lie, so a task passes on a row per pattern it met.
+    """
+    columns = [f"c{i}" for i in range(len(df.columns))]
+    marks = " || ".join(f"CAST({c} IS NULL AS TINYINT)" for c in columns)
+    counted = (_values(df, list(df.columns)).selectExpr(f"{marks} AS pattern")
+               .groupBy("pattern").agg(F.count("*").alias("count")))
+    rows = df.agg(F.count("*").alias("rows"))
+    return counted.join(F.broadcast(rows)).select(  # one row
+        "pattern", F.length(F.translate("pattern", "0", "")).alias("columns_missing"), "count",
+        (F.col("count") / F.col("rows") * 100).alias("pct"))
+
+
+def missing_together(df: DataFrame) -> DataFrame:
+    """``(left, right, both, either)``: rows in which two columns are missing, from the patterns."""
+    names = list(df.columns)
+    pairs = list(combinations(range(len(names)), 2))
+    schema = "left string, right string, both bigint, either bigint"
+    if not pairs:
+        return df.sparkSession.createDataFrame([], schema)
+    bit = lambda i: f"substring(pattern, {i + 1}, 1) = '1'"
+    cells = missing_patterns(df).selectExpr("count", _rows([
+        f"'left', {text_literal(names[i])}, 'right', {text_literal(names[j])}, "
+        f"'b', {bit(i)} AND {bit(j)}, 'e', {bit(i)} OR {bit(j)}" for i, j in pairs]))
+    return cells.groupBy("left", "right").agg(
+        F.sum(F.when(F.col("b"), F.col("count")).otherwise(0)).alias("both"),
+        F.sum(F.when(F.col("e"), F.col("count")).otherwise(0)).alias("either"))
+
+
 def blank_cells(df: DataFrame) -> DataFrame:
     """Missing cells per column, where empty text counts as missing."""
     return missing_by_column(df, df.columns)
@@ -329,7 +367,8 @@ SECTIONS = {
     "overview": overview, "variables": variables, "missing": missing, "top_values": top_values,
     "alerts": alerts, "numeric_stats": numeric_stats, "quantiles": quantiles, "shape": shape,
     "histogram": histogram, "extreme_values": extreme_values, "correlations": correlations,
-    "text_lengths": text_lengths,
+    "text_lengths": text_lengths, "missing_patterns": missing_patterns,
+    "missing_together": missing_together,
 }
 _NUMERIC_ONLY = {"numeric_stats", "quantiles", "shape", "histogram", "extreme_values",
                  "correlations"}

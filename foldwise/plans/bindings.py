@@ -94,6 +94,10 @@ LINEITEM = Task(lineitem, FeaturesConfig("l_extendedprice", (
     numeric("l_quantity"), numeric("l_discount"), numeric("l_tax"), categorical("l_returnflag"),
     categorical("l_linestatus"))), "l_year", ("l_orderkey", "l_linenumber"))
 
+#: One number of fifty values: every cut of a tree on it can be tried in SQL.
+QUANTITY = Task(lineitem, FeaturesConfig("l_extendedprice", (numeric("l_quantity"),)), "l_year",
+                ("l_orderkey", "l_linenumber"))
+
 DOCUMENTS = Task(documents, FeaturesConfig("n_chars", (
     categorical("lang", rare_below_pct=13.0),)), "source", ("doc_id",))
 

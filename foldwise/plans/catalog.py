@@ -16,8 +16,9 @@ from foldwise.functions import text
 from foldwise.functions.hashing import hash_bucket
 from foldwise.functions.metrics import all_metrics
 from foldwise.functions.names import q, qs
-from foldwise.operators import (baseline, cv, encode, explain, folds, linear, prepare, profile,
-                                quality)
+from foldwise.operators import (baseline, boosting, cv, encode, explain, folds, linear, prepare,
+                                profile, quality, tree_paths)
+from foldwise.operators.boosting import BoostedTreesRegressor
 from foldwise.operators.mlp import DenseRegressor
 from foldwise.operators.ordering import dense_position
 from foldwise.operators.table import ModelTable, fit_preparation, prepare_training
@@ -533,8 +534,7 @@ def profile_shape(spark, folder):
 
 @query
 def profile_histogram(spark, folder):
-    df = _lineitem_numbers(spark, folder).select("l_quantity", "l_extendedprice")
-    return rounded(profile.histogram(df, 8), bin_start=4)
+    return rounded(profile.histogram(_lineitem_numbers(spark, folder), 8), bin_start=4)
 
 
 @query
@@ -564,6 +564,23 @@ def profile_missing(spark, folder):
     return rounded(profile.missing(required_input(spark, folder, b.DIRTY_ORDERS)), missing_pct=6)
 
 
+@query
+def profile_missing_patterns(spark, folder):
+    return rounded(profile.missing_patterns(_gappy_orders(spark, folder)), pct=6)
+
+
+@query
+def profile_missing_together(spark, folder):
+    return profile.missing_together(_gappy_orders(spark, folder))
+
+
+def _gappy_orders(spark, folder) -> DataFrame:
+    """Orders with cells missing in three columns, some of them together."""
+    return b.dirty_orders(spark, folder).select(
+        "o_orderpriority", F.when(F.col("o_orderkey") % 6 > 0, F.col("c_acctbal")).alias("c_acctbal"),
+        F.nullif("o_note", F.lit("")).alias("o_note"), "o_totalprice")
+
+
 @query
 def profile_alerts(spark, folder):
     df = b.dirty_orders(spark, folder).select(
@@ -628,6 +645,57 @@ def shapley_linear(spark, folder):
     return rounded(explain.permutation_shapley(model, table, seed=SEED), phi=2)
 
 
+@query
+def boosted_stump_folds(spark, folder):
+    """First tree of every fold model, all grown in one scan: its cut and the two steps."""
+    task = b.QUANTITY
+    params = task.params(lambda n: BoostedTreesRegressor(maxDepth=1), seed=SEED, epochs=1)
+    table = model_table(spark, folder, task)
+    vectors = write_table(cv.training_vectors(table, params), "vectors")
+    names = [r[0] for r in folds.fold_sizes(vectors).df.select(FOLD_COLUMN).toLocalIterator()]
+    grown = boosting.grow(vectors, cv.build_estimator(params, 1), names, FOLD_COLUMN)
+    return rounded(spark.createDataFrame([
+        (fold, m.base, float(m.trees[0].threshold[0]), int(m.trees[0].cover[1]),
+         *[float(m.trees[0].value[i]) for i in (1, 2)]) for fold, m in zip(names, grown)],
+        "fold string, base double, threshold double, left_rows bigint, left_step double, "
+        "right_step double"), base=4, left_step=4, right_step=4)
+
+
+@query
+def boosted_cv_folds(spark, folder):
+    """All folds grown together, each stopped by its own patience on rows held out."""
+    params = b.LINEITEM.params(lambda n: BoostedTreesRegressor(maxDepth=3), seed=SEED, epochs=12,
+                               early_stopping=EarlyStopping(0.2, 2))
+    return cv.cross_validate(model_table(spark, folder, b.LINEITEM), params).fold_results
+
+
+def _boosted(spark, folder):
+    params = b.LINEITEM.params(lambda n: BoostedTreesRegressor(maxDepth=4), seed=SEED, epochs=8)
+    table = model_table(spark, folder, b.LINEITEM)
+    vectors = cv.training_vectors(table, params)
+    return table, vectors, cv.fit_model(params, vectors, len(table.features))
+
+
+@query
+def tree_importance(spark, folder):
+    """Mean absolute exact attribution over every row."""
+    table, _, model = _boosted(spark, folder)
+    return tree_paths.tree_importance(model, table)
+
+
+@query
+def tree_attribution_gap(spark, folder):
+    """Per row, how far expectation and attributions are from the prediction: nowhere."""
+    table, vectors, model = _boosted(spark, folder)
+    ids = list(table.row_id)
+    total = (tree_paths.tree_attribution(model, table).groupBy(*ids)
+             .agg(F.sum("phi").alias("phi"), F.count("*").alias("features")))
+    gap = F.abs(F.col("phi") + tree_paths.expectation(model) - F.col(cv.PREDICTION))
+    return model.transform(vectors).join(total, ids).select(
+        q(ids[0]).alias("l_orderkey"), q(ids[1]).alias("l_linenumber"), "features",
+        F.round(gap, 4).alias("gap"))
+
+
 def queries() -> dict[str, Query]:
     return dict(_REGISTRY)
 

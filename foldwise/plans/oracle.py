@@ -516,8 +516,7 @@ def oracle_sql() -> dict[str, str]:
         , l AS (SELECT "column", min(v) AS lo, max(v) AS hi FROM numbers GROUP BY "column"),
         b AS (SELECT "column", lo, hi,
                      least(CAST(floor((v - lo) / (hi - lo) * 8) AS INTEGER), 7) AS bin
-              FROM numbers JOIN l USING ("column")
-              WHERE "column" IN ('l_quantity', 'l_extendedprice'))
+              FROM numbers JOIN l USING ("column"))
         SELECT "column", bin, round(lo + (hi - lo) / 8 * bin, 4) AS bin_start, count(*) AS count
         FROM b GROUP BY "column", bin, lo, hi""")
     out["profile_top_values"] = _with(["order_cats"], """
@@ -544,6 +543,37 @@ def oracle_sql() -> dict[str, str]:
         SELECT "column", count(*) - count(v) AS missing, count(*) AS rows,
                round((count(*) - count(v))::DOUBLE / count(*) * 100, 6) AS missing_pct
         FROM dirty_cells GROUP BY "column\"""")
+    gaps = """
+        , g AS (SELECT o_orderpriority IS NULL AS a, o_orderkey % 6 = 0 AS b, o_note = '' AS c
+                FROM dirty)"""
+    out["profile_missing_patterns"] = _with(["dirty"], gaps + """
+        SELECT concat(CAST(a AS INT), CAST(b AS INT), CAST(c AS INT), '0') AS pattern,
+               CAST(a AS INT) + CAST(b AS INT) + CAST(c AS INT) AS columns_missing,
+               count(*) AS count, round(count(*)::DOUBLE / sum(count(*)) OVER () * 100, 6) AS pct
+        FROM g GROUP BY a, b, c""")
+    named = {"o_orderpriority": "a", "c_acctbal": "b", "o_note": "c", "o_totalprice": "false"}
+    pairs = [(x, y) for i, x in enumerate(named) for y in list(named)[i + 1:]]
+    out["profile_missing_together"] = _with(["dirty"], gaps + " UNION ALL ".join(f"""
+        SELECT '{x}' AS "left", '{y}' AS "right",
+               count(*) FILTER ({named[x]} AND {named[y]}) AS both,
+               count(*) FILTER ({named[x]} OR {named[y]}) AS either FROM g""" for x, y in pairs))
+    out["tree_attribution_gap"] = """
+        SELECT l_orderkey, l_linenumber, (SELECT 5 + count(DISTINCT l_returnflag)
+               + count(DISTINCT l_linestatus) FROM lineitem) AS features, 0.0 AS gap
+        FROM lineitem"""
+    out["boosted_stump_folds"] = _with(["lines"], """
+        , f AS (SELECT DISTINCT CAST(l_year AS VARCHAR) AS fold FROM lines),
+        v AS (SELECT fold, l_quantity AS q, count(*) AS n, sum(l_extendedprice) AS s
+              FROM f JOIN lines ON CAST(l_year AS VARCHAR) <> fold GROUP BY fold, l_quantity),
+        t AS (SELECT *, sum(n) OVER w AS ln, sum(s) OVER w AS ls,
+                     sum(n) OVER (PARTITION BY fold) AS an, sum(s) OVER (PARTITION BY fold) AS a
+              FROM v WINDOW w AS (PARTITION BY fold ORDER BY q)),
+        r AS (SELECT *, a / an AS base, ls / ln - a / an AS l,
+                     (a - ls) / (an - ln) - a / an AS r FROM t WHERE ln < an),
+        k AS (SELECT *, row_number() OVER (PARTITION BY fold
+                         ORDER BY ln * l * l + (an - ln) * r * r DESC, q) AS place FROM r)
+        SELECT fold, round(base, 4) AS base, q AS threshold, CAST(ln AS BIGINT) AS left_rows,
+               round(l, 4) AS left_step, round(r, 4) AS right_step FROM k WHERE place = 1""")
     out["profile_alerts"] = _with(["dirty"], """
         , c AS (SELECT 'o_orderkey' AS "column", CAST(o_orderkey AS VARCHAR) AS v FROM dirty
                 UNION ALL SELECT 'o_totalprice', CAST(o_totalprice AS VARCHAR) FROM dirty

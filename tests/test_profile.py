@@ -68,3 +68,25 @@ def test_sections_by_type(spark):
     text = spark.createDataFrame([("a",)], "v string")
     assert "correlations" not in profile.section_names(text)
     assert {n: d.count() for n, d in profile.profile(text).items()}["variables"] == 1
+
+
+def test_overview_compares_rows_not_fingerprints(spark):
+    """Nulls that change places, and texts that join alike, are different rows."""
+    rows = [("a", None, 1.0), (None, "a", 1.0), ("a", None, 1.0), ("ab", "c", 0.0), ("a", "bc", -0.0),
+            ("a", "bc", 0.0), (None, None, float("nan")), (None, None, None)]
+    got = profile.overview(spark.createDataFrame(rows, "x string, `y.z` string, v double")).first()
+    assert (got["rows"], got["columns"], got["missing_cells"], got["duplicate_rows"]) == (8, 3, 9, 3)
+    empty = profile.overview(spark.createDataFrame([], "x string, v double")).first()
+    assert (empty["rows"], empty["missing_cells"], empty["duplicate_rows"]) == (0, 0, 0)
+    assert empty["missing_pct"] is None
+
+
+def test_missing_patterns(spark):
+    rows = [(1.0, None, "x"), (None, None, "x"), (2.0, "b", ""), (float("nan"), None, "x")]
+    df = spark.createDataFrame(rows, "a double, `b b` string, c string")
+    got = {r["pattern"]: (r["columns_missing"], r["count"], r["pct"]) for r in profile.missing_patterns(df).collect()}
+    assert got == {"010": (1, 1, 25.0), "110": (2, 2, 50.0), "000": (0, 1, 25.0)}
+    pairs = {(r["left"], r["right"]): (r["both"], r["either"]) for r in profile.missing_together(df).collect()}
+    assert pairs == {("a", "b b"): (2, 3), ("a", "c"): (0, 2), ("b b", "c"): (0, 3)}
+    assert profile.missing_patterns(df.where("false")).count() == 0
+    assert profile.missing_together(df.select("a")).count() == 0
