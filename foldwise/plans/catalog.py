@@ -670,8 +670,8 @@ def boosted_cv_folds(spark, folder):
 
 
 def _boosted(spark, folder):
-    params = b.LINEITEM.params(lambda n: BoostedTreesRegressor(maxDepth=4), seed=SEED, epochs=8)
-    table = model_table(spark, folder, b.LINEITEM)
+    params = b.ORDERS.params(lambda n: BoostedTreesRegressor(maxDepth=4), seed=SEED, epochs=8)
+    table = model_table(spark, folder, b.ORDERS)
     vectors = cv.training_vectors(table, params)
     return table, vectors, cv.fit_model(params, vectors, len(table.features))
 
@@ -692,8 +692,7 @@ def tree_attribution_gap(spark, folder):
              .agg(F.sum("phi").alias("phi"), F.count("*").alias("features")))
     gap = F.abs(F.col("phi") + tree_paths.expectation(model) - F.col(cv.PREDICTION))
     return model.transform(vectors).join(total, ids).select(
-        q(ids[0]).alias("l_orderkey"), q(ids[1]).alias("l_linenumber"), "features",
-        F.round(gap, 4).alias("gap"))
+        q(ids[0]).alias("o_orderkey"), "features", F.round(gap, 4).alias("gap"))
 
 
 def queries() -> dict[str, Query]:

@@ -557,10 +557,11 @@ def oracle_sql() -> dict[str, str]:
         SELECT '{x}' AS "left", '{y}' AS "right",
                count(*) FILTER ({named[x]} AND {named[y]}) AS both,
                count(*) FILTER ({named[x]} OR {named[y]}) AS either FROM g""" for x, y in pairs))
-    out["tree_attribution_gap"] = """
-        SELECT l_orderkey, l_linenumber, (SELECT 5 + count(DISTINCT l_returnflag)
-               + count(DISTINCT l_linestatus) FROM lineitem) AS features, 0.0 AS gap
-        FROM lineitem"""
+    out["tree_attribution_gap"] = _with(["orders_all"], """
+        SELECT o_orderkey, (SELECT 4 + count(DISTINCT o_orderpriority)
+               + count(DISTINCT o_orderstatus) + count(DISTINCT c_mktsegment)
+               FROM orders_all) AS features, 0.0 AS gap
+        FROM orders_all""")
     out["boosted_stump_folds"] = _with(["lines"], """
         , f AS (SELECT DISTINCT CAST(l_year AS VARCHAR) AS fold FROM lines),
         v AS (SELECT fold, l_quantity AS q, count(*) AS n, sum(l_extendedprice) AS s
