@@ -83,15 +83,15 @@ def pieces(chunk: Chunk, length: int, gram: int) -> tuple[np.ndarray, ...]:
     if len(data) < length:
         return none, none, none, none, none.astype(np.uint64)
     hashed = RangeHash(data).grams(gram)
-    bits = np.uint64(max(int(len(data)).bit_length(), 1))
-    low = (hashed >> bits << bits) | np.arange(len(hashed), dtype=np.uint64)
-    span = 1
-    while 2 * span <= wide:
-        low = np.minimum(low[:-span], low[span:])
-        span *= 2
-    if span < wide:
-        low = np.minimum(low[:len(low) - (wide - span)], low[wide - span:])
-    anchor = (low & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    # Whole hashes are compared and equal ones ranked by place, so equal strings have equal
+    # anchors whatever chunk they lie in.
+    low, anchor, span = hashed, np.arange(len(hashed)), 1
+    while span < wide:
+        step = min(span, wide - span)
+        later = low[step:] < low[:-step]
+        low = np.where(later, low[step:], low[:-step])
+        anchor = np.where(later, anchor[step:], anchor[:-step])
+        span += step
     owner = chunk.text_of(np.arange(len(data)))
     inside = owner[:len(low)] == owner[length - 1:]
     change = np.ones(len(low), dtype=bool)

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import cached_property
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +19,8 @@ from pyspark.sql import functions as F
 
 #: Bytes of text handled at once; one longer text makes a chunk of its own.
 CHUNK_BYTES = 1 << 19
+#: Bytes up to which a range is hashed by sums.
+PLAIN_BYTES = 96
 
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -64,19 +67,30 @@ def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class RangeHash:
-    """64-bit hashes of any byte range of an array after one pass over it."""
+    """64-bit hashes of any byte range of an array after one pass over it.
+
+    Sums modulo 2**64 are made for short ranges: long ones can be built to meet in every such
+    sum, so ranges of more than ``PLAIN_BYTES`` bytes get a cryptographic digest instead.
+    """
 
     def __init__(self, data: np.ndarray):
         up, self.down = _tables(len(data) + 1)
+        self.data = data
         self.sums = np.zeros(len(data) + 1, dtype=np.uint64)
         np.cumsum(_BYTE_VALUES[data] * up[:len(data)], out=self.sums[1:])
 
     def of(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
         raw = (self.sums[end] - self.sums[begin]) * self.down[begin]
-        return mix(raw + (end - begin).astype(np.uint64))
+        out = mix(raw + (end - begin).astype(np.uint64))
+        long = np.flatnonzero(end - begin > PLAIN_BYTES)
+        if len(long):
+            data = memoryview(np.ascontiguousarray(self.data))
+            out[long] = [int.from_bytes(blake2b(data[b:e], digest_size=8).digest(), "little")
+                         for b, e in zip(begin[long].tolist(), end[long].tolist())]
+        return out
 
     def grams(self, k: int) -> np.ndarray:
-        """Hash of the ``k`` bytes from each position on."""
+        """Hash of the ``k`` bytes from each position on; ``k`` is at most ``PLAIN_BYTES``."""
         n = len(self.sums) - k
         return mix((self.sums[k:] - self.sums[:n]) * self.down[:n])
 
