@@ -30,6 +30,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from foldwise.llm.shared import Shipped
 from foldwise.llm.textbytes import chunks, pick
 
 #: Words a task remembers; beyond that it forgets all and starts again.
@@ -308,7 +309,7 @@ def apply(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "t
     hexadecimal as ``ids_sha256, decoded_sha256``.
     """
     source = pick(docs, id_col, text_col, *carry)
-    shared = docs.sparkSession.sparkContext.broadcast(load(path))  # one vocabulary
+    shared = Shipped(docs.sparkSession, load(path))  # one vocabulary
 
     def run(batches):
         encoder = Encoder(shared.value)

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from foldwise.llm.array_sums import summed
 from foldwise.llm.graph import components
 from foldwise.llm.shared import Scratch
-from foldwise.llm.textbytes import Chunk, RangeHash, chunks, mix, pick, sequence_hash
+from foldwise.llm.textbytes import Chunk, RangeHash, chunks, laid, mix, pick, sequence_hash
 
 #: Counters of token rarity, and parts in which they are summed.
 CELL_BITS, CELL_PARTS = 20, 64
@@ -383,9 +383,12 @@ def survivors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", w
 
     All columns stay. Of equal rows that repeat an id one stays; null ids all stay.
     """
-    linked = link(docs, id_col, text_col, words, percent)
+    plain, at = laid(docs, id_col, text_col)
+    id_col, text_col = at[id_col], at[text_col]
+    linked = link(plain, id_col, text_col, words, percent)
     gone = linked.where(F.col("component_id") < F.col(id_col)).select(id_col).distinct()
     same = Window.partitionBy(id_col, F.xxhash64(text_col)).orderBy(F.lit(1))
-    named = docs.where(F.col(id_col).isNotNull()).join(gone, id_col, "left_anti")
+    named = plain.where(F.col(id_col).isNotNull()).join(gone, id_col, "left_anti")
     once = named.withColumn("__copy", F.row_number().over(same)).where("__copy = 1")
-    return once.select(*docs.columns).union(docs.where(F.col(id_col).isNull()))
+    return (once.select(*plain.columns).union(plain.where(F.col(id_col).isNull()))
+            .toDF(*docs.columns))

@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from foldwise.llm.shared import Shipped
 from foldwise.llm.textbytes import Chunk, chunks, pick
 
 #: N-grams kept per profile and per text.
@@ -187,7 +188,7 @@ def apply(docs: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_col:
           profile: int = PROFILE) -> DataFrame:
     """Returns ``id_col, lang_pred string, score double`` per row."""
     source = pick(docs, id_col, text_col)
-    shared = docs.sparkSession.sparkContext.broadcast(profiles)  # languages times ``profile``
+    shared = Shipped(docs.sparkSession, profiles)  # languages times ``profile``
 
     def run(batches):
         letters = Letters()

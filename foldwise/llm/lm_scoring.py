@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foldwise.llm.array_sums import summed
-from foldwise.llm.shared import Scratch
+from foldwise.llm.shared import Scratch, Shipped
 from foldwise.llm.textbytes import Chunk, RangeHash, chunks, pick
 
 #: Share and number of words from which on a word, or a piece, is a token.
@@ -335,7 +335,7 @@ def fit(docs: DataFrame, text_col: str = "text") -> Model:
     context = docs.sparkSession.sparkContext
     found = vocabulary(source, text_col)
     cuts = classes_of(len(found))
-    known = context.broadcast((found, cuts))
+    known = Shipped(docs.sparkSession, (found, cuts))
     flat, seen = start(cuts), 0
     size = len(flat)
     squares = np.zeros_like(flat)
@@ -376,7 +376,7 @@ def apply(docs: DataFrame, model: Model, id_col: str = "doc_id",
           text_col: str = "text") -> DataFrame:
     """Returns ``id_col, n_words long, log_likelihood double, mean_log_likelihood double``."""
     source = pick(docs, id_col, text_col)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = Shipped(docs.sparkSession, model)
 
     def run(batches):
         for chunk in chunks(batches, text_col):

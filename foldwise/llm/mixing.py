@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from foldwise.llm.shared import write_table
-from foldwise.llm.textbytes import pick
+from foldwise.llm.textbytes import laid, pick
 
 #: Rows per block, least slots per period, and rows ranked by one task.
 BLOCK_ROWS = 32
@@ -206,15 +206,17 @@ def mix(docs: DataFrame, weights: dict | None = None, id_col: str = "doc_id",
 
 
 def arranged(docs: DataFrame, id_col: str = "doc_id", files: int | None = None,
-             **options) -> DataFrame:
+             source_col: str = "source", **options) -> DataFrame:
     """The given rows, all columns kept, in mixed order: partition by partition, row by row.
 
     Written to files, the order of file numbers and of rows within them is the mix. Rows
     that repeat an id stand together; rows with a null id come first.
     """
-    places = (mix(docs, id_col=id_col, **options).where(F.col(id_col).isNotNull())
+    plain, at = laid(docs, id_col, source_col)
+    id_col = at[id_col]
+    places = (mix(plain, id_col=id_col, source_col=at[source_col], **options).where(F.col(id_col).isNotNull())
               .groupBy(id_col).agg(F.min(F.struct("slot", "place")).alias("__at")))
-    placed = docs.join(places, id_col, "left")
+    placed = plain.join(places, id_col, "left")
     order = [F.col("__at.slot"), F.col("__at.place"), F.col(id_col)]
     spread = placed.repartitionByRange(files, *order) if files else placed.repartitionByRange(*order)
-    return spread.sortWithinPartitions(*order).select(*docs.columns)
+    return spread.sortWithinPartitions(*order).select(*plain.columns).toDF(*docs.columns)

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from foldwise.llm.linear_text import (Examples, fit_calibration, fit_logistic, gather_examples,
                                       labelled_sample)
+from foldwise.llm.shared import Shipped
 from foldwise.llm.textbytes import SPACE, Chunk, RangeHash, chunks, mix, pick, sequence_hash
 
 FEATURE_BITS = 18
@@ -157,7 +158,7 @@ def apply(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     base_failed, kept, probability``.
     """
     source = pick(docs, id_col, text_col)
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # 2**18 floats
+    shared = Shipped(docs.sparkSession, model)  # 2**18 floats
 
     def run(batches):
         for chunk in chunks(batches, text_col):

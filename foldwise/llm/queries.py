@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from foldwise.llm import (bpe, filter_audit, jaccard_join, langid, lm_scoring, mixing,
                           periodic_runs, quality, secret_scan, suffix_family, token_files, topk,
                           toxicity)
+from foldwise.llm.textbytes import pick
 
 
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -80,7 +81,7 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
-    docs = read(spark, folder, "documents")
+    docs = pick(read(spark, folder, "documents"), "doc_id", "text", "lang")
     profiles = langid.fit(docs, ~held_out())
     told = langid.apply(docs, profiles)
     return told.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")

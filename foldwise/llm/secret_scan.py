@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foldwise.llm.shared import write_table
-from foldwise.llm.textbytes import Chunk, RangeHash, chunks, pick
+from foldwise.llm.textbytes import Chunk, RangeHash, chunks, laid, pick
 
 #: The base patterns.
 ASSIGN = re.compile(rb"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
@@ -176,8 +176,10 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Widely copied examples and texts without a candidate stay as they are.
     """
-    keyed = docs.withColumn("__secret_row", F.xxhash64(id_col, text_col))
-    spans = (scan(keyed, "__secret_row", text_col, repo_col, owner_col, live_owners,
+    plain, at = laid(docs, id_col, text_col, repo_col, owner_col)
+    id_col, text_col = at[id_col], at[text_col]
+    keyed = plain.withColumn("__secret_row", F.xxhash64(id_col, text_col))
+    spans = (scan(keyed, "__secret_row", text_col, at[repo_col], at[owner_col], live_owners,
                   live_repos)
              .withColumn("__spans", F.filter("found", lambda s: s.live))
              .where(F.size("__spans") > 0)
@@ -190,4 +192,4 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     joined = keyed.join(spans, "__secret_row", "left")
     masked = F.when(F.col("__spans").isNull(), F.col(text_col)).otherwise(
         F.aggregate("__spans", F.col(text_col), mask))
-    return joined.withColumn(text_col, masked).select(*docs.columns)
+    return joined.withColumn(text_col, masked).select(*plain.columns).toDF(*docs.columns)

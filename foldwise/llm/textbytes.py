@@ -45,6 +45,19 @@ def pick(df: DataFrame, *names: str) -> DataFrame:
     return plain.select(*[F.col(f"c{columns.index(n)}").alias(n) for n in names])
 
 
+def laid(df: DataFrame, *names: str) -> tuple[DataFrame, dict[str, str]]:
+    """All columns under plain names that cannot clash, and those of the wanted ones.
+
+    ``toDF(*df.columns)`` gives the rows their names back.
+    """
+    columns = list(df.columns)
+    absent = [n for n in names if n not in columns]
+    if absent:
+        raise ValueError(f"missing columns: {', '.join(absent)}")
+    return (df.toDF(*[f"c{i}" for i in range(len(columns))]),
+            {n: f"c{columns.index(n)}" for n in names})
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit values."""
     h = h ^ (h >> np.uint64(31))

@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 
 from foldwise.llm.array_sums import summed
 from foldwise.llm.linear_text import LEAST_ROWS, adam, labelled_sample
-from foldwise.llm.textbytes import Chunk, RangeHash, chunks, mix, pick
+from foldwise.llm.shared import Shipped
+from foldwise.llm.textbytes import Chunk, RangeHash, chunks, laid, mix, pick
 
 FEATURE_BITS = 18
 #: Labelled rows the sentence model is fitted on, chosen by a hash of the id.
@@ -190,7 +191,7 @@ def apply(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     score>>``, offsets in code points, ends exclusive.
     """
     source = pick(docs, id_col, text_col)
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # 2**18 floats
+    shared = Shipped(docs.sparkSession, model)  # 2**18 floats
 
     def run(batches):
         spans = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()),
@@ -219,10 +220,12 @@ def apply(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 def keep(docs: DataFrame, model: Model, text_col: str = "text",
          toxic_from: float = TOXIC_FROM) -> DataFrame:
     """The given rows, all columns kept, without those that score ``toxic_from`` or more."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # 2**18 floats
+    shared = Shipped(docs.sparkSession, model)  # 2**18 floats
+
+    plain, at = laid(docs, text_col)
 
     def run(batches):
-        for chunk in chunks(batches, text_col):
+        for chunk in chunks(batches, at[text_col]):
             yield chunk.rows.filter(pa.array(score(chunk, shared.value)[0] < toxic_from))
 
-    return docs.mapInArrow(run, docs.schema)
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
