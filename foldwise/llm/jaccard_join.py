@@ -2,8 +2,10 @@
 
 A text is the set of its distinct five-word shingles. Two texts as similar as asked share a
 token among the first ones of both, whatever the order of tokens, so a pair has to pass
-this filter under three orders before it is verified: rare tokens first, a coarser
-rarity with other ties, and a plain hash. Candidates are found by the first order.
+this filter under three orders before its texts move: rare tokens first, a coarser
+rarity with other ties, and a plain hash. Pairs are found under the first order, in buckets;
+``intersected`` keeps those that the other two orders find as well, from short marks of the
+first tokens that lie beside each set. Only what is left is verified.
 Rarity comes from a fixed number of counters filled by the whole corpus.
 
 Groups of copies never become all pairs. Equal sets within a task are linked at once. Then
@@ -34,12 +36,16 @@ from foldwise.llm.graph import components
 from foldwise.llm.shared import Scratch
 from foldwise.llm.textbytes import Chunk, RangeHash, chunks, laid, mix, pick, sequence_hash
 
+#: Orders besides the first, and the columns that hold their marks.
+ORDERS = ("second", "third")
 #: Counters of token rarity, and parts in which they are summed.
 CELL_BITS, CELL_PARTS = 20, 64
 #: Bits of the filter that keeps texts without a candidate from moving; speed only.
 FILTER_BITS = 1 << 25
 #: Bits of the largest parity sketch, and rows of a bucket that one task holds at once.
 SKETCH_BITS, BLOCK_ROWS = 1 << 13, 2048
+#: First tokens of a set up to which two bytes of each are kept; speed only.
+FEW_MARKS = 256
 #: Pairs verified at once.
 CHECK_ROWS = 128
 #: Sets a task remembers to spot equal ones; beyond it they meet in their buckets.
@@ -164,16 +170,27 @@ def near_pairs(group: np.ndarray, size: np.ndarray, place: np.ndarray, component
     return np.concatenate([*left, none]), np.concatenate([*right, none])
 
 
-def alike(a: np.ndarray, b: np.ndarray, rare: np.ndarray, percent: int) -> bool:
-    """Filters under every order, then the similarity itself."""
+def marks(tokens: np.ndarray) -> bytes:
+    """Upper bits of tokens, two bytes each if few and four if many; the first byte says which."""
+    kind = "<u2" if len(tokens) <= FEW_MARKS else "<u4"
+    bits = np.dtype(kind).itemsize * 8
+    return bytes([bits]) + np.unique(tokens >> np.uint64(64 - bits)).astype(kind).tobytes()
+
+
+def meet_marks(a: bytes, b: bytes) -> bool:
+    """Whether two lists of marks share one; lists of equal tokens always do."""
+    one, two = (np.frombuffer(x[1:], f"<u{x[0] // 8}") for x in (a, b))
+    if one.dtype != two.dtype:
+        one, two = (x if x.itemsize == 2 else x >> 16 for x in (one, two))
+    return bool(np.isin(one, two).any())
+
+
+def alike(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """Whether two sets are as similar as asked."""
     small, large = sorted((len(a), len(b)))
     if 100 * small < percent * large or not small:
         return False
     common = np.intersect1d(a, b, assume_unique=True)
-    for order in range(3):
-        mine = np.isin(prefix(a, rare, order, percent), common, assume_unique=True)
-        if not mine.any():
-            return False
     return 100 * len(common) >= percent * (len(a) + len(b) - len(common))
 
 
@@ -213,7 +230,9 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
                 "id": chunk.rows.column(0), "n": pa.array(sizes),
                 "token": pa.nulls(len(ids), pa.int64()), "place": pa.nulls(len(ids), pa.int64()),
                 "copy_of": pa.array(copy_of, pa.int64()),
-                "sketch": pa.array([parity(x) for x in each], pa.binary())})
+                "sketch": pa.array([parity(x) for x in each], pa.binary()),
+                **{name: pa.array([marks(prefix(x, rare.value, order, percent)) for x in each],
+                                  pa.binary()) for order, name in enumerate(ORDERS, 1)}})
             if parts:
                 owner = np.concatenate(owners)
                 yield pa.RecordBatch.from_pydict({
@@ -222,12 +241,13 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
                     "token": pa.array(np.concatenate(parts).view(np.int64)),
                     "place": pa.array(np.concatenate(places)),
                     "copy_of": pa.nulls(len(owner), pa.int64()),
-                    "sketch": pa.nulls(len(owner), pa.binary())})
+                    **{name: pa.nulls(len(owner), pa.binary()) for name in ("sketch", *ORDERS)}})
 
     found = scratch.write(source.mapInArrow(
-        tokens, "id long, n long, token long, place long, copy_of long, sketch binary"), "shingle-prefixes")
-    nodes = scratch.write(found.where("token is null").select("id", "n", "copy_of", "sketch"),
-                          "shingle-sets")
+        tokens, "id long, n long, token long, place long, copy_of long, sketch binary, "
+        "second binary, third binary"), "shingle-prefixes")
+    nodes = scratch.write(found.where("token is null").select(
+        "id", "n", "copy_of", "sketch", *ORDERS), "shingle-sets")
     copies = nodes.where("copy_of is not null").select(F.col("id").alias("a"),
                                                        F.col("copy_of").alias("b"))
 
@@ -252,7 +272,8 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
             .groupBy("id").agg(F.max_by("leader", F.struct("m", "leader")).alias("b"))
             .select(F.col("id").alias("a"), "b"))
     best = scratch.write(best, "shingle-candidates")
-    links = scratch.write(copies.union(verified(source, best, rare, words, percent)),
+    both = scratch.write(intersected(nodes, best), "shingle-candidates")
+    links = scratch.write(copies.union(verified(source, both, words, percent)),
                           "shingle-links")
     scratch.drop((nodes, shared, links))
     told = components(links)
@@ -264,8 +285,8 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
               .withColumn("high", F.max("component").over(bucket))
               .withColumn("held", F.count(F.lit(1)).over(bucket))
               .where("low < high").drop("low", "high"))
-    marks = nodes.where("copy_of is null and id is not null").select("id", "n", "sketch")
-    placed = placed.join(marks, ["id", "n"])
+    sketched = nodes.where("copy_of is null and id is not null").select("id", "n", "sketch")
+    placed = placed.join(sketched, ["id", "n"])
     ways = F.ceil(F.col("held") / BLOCK_ROWS)
     dealt = (placed.withColumn("ways", ways)
              .withColumn("block", F.pmod(F.xxhash64("id"), F.col("ways")))
@@ -280,8 +301,8 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
         for batch in batches:
             rows = pa.Table.from_batches([batch])
             rows = rows if held is None else pa.concat_tables([held, rows])
-            marks = np.stack([rows[k].to_numpy() for k in key])
-            change = np.append(True, (marks[:, 1:] != marks[:, :-1]).any(axis=0))
+            keys = np.stack([rows[k].to_numpy() for k in key])
+            change = np.append(True, (keys[:, 1:] != keys[:, :-1]).any(axis=0))
             begin = int(np.flatnonzero(change)[-1])  # the last group may go on
             held = rows.slice(begin)
             yield from paired(rows.slice(0, begin), np.cumsum(change)[:begin])
@@ -303,7 +324,8 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
     apart = dealt.repartition(*key).sortWithinPartitions(*key).mapInArrow(
         meet, "a long, b long").distinct()
     apart = scratch.write(apart, "shingle-pairs")
-    told = components(links.union(verified(source, apart, rare, words, percent)))
+    both = scratch.write(intersected(nodes, apart), "shingle-pairs")
+    told = components(links.union(verified(source, both, words, percent)))
     scratch.drop((nodes, told))
     return nodes.select("id", "n").join(told, "id", "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
@@ -315,22 +337,49 @@ def close(a: str, b: str, percent: int):
     return (100 * F.least(a, b)) >= (percent * F.greatest(a, b))
 
 
-def verified(source: DataFrame, pairs: DataFrame, rare, words: int, percent: int) -> DataFrame:
-    """The pairs ``a, b`` that pass every filter and the similarity.
+def intersected(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs ``a, b`` found under the first order that every other order finds too.
+
+    Marks are parts of tokens, so a pair that shares a token under an order stays.
+    """
+
+    def held(side: str) -> DataFrame:
+        only = _among(pairs, side)
+        names = [f"{x}_{side}" for x in ORDERS]
+
+        def run(batches):
+            for batch in batches:
+                yield pa.RecordBatch.from_arrays(only(batch).columns[:-1], names=[side, *names])
+
+        return nodes.where("id is not null").select("id", *ORDERS).withColumn(
+            "at", _place("id")).mapInArrow(
+            run, ", ".join([f"{side} long", *(f"{x} binary" for x in names)]))
+
+    def check(batches):
+        for batch in batches:
+            good = np.ones(batch.num_rows, dtype=bool)
+            for name in ORDERS:
+                for i in np.flatnonzero(good).tolist():
+                    good[i] = meet_marks(batch[f"{name}_a"][i].as_py(),
+                                         batch[f"{name}_b"][i].as_py())
+            yield batch.select(["a", "b"]).filter(pa.array(good))
+
+    rows = pairs.hint("merge").join(held("a"), "a").hint("merge").join(held("b"), "b")
+    return rows.mapInArrow(check, "a long, b long").distinct()
+
+
+def verified(source: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs ``a, b`` that are as similar as asked.
 
     Compressed texts travel to the pairs, being smaller than their sets.
     """
 
     def held(side: str) -> DataFrame:
-        wanted = _bits(pairs.select(F.col(side).alias("id")))
-        own = source.sparkSession.sparkContext.broadcast(wanted)  # FILTER_BITS bits
+        only = _among(pairs, side)
 
         def run(batches):
             for batch in batches:
-                at = batch.column(2).to_numpy()
-                mask = own.value[at >> 3] >> (at & 7).astype(np.uint8) & 1
-                batch = batch.filter(pa.array(mask.astype(bool)))
-                for chunk in chunks([batch]):
+                for chunk in chunks([only(batch)]):
                     raw, pack = chunk.data.tobytes(), zstandard.ZstdCompressor(3).compress
                     held = [pack(raw[x:y]) for x, y in zip(chunk.starts.tolist(),
                                                            chunk.ends.tolist())]
@@ -353,7 +402,7 @@ def verified(source: DataFrame, pairs: DataFrame, rare, words: int, percent: int
         for batch in batches:
             for at in range(0, batch.num_rows, CHECK_ROWS):
                 some = batch.slice(at, CHECK_ROWS)
-                good = [alike(x, y, rare.value, percent)
+                good = [alike(x, y, percent)
                         for x, y in zip(opened(some.column(2)), opened(some.column(3)))]
                 yield some.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
@@ -362,6 +411,19 @@ def verified(source: DataFrame, pairs: DataFrame, rare, words: int, percent: int
     return rows.select("a", "b", "text_a", "text_b").mapInArrow(check, "a long, b long")
 
 
+def _among(pairs: DataFrame, side: str):
+    """A filter of batches whose last column is the place of an id: ids without a pair go."""
+    wanted = _bits(pairs.select(F.col(side).alias("id")))
+    own = pairs.sparkSession.sparkContext.broadcast(wanted)  # FILTER_BITS bits
+
+    def only(batch: pa.RecordBatch) -> pa.RecordBatch:
+        at = batch.column(batch.num_columns - 1).to_numpy()
+        mask = own.value[at >> 3] >> (at & 7).astype(np.uint8) & 1
+        return batch.filter(pa.array(mask.astype(bool)))
+
+    return only
+
+
 def _place(name: str):
     return F.pmod(F.xxhash64(name), F.lit(FILTER_BITS))
 

@@ -61,6 +61,31 @@ def test_prefixes_meet():
                                       jaccard_join.prefix(b, rare, order, 80)).size
 
 
+def test_marks_meet_where_tokens_do(monkeypatch):
+    rng = np.random.default_rng(5)
+    for few in (0, 8, 256):
+        monkeypatch.setattr(jaccard_join, "FEW_MARKS", few)
+        for n, m in ((1, 1), (5, 40), (300, 12), (300, 400)):
+            a, b, shared = (rng.integers(0, 2**63, k, dtype=np.uint64) for k in (n, m, 1))
+            one, two = (jaccard_join.marks(np.append(x, shared)) for x in (a, b))
+            assert jaccard_join.meet_marks(one, two) and jaccard_join.meet_marks(two, one)
+    apart = [jaccard_join.marks(np.arange(k, k + 9, dtype=np.uint64) << np.uint64(40)) for k in (0, 2**20)]
+    assert not jaccard_join.meet_marks(*apart)
+    empty = jaccard_join.marks(np.zeros(0, np.uint64))
+    assert not jaccard_join.meet_marks(empty, apart[0]) and not jaccard_join.meet_marks(empty, empty)
+
+
+def test_orders_are_intersected(spark):
+    """A pair stays only if both other orders find it; ids that repeat keep a pair once."""
+    mark = lambda *x: jaccard_join.marks(np.array(x, np.uint64) << np.uint64(48))
+    rows = [(1, mark(1, 2), mark(7)), (2, mark(2, 3), mark(7, 8)), (3, mark(2), mark(9)),
+            (4, mark(5), mark(7)), (2, mark(2, 3), mark(7, 8)), (None, mark(1), mark(7))]
+    nodes = spark.createDataFrame(rows, "id long, second binary, third binary")
+    pairs = spark.createDataFrame([(1, 2), (1, 3), (1, 4), (2, 4)], "a long, b long")
+    got = [tuple(r) for r in jaccard_join.intersected(nodes, pairs).collect()]
+    assert got == [(1, 2)]
+
+
 def test_survivors(spark):
     rows = documents()
     df = spark.createDataFrame(rows, SCHEMA)
