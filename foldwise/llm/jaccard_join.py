@@ -206,63 +206,65 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
                                                  F.col(text_col).alias("text"))
     rare = spark.sparkContext.broadcast(rarity(source, "text", words))  # one byte a counter
 
+    def described(batches):
+        for chunk in chunks(batches):
+            each = sets(chunk, words)
+            yield pa.RecordBatch.from_pydict({
+                "id": chunk.rows.column(0),
+                "n": pa.array([len(x) for x in each], pa.int64()),
+                "sketch": pa.array([parity(x) for x in each], pa.binary()),
+                **{name: pa.array([marks(prefix(x, rare.value, order, percent)) for x in each],
+                                  pa.binary()) for order, name in enumerate(ORDERS, 1)}})
+
     def tokens(batches):
         seen: dict[bytes, int] = {}
         for chunk in chunks(batches):
             ids = chunk.rows.column(0).to_pylist()
-            each = sets(chunk, words)
-            copy_of: list[int | None] = [None] * len(ids)
-            parts, owners, places = [], [], []
-            for i, (name, own) in enumerate(zip(ids, each)):
+            parts, owners, places, copy_of = [], [], [], []
+            sizes = np.zeros(len(ids), dtype=np.int64)
+            for i, (name, own) in enumerate(zip(ids, sets(chunk, words))):
                 if name is None or not len(own):
                     continue
                 # Two sums over 64-bit hashes and the size stand for the set.
                 mark = np.array([own.sum(), mix(own).sum(), len(own)], np.uint64).tobytes()
                 first = seen.setdefault(mark, name) if len(seen) < SEEN else seen.get(mark, name)
-                if first != name:
-                    copy_of[i] = first
-                    continue
-                parts.append(prefix(own, rare.value, 0, percent))
-                owners.append(np.full(len(parts[-1]), i))
-                places.append(np.arange(1, len(parts[-1]) + 1))
-            sizes = np.array([len(x) for x in each], dtype=np.int64)
-            yield pa.RecordBatch.from_pydict({
-                "id": chunk.rows.column(0), "n": pa.array(sizes),
-                "token": pa.nulls(len(ids), pa.int64()), "place": pa.nulls(len(ids), pa.int64()),
-                "copy_of": pa.array(copy_of, pa.int64()),
-                "sketch": pa.array([parity(x) for x in each], pa.binary()),
-                **{name: pa.array([marks(prefix(x, rare.value, order, percent)) for x in each],
-                                  pa.binary()) for order, name in enumerate(ORDERS, 1)}})
+                # One row in a bucket of its own tells of a copy, so copies of one text spread.
+                mine = (prefix(own, rare.value, 0, percent) if first == name
+                        else mix(np.array([name], np.int64).view(np.uint64)))
+                sizes[i] = len(own)
+                parts.append(mine)
+                owners.append(np.full(len(mine), i))
+                places.append(np.arange(1, len(mine) + 1))
+                copy_of.extend([first if first != name else None] * len(mine))
             if parts:
                 owner = np.concatenate(owners)
                 yield pa.RecordBatch.from_pydict({
+                    "token": pa.array(np.concatenate(parts).view(np.int64)),
                     "id": chunk.rows.column(0).take(pa.array(owner)),
                     "n": pa.array(sizes[owner]),
-                    "token": pa.array(np.concatenate(parts).view(np.int64)),
                     "place": pa.array(np.concatenate(places)),
-                    "copy_of": pa.nulls(len(owner), pa.int64()),
-                    **{name: pa.nulls(len(owner), pa.binary()) for name in ("sketch", *ORDERS)}})
+                    "copy_of": pa.array(copy_of, pa.int64())})
 
-    found = scratch.write(source.mapInArrow(
-        tokens, "id long, n long, token long, place long, copy_of long, sketch binary, "
-        "second binary, third binary"), "shingle-prefixes")
-    nodes = scratch.write(found.where("token is null").select(
-        "id", "n", "copy_of", "sketch", *ORDERS), "shingle-sets")
-    copies = nodes.where("copy_of is not null").select(F.col("id").alias("a"),
-                                                       F.col("copy_of").alias("b"))
+    # The first tokens, most of which no other text has, go straight into their buckets.
+    nodes = scratch.write(source.mapInArrow(
+        described, "id long, n long, sketch binary, second binary, third binary"), "shingle-sets")
+    found = source.mapInArrow(tokens, "token long, id long, n long, place long, copy_of long")
 
     bucket = Window.partitionBy("token")
     # A row stays if its token can be the first one shared with the smallest set that its
     # size allows in the bucket.
     partner = F.greatest(F.min("n").over(bucket), F.expr(f"({percent} * n + 99) div 100"))
     need = F.expr(f"({percent} * (n + partner) + {99 + percent}) div {100 + percent}")
-    shared = (found.where("token is not null").select("token", "id", "n", "place")
-              .withColumn("leader", F.min(F.struct("id", "n")).over(bucket))
+    shared = (found.withColumn("leader", F.min(F.struct("id", "n")).over(bucket))
               .withColumn("last", F.max("id").over(bucket)).withColumn("partner", partner)
-              .where((F.col("leader.id") < F.col("last")) & (F.col("place") <= F.col("n") - need + 1))
-              .select("token", "id", "n", "place", F.col("leader.id").alias("leader"),
+              .where(F.col("copy_of").isNotNull()
+                     | (F.col("leader.id") < F.col("last")) & (F.col("place") <= F.col("n") - need + 1))
+              .select("token", "id", "n", "place", "copy_of", F.col("leader.id").alias("leader"),
                       F.col("leader.n").alias("leader_n")))
     shared = scratch.write(shared, "shingle-buckets")
+    copies = shared.where("copy_of is not null").select(F.col("id").alias("a"),
+                                                        F.col("copy_of").alias("b"))
+    shared = shared.where("copy_of is null")
     scratch.drop((nodes, shared))
 
     # First every text against one other.
@@ -285,7 +287,7 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
               .withColumn("high", F.max("component").over(bucket))
               .withColumn("held", F.count(F.lit(1)).over(bucket))
               .where("low < high").drop("low", "high"))
-    sketched = nodes.where("copy_of is null and id is not null").select("id", "n", "sketch")
+    sketched = nodes.where("id is not null").select("id", "n", "sketch")
     placed = placed.join(sketched, ["id", "n"])
     ways = F.ceil(F.col("held") / BLOCK_ROWS)
     dealt = (placed.withColumn("ways", ways)
