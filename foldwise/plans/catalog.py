@@ -24,7 +24,7 @@ from foldwise.operators.ordering import dense_position
 from foldwise.operators.table import ModelTable, fit_preparation, prepare_training
 from foldwise.plans import bindings as b
 from foldwise.plans import report
-from foldwise.plans.pipeline import score, train_and_evaluate
+from foldwise.plans.pipeline import FOLD_TABLE, score, train_and_evaluate
 from foldwise.sources import outputs, store
 from foldwise.sources.settle import shared_folder, write_table
 from foldwise.sources.tables import read_csv, read_table
@@ -399,6 +399,25 @@ def run_preprocessing_page(spark, folder):
     return store.read_report(finished_run(spark, folder), "preprocessing_page")
 
 
+@query
+def run_fold_table(spark, folder):
+    """The fold table file of a run."""
+    run = store.current_run(finished_run(spark, folder))
+    path = f"{run}/{FOLD_TABLE}"
+    names = spark.read.option("header", True).csv(path).columns
+    whole = ("fold key (o_year)", "train epochs count")
+    table = read_csv(spark, path, {
+        c: int if c in whole else str if c.endswith("size") else float for c in names})
+    return rounded(table, **{c: 0 for c in names if "loss" in c})
+
+
+@query
+def run_summary_page(spark, folder):
+    """The first page of a run, but for the time it took."""
+    page = store.read_report(finished_run(spark, folder), "summary_page")
+    return page.where("key <> 'pipeline execution duration'")
+
+
 @query
 def run_importance(spark, folder):
     """Importance of the number among the features, over all rows of the run."""

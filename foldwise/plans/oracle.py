@@ -386,6 +386,31 @@ def oracle_sql() -> dict[str, str]:
         UNION ALL SELECT 'imputation funnel', concat(
                '100.00% rows remained after the imputation funnel (before: ',
                {_comma('count(*)')}, ' | after: ', {_comma('count(*)')}, ')') FROM orders_all""")
+    out["run_fold_table"] = _with(["ols_folds"], f"""
+        SELECT CAST(fold AS BIGINT) AS "fold key (o_year)",
+               {_comma('train_rows')} AS "train set size",
+               {_comma('evaluation_rows')} AS "evaluation set size",
+               CAST(1 AS BIGINT) AS "train epochs count",
+               round(train_mse, 0) AS "train set model loss (MSE)",
+               round(train_rmse, 3) AS "train set model RMSE",
+               round(evaluation_mse, 0) AS "evaluation set model loss (MSE)",
+               round(evaluation_rmse, 3) AS "evaluation set model RMSE",
+               round(baseline_mse, 0) AS "guess evaluation set loss (MSE)",
+               round(baseline_rmse, 3) AS "guess evaluation set RMSE" FROM ols_folds""")
+    guess = "guess (train set target mean) evaluation sets RMSE"
+    raised = "(folds NOT BETWEEN 3 AND 30)::INT + (balance <> 'relatively_balanced')::INT"
+    out["run_summary_page"] = _with(["ols_folds", "stats"], f"""
+        {_mean_std('evaluation_rmse', 'K fold model evaluation sets RMSE')}
+        UNION ALL {_mean_std('train_rmse', 'K fold model train sets RMSE')}
+        UNION ALL {_mean_std('baseline_rmse', guess)}
+        UNION ALL SELECT 'preprocessed dataset size', concat({_comma('count(*)')}, ' rows, ',
+                         4 + count(DISTINCT c_mktsegment), ' columns') FROM orders_all
+        UNION ALL SELECT 'evaluation folds count', CAST(folds AS VARCHAR) FROM stats
+                  WHERE task = 'orders'
+        UNION ALL SELECT 'warnings raised', CASE WHEN {raised} = 0 THEN 'No'
+                         ELSE concat('Yes (', {raised}, ' in total)') END FROM stats
+                  WHERE task = 'orders'
+        UNION ALL SELECT 'global random seed', '{SEED}'""")
     out["run_importance"] = f"""{all_rows}
         SELECT 'c_acctbal' AS feature,
                round(avg(abs((SELECT b FROM s) * (x - (SELECT avg(x) FROM folded)))), 3)
@@ -460,7 +485,6 @@ def oracle_sql() -> dict[str, str]:
                CASE WHEN {_REMAINING} < 95 THEN 'Yes (1 in total)' ELSE 'No' END FROM dirty
         UNION ALL SELECT 'split setup', 'by the key column ''o_year'''
         UNION ALL SELECT 'metric', 'Huber'""")
-    guess = "guess (train set target mean) evaluation sets RMSE"
     out["summary_page"] = _with(["ols_folds", "stats"], f"""
         {_mean_std('evaluation_rmse', 'K fold model evaluation sets RMSE')}
         UNION ALL {_mean_std('train_rmse', 'K fold model train sets RMSE')}
