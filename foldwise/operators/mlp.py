@@ -1,10 +1,18 @@
 """Dense network regressor trained in parallel over the partitions of a table.
 
-In each epoch every worker runs mini-batch steps over its partitions, starting from
-the same weights, and the results are averaged by row count (parameter averaging).
-With one partition that is ordinary mini-batch training. Rows are dealt and ordered by a
-hash before the first epoch, so the order of the table does not matter. Only the weights
-travel through the driver; their size depends on the layers, never on the data.
+Two ways to train:
+
+* averaged (the default): in each epoch every worker runs mini-batch steps over its
+  partitions, starting from the same weights, and the results are averaged by row count. With
+  one partition that is ordinary mini-batch training.
+* synchronous: rows are dealt to the steps of an epoch by a hash; in a step all tasks take
+  the gradient at the same weights, the sums are added up, and the weights move once. The
+  outcome is that of one machine, however many partitions there are.
+
+Rows are dealt and ordered by a hash before the first epoch, so the order of the table does
+not matter; equal rows share a step. Sums of many tasks are added in two steps, one at a time.
+Only weights and gradients travel through the driver; their size depends on the layers, never
+on the data.
 """
 
 from __future__ import annotations
@@ -28,6 +36,7 @@ from pyspark.sql import types as T
 from foldwise.errors import DataError
 from foldwise.functions.metrics import METRICS
 from foldwise.functions.names import q
+from foldwise.operators.linear import PARTIAL_SCHEMA, merge_partials
 from foldwise.sources.settle import write_table
 
 # Layers and rates of the default network, constants of the step rule.
@@ -37,7 +46,8 @@ BATCH_ROWS = 32
 BETA_1, BETA_2, EPSILON = 0.9, 0.999, 1e-7
 
 _CHUNK = 1 << 16
-_STATE_SCHEMA = "chunk int, rows bigint, steps bigint, loss double, state array<float>"
+# Rows whose activations a synchronous task holds at once.
+_BLOCK_ROWS = 1024
 
 
 def _slices(sizes: Sequence[int]) -> list[tuple[slice, slice, int, int]]:
@@ -86,7 +96,7 @@ def _gradient(flat: np.ndarray, sizes: Sequence[int], x: np.ndarray, y: np.ndarr
               mask: np.ndarray | None) -> tuple[np.ndarray, float]:
     acts = forward(flat, sizes, x, mask)
     value, slope = _loss_and_slope(acts[-1][:, 0] - y, loss)
-    back, grad = (slope / len(y))[:, None].astype(np.float32), np.empty_like(flat)
+    back, grad = (slope / len(y))[:, None].astype(flat.dtype), np.empty_like(flat)
     layers = _slices(sizes)
     for i in range(len(layers) - 1, -1, -1):
         w, b, rows, cols = layers[i]
@@ -100,13 +110,41 @@ def _gradient(flat: np.ndarray, sizes: Sequence[int], x: np.ndarray, y: np.ndarr
     return grad, float(value.sum())
 
 
+def _move(state: Sequence[np.ndarray], grad: np.ndarray, step: int, settings: dict) -> None:
+    """One step of the optimizer: weights and running moments change in place."""
+    flat, first, second = state
+    if settings["optimizer"] == "adam":
+        first += (1 - BETA_1) * (grad - first)
+        second += (1 - BETA_2) * (grad * grad - second)
+        scale = settings["rate"] * np.sqrt(1 - BETA_2 ** step) / (1 - BETA_1 ** step)
+        grad = scale * first / (np.sqrt(second) + EPSILON)
+    else:
+        grad = settings["rate"] * grad
+    flat -= grad.astype(flat.dtype)
+
+
+def _chunked(n: int, s: Sequence[float], values: np.ndarray) -> Iterator[pd.DataFrame]:
+    """Rows for ``merge_partials``, a chunk of the values each."""
+    for chunk, at in enumerate(range(0, len(values), _CHUNK)):
+        yield pd.DataFrame({"by": [f"{chunk:06d}"], "n": [n], "s": [list(s)],
+                            "g": [values[at:at + _CHUNK].astype(np.float64)]})
+
+
+def _merged(parts: DataFrame) -> tuple[int, np.ndarray, np.ndarray] | None:
+    """Rows, sums and long sum of all tasks; None if no task had a row."""
+    rows = merge_partials(parts).orderBy("by").collect()
+    if not rows:
+        return None
+    return rows[0]["n"], np.asarray(rows[0]["s"]), np.concatenate([r["g"] for r in rows])
+
+
 def _train_partition(batches: Iterator[pd.DataFrame], state, sizes, settings: dict
                      ) -> Iterator[pd.DataFrame]:
-    flat, first, second = (v.copy() for v in np.split(state.value, 3))
+    own = [v.copy() for v in np.split(state.value, 3)]
     steps, rows, total = settings["steps"], 0, 0.0
     rng = np.random.default_rng(
         [settings["seed"], settings["epoch"], TaskContext.get().partitionId()])
-    rate, dropout = settings["rate"], settings["dropout"]
+    dropout = settings["dropout"]
     for batch in batches:
         if batch.empty:
             continue
@@ -119,31 +157,46 @@ def _train_partition(batches: Iterator[pd.DataFrame], state, sizes, settings: di
             if dropout:
                 shape = (len(at), sizes[-2])
                 mask = ((rng.random(shape) >= dropout) / (1.0 - dropout)).astype(np.float32)
-            grad, value = _gradient(flat, sizes, xs[at], ys[at], settings["loss"], mask)
+            grad, value = _gradient(own[0], sizes, xs[at], ys[at], settings["loss"], mask)
             steps += 1
-            if settings["optimizer"] == "adam":
-                first += (1 - BETA_1) * (grad - first)
-                second += (1 - BETA_2) * (grad * grad - second)
-                scale = rate * np.sqrt(1 - BETA_2 ** steps) / (1 - BETA_1 ** steps)
-                flat -= (scale * first / (np.sqrt(second) + EPSILON)).astype(np.float32)
-            else:
-                flat -= (rate * grad).astype(np.float32)
+            _move(own, grad, steps, settings)
             total += value
             rows += len(at)
-    if not rows:
-        return
-    out = np.concatenate([flat, first, second])
-    for chunk, at in enumerate(range(0, len(out), _CHUNK)):
-        yield pd.DataFrame({"chunk": [chunk], "rows": [rows], "steps": [steps], "loss": [total],
-                            "state": [out[at:at + _CHUNK]]})
+    if rows:
+        yield from _chunked(rows, [total, float(steps) * rows],
+                            rows * np.concatenate(own).astype(np.float64))
 
 
-def _average(group: pd.DataFrame) -> pd.DataFrame:
-    weight = group["rows"].to_numpy(np.float64)
-    mean = np.average(np.stack(group["state"]), axis=0, weights=weight)
-    return pd.DataFrame({"chunk": [group["chunk"].iloc[0]], "rows": [int(weight.sum())],
-                         "steps": [group["steps"].max()], "loss": [group["loss"].sum()],
-                         "state": [mean.astype(np.float32)]})
+def _spread_bits(x: np.ndarray) -> np.ndarray:
+    """A well-mixed 64-bit number for each one (finalizer of a published generator)."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def dropout_mask(keys: np.ndarray, units: int, share: float, salt: int) -> np.ndarray:
+    """Scales of hidden units per row, following from the row's key and the salt alone."""
+    rows = _spread_bits(keys.astype(np.uint64) + _spread_bits(np.array([salt % 2 ** 64], np.uint64)))
+    drawn = _spread_bits(rows[:, None] + _spread_bits(np.arange(1, units + 1, dtype=np.uint64)))
+    return ((drawn >> np.uint64(11)) * 2.0 ** -53 >= share) / (1.0 - share)
+
+
+def _step_sums(batches: Iterator[pd.DataFrame], weights, sizes, settings: dict
+               ) -> Iterator[pd.DataFrame]:
+    """Sum of the gradients of all rows of a task, at the same weights, in 64 bits."""
+    total, rows, loss = np.zeros_like(weights.value), 0, 0.0
+    for batch in batches:
+        for a in range(0, len(batch), _BLOCK_ROWS):
+            some = batch.iloc[a:a + _BLOCK_ROWS]
+            x, y = np.stack(some["x"]).astype(np.float64), some["y"].to_numpy(np.float64)
+            mask = dropout_mask(some["key"].to_numpy(np.int64), sizes[-2], settings["dropout"],
+                                settings["salt"]) if settings["dropout"] else None
+            grad, value = _gradient(weights.value, sizes, x, y, settings["loss"], mask)
+            total += grad * len(y)
+            rows += len(y)
+            loss += value
+    if rows:
+        yield from _chunked(rows, [loss], total)
 
 
 class _NetParams(HasFeaturesCol, HasLabelCol, HasPredictionCol, HasMaxIter, HasSeed, HasStepSize):
@@ -160,6 +213,8 @@ class _NetParams(HasFeaturesCol, HasLabelCol, HasPredictionCol, HasMaxIter, HasS
                      TypeConverters.toInt)
     workers = Param(Params._dummy(), "workers", "most partitions trained side by side",
                     TypeConverters.toInt)
+    synchronous = Param(Params._dummy(), "synchronous", "whether all tasks share every step, of "
+                        "batchSize rows in all", TypeConverters.toBoolean)
     validationIndicatorCol = Param(Params._dummy(), "validationIndicatorCol",
                                    "boolean column of held-out rows", TypeConverters.toString)
 
@@ -170,13 +225,14 @@ class DenseRegressor(Estimator, _NetParams):
     @keyword_only
     def __init__(self, *, hidden=DEFAULT_HIDDEN, dropout=DEFAULT_DROPOUT, batchSize=BATCH_ROWS,
                  workers=256, maxIter=100, stepSize=0.001, loss="mse", metric="",
-                 optimizer="adam", seed=0, patience=10):
+                 optimizer="adam", seed=0, patience=10, synchronous=False):
         super().__init__()
         self._setDefault(featuresCol="features", labelCol="label", predictionCol="prediction")
         self._set(**{k: list(v) if k == "hidden" else v for k, v in self._input_kwargs.items()})
         for name, value in dict(hidden=list(hidden), dropout=dropout, batchSize=batchSize,
                                 workers=workers, maxIter=maxIter, stepSize=stepSize, loss=loss,
-                                metric=metric, optimizer=optimizer, seed=seed, patience=patience).items():
+                                metric=metric, optimizer=optimizer, seed=seed, patience=patience,
+                                synchronous=synchronous).items():
             if not self.isSet(name):
                 self._set(**{name: value})
 
@@ -184,7 +240,6 @@ class DenseRegressor(Estimator, _NetParams):
         return self.getOrDefault(self.getParam(name))
 
     def _fit(self, dataset: DataFrame) -> DenseRegressorModel:
-        sc = dataset.sparkSession.sparkContext
         held_col = (self._get("validationIndicatorCol")
                     if self.isDefined("validationIndicatorCol") else None)
         held = q(held_col) if held_col else F.lit(False)
@@ -194,29 +249,30 @@ class DenseRegressor(Estimator, _NetParams):
         seed, loss, metric = int(self._get("seed") or 0), self._get("loss"), self._get("metric")
         mixed = F.xxhash64("x", "y", F.lit(seed))
         spread = min(self._get("workers"), max(1, dataset.rdd.getNumPartitions()))
-        train = write_table(rows.where(~F.col("held")).select("x", "y").repartition(spread, mixed)
-                            .sortWithinPartitions(mixed), "network-rows")
+        train = write_table(rows.where(~F.col("held")).select("x", "y", mixed.alias("key"))
+                            .repartition(spread, "key").sortWithinPartitions("key"),
+                            "network-rows")
         head = train.first()
         if head is None:
             raise DataError("the network has no row to train on")
         sizes = [len(head["x"]), *self._get("hidden"), 1]
         measures = dict.fromkeys(m for m in (loss, metric) if m)
         flat = initial_weights(sizes, seed)
-        state, steps, history, best, stale = np.concatenate([flat, flat * 0, flat * 0]), 0, [], \
-            np.inf, 0
+        settings = dict(seed=seed, steps=0, loss=loss, rate=self.getStepSize(),
+                        dropout=self._get("dropout"), batch=self._get("batchSize"),
+                        optimizer=self._get("optimizer"))
+        state = np.concatenate([flat, flat * 0, flat * 0])
+        run_epoch = self._averaged_epoch
+        if self._get("synchronous"):
+            run_epoch, state = self._synchronous_epoch, state.astype(np.float64)
+            deal = max(1, -(-train.count() // settings["batch"]))
+            train = write_table(train.withColumn("step", F.pmod(F.hash("key"), F.lit(deal)))
+                                .sortWithinPartitions("step", "key"), "network-steps")
+            settings["deal"] = deal
+        history, best, stale = [], np.inf, 0
         for epoch in range(1, self.getMaxIter() + 1):
-            shared = sc.broadcast(state)
-            settings = dict(seed=seed, epoch=epoch, steps=steps, loss=loss, rate=self.getStepSize(),
-                            dropout=self._get("dropout"), batch=self._get("batchSize"),
-                            optimizer=self._get("optimizer"))
-            chunks = (train.mapInPandas(
-                partial(_train_partition, state=shared, sizes=sizes, settings=settings),
-                _STATE_SCHEMA).groupBy("chunk").applyInPandas(_average, _STATE_SCHEMA)
-                .orderBy("chunk").collect())
-            shared.unpersist()
-            state = np.concatenate([np.asarray(c["state"], dtype=np.float32) for c in chunks])
-            steps = chunks[0]["steps"]
-            mean = chunks[0]["loss"] / chunks[0]["rows"]
+            settings["epoch"] = epoch
+            state, mean = run_epoch(train, state, sizes, settings)
             history.append((epoch, loss, "train", float(np.sqrt(mean) if loss == "rmse" else mean)))
             if held_col is None and len(measures) == 1:
                 continue
@@ -232,8 +288,37 @@ class DenseRegressor(Estimator, _NetParams):
                 break
         return self._model(np.split(state, 3)[0], sizes, history)
 
+    def _averaged_epoch(self, train: DataFrame, state: np.ndarray, sizes: list[int],
+                        settings: dict) -> tuple[np.ndarray, float]:
+        """State after an epoch of separate steps, and the mean loss met on the way."""
+        shared = train.sparkSession.sparkContext.broadcast(state)
+        n, (loss, steps), total = _merged(train.select("x", "y").mapInPandas(
+            partial(_train_partition, state=shared, sizes=sizes, settings=settings),
+            PARTIAL_SCHEMA))
+        shared.destroy()
+        settings["steps"] = round(steps / n)
+        return (total / n).astype(np.float32), loss / n
+
+    def _synchronous_epoch(self, train: DataFrame, state: np.ndarray, sizes: list[int],
+                           settings: dict) -> tuple[np.ndarray, float]:
+        """State after an epoch whose steps all tasks share, and the mean loss met on the way."""
+        own, rows, loss = list(np.split(state.copy(), 3)), 0, 0.0
+        for step in range(settings["deal"]):
+            shared = train.sparkSession.sparkContext.broadcast(own[0])
+            now = settings | {"salt": settings["seed"] * 1_000_003 + settings["steps"]}
+            found = _merged(train.where(F.col("step") == step).select("x", "y", "key").mapInPandas(
+                partial(_step_sums, weights=shared, sizes=sizes, settings=now), PARTIAL_SCHEMA))
+            shared.destroy()
+            if found is None:  # the hash dealt no row to this step
+                continue
+            n, sums, total = found
+            settings["steps"] += 1
+            _move(own, total / n, settings["steps"], settings)
+            rows, loss = rows + n, loss + sums[0]
+        return np.concatenate(own), loss / rows
+
     def _model(self, flat: np.ndarray, sizes: list[int], history: list) -> DenseRegressorModel:
-        return self._copyValues(DenseRegressorModel(flat, sizes, history))
+        return self._copyValues(DenseRegressorModel(flat.astype(np.float32), sizes, history))
 
 
 class DenseRegressorModel(Model, _NetParams):

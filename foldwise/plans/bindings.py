@@ -103,3 +103,7 @@ DOCUMENTS = Task(documents, FeaturesConfig("n_chars", (
 
 PART = Task(part, FeaturesConfig("p_retailprice", (
     numeric("p_size"), categorical("p_brand", rare_below_pct=4.0))), "p_type", ("p_partkey",))
+
+
+#: Epochs and rate of the linear network trained by shared steps.
+DESCENT_EPOCHS, DESCENT_RATE = 6, 0.05

@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -645,6 +646,20 @@ def network_training_curves(spark, folder):
         hidden=[16], dropout=0.0, batchSize=256), 2)
 
 
+@query
+def network_descent(spark, folder):
+    """Losses of a network without hidden layer under shared steps over all rows."""
+    rows = read_table(spark, folder, "lineitem").select(
+        F.array((q("l_discount") * 10).cast("double")).alias("x"),
+        (q("l_quantity") / 50).cast("double").alias("label"))
+    model = DenseRegressor(hidden=[], dropout=0.0, batchSize=1 << 40, maxIter=b.DESCENT_EPOCHS,
+                           stepSize=b.DESCENT_RATE, optimizer="sgd", seed=SEED,
+                           synchronous=True).fit(
+        rows.select(array_to_vector("x").alias("features"), "label"))
+    history = [(epoch, value) for epoch, _, _, value in model.history]
+    return rounded(spark.createDataFrame(history, "epoch int, loss double"), loss=6)
+
+
 @query
 def shapley_importance(spark, folder):
     params = b.SEGMENTS.params(_trees, seed=SEED, epochs=3)

@@ -6,6 +6,9 @@ Spark plan: theta joins for the train side, closed forms for least squares.
 
 from __future__ import annotations
 
+from foldwise.operators.mlp import initial_weights
+from foldwise.plans import bindings as b
+
 SEED = 42
 
 _CTES = {
@@ -599,6 +602,20 @@ def oracle_sql() -> dict[str, str]:
                          ORDER BY ln * l * l + (an - ln) * r * r DESC, q) AS place FROM r)
         SELECT fold, round(base, 4) AS base, q AS threshold, CAST(ln AS BIGINT) AS left_rows,
                round(l, 4) AS left_step, round(r, 4) AS right_step FROM k WHERE place = 1""")
+    out["network_descent"] = f"""
+        WITH RECURSIVE m AS (
+            SELECT count(*)::DOUBLE AS n, sum(x) AS sx, sum(y) AS sy, sum(x * x) AS xx,
+                   sum(x * y) AS xy, sum(y * y) AS yy
+            FROM (SELECT (l_discount * 10)::DOUBLE AS x, (l_quantity / 50)::DOUBLE AS y
+                  FROM lineitem)),
+        g AS (SELECT 1 AS epoch, {float(initial_weights([1, 1], SEED)[0])!r}::DOUBLE AS w,
+                     0::DOUBLE AS c
+              UNION ALL
+              SELECT epoch + 1, w - {b.DESCENT_RATE} * 2 * (w * xx + c * sx - xy) / n,
+                     c - {b.DESCENT_RATE} * 2 * (w * sx + c * n - sy) / n
+              FROM g, m WHERE epoch < {b.DESCENT_EPOCHS})
+        SELECT epoch, round((w * w * xx + c * c * n + yy + 2 * w * c * sx - 2 * w * xy
+                             - 2 * c * sy) / n, 6) AS loss FROM g, m"""
     out["profile_alerts"] = _with(["dirty"], """
         , c AS (SELECT 'o_orderkey' AS "column", CAST(o_orderkey AS VARCHAR) AS v FROM dirty
                 UNION ALL SELECT 'o_totalprice', CAST(o_totalprice AS VARCHAR) FROM dirty

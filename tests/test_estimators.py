@@ -1,6 +1,7 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import (GBTRegressor, LinearRegression, LinearRegressionModel,
                                    RandomForestRegressor)
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from foldwise.config import FOLD_COLUMN, EarlyStopping, FoldSplit, Optimizer, Tr
 from foldwise.errors import ConfigError
 from foldwise.operators import baseline, cv, explain
 from foldwise.operators.linear import LeastSquaresModel
-from foldwise.operators.mlp import DenseRegressorModel
+from foldwise.operators.mlp import DenseRegressorModel, dropout_mask, initial_weights
 from foldwise.operators.table import ModelTable
 
 FEATURES = ("a", "b", "c")
@@ -102,6 +103,58 @@ def test_network_averages_partitions(table):
     assert values[-1] < values[0]
 
 
+def shared_steps(**more):
+    return DenseRegressor(synchronous=True, seed=5, **more)
+
+
+def made_up(spark, partitions: int, n: int = 600):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(n, 3))
+    rows = [(Vectors.dense(a), float(a @ [3.0, -2.0, 0.5] + 1 + a[0] * a[1])) for a in x]
+    return spark.createDataFrame(rows, ["features", "label"]).repartition(partitions)
+
+
+def test_shared_steps_do_not_depend_on_partitions(spark):
+    """Several steps an epoch, with dropout: same weights and losses for 1 and 7 partitions."""
+    one, seven = (shared_steps(hidden=[12, 8], dropout=0.3, batchSize=100, maxIter=3)
+                  .fit(made_up(spark, k)) for k in (1, 7))
+    np.testing.assert_allclose(one.flat, seven.flat, atol=1e-6)
+    np.testing.assert_allclose([h[3] for h in one.history], [h[3] for h in seven.history],
+                               rtol=1e-6)
+
+
+def test_shared_full_steps_are_gradient_descent(spark):
+    data = made_up(spark, 3)
+    model = shared_steps(hidden=[6], dropout=0.0, batchSize=10_000, maxIter=4, optimizer="sgd",
+                         stepSize=0.05).fit(data)
+    pdf = data.toPandas()
+    x, y = np.stack([v.toArray() for v in pdf["features"]]), pdf["label"].to_numpy()
+    flat = initial_weights([3, 6, 1], 5).astype(float)
+    for epoch in range(4):
+        w, b, v, c = flat[:18].reshape(3, 6), flat[18:24], flat[24:30], flat[30]
+        h = np.maximum(x @ w + b, 0)
+        away = h @ v + c - y
+        assert model.history[epoch][3] == pytest.approx(np.mean(away ** 2))
+        back = 2 * away[:, None] / len(y) * v * (h > 0)
+        flat = flat - 0.05 * np.concatenate([(x.T @ back).ravel(), back.sum(0),
+                                             2 * h.T @ away / len(y), [2 * away.mean()]])
+    np.testing.assert_allclose(model.flat, flat, atol=1e-6)
+
+
+def test_default_layers_take_shared_steps(spark):
+    model = shared_steps(batchSize=400, maxIter=2).fit(made_up(spark, 2, 800))
+    assert model.sizes == [3, 512, 1024, 1024, 1] and np.isfinite(model.flat).all()
+    assert model.history[1][3] < model.history[0][3]
+
+
+def test_dropout_mask_follows_from_the_key():
+    keys = np.arange(-2000, 2000)
+    mask = dropout_mask(keys, 50, 0.4, 9)
+    assert set(np.unique(mask)) == {0.0, 1 / 0.6} and abs((mask == 0).mean() - 0.4) < 0.01
+    np.testing.assert_array_equal(mask[7:9], dropout_mask(keys[7:9], 50, 0.4, 9))
+    assert (mask != dropout_mask(keys, 50, 0.4, 10)).mean() > 0.4
+
+
 def test_permutation_shapley_of_a_linear_model(table):
     """Exact for a linear model whatever the permutations: w * (x - background mean)."""
     weights = [3.0, -2.0, 0.5]
