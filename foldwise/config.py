@@ -176,6 +176,10 @@ class Optimizer:
                  "the learning rate must be positive")
 
 
+#: How a run's profile tells values apart: all are counted, or mergeable summaries are kept.
+PROFILE_VALUES = ("counted", "sketched")
+
+
 @dataclass(frozen=True)
 class TrainParams:
     estimator_builder: Callable[[int], Any]
@@ -188,6 +192,7 @@ class TrainParams:
     seed: int | None = None
     silent: bool = True
     profile: bool = True
+    profile_values: str = "counted"
 
     def __post_init__(self) -> None:
         _require(callable(self.estimator_builder), "model_builder must be callable")
@@ -198,6 +203,8 @@ class TrainParams:
         for role, name in (("loss_function", self.loss), ("evaluation_metric", self.metric)):
             _require(name in METRIC_NAMES, f"{role} must be one of {METRIC_NAMES}, got {name!r}")
         _require(self.seed is None or _is_int(self.seed), "random_seed must be an integer")
+        _require(self.profile_values in PROFILE_VALUES,
+                 f"profile_values must be one of {PROFILE_VALUES}, got {self.profile_values!r}")
 
     @property
     def hash_seed(self) -> int:
@@ -228,6 +235,7 @@ _PARAM_KEYS = {
     "random_seed": "seed",
     "silent_models_fitting": "silent",
     "create_dataset_eda_reports": "profile",
+    "profile_values": "profile_values",
 }
 
 

@@ -342,9 +342,13 @@ def blank_cells(df: DataFrame) -> DataFrame:
     return missing_by_column(df, df.columns)
 
 
-def alerts(df: DataFrame, counts: ValueCounts | None = None) -> DataFrame:
-    """``(column, alert)``: constant, unique, missing or many zeros."""
-    facts = variables(df, counts=counts)
+def alerts(df: DataFrame, counts: ValueCounts | None = None, facts: DataFrame | None = None
+           ) -> DataFrame:
+    """``(column, alert)``: constant, unique, missing or many zeros.
+
+    ``facts`` are rows like those of :func:`variables`, where these are at hand.
+    """
+    facts = variables(df, counts=counts) if facts is None else facts
     if numeric_columns(df):
         zeros = _by_column(df, numeric_columns(df), {"zeros": "count_if(value = 0)"})
         facts = facts.join(F.broadcast(zeros), "column", "left")

@@ -18,7 +18,7 @@ from foldwise.functions.hashing import hash_bucket
 from foldwise.functions.metrics import all_metrics
 from foldwise.functions.names import q, qs
 from foldwise.operators import (baseline, boosting, cv, encode, explain, folds, linear, prepare,
-                                profile, quality, tree_paths)
+                                profile, quality, summaries, tree_paths)
 from foldwise.operators.boosting import BoostedTreesRegressor
 from foldwise.operators.mlp import DenseRegressor
 from foldwise.operators.ordering import dense_position
@@ -568,6 +568,36 @@ def profile_extremes(spark, folder):
     return profile.extreme_values(_lineitem_numbers(spark, folder), 5)
 
 
+_HEAVY = ["l_returnflag", "l_linenumber", "l_quantity", "l_linestatus", "l_partkey", "l_shipdate"]
+
+
+@query
+def profile_heavy_values(spark, folder):
+    """Few counters, so that some columns lose counts and some are counted whole."""
+    df = read_table(spark, folder, "lineitem").select(*_HEAVY)
+    return summaries.heavy_values(df, 3, counters=32)
+
+
+@query
+def profile_extremes_by_task(spark, folder):
+    return summaries.extreme_values(_lineitem_numbers(spark, folder), 5)
+
+
+@query
+def profile_distinct_sketches(spark, folder):
+    """Sketches of three parts of a table, merged; estimates next to the exact counts."""
+    df = read_table(spark, folder, "lineitem")
+    parts = [summaries.distinct_sketches(df.where(F.col("l_returnflag") == flag).select(*_HEAVY))
+             for flag in ("A", "N", "R")]
+    near = summaries.variables(summaries.merged_sketches(parts)).withColumnRenamed(
+        "distinct", "estimate")
+    exact = profile.variables(df.select(*_HEAVY)).select("column", "distinct")
+    off = F.abs(F.col("estimate") - F.col("distinct"))
+    return near.join(exact, "column").select(
+        "column", "count", "missing", "distinct",
+        (off <= 0.04 * F.col("distinct")).alias("estimate_is_near"))
+
+
 @query
 def profile_text_lengths(spark, folder):
     df = read_table(spark, folder, "documents").select("text", "lang", "source")

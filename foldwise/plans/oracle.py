@@ -552,6 +552,22 @@ def oracle_sql() -> dict[str, str]:
                                           ORDER BY count(*) DESC, category) AS rank
                 FROM order_cats GROUP BY feature, category)
         SELECT * FROM r WHERE rank <= 3""")
+    heavy = """
+        WITH c AS (""" + " UNION ALL ".join(f"""
+            SELECT '{c}' AS "column", CAST({t} AS VARCHAR) AS value FROM lineitem"""
+            for c, t in {"l_returnflag": "l_returnflag", "l_linenumber": "l_linenumber::DOUBLE",
+                         "l_quantity": "l_quantity::DOUBLE", "l_linestatus": "l_linestatus",
+                         "l_partkey": "l_partkey::DOUBLE", "l_shipdate": "l_shipdate"
+                         }.items()) + ")"
+    out["profile_heavy_values"] = heavy + """
+        , r AS (SELECT "column", value, count(*) AS count, row_number() OVER (
+                    PARTITION BY "column" ORDER BY count(*) DESC, value) AS rank
+                FROM c WHERE value IS NOT NULL GROUP BY "column", value)
+        SELECT * FROM r WHERE rank <= 3"""
+    out["profile_distinct_sketches"] = heavy + """
+        SELECT "column", count(value) AS count, count(*) - count(value) AS missing,
+               count(DISTINCT value) AS distinct, true AS estimate_is_near
+        FROM c GROUP BY "column\""""
     out["profile_extremes"] = _with(["numbers"], """
         , f AS (SELECT "column", v AS value, count(*) AS count FROM numbers GROUP BY "column", v),
         r AS (SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY value) AS a,
@@ -631,4 +647,5 @@ def oracle_sql() -> dict[str, str]:
         UNION ALL SELECT "column", 'zeros' FROM s WHERE z::DOUBLE / n > 0.1""")
     for name in ("profile_quantiles", "profile_shape"):
         out[f"{name}_ranges"] = out[name]
+    out["profile_extremes_by_task"] = out["profile_extremes"]
     return out

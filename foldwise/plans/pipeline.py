@@ -20,7 +20,7 @@ from foldwise.config import (FOLD_COLUMN, TARGET_COLUMN, FeaturesConfig, TrainPa
 from foldwise.errors import ConfigError, DataError
 from foldwise.functions.names import q, qs, quoted
 from foldwise.functions.text import duration_text, warning_count_text
-from foldwise.operators import cv, encode, explain, folds, prepare, profile, quality
+from foldwise.operators import cv, encode, explain, folds, prepare, profile, quality, summaries
 from foldwise.operators.linear import LeastSquaresModel, linear_prediction
 from foldwise.operators.table import VECTOR_COLUMN, ModelTable, Preparation, fit_preparation
 from foldwise.operators.tree_paths import TREE_MODELS, tree_attribution, tree_importance
@@ -154,11 +154,17 @@ def _run(df: DataFrame, features: FeaturesConfig, params: TrainParams, out_path:
     if params.profile:
         sources = {"input": prepare.profiled_columns(source, required),
                    "prepared": table.full_dataset}
-        counts = {s: profile.value_counts(data).written() for s, data in sources.items()}
+        if params.profile_values == "sketched":
+            tell = {s: keep(f"profile_{s}_distinct_sketches", summaries.distinct_sketches(data))
+                    for s, data in sources.items()}
+            section = summaries.section
+        else:
+            tell = {s: profile.value_counts(data).written() for s, data in sources.items()}
+            section = profile.section
 
         def write_section(source_name: str, name: str) -> None:
             keep(f"profile_{source_name}_{name}",
-                 profile.section(name, sources[source_name], counts[source_name]))
+                 section(name, sources[source_name], tell[source_name]))
 
         sections = [(s, n) for s, data in sources.items() for n in profile.section_names(data)]
         with ThreadPoolExecutor(max_workers=parallel_fits) as pool:

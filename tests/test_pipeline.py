@@ -4,6 +4,7 @@ import pytest
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import functions as F
 
+from foldwise.operators import summaries
 from foldwise import ConfigError, DataError, StoreError, score, train_and_evaluate
 from foldwise.operators.table import Preparation
 from foldwise.sources import store
@@ -137,3 +138,14 @@ def test_csv_types(spark, tmp_path):
         read_csv(spark, str(tmp_path / "t"), {"nope": str})
     with pytest.raises(ValueError, match="format"):
         write(df, str(tmp_path / "u"), "xml")
+
+
+def test_a_run_can_keep_sketches(raw, tmp_path):
+    run = train_and_evaluate(raw, FEATURES, params(lambda n: LinearRegression()) | dict(
+        profile_values="sketched"), str(tmp_path / "sketched"))
+    kept = run.tables["profile_input_distinct_sketches"]
+    both = summaries.variables(summaries.merged_sketches([kept, kept]))
+    one = {r["column"]: r for r in run.tables["profile_input_variables"].collect()}
+    assert all(r["distinct"] == one[r["column"]]["distinct"]
+               and r["count"] == 2 * one[r["column"]]["count"] for r in both.collect())
+    assert run.tables["profile_input_top_values"].count() > 0

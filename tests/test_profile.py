@@ -1,8 +1,10 @@
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
-from foldwise.operators import profile
+from foldwise.operators import profile, summaries
 
 
 @pytest.fixture(scope="module")
@@ -90,3 +92,53 @@ def test_missing_patterns(spark):
     assert pairs == {("a", "b b"): (2, 3), ("a", "c"): (0, 2), ("b b", "c"): (0, 3)}
     assert profile.missing_patterns(df.where("false")).count() == 0
     assert profile.missing_together(df.select("a")).count() == 0
+
+
+@pytest.mark.parametrize("counters", [3, 7, 4096])
+def test_heavy_values_are_exact(spark, counters):
+    """Skewed, even, unique and empty columns, whatever a summary can hold."""
+    rng = np.random.default_rng(1)
+    n = 3000
+    pdf = pd.DataFrame({"skew": rng.zipf(1.6, n).clip(max=200).astype(str),
+                        "it's.even": rng.integers(0, 40, n), "id": np.arange(n),
+                        "none": pd.Series([None] * n, dtype=object),
+                        "gaps": np.where(rng.random(n) < 0.3, None, rng.choice(["a", "b"], n))})
+    schema = "skew string, `it's.even` bigint, id bigint, none string, gaps string"
+    df = spark.createDataFrame(pdf, schema).repartition(5)
+    got = summaries.heavy_values(df, 4, counters)
+    assert {tuple(r) for r in got.select("column", "value", "count", "rank").collect()} == {
+        tuple(r) for r in profile.top_values(df, 4).select("column", "value", "count", "rank")
+        .collect()}
+    assert summaries.heavy_values(df.where("false"), 4, counters).count() == 0
+
+
+def test_summary_keeps_its_bound():
+    rng = np.random.default_rng(2)
+    values = rng.zipf(1.3, 20_000).clip(max=5000).astype(str)
+    batches = [pa.RecordBatch.from_pydict({"c0": pa.array(values[a:a + 500])})
+               for a in range(0, len(values), 500)]
+    out = pd.concat(b.to_pandas() for b in summaries._frequent(iter(batches), 50))
+    lost = int(out["n"][out["value"].isna()].iloc[0])
+    held, true = out.dropna().set_index("value")["n"], pd.Series(values).value_counts()
+    assert len(held) <= 50 and 0 < lost <= len(values) / 51
+    gap = true - held.reindex(true.index).fillna(0)
+    assert gap.min() >= 0 and gap.max() <= lost
+
+
+def test_extremes_and_alerts_from_summaries(df):
+    ids = df.withColumn("id", F.monotonically_increasing_id())
+    for near, exact in ((summaries.extreme_values(ids, 3), profile.extreme_values(ids, 3)),
+                        (summaries.alerts(ids, summaries.distinct_sketches(ids)),
+                         profile.alerts(ids))):
+        assert {tuple(r) for r in near.collect()} == {tuple(r) for r in
+                                                      exact.select(*near.columns).collect()}
+
+
+def test_sketches_merge(spark):
+    df = spark.range(60_000).select((F.col("id") % 20_000).alias("a"),
+                                    F.when(F.col("id") % 2 == 0, "x").alias("b"))
+    parts = [summaries.distinct_sketches(df.where(F.pmod(F.hash("a"), F.lit(3)) == i))
+             for i in range(3)]
+    got = {r["column"]: r for r in summaries.variables(summaries.merged_sketches(parts)).collect()}
+    assert abs(got["a"]["distinct"] - 20_000) < 800 and got["b"]["distinct"] == 1
+    assert got["b"]["missing"] == 30_000 and got["a"]["count"] == 60_000
