@@ -22,11 +22,13 @@ _SCHEMA = "part int, place int, n binary"
 
 
 def summed(source: DataFrame, make: Callable[[Iterator[pa.RecordBatch]], np.ndarray],
-           size: int, parts: int, kind: str, fan_in: int = FAN_IN) -> np.ndarray:
+           size: int, parts: int, kind: str, fan_in: int = FAN_IN, tasks: int | None = None
+           ) -> np.ndarray:
     """Add the arrays that ``make`` returns for the batches of each task.
 
     ``kind`` is the little-endian element type the tasks send; sums are 64-bit. A table without
-    rows or tasks gives zeros.
+    rows or tasks gives zeros. ``tasks`` tells how many there are; unless given, ``source`` is
+    planned once more to know. It only balances the tree: a task beyond it is still added.
     """
     step = -(-size // parts)
     wide = "<f8" if np.dtype(kind).kind == "f" else "<i8"
@@ -39,8 +41,7 @@ def summed(source: DataFrame, make: Callable[[Iterator[pa.RecordBatch]], np.ndar
             if held.any():
                 yield _row(i, place, held.astype(kind))
 
-    # The count only balances the tree; a task beyond it would still be added.
-    tasks = source.rdd.getNumPartitions()
+    tasks = source.rdd.getNumPartitions() if tasks is None else tasks
     sums = added(source.mapInArrow(send, _SCHEMA), tasks, parts, kind, wide, fan_in)[-1]
     out = np.zeros(size, dtype=wide)
     for r in sums.toArrow().to_pylist():

@@ -103,7 +103,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str =
             total[-2:] += marked.sum(), (~marked).sum()
         return total
 
-    known = screened(summed(rows, count, 2 * size + 2, 16, "<u4"))
+    # The join with few rows keeps the tasks of the scan.
+    tasks = source.rdd.getNumPartitions()
+    known = screened(summed(rows, count, 2 * size + 2, 16, "<u4", tasks=tasks))
     shared = spark.sparkContext.broadcast(known)  # one byte a feature
 
     def run(batches):
