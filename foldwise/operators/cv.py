@@ -20,9 +20,11 @@ from foldwise.functions.names import q, qs, text_literal
 from foldwise.functions.text import capped
 from foldwise.operators import linear
 from foldwise.operators.baseline import baseline_by_fold, train_means
-from foldwise.operators.boosting import BoostedTreesRegressor, grow
+from foldwise.operators.boosting import (BoostedTreesRegressor, BoostedTreesRegressorModel,
+                                         fold_errors, grow)
 from foldwise.operators.folds import fold_sizes, holdout
 from foldwise.operators.table import VECTOR_COLUMN, ModelTable, with_vector
+from foldwise.operators.tree_paths import weighted_trees
 from foldwise.sources.settle import Settled, in_this_context, write_table
 
 PREDICTION = "prediction"
@@ -34,6 +36,8 @@ _LINEAR_LOSSES = {"mse": "squaredError", "rmse": "squaredError", "huber_loss": "
 _TREE_LOSSES = {"mse": "squared", "rmse": "squared", "mae": "absolute"}
 _PLAIN_LOSSES = ("mse", "rmse")
 _CURVE_LIMIT = 1.5
+# Models whose rounds are judged from their trees.
+_ROUNDS = (GBTRegressionModel, BoostedTreesRegressorModel)
 
 HISTORY_SCHEMA = "fold string, epoch int, measure string, group string, value double"
 GUESS_SCHEMA = "fold string, measure string, guess double"
@@ -282,7 +286,9 @@ def cross_validate(table: ModelTable, params: TrainParams, parallel_fits: int =
 
     Plain least squares takes the one-pass route. The models of ``BoostedTreesRegressor`` grow
     together, a scan serving all folds. Any other estimator is fitted per fold; fits run side
-    by side. Each model's errors on both sides come from one pass over its predictions.
+    by side. Boosted trees, ours and Spark's, are judged together in one scan, round by round
+    where the fit kept no history; any other model's errors on both sides come from one pass
+    over its predictions. The guess lines of all folds take two scans.
     """
     if takes_closed_form(table, params):
         return cross_validate_ols(table)
@@ -300,26 +306,68 @@ def cross_validate(table: ModelTable, params: TrainParams, parallel_fits: int =
         train = vectors.where(q(FOLD_COLUMN) != fold)
         model = together.get(fold) or fit_model(params, train, len(table.features))
         inside = q(FOLD_COLUMN) == fold
+        oof = oof_rows(model.transform(vectors.where(inside)), table.row_id)
+        if isinstance(model, _ROUNDS):
+            return fold, model, oof, None, None
         errors = {r["inside"]: r for r in model.transform(vectors).groupBy(inside.alias("inside"))
                   .agg(F.count("*").alias("n"), *[b(q(TARGET_COLUMN), q(PREDICTION)).alias(m)
                                                   for m, b in METRICS.items()]).collect()}
         result = (fold, errors[False]["n"], errors[True]["n"], epochs_of(model),
                   *[errors[False][m] for m in METRICS], *[errors[True][m] for m in METRICS])
-        oof = oof_rows(model.transform(vectors.where(inside)), table.row_id)
-        history = [(fold, *h) for h in fit_history(model, train, params)]
-        guesses = [(fold, *g) for g in guess_on_train_rows(train, params)] if history else []
-        return result, oof, history, guesses
+        return fold, model, oof, result, fit_history(model, train, params)
 
     with ThreadPoolExecutor(max_workers=parallel_fits) as pool:
         done = list(pool.map(in_this_context(inheritable_thread_target(spark)(run)), folds))
+    judged = {fold: found for at in range(0, len(done), _MODELS_PER_PASS)
+              for fold, found in _rounds_judged(vectors, params, [
+                  d[:2] for d in done[at:at + _MODELS_PER_PASS] if d[3] is None]).items()}
+    found = [judged.get(d[0]) or d[3:] for d in done]
     schema = ("fold string, train_rows bigint, evaluation_rows bigint, train_epochs int, "
               + ", ".join(f"{side}_{m} double" for side in ("train", "evaluation")
                           for m in METRICS))
-    results = spark.createDataFrame([d[0] for d in done], schema)
-    history = spark.createDataFrame([h for d in done for h in d[2]], HISTORY_SCHEMA)
-    guesses = spark.createDataFrame([g for d in done for g in d[3]], GUESS_SCHEMA)
+    results = spark.createDataFrame([r for r, _ in found], schema)
+    history = spark.createDataFrame(
+        [(r[0], *h) for r, rounds in found for h in rounds], HISTORY_SCHEMA)
+    guesses = spark.createDataFrame(
+        guess_on_train_folds(vectors, params, [r[0] for r, rounds in found if rounds]), GUESS_SCHEMA)
     return CrossValidation(results.join(_baseline(table), "fold"),
-                           reduce(DataFrame.unionByName, [d[1] for d in done]), history, guesses)
+                           reduce(DataFrame.unionByName, [d[2] for d in done]), history, guesses)
+
+
+def _means(sums: Sequence[float]) -> list[float]:
+    """Measures in the order of ``METRICS`` from rows and error sums."""
+    n, sq, ab, hu = (float(v) for v in sums)
+    if not n:
+        return [float("nan")] * len(METRICS)
+    return [sq / n, (sq / n) ** 0.5, ab / n, hu / n]
+
+
+def _rounds_judged(vectors: DataFrame, params: TrainParams, models: Sequence[tuple]
+                   ) -> dict[str, tuple]:
+    """``(result, history)`` per fold of ``(fold, model)``, models of boosted trees, in one scan."""
+    if not models:
+        return {}
+    forests = [weighted_trees(m) for _, m in models]
+    held = VALIDATION_COLUMN in vectors.columns
+    sums = fold_errors(vectors, forests, [f for f, _ in models], FOLD_COLUMN, VECTOR_COLUMN,
+                       TARGET_COLUMN, VALIDATION_COLUMN if held else None,
+                       every_round=any(not hasattr(m, "history") for _, m in models))
+    out, names = {}, list(METRICS)
+    for (fold, model), (_, _, trees) in zip(models, forests):
+        last = sums[fold, len(trees)]
+        train, evaluation = last[0] + last[1], last[2]
+        result = (fold, int(train[0]), int(evaluation[0]), epochs_of(model),
+                  *_means(train), *_means(evaluation))
+        if hasattr(model, "history"):
+            out[fold] = result, list(model.history)
+            continue
+        # As the library's own evaluation of each iteration: measures of its tree losses only.
+        out[fold] = result, [
+            (i, measure, group, _means(sums[fold, i][side])[names.index(measure)])
+            for side, group in enumerate(("train", "validation")[:1 + held])
+            for measure in dict.fromkeys((params.loss, params.metric)) if measure in _TREE_LOSSES
+            for i in range(1, len(trees) + 1)]
+    return out
 
 
 def _validation(params: TrainParams, row_id: Sequence[str]) -> list[Column]:
@@ -352,6 +400,25 @@ def guess_on_train_rows(rows: DataFrame, params: TrainParams) -> list[tuple[str,
     return [(m, errors[m]) for m in measures]
 
 
+def guess_on_train_folds(rows: DataFrame, params: TrainParams, folds: Sequence[str]
+                         ) -> list[tuple[str, str, float]]:
+    """``(fold, measure, error)`` as :func:`guess_on_train_rows` gives it on the rows outside of
+    each fold; a mean and an error scan serve up to 32 folds."""
+    held = q(VALIDATION_COLUMN) if VALIDATION_COLUMN in rows.columns else None
+    measures, out = list(dict.fromkeys((params.loss, params.metric))), []
+    for at in range(0, len(folds), _MODELS_PER_PASS):
+        part = folds[at:at + _MODELS_PER_PASS]
+        train = [q(FOLD_COLUMN) != f for f in part]
+        seen = [t if held is None else t & ~held for t in train]
+        judged = [F.when(t if held is None else t & held, q(TARGET_COLUMN)) for t in train]
+        means = rows.agg(*[F.avg(F.when(s, q(TARGET_COLUMN))).alias(f"m{i}")
+                           for i, s in enumerate(seen)]).first()
+        errors = rows.agg(*[METRICS[m](y, F.lit(means[i]).cast("double")).alias(f"{m}{i}")
+                            for i, y in enumerate(judged) for m in measures]).first()
+        out += [(f, m, errors[f"{m}{i}"]) for i, f in enumerate(part) for m in measures]
+    return out
+
+
 def summarise_folds(fold_results: DataFrame) -> DataFrame:
     """Mean and population deviation over folds, each fold weighing the same."""
     measures = [f"{side}_{m}" for side in ("evaluation", "train", "baseline") for m in METRICS]
