@@ -39,7 +39,7 @@ from pyspark.sql import types as T
 from foldwise.errors import DataError
 from foldwise.functions.names import q
 from foldwise.operators.linear import PARTIAL_SCHEMA, merge_partials
-from foldwise.sources.settle import Scratch
+from foldwise.sources.settle import Scratch, spread
 
 #: Rounds between two writes of the predictions, and models that share a scan.
 WRITE_ROUNDS, MODELS_PER_SCAN = 8, 32
@@ -482,8 +482,8 @@ def _grow(dataset, estimator, folds, fold_col):
     base = np.array([m.base for m in growing])
     try:
         # Blocks are dealt evenly, so that every scan has work for all tasks.
-        state = scratch.write(rows.mapInArrow(
-            lambda b: _packed(b, cells, folds, base), _BLOCKS).hint("rebalance"), "boosted-rows")
+        state = scratch.write(spread(rows.mapInArrow(
+            lambda b: _packed(b, cells, folds, base), _BLOCKS)), "boosted-rows")
         schema = state.schema
         for number in range(get("maxIter") + 1):
             for m in growing:

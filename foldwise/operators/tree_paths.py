@@ -9,7 +9,8 @@ which features' conditions a row meets, feature ``j`` gets
 
 since the integral of ``t**s * (1 - t)**(d - 1 - s)`` is the Shapley weight of ``s`` among ``d``.
 The integrand is a polynomial, so Gauss-Legendre points give the integral exactly. A row only
-matters through the conditions it meets; every pattern of them is worked out once per leaf.
+matters through the conditions it meets; every pattern of them is worked out once per leaf, and
+every cell of the thresholds once per tree if they are few.
 
 Attributions of a row sum to its prediction less the expectation. All rows are explained, in
 Arrow batches, with a model's leaves sent to every task.
@@ -40,6 +41,8 @@ TREE_MODELS = (DecisionTreeRegressionModel, GBTRegressionModel, RandomForestRegr
                BoostedTreesRegressorModel)
 #: Features on a path up to which all patterns are worked out beforehand.
 _TABLE_FEATURES = 8
+#: Cells of a tree up to which the attributions of all are worked out beforehand.
+_TABLE_CELLS = 1 << 14
 
 
 def weighted_trees(model: Model) -> tuple[float, list[float], list[Tree]]:
@@ -140,12 +143,45 @@ def paths(weights: Sequence[float], trees: Sequence[Tree]) -> tuple[float, list[
     return expected, out
 
 
-def _explained(batch: pa.RecordBatch, at: int, found: Sequence[Path], width: int) -> np.ndarray:
-    x = (np.stack(batch.column(at).to_numpy(zero_copy_only=False)) if batch.num_rows
-         else np.zeros((0, width)))
-    phi = np.zeros((len(x), width))
-    for path in found:
-        path.add(x, phi)
+class TreeTable:
+    """Attributions of one tree by the cell its thresholds put a row in."""
+
+    def __init__(self, tree: Tree, found: Sequence[Path], width: int):
+        self.features = [int(f) for f in np.unique(tree.feature[tree.feature >= 0])]
+        self.cuts = [np.unique(tree.threshold[tree.feature == f]) for f in self.features]
+        points = np.meshgrid(*[np.append(c, np.inf) for c in self.cuts], indexing="ij")
+        x, phi = np.zeros((points[0].size, width)), np.zeros((points[0].size, width))
+        for f, values in zip(self.features, points):
+            x[:, f] = values.ravel()
+        for path in found:
+            path.add(x, phi)
+        self.phi = np.ascontiguousarray(phi[:, self.features].T)
+
+    def add(self, x: np.ndarray, phi: np.ndarray) -> None:
+        cell = np.zeros(len(x), dtype=np.int64)
+        for f, cuts in zip(self.features, self.cuts):
+            cell *= len(cuts) + 1
+            cell += np.searchsorted(cuts, x[:, f])
+        for f, values in zip(self.features, self.phi):
+            phi[:, f] += values.take(cell)
+
+
+def explainers(weights: Sequence[float], trees: Sequence[Tree], width: int) -> list:
+    """A table per tree that cuts the features into few cells, else its paths."""
+    out = []
+    for weight, tree in zip(weights, trees):
+        found = paths([weight], [tree])[1]
+        cells = np.prod([1.0 + len(np.unique(tree.threshold[tree.feature == f]))
+                         for f in np.unique(tree.feature[tree.feature >= 0])])
+        out += [TreeTable(tree, found, width)] if found and cells <= _TABLE_CELLS else found
+    return out
+
+
+def _explained(batch: pa.RecordBatch, at: int, found: Sequence, width: int) -> np.ndarray:
+    x = batch.column(at).flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+    x, phi = np.asfortranarray(x), np.zeros((len(x), width), order="F")
+    for part in found:
+        part.add(x, phi)
     return phi
 
 
@@ -153,7 +189,7 @@ def tree_attribution(model: Model, table: ModelTable, rows: DataFrame | None = N
     """``(row id, feature, phi)`` for every row of ``rows``, or of the whole table."""
     ids, names, width = list(table.row_id), list(table.features), len(table.features)
     _, weights, trees = weighted_trees(model)
-    _, found = paths(weights, trees)
+    found = explainers(weights, trees, width)
     source = (table.df if rows is None else rows).select(
         *qs(ids), F.array(*[q(c).cast("double") for c in names]).alias("_x"))
 
@@ -178,7 +214,7 @@ def tree_importance(model: Model, table: ModelTable) -> DataFrame:
     """
     names, width = list(table.features), len(table.features)
     _, weights, trees = weighted_trees(model)
-    _, found = paths(weights, trees)
+    found = explainers(weights, trees, width)
     source = table.df.select(F.array(*[q(c).cast("double") for c in names]).alias("_x"))
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -27,7 +27,7 @@ from foldwise.plans import bindings as b
 from foldwise.plans import report
 from foldwise.plans.pipeline import FOLD_TABLE, score, train_and_evaluate
 from foldwise.sources import outputs, store
-from foldwise.sources.settle import shared_folder, write_table
+from foldwise.sources.settle import shared_folder, spread, write_table
 from foldwise.sources.tables import read_csv, read_table
 
 SEED = 42
@@ -735,7 +735,7 @@ def boosted_cv_folds(spark, folder):
 
 def _boosted(spark, folder):
     params = b.ORDERS.params(lambda n: BoostedTreesRegressor(maxDepth=4), seed=SEED, epochs=8)
-    table = model_table(spark, folder, b.ORDERS)
+    table = model_table(spark, folder, b.ORDERS).over(lambda t: write_table(spread(t), "prepared"))
     vectors = cv.training_vectors(table, params)
     return table, vectors, cv.fit_model(params, vectors, len(table.features))
 

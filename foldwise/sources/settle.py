@@ -58,6 +58,14 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` with its rows dealt evenly, for tables that are scanned many times.
+
+    A source of few files or row groups would else leave most tasks of every scan idle.
+    """
+    return df.hint("rebalance")
+
+
 class Scratch:
     """Intermediate tables of one job, deleted when the job no longer reads them."""
 

@@ -6,6 +6,7 @@ from math import factorial
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, RandomForestRegressor
 from pyspark.sql import functions as F
 
@@ -215,3 +216,64 @@ def test_store_and_edges(spark, table, tmp_path):
         fitted(BoostedTreesRegressor(), ModelTable(table.df.where("false"), FEATURES, ("row_id",)))
     with pytest.raises(DataError, match="maxBins"):
         BoostedTreesRegressor(maxBins=300)
+
+
+def test_lookup_equals_walk():
+    """Leaves are read from tables by cell; deep trees, unused features and stumps included."""
+    rng = np.random.default_rng(3)
+    x = rng.integers(0, 9, (500, 5)).astype(float)
+    trees = [boosting.Tree(*(np.array(v) for v in ([-1], [0.0], [-1], [-1], [2.5], [500])))]
+    for size in (3, 41, 160):
+        nodes = [[-1, 0.0, -1, -1, rng.normal(), 1]]
+        while len(nodes) < size:
+            at = rng.choice([i for i, n in enumerate(nodes) if n[0] < 0])
+            nodes[at][:4] = [int(rng.integers(0, 4)), float(rng.integers(0, 9)), len(nodes), len(nodes) + 1]
+            nodes += [[-1, 0.0, -1, -1, rng.normal(), 1] for _ in range(2)]
+        trees.append(boosting.Tree(*(np.array(c) for c in zip(*nodes))))
+    binned, cells = boosting._binned_trees(trees, 5)
+    weights = [0.5, 1.0, -2.0, 0.1]
+    got = boosting.Lookup(binned, boosting._values(trees, weights), cells).add(np.zeros(500), cells.of(x))
+    want = sum(w * t.predict(x) for w, t in zip(weights, trees))
+    np.testing.assert_allclose(got, want, atol=1e-12)
+
+
+def test_rows_of_one_file_are_spread(spark, tmp_path, monkeypatch):
+    """Packed rows are dealt to more than the one task that reads the file."""
+    rows = spark.range(400000).selectExpr("id", "'p' AS fold", "array(pmod(id * 7, 50) * 1.0D) AS x",
+                                         "id % 13 * 1.0D AS y").coalesce(1)
+    rows.write.parquet(f"{tmp_path}/one")
+    data = spark.read.parquet(f"{tmp_path}/one").select(array_to_vector("x").alias("features"), "y", "fold")
+    files, write = [], boosting.Scratch.write
+
+    def counted(self, df, name):
+        out = write(self, df, name)
+        files.append(len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(boosting.Scratch, "write", counted)
+    estimator = BoostedTreesRegressor(maxDepth=1, maxIter=1)._set(labelCol="y")
+    assert len(boosting.grow(data, estimator, [None])[0].trees) == 1
+    assert files[0] > 1
+
+
+def test_equal_cuts_take_the_first(table):
+    """A copy of a feature never wins by the rounding of its sums."""
+    twice = ModelTable(table.df.select("row_id", "y", "a", F.col("a").alias("a2")), ("a", "a2"), ("row_id",))
+    data = with_vector(twice.df, twice.features)
+    model = BoostedTreesRegressor(maxDepth=3, maxIter=4)._set(
+        featuresCol=VECTOR_COLUMN, labelCol="y").fit(data)
+    assert {int(f) for t in model.trees for f in t.feature} == {-1, 0}
+
+
+def test_tables_of_trees_equal_paths(table):
+    model = fitted(BoostedTreesRegressor(maxDepth=4, maxIter=3), table)
+    _, weights, trees = tree_paths.weighted_trees(model)
+    x = np.asfortranarray(table.df.toPandas()[list(FEATURES)].to_numpy())
+    want, got = np.zeros(x.shape), np.zeros(x.shape)
+    for path in tree_paths.paths(weights, trees)[1]:
+        path.add(x, want)
+    parts = tree_paths.explainers(weights, trees, 4)
+    assert all(isinstance(p, tree_paths.TreeTable) for p in parts) and len(parts) == len(trees)
+    for part in parts:
+        part.add(x, got)
+    np.testing.assert_allclose(got, want, atol=1e-12)
