@@ -25,7 +25,7 @@ from foldwise.operators.boosting import (BoostedTreesRegressor, BoostedTreesRegr
 from foldwise.operators.folds import fold_sizes, holdout
 from foldwise.operators.table import VECTOR_COLUMN, ModelTable, with_vector
 from foldwise.operators.tree_paths import weighted_trees
-from foldwise.sources.settle import Settled, in_this_context, write_table
+from foldwise.sources.settle import Settled, in_this_context, spread, write_table
 
 PREDICTION = "prediction"
 VALIDATION_COLUMN = "_validation"
@@ -294,7 +294,7 @@ def cross_validate(table: ModelTable, params: TrainParams, parallel_fits: int =
         return cross_validate_ols(table)
     spark = table.df.sparkSession
     # Written once: k fits of many rounds then read it, and nothing before it.
-    vectors = write_table(training_vectors(table, params), "vectors")
+    vectors = write_table(spread(training_vectors(table, params)), "vectors")
     sizes = fold_sizes(vectors)
     check_folds(sizes.df.limit(2).count())
     folds = [r[0] for r in sizes.df.select(FOLD_COLUMN).orderBy(FOLD_COLUMN).toLocalIterator()]

@@ -26,7 +26,7 @@ from foldwise.operators.table import VECTOR_COLUMN, ModelTable, Preparation, fit
 from foldwise.operators.tree_paths import TREE_MODELS, tree_attribution, tree_importance
 from foldwise.plans import report
 from foldwise.sources import outputs, store
-from foldwise.sources.settle import delete_folder, in_this_context, scratch_tables, write_table
+from foldwise.sources.settle import delete_folder, in_this_context, scratch_tables, spread, write_table
 
 _GENERATED_ID = "_row_id"
 OOF_TABLE = "oof_predictions"
@@ -89,8 +89,9 @@ def _run(df: DataFrame, features: FeaturesConfig, params: TrainParams, out_path:
         tables[name] = spark.read.parquet(f"{run}/report/{name}")
         return tables[name]
 
-    # The source, whatever it is, is read once; only the columns needed are kept.
-    source = write_table(df.select(*qs(dict.fromkeys([*ids, *required]))), "input")
+    # The source, whatever it is, is read once; only the columns needed are kept, and rows are
+    # dealt evenly, since every later step scans this table or one made from it.
+    source = write_table(spread(df.select(*qs(dict.fromkeys([*ids, *required])))), "input")
     funnel = keep("funnel", prepare.funnel(source, required))
     n_rows = funnel.first()["rows_after"]
     if not n_rows:
