@@ -293,12 +293,15 @@ def cross_validate(table: ModelTable, params: TrainParams, parallel_fits: int =
     if takes_closed_form(table, params):
         return cross_validate_ols(table)
     spark = table.df.sparkSession
-    # Written once: k fits of many rounds then read it, and nothing before it.
-    vectors = write_table(spread(training_vectors(table, params)), "vectors")
+    estimator, together = build_estimator(params, len(table.features)), {}
+    # Written once: k fits of many rounds then read it, and nothing before it. Spark's own trees
+    # draw their cuts from a sample by task, so only rows for ours are dealt anew.
+    vectors = training_vectors(table, params)
+    vectors = write_table(spread(vectors) if isinstance(estimator, BoostedTreesRegressor)
+                          else vectors, "vectors")
     sizes = fold_sizes(vectors)
     check_folds(sizes.df.limit(2).count())
     folds = [r[0] for r in sizes.df.select(FOLD_COLUMN).orderBy(FOLD_COLUMN).toLocalIterator()]
-    estimator, together = build_estimator(params, len(table.features)), {}
     if isinstance(estimator, BoostedTreesRegressor):
         together = dict(zip(folds, grow(vectors, estimator, folds, FOLD_COLUMN)))
 

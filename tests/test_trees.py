@@ -240,7 +240,7 @@ def test_lookup_equals_walk():
 def test_rows_of_one_file_are_spread(spark, tmp_path, monkeypatch):
     """Packed rows are dealt to more than the one task that reads the file."""
     rows = spark.range(400000).selectExpr("id", "'p' AS fold", "array(pmod(id * 7, 50) * 1.0D) AS x",
-                                         "id % 13 * 1.0D AS y").coalesce(1)
+                                         "rand(5) AS y").coalesce(1)
     rows.write.parquet(f"{tmp_path}/one")
     data = spark.read.parquet(f"{tmp_path}/one").select(array_to_vector("x").alias("features"), "y", "fold")
     files, write = [], boosting.Scratch.write
@@ -277,3 +277,31 @@ def test_tables_of_trees_equal_paths(table):
     for part in parts:
         part.add(x, got)
     np.testing.assert_allclose(got, want, atol=1e-12)
+
+
+@pytest.mark.parametrize("stopping", [None, EarlyStopping(0.3, 2)], ids=["all", "held"])
+def test_shared_judging_equals_one_by_one(table, stopping):
+    """Errors, rounds and guesses of all fold models from shared scans."""
+    params = TrainParams(estimator_builder=lambda n: GBTRegressor(maxDepth=2), epochs=3, seed=1,
+                         fold_split=FoldSplit(key_column="f"), early_stopping=stopping)
+    rows = cv.training_vectors(table, params)
+    rows.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        models = [(f, cv.fit_model(params, rows.where(F.col(FOLD_COLUMN) != f), 4)) for f in "pq"]
+        judged = cv._rounds_judged(rows, params, models)
+    finally:
+        rows.sparkSession.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    guesses = cv.guess_on_train_folds(rows, params, ["p", "q"])
+    for fold, model in models:
+        train, pdf = rows.where(F.col(FOLD_COLUMN) != fold), model.transform(rows).toPandas()
+        (name, n_train, n_eval, _, *measures), history = judged[fold]
+        away, inside = pdf["prediction"] - pdf["y"], pdf[FOLD_COLUMN] == fold
+        assert (name, n_train, n_eval) == (fold, (~inside).sum(), inside.sum())
+        assert measures[0] == pytest.approx((away[~inside] ** 2).mean())
+        assert measures[4] == pytest.approx((away[inside] ** 2).mean())
+        assert measures[6] == pytest.approx(away[inside].abs().mean())
+        want = cv.fit_history(model, train, params)
+        assert [h[:3] for h in history] == [h[:3] for h in want]
+        assert [h[3] for h in history] == pytest.approx([h[3] for h in want])
+        one = dict(cv.guess_on_train_rows(train, params))
+        assert {m: v for f, m, v in guesses if f == fold} == pytest.approx(one)
