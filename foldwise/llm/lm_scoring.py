@@ -23,7 +23,9 @@ starts.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Iterator
+from dataclasses import dataclass, replace
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -47,10 +49,44 @@ HIDDEN = 16
 ROUNDS = ((0, 1), (1, 4), (4, 16))
 #: Tokens of a first and of a late training step.
 BATCHES, RATE = (512, 16384), 0.1
+#: Bytes of text whose words are counted before they leave a task.
+COUNTED_BYTES = 4 << 20
+#: Odd factor that spreads values over slots.
+SPREAD = np.uint64(0x9E3779B97F4A7C15)
+#: Tokens whose scores are held at once, so that they stay in a core's cache.
+BLOCK = 1024
 #: Size of scores up to which their exponentials need no shift.
 SAFE = 60.0
 
 
+class Places:
+    """Finds values in a fixed list: they are dealt into slots by a product, few to each."""
+
+    def __init__(self, values: np.ndarray, ids: np.ndarray):
+        bits = max(len(values), 1).bit_length() + 3
+        self.shift = np.uint64(64 - bits)
+        slots = self._slot(values)
+        order = np.argsort(slots)
+        counts = np.bincount(slots, minlength=1 << bits)
+        self.starts, self.most = np.cumsum(counts) - counts, int(counts.max())
+        # Beyond the end stands the first value again, so that looking there finds what is there.
+        order = np.append(order, order[:1].repeat(self.most))
+        self.values, self.ids = values[order], ids[order]
+
+    def _slot(self, values: np.ndarray) -> np.ndarray:
+        return (values.view(np.uint64) * SPREAD >> self.shift).view(np.int64)
+
+    def find(self, wanted: np.ndarray) -> np.ndarray:
+        """Id of each wanted value, -1 where there is none."""
+        out = np.full(len(wanted), -1, dtype=np.int32)
+        at = self.starts.take(self._slot(wanted))
+        for _ in range(self.most):
+            hit = self.values.take(at) == wanted
+            out[hit] = self.ids.take(at[hit])
+            at += 1
+        return out
+
+
 @dataclass(frozen=True)
 class Tokens:
     """Hashes of words and keys of pieces, sorted, with the token of each."""
@@ -63,13 +99,13 @@ class Tokens:
     def __len__(self) -> int:
         return len(self.words) + len(self.pieces)
 
+    @cached_property
+    def by_word(self) -> Places:
+        return Places(self.words, self.word_ids)
 
-def find(table: np.ndarray, ids: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """Id of each wanted value, -1 where the sorted table does not hold it."""
-    if not len(table):
-        return np.full(len(wanted), -1, dtype=np.int32)
-    at = np.minimum(np.searchsorted(table, wanted), len(table) - 1)
-    return np.where(table[at] == wanted, ids[at], np.int32(-1))
+    @cached_property
+    def by_piece(self) -> Places:
+        return Places(self.pieces, self.piece_ids)
 
 
 def cut(begin: np.ndarray, end: np.ndarray, size: np.ndarray
@@ -91,20 +127,40 @@ def keys(data: np.ndarray, begin: np.ndarray, end: np.ndarray, first: np.ndarray
     return out
 
 
+def spelled(data: np.ndarray, begin: np.ndarray, end: np.ndarray, first: np.ndarray,
+            known: Tokens, sizes: tuple[int, ...] = PIECES) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens of the pieces of each range, and the range of each; unknown ones are cut again."""
+    begin, end, of, k = cut(begin, end, np.full(len(begin), sizes[0]))
+    first = first[of] * (k == 0)
+    ids = known.by_piece.find(keys(data, begin, end, first))
+    new = np.flatnonzero(ids < 0)
+    if len(new) and sizes[1:]:
+        ids, back = inserted(ids, new, *spelled(data, begin[new], end[new], first[new], known,
+                                                sizes[1:]))
+        of = of[back]
+    return ids, of
+
+
+def inserted(ids: np.ndarray, new: np.ndarray, parts: np.ndarray, of: np.ndarray
+             ) -> tuple[np.ndarray, np.ndarray]:
+    """Ids with the parts of ``new[of]`` in place of each unknown one, and where each was."""
+    n = np.ones(len(ids), dtype=np.int64)
+    n[new] = np.bincount(of, minlength=len(new))
+    back = np.repeat(np.arange(len(ids)), n)
+    out = ids[back]
+    out[out < 0] = parts
+    return out, back
+
+
 def tokens(chunk: Chunk, known: Tokens) -> tuple[np.ndarray, np.ndarray]:
     """Token numbers in order and the number of the text of each."""
     begin, end, text = chunk.words
-    ids = find(known.words, known.word_ids, RangeHash(chunk.lowered).of(begin, end))
-    first = np.ones(len(ids), dtype=np.int64)
-    for size in PIECES:
-        whole = ids >= 0
-        if whole.all():
-            break
-        begin, end, of, k = cut(begin, end, np.where(whole, np.maximum(end - begin, 1), size))
-        first, text, ids = first[of] * (k == 0), text[of], ids[of]
-        new = np.flatnonzero(ids < 0)
-        ids[new] = find(known.pieces, known.piece_ids,
-                        keys(chunk.lowered, begin[new], end[new], first[new]))
+    ids = known.by_word.find(RangeHash(chunk.lowered).of(begin, end))
+    new = np.flatnonzero(ids < 0)
+    if len(new):
+        ids, back = inserted(ids, new, *spelled(chunk.lowered, begin[new], end[new],
+                                                np.ones(len(new), dtype=np.int64), known))
+        text = text[back]
     return ids, text
 
 
@@ -112,13 +168,10 @@ def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``word binary, n long``: how often each word of the corpus occurs."""
 
     def run(batches):
-        for chunk in chunks(batches, text_col):
-            begin, end, _ = chunk.words
-            _, at, n = np.unique(RangeHash(chunk.lowered).of(begin, end), return_index=True,
-                                 return_counts=True)
-            raw = chunk.lowered.tobytes()
-            held = [raw[b:e] for b, e in zip(begin[at].tolist(), end[at].tolist())]
-            yield pa.RecordBatch.from_pydict({"word": pa.array(held, pa.binary()),
+        for chunk in chunks(batches, text_col, COUNTED_BYTES):
+            coded = replace(chunk, data=chunk.lowered).coded_words
+            n = np.bincount(coded.indices.to_numpy(), minlength=len(coded.dictionary))
+            yield pa.RecordBatch.from_pydict({"word": coded.dictionary.cast(pa.binary()),
                                               "n": pa.array(n, pa.int64())})
 
     return (pick(docs, text_col).mapInArrow(run, "word binary, n long")
@@ -194,11 +247,15 @@ def start(cuts: np.ndarray = ONE_EACH, seed: int = 7) -> np.ndarray:
 
 
 def layers(flat: np.ndarray, cuts: np.ndarray = ONE_EACH) -> list[np.ndarray]:
-    """Views of the weights, the beginnings of the classes, and a table for each place."""
+    """Views of the weights, the beginnings of the classes, a table for each place, and which
+    softmax (of each class, and last of the classes) needs its scores shifted."""
     sizes = shapes(cuts)
     ends = np.cumsum([int(np.prod(s)) for s in sizes])[:-1]
     parts = [p.reshape(s) for p, s in zip(np.split(flat, ends), sizes)]
-    return [*parts, cuts, np.matmul(parts[0], parts[1])]
+    most = np.append(np.maximum.reduceat(np.abs(parts[5]).sum(axis=1), cuts[:-1])
+                     + np.maximum.reduceat(np.abs(parts[6]), cuts[:-1]),
+                     np.abs(parts[3]).sum(axis=0).max() + np.abs(parts[4]).max())
+    return [*parts, cuts, np.matmul(parts[0], parts[1]), most > SAFE]  # hidden units reach 1
 
 
 def neighbours(classes: np.ndarray, text: np.ndarray, beyond: int = CLASSES) -> np.ndarray:
@@ -213,17 +270,18 @@ def neighbours(classes: np.ndarray, text: np.ndarray, beyond: int = CLASSES) ->
 
 def _hidden(net: list[np.ndarray], around: np.ndarray) -> np.ndarray:
     tables, bias = net[8], net[2]
-    held = tables[0][around[:, 0]] + bias
+    held = tables[0].take(around[:, 0], axis=0)
+    held += bias
     for k in range(1, len(PLACES)):
-        held += tables[k][around[:, k]]
+        held += tables[k].take(around[:, k], axis=0)
     return np.tanh(held, out=held)
 
 
-def _powers(h: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
-    """Scores of classes or of tokens, shifted only if their exponentials might overflow."""
+def _powers(h: np.ndarray, weights: np.ndarray, bias: np.ndarray, shift: bool) -> np.ndarray:
+    """Scores of classes or of tokens, shifted if their exponentials might overflow."""
     z = h @ weights
     z += bias
-    if np.abs(weights).sum(axis=0).max() + np.abs(bias).max() > SAFE:  # hidden units reach 1
+    if shift:
         z -= z.max(axis=1)[:, None]
     return z
 
@@ -234,70 +292,93 @@ def _sums(z: np.ndarray) -> np.ndarray:
 
 
 def _by_class(net: list[np.ndarray], wanted: np.ndarray):
-    """Class of each token, and the rows of each class with several tokens."""
+    """Places in order of tokens, the class of each in that order, and where the classes begin.
+
+    Members of a class then lie side by side, so that its rows are views."""
     cuts = net[7]
-    of = np.searchsorted(cuts, wanted, side="right") - 1
-    order = np.argsort(of.astype(np.int16), kind="stable")
-    ends = np.cumsum(np.bincount(of, minlength=CLASSES))
-    some = [(c, order[a:b]) for c, (a, b) in enumerate(zip([0, *ends[:-1].tolist()], ends.tolist()))
-            if a < b and cuts[c + 1] - cuts[c] > 1]
-    return of, some
+    order = np.argsort(wanted.astype(np.uint16 if cuts[-1] <= 1 << 16 else np.int32), kind="stable")
+    ends = np.searchsorted(wanted.take(order), cuts)
+    return order, np.repeat(np.arange(CLASSES), np.diff(ends)), ends.tolist()
+
+
+def _blocks(net: list[np.ndarray], ends: list[int]) -> Iterator[tuple[int, int, int, int, int]]:
+    """Class, its tokens, and some of its rows, for each class with several tokens."""
+    cuts = net[7].tolist()
+    for c, (low, high, a, b) in enumerate(zip(cuts, cuts[1:], ends, ends[1:])):
+        if high - low > 1:
+            for at in range(a, b, BLOCK):
+                yield c, low, high, at, min(at + BLOCK, b)
 
 
 def log_likelihood(net: list[np.ndarray], around: np.ndarray, classes: np.ndarray) -> np.ndarray:
     """Log-probability of each token given its neighbours."""
-    out = np.empty(len(classes), dtype=np.float32)
-    of, some = _by_class(net, classes)
-    h = _hidden(net, around)
-    for a in range(0, len(classes), 2048):
-        z = _powers(h[a:a + 2048], net[3], net[4])
-        mine = z[np.arange(len(z)), of[a:a + 2048]]
-        out[a:a + 2048] = mine - np.log(_sums(np.exp(z, out=z)))
-    for c, rows in some:
-        low, high = int(net[7][c]), int(net[7][c + 1])
-        z = _powers(h[rows], net[5][low:high].T, net[6][low:high])
-        mine = z[np.arange(len(z)), classes[rows] - low]
-        out[rows] += mine - np.log(_sums(np.exp(z, out=z)))
+    order, of, ends = _by_class(net, classes)
+    wanted, own = classes.take(order), np.empty(len(classes), dtype=np.float32)
+    h = np.empty((len(classes), HIDDEN), dtype=net[0].dtype)
+    row = np.arange(BLOCK)
+    for a in range(0, len(classes), BLOCK):
+        some = slice(a, a + BLOCK)
+        mine = h[some] = _hidden(net, around.take(order[some], axis=0))
+        z = _powers(mine, net[3], net[4], net[9][-1])
+        own[some] = z[row[:len(z)], of[some]]
+        own[some] -= np.log(_sums(np.exp(z, out=z)))
+    for c, low, high, a, b in _blocks(net, ends):
+        z = _powers(h[a:b], net[5][low:high].T, net[6][low:high], net[9][c])
+        own[a:b] += z[row[:b - a], wanted[a:b] - low]
+        own[a:b] -= np.log(_sums(np.exp(z, out=z)))
+    out = np.empty_like(own)
+    out[order] = own
     return out
 
 
-def _errors(z: np.ndarray, right: np.ndarray, n: int) -> np.ndarray:
-    """Gradient by the scores: probabilities less one at the right place, over ``n``."""
+def _errors(z: np.ndarray, right: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
+    """Turns scores into errors: probabilities less one at the right place, over ``n``, but for
+    a factor of each row, which is returned."""
     np.exp(z, out=z)
-    z *= (1 / (n * _sums(z)))[:, None]
-    z[np.arange(len(z)), right] -= z.dtype.type(1 / n)
-    return z
+    total = _sums(z)
+    z[row[:len(z)], right] -= total
+    return (1 / (n * total))[:, None]
 
 
 def gradient(net: list[np.ndarray], around: np.ndarray, classes: np.ndarray) -> np.ndarray:
     """Mean gradient of the negative log-probability, laid out like the weights."""
     n = len(classes)
-    of, some = _by_class(net, classes)
+    order, of, ends = _by_class(net, classes)
+    around, wanted = around.take(order, axis=0), classes.take(order)
     h = _hidden(net, around)
-    z = _errors(_powers(h, net[3], net[4]), of, n)
-    back = z @ net[3].T
+    back, row = np.empty_like(h), np.arange(BLOCK)
+    choice, choice_bias = np.zeros_like(net[3]), np.zeros_like(net[4])
     members, member_bias = np.zeros_like(net[5]), np.zeros_like(net[6])
-    for c, rows in some:
-        low, high = int(net[7][c]), int(net[7][c + 1])
-        mine = h[rows]
-        y = _errors(_powers(mine, net[5][low:high].T, net[6][low:high]), classes[rows] - low, n)
-        back[rows] += y @ net[5][low:high]
-        members[low:high] = y.T @ mine
-        member_bias[low:high] = y.sum(axis=0)
+    for a in range(0, n, BLOCK):
+        some = slice(a, a + BLOCK)
+        mine = h[some]
+        z = _powers(mine, net[3], net[4], net[9][-1])
+        share = _errors(z, of[some], row, n)
+        np.multiply(z @ net[3].T, share, out=back[some])
+        choice += (mine * share).T @ z
+        choice_bias += share[:, 0] @ z
+    for c, low, high, a, b in _blocks(net, ends):
+        mine, weights = h[a:b], net[5][low:high]
+        z = _powers(mine, weights.T, net[6][low:high], net[9][c])
+        share = _errors(z, wanted[a:b] - low, row, n)
+        back[a:b] += (z @ weights) * share
+        members[low:high] += z.T @ (mine * share)
+        member_bias[low:high] += share[:, 0] @ z
     back *= 1 - h * h
     table, places = np.zeros_like(net[0]), np.empty_like(net[1])
+    units = np.ascontiguousarray(back.T)
     for k in range(len(PLACES)):
         used = np.zeros(len(table), dtype=bool)
         used[around[:, k]] = True
         held = np.flatnonzero(used)
-        at = (np.cumsum(used) - 1)[around[:, k]]
+        at = (np.cumsum(used) - 1).take(around[:, k])
         by_token = np.empty((len(held), HIDDEN), dtype=back.dtype)
         for j in range(HIDDEN):
-            by_token[:, j] = np.bincount(at, weights=back[:, j], minlength=len(held))
+            by_token[:, j] = np.bincount(at, weights=units[j], minlength=len(held))
         table[held] += by_token @ net[1][k].T
         places[k] = net[0][held].T @ by_token
-    return np.concatenate([table.ravel(), places.ravel(), back.sum(axis=0), (h.T @ z).ravel(),
-                           z.sum(axis=0), members.ravel(), member_bias])
+    return np.concatenate([table.ravel(), places.ravel(), back.sum(axis=0), choice.ravel(),
+                           choice_bias, members.ravel(), member_bias])
 
 
 class Trainer:

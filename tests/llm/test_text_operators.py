@@ -270,6 +270,58 @@ def test_lm_context_tells_words_of_one_ending_apart(spark):
     assert right > wrong + 0.05
 
 
+def test_lm_steps_stay_in_cache():
+    """A step over many tokens holds the scores of a block of them, and gives what one sum gives."""
+    import tracemalloc
+
+    rng = np.random.default_rng(5)
+    cuts, n = lm_scoring.classes_of(3000), 16384
+    found = rng.integers(0, 3000, n).astype(np.int32)
+    net = lm_scoring.layers(lm_scoring.start(cuts), cuts)
+    around = lm_scoring.neighbours(found, np.arange(n) // 100, 3000)
+    tracemalloc.start()
+    whole = lm_scoring.gradient(net, around, found)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 4 * n * lm_scoring.CLASSES
+    parts = [lm_scoring.gradient(net, around[a:a + 100], found[a:a + 100]) * (len(found[a:a + 100]) / n)
+             for a in range(0, n, 100)]
+    assert np.abs(whole - sum(parts)).max() < 1e-5
+
+
+def test_lm_shifts_large_scores():
+    """Scores whose exponentials overflow, in the classes and in their members."""
+    rng = np.random.default_rng(6)
+    cuts = lm_scoring.classes_of(2000)
+    found = rng.integers(0, 2000, 300).astype(np.int32)
+    around = lm_scoring.neighbours(found, np.zeros(300), 2000)
+    flat = lm_scoring.start(cuts) * 300
+    steep, exact = (lm_scoring.layers(f, cuts) for f in (flat, flat.astype(float)))
+    assert steep[9].all()
+    got = lm_scoring.log_likelihood(steep, around, found)
+    h = np.tanh(sum(exact[8][k][around[:, k]] for k in range(len(lm_scoring.PLACES))) + exact[2])
+    z = h @ exact[3] + exact[4]
+    of = np.searchsorted(cuts, found, side="right") - 1
+    want = z[np.arange(300), of] - np.logaddexp.reduce(z, axis=1)
+    for i, c in enumerate(of):
+        y = exact[5][cuts[c]:cuts[c + 1]] @ h[i] + exact[6][cuts[c]:cuts[c + 1]]
+        want[i] += y[found[i] - cuts[c]] - np.logaddexp.reduce(y)
+    assert np.allclose(got, want, rtol=1e-3, atol=0.1)
+    assert np.isfinite(lm_scoring.gradient(steep, around, found)).all()
+
+
+def test_lm_finds_tokens_in_few_looks():
+    rng = np.random.default_rng(8)
+    for values in (np.unique(rng.integers(0, 1 << 63, 50_000, dtype=np.uint64)), np.arange(4000),
+                   np.zeros(0, dtype=np.int64)):
+        ids = rng.permutation(len(values)).astype(np.int32)
+        places = lm_scoring.Places(values, ids)
+        assert places.most <= 8
+        wanted = np.append(values[::-1], values[:100] + values.dtype.type(1 << 40))
+        known = dict(zip(values.tolist(), ids.tolist()))
+        assert places.find(wanted).tolist() == [known.get(v, -1) for v in wanted.tolist()]
+
+
 @pytest.mark.parametrize("step", ["quality", "toxic", "lang", "secret", "bpe", "lm"])
 def test_empty_tables(spark, step):
     df = spark.createDataFrame([], SCHEMA)
