@@ -32,10 +32,12 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain, compress, repeat
 from math import ceil
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import xxhash
 import zstandard
@@ -52,7 +54,8 @@ from foldwise.operators.ordering import running_totals
 FRAME_BYTES = 1 << 18
 #: Bytes of text that one file should take; balances tasks only.
 FILE_BYTES = 128 << 20
-#: Pieces of text, and words, a task remembers the ids of; beyond that it forgets all.
+#: Pieces of text, and words, a task remembers the ids of. Beyond that it forgets the pieces
+#: it met once, or all but those at hand, and all words.
 REMEMBERED = 500_000
 #: Bytes of text encoded at once; one longer text is taken whole.
 CHUNK_BYTES = 4 << 20
@@ -228,24 +231,32 @@ class PieceEncoder:
         self.last = np.zeros(self.tokenizer.get_vocab_size() + 1, dtype=bool)
         self.last[last] = True
         self.end = b"" if end is None else np.array([end], "<u4").tobytes()
-        self.pieces: dict[bytes, bytes] = {}
+        # Pieces are numbered as they stand here; their ids lie end to end in ``flat``.
+        self.pieces: dict[bytes, int] = {}
+        self.flat = np.zeros(0, "<u4")
+        self.sizes, self.met = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.words: dict[str, bytes] = {}
 
     def encode(self, chunk: Chunk) -> Iterator[bytes]:
         """Ids of each text and the end id as little-endian unsigned 32-bit integers."""
         coded, text = chunk.coded_words, chunk.words[2]
         met = coded.dictionary.to_pylist()
-        new = [p for p in met if p not in self.pieces]
+        number = np.fromiter(map(self.pieces.get, met, repeat(-1)), np.int64, len(met))
+        new = np.flatnonzero(number < 0)
         if len(self.pieces) + len(new) > REMEMBERED:
-            self.pieces.clear()
-            new = met
+            number = self._forget(number, len(new))
         marked = any(m in chunk.data.tobytes() for m in self.marks)
         for a in range(0, len(new), REMEMBERED // 4):
-            self._learn(new[a:a + REMEMBERED // 4], marked)
-        known = [self.pieces[p] for p in met]
-        size = np.fromiter(map(len, known), np.int64, len(known)) // 4
-        flat = np.frombuffer(b"".join(known), "<u4")
-        start = np.cumsum(size) - size
+            some = new[a:a + REMEMBERED // 4]
+            number[some] = np.arange(len(some)) + len(self.pieces)
+            own = self._learn(coded.dictionary.take(pa.array(some)), marked)
+            self.pieces.update(zip([met[i] for i in some.tolist()], number[some].tolist()))
+            self.flat = np.append(self.flat, np.frombuffer(b"".join(own), "<u4"))
+            self.sizes = np.append(self.sizes, np.fromiter(map(len, own), np.int64, len(own)) // 4)
+            self.met = np.append(self.met, np.zeros(len(own), np.int64))
+        self.met[number] += 1
+        size, flat = self.sizes[number], self.flat
+        start = (np.cumsum(self.sizes) - self.sizes)[number]
         codes = coded.indices.to_numpy()
         upto = np.append(0, np.cumsum(size[codes]))
         at = np.repeat(start[codes] - upto[:-1], size[codes])
@@ -255,40 +266,52 @@ class PieceEncoder:
         for a, b in zip(cuts, cuts[1:]):
             yield ids[a:b].tobytes() + self.end
 
-    def _learn(self, pieces: list[bytes], marked: bool) -> None:
-        cut, words = self.cut, []
-        plain: set[str] = set()
-        other: set[str] = set()
-        for t in [p.decode() for p in pieces]:
-            if marked or not (t.isascii() and t.isprintable()):
-                words.append(t)
-                other.add(t)
-            elif self.letters_stay and t.isalpha():
-                words.append(t := t.lower())
-                plain.add(t)
-            else:
-                words.append(own := cut(t.lower()))
-                plain.update(own)
-        if not self.last.any():
-            other |= plain
-            plain = set()
-        new, odd = ([w for w in some if w not in self.words] for some in (plain, other))
-        if len(self.words) + len(new) + len(odd) > REMEMBERED:
-            self.words.clear()
-            new, odd = list(plain), list(other)
-        self._ask(new, " ")
+    def _forget(self, number: np.ndarray, new: int) -> np.ndarray:
+        """Keep pieces that are wanted now or were met again; returns the numbers they have then."""
+        known = number >= 0
+        kept = self.met > 1
+        kept[number[known]] = True
+        if kept.sum() + new > REMEMBERED:
+            kept[:] = False
+            kept[number[known]] = True
+        self.pieces = {p: i for i, p in enumerate(compress(self.pieces, kept.tolist()))}
+        self.flat = self.flat[np.repeat(kept, self.sizes)]
+        self.sizes, self.met = self.sizes[kept], self.met[kept] // 2
+        return np.where(known, (np.cumsum(kept) - 1)[number], -1) if len(kept) else number
+
+    def _learn(self, pieces: pa.LargeBinaryArray, marked: bool) -> np.ndarray:
+        """The ids of each piece, as bytes."""
+        text = pieces.cast(pa.large_string())
+        plain = pc.and_(pc.string_is_ascii(text), pc.ascii_is_printable(text)).to_numpy(False)
+        plain &= not marked and self.last.any()
+        letters = plain & pc.ascii_is_alpha(text).to_numpy(False) & self.letters_stay
+        whole = pc.ascii_lower(text.filter(pa.array(letters))).to_pylist()
+        mixed = list(map(self.cut, pc.ascii_lower(text.filter(pa.array(plain & ~letters))).to_pylist()))
+        self._remember({*whole, *chain.from_iterable(mixed)})
+        known = self.words.__getitem__
+        out = np.empty(len(pieces), dtype=object)
+        out[letters] = list(map(known, whole))
+        out[plain & ~letters] = [b"".join(map(known, own)) for own in mixed]
+        odd = text.filter(pa.array(~plain)).to_pylist()
         if marked or not self.mark:
-            alone = {w for w in odd if not self.mark or self.mark in w}
-            for w in alone:
-                self.words[w] = self._ids(w).tobytes()
-            odd = [w for w in odd if w not in alone]
-        self._ask(odd, self.mark)
-        known = self.words
-        for piece, own in zip(pieces, words):
-            self.pieces[piece] = known[own] if type(own) is str else b"".join([known[w] for w in own])
-
-    def _ask(self, words: list[str], between: str) -> None:
+            alone = [not self.mark or self.mark in t for t in odd]
+            together = iter(self._ask([t for t, one in zip(odd, alone) if not one], self.mark))
+            out[~plain] = [self._ids(t).tobytes() if one else next(together)
+                           for t, one in zip(odd, alone)]
+        else:
+            out[~plain] = self._ask(odd, self.mark)
+        return out
+
+    def _remember(self, words: set[str]) -> None:
+        new = [w for w in words if w not in self.words]
+        if len(self.words) + len(new) > REMEMBERED:
+            self.words.clear()
+            new = list(words)
+        self.words.update(zip(new, self._ask(new, " ")))
+
+    def _ask(self, words: list[str], between: str) -> list[bytes]:
         """Encode many words in one call, cut where a word ends or at the mark between them."""
+        out: list[bytes] = []
         for a in range(0, len(words), TOGETHER):
             some = words[a:a + TOGETHER]
             ids = self._ids(between.join(some))
@@ -301,8 +324,8 @@ class PieceEncoder:
                 begins = np.append(0, ends[:-1])
             if len(ends) != len(some):
                 raise ValueError("the vocabulary does not cut these words as its pattern does")
-            for word, b, e in zip(some, (4 * begins).tolist(), (4 * ends).tolist()):
-                self.words[word] = raw[b:e]
+            out += [raw[b:e] for b, e in zip((4 * begins).tolist(), (4 * ends).tolist())]
+        return out
 
     def _ids(self, text: str) -> np.ndarray:
         found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)

@@ -180,6 +180,29 @@ def test_token_files_round_trip(spark, tmp_path):
     assert again.files.agg(F.sum("n_tokens")).first()[0] == start
 
 
+def test_token_files_keep_pieces_met_again(monkeypatch):
+    """Frequent pieces are asked for a few times only, however many rare ones pass by."""
+    import pyarrow as pa
+    from foldwise.llm.textbytes import chunks
+
+    monkeypatch.setattr(token_files, "REMEMBERED", 400)
+    rng = random.Random(21)
+    letters = "abcdefghijklmnopqrstuvwxyzäß"
+    common = sorted({"".join(rng.choices(letters, k=7)) for _ in range(150)})
+    texts = [" ".join(rng.sample(common, len(common)) + ["".join(rng.choices(letters, k=9)) for _ in range(100)]
+                      + ["Ab,Cd", "x<|endoftext|>y" if i % 10 == 9 else "z"]) for i in range(30)]
+    with open(word_vocabulary(), encoding="utf-8") as f:
+        encoder = token_files.PieceEncoder(f.read(), 2)
+    asked, ask = Counter(), encoder._ask
+    monkeypatch.setattr(encoder, "_ask", lambda words, between: asked.update(words) or ask(words, between))
+    rows = pa.RecordBatch.from_pydict({"text": pa.array([*texts, "", " \n"])})
+    got = [ids for chunk in chunks([rows], limit=2000) for ids in encoder.encode(chunk)]
+    want = encoded(list(enumerate([*texts, "", " \n"])))
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in got] == list(want.values())
+    assert len(encoder.pieces) == len(encoder.sizes) <= 400 and len(encoder.flat) == encoder.sizes.sum()
+    assert sum(asked[w] for w in common) <= 3 * len(common)
+
+
 def test_token_files_open_only_frames_they_need(spark, tmp_path):
     rows = token_rows()
     data = token_files.write(spark.createDataFrame(rows, SCHEMA), word_vocabulary(), str(tmp_path / "ids"),
