@@ -40,6 +40,8 @@ from foldwise.llm.textbytes import Chunk, RangeHash, chunks, pick
 SHARE, LEAST = 1e-5, 5
 #: Bytes of the pieces of other words, tried in turn; single bytes always are tokens.
 PIECES = (4, 2, 1)
+#: Bits of four bytes that belong to a piece, by its length.
+KEPT = np.array([0xFFFFFFFF ^ 0xFFFFFFFF >> 8 * k for k in range(PIECES[0] + 1)])
 #: Classes of tokens.
 CLASSES = 96
 #: Places a token is predicted from, and hidden units.
@@ -55,6 +57,8 @@ COUNTED_BYTES = 4 << 20
 SPREAD = np.uint64(0x9E3779B97F4A7C15)
 #: Tokens whose scores are held at once, so that they stay in a core's cache.
 BLOCK = 1024
+#: Rows of scores are summed by a product with these.
+ONES = np.ones(1 << 12, dtype=np.float32)
 #: Size of scores up to which their exponentials need no shift.
 SAFE = 60.0
 
@@ -68,7 +72,8 @@ class Places:
         slots = self._slot(values)
         order = np.argsort(slots)
         counts = np.bincount(slots, minlength=1 << bits)
-        self.starts, self.most = np.cumsum(counts) - counts, int(counts.max())
+        self.starts, self.counts = np.cumsum(counts) - counts, counts.astype(np.int32)
+        self.most = int(counts.max())
         # Beyond the end stands the first value again, so that looking there finds what is there.
         order = np.append(order, order[:1].repeat(self.most))
         self.values, self.ids = values[order], ids[order]
@@ -77,13 +82,19 @@ class Places:
         return (values.view(np.uint64) * SPREAD >> self.shift).view(np.int64)
 
     def find(self, wanted: np.ndarray) -> np.ndarray:
-        """Id of each wanted value, -1 where there is none."""
-        out = np.full(len(wanted), -1, dtype=np.int32)
-        at = self.starts.take(self._slot(wanted))
-        for _ in range(self.most):
-            hit = self.values.take(at) == wanted
-            out[hit] = self.ids.take(at[hit])
-            at += 1
+        """Id of each wanted value, -1 where there is none.
+
+        After the first look only those are sought whose slot holds more."""
+        slot = self._slot(wanted)
+        at = self.starts.take(slot)
+        out = self.ids.take(at)
+        left = np.flatnonzero(self.values.take(at) != wanted)
+        out[left] = -1
+        for k in range(1, self.most):
+            left = left[self.counts.take(slot.take(left)) > k]
+            next_at = at.take(left) + k
+            hit = self.values.take(next_at) == wanted.take(left)
+            out[left[hit]] = self.ids.take(next_at[hit])
         return out
 
 
@@ -120,11 +131,10 @@ def cut(begin: np.ndarray, end: np.ndarray, size: np.ndarray
 
 def keys(data: np.ndarray, begin: np.ndarray, end: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Number of each piece of up to four bytes: bytes, length, whether it begins a word."""
-    out = (end - begin) * 2 + first
-    for k in range(PIECES[0]):
-        at = np.minimum(begin + k, max(len(data) - 1, 0))
-        out = out << 8 | np.where(begin + k < end, data[at], 0)
-    return out
+    padded = np.append(data, np.zeros(PIECES[0], dtype=np.uint8))
+    four = np.ndarray(len(data) + 1, ">u4", padded, strides=(1,))[begin].astype(np.int64)
+    size = end - begin
+    return size * 2 + first << 32 | four & KEPT.take(size)
 
 
 def spelled(data: np.ndarray, begin: np.ndarray, end: np.ndarray, first: np.ndarray,
@@ -246,16 +256,20 @@ def start(cuts: np.ndarray = ONE_EACH, seed: int = 7) -> np.ndarray:
                            else np.zeros(s[0]) for s in shapes(cuts)]).astype(np.float32)
 
 
-def layers(flat: np.ndarray, cuts: np.ndarray = ONE_EACH) -> list[np.ndarray]:
-    """Views of the weights, the beginnings of the classes, a table for each place, and which
-    softmax (of each class, and last of the classes) needs its scores shifted."""
+def layers(flat: np.ndarray, cuts: np.ndarray = ONE_EACH, tables: bool = True
+           ) -> list[np.ndarray]:
+    """Views of the weights, the beginnings of the classes, a table for each place (only for
+    other readers of a network), which softmax (of each class, and last of the classes) needs
+    its scores shifted, and the weights of the classes and of the tokens, each with its biases."""
     sizes = shapes(cuts)
-    ends = np.cumsum([int(np.prod(s)) for s in sizes])[:-1]
-    parts = [p.reshape(s) for p, s in zip(np.split(flat, ends), sizes)]
-    most = np.append(np.maximum.reduceat(np.abs(parts[5]).sum(axis=1), cuts[:-1])
+    ends = np.cumsum([int(np.prod(s)) for s in sizes])
+    parts = [p.reshape(s) for p, s in zip(np.split(flat, ends[:-1]), sizes)]
+    most = np.append(np.maximum.reduceat(_sums(np.abs(parts[5])), cuts[:-1])
                      + np.maximum.reduceat(np.abs(parts[6]), cuts[:-1]),
                      np.abs(parts[3]).sum(axis=0).max() + np.abs(parts[4]).max())
-    return [*parts, cuts, np.matmul(parts[0], parts[1]), most > SAFE]  # hidden units reach 1
+    return [*parts, cuts, np.matmul(parts[0], parts[1]) if tables else None,
+            most > SAFE,  # hidden units reach 1
+            flat[ends[2]:ends[4]].reshape(-1, CLASSES), np.column_stack(parts[5:7])]
 
 
 def neighbours(classes: np.ndarray, text: np.ndarray, beyond: int = CLASSES) -> np.ndarray:
@@ -269,18 +283,22 @@ def neighbours(classes: np.ndarray, text: np.ndarray, beyond: int = CLASSES) ->
 
 
 def _hidden(net: list[np.ndarray], around: np.ndarray) -> np.ndarray:
-    tables, bias = net[8], net[2]
-    held = tables[0].take(around[:, 0], axis=0)
-    held += bias
-    for k in range(1, len(PLACES)):
-        held += tables[k].take(around[:, k], axis=0)
-    return np.tanh(held, out=held)
+    """Hidden units of tokens, and a column of ones for the biases.
+
+    Tokens next to each other share neighbours, so these are read from a near cache."""
+    held = np.ones((len(around), HIDDEN + 1), dtype=net[0].dtype)
+    matrix = net[1].reshape(-1, HIDDEN)
+    for a in range(0, len(around), BLOCK):
+        some = slice(a, a + BLOCK)
+        z = net[0].take(around[some], axis=0).reshape(-1, len(matrix)) @ matrix
+        z += net[2]
+        np.tanh(z, out=held[some, :HIDDEN])
+    return held
 
 
-def _powers(h: np.ndarray, weights: np.ndarray, bias: np.ndarray, shift: bool) -> np.ndarray:
+def _powers(h: np.ndarray, weights: np.ndarray, shift: bool) -> np.ndarray:
     """Scores of classes or of tokens, shifted if their exponentials might overflow."""
     z = h @ weights
-    z += bias
     if shift:
         z -= z.max(axis=1)[:, None]
     return z
@@ -288,97 +306,137 @@ def _powers(h: np.ndarray, weights: np.ndarray, bias: np.ndarray, shift: bool) -
 
 def _sums(z: np.ndarray) -> np.ndarray:
     """Sum of each row; a product is faster than a reduction."""
-    return z @ np.ones(z.shape[1], dtype=z.dtype)
+    return z @ ONES[:z.shape[1]] if z.shape[1] <= len(ONES) else z.sum(axis=1)
+
+
+def _at(z: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The scores as one row, and where the right one of each row stands in it."""
+    return z.reshape(-1), np.arange(0, z.size, z.shape[1]) + right
 
 
 def _by_class(net: list[np.ndarray], wanted: np.ndarray):
-    """Places in order of tokens, the class of each in that order, and where the classes begin.
+    """Places in order of tokens, the class of each in that order and its number in the class,
+    and where the classes begin.
 
     Members of a class then lie side by side, so that its rows are views."""
     cuts = net[7]
     order = np.argsort(wanted.astype(np.uint16 if cuts[-1] <= 1 << 16 else np.int32), kind="stable")
-    ends = np.searchsorted(wanted.take(order), cuts)
-    return order, np.repeat(np.arange(CLASSES), np.diff(ends)), ends.tolist()
+    wanted = wanted.take(order)
+    ends = np.searchsorted(wanted, cuts)
+    of = np.repeat(np.arange(CLASSES), np.diff(ends))
+    return order, of, wanted - cuts.take(of), ends.tolist()
 
 
-def _blocks(net: list[np.ndarray], ends: list[int]) -> Iterator[tuple[int, int, int, int, int]]:
+def _blocks(net: list[np.ndarray], ends: list[int], block: int = BLOCK
+            ) -> Iterator[tuple[int, int, int, int, int]]:
     """Class, its tokens, and some of its rows, for each class with several tokens."""
     cuts = net[7].tolist()
     for c, (low, high, a, b) in enumerate(zip(cuts, cuts[1:], ends, ends[1:])):
         if high - low > 1:
-            for at in range(a, b, BLOCK):
-                yield c, low, high, at, min(at + BLOCK, b)
+            for at in range(a, b, block):
+                yield c, low, high, at, min(at + block, b)
 
 
 def log_likelihood(net: list[np.ndarray], around: np.ndarray, classes: np.ndarray) -> np.ndarray:
     """Log-probability of each token given its neighbours."""
-    order, of, ends = _by_class(net, classes)
-    wanted, own = classes.take(order), np.empty(len(classes), dtype=np.float32)
-    h = np.empty((len(classes), HIDDEN), dtype=net[0].dtype)
-    row = np.arange(BLOCK)
-    for a in range(0, len(classes), BLOCK):
-        some = slice(a, a + BLOCK)
-        mine = h[some] = _hidden(net, around.take(order[some], axis=0))
-        z = _powers(mine, net[3], net[4], net[9][-1])
-        own[some] = z[row[:len(z)], of[some]]
-        own[some] -= np.log(_sums(np.exp(z, out=z)))
-    for c, low, high, a, b in _blocks(net, ends):
-        z = _powers(h[a:b], net[5][low:high].T, net[6][low:high], net[9][c])
-        own[a:b] += z[row[:b - a], wanted[a:b] - low]
-        own[a:b] -= np.log(_sums(np.exp(z, out=z)))
+    order, of, member, ends = _by_class(net, classes)
+    h, own = _hidden(net, around).take(order, axis=0), np.empty(len(classes), dtype=np.float32)
+    total, block = np.empty_like(own), 2 * BLOCK
+    for a in range(0, len(classes), block):
+        some = slice(a, a + block)
+        z = _powers(h[some], net[10], net[9][-1])
+        flat, at = _at(z, of[some])
+        own[some] = flat.take(at)
+        total[some] = _sums(np.exp(z, out=z))
+    own -= np.log(total)
+    total.fill(1)
+    for c, low, high, a, b in _blocks(net, ends, block):
+        z = _powers(h[a:b], net[11][low:high].T, net[9][c])
+        flat, at = _at(z, member[a:b])
+        own[a:b] += flat.take(at)
+        total[a:b] = _sums(np.exp(z, out=z))
+    own -= np.log(total)
     out = np.empty_like(own)
     out[order] = own
     return out
 
 
-def _errors(z: np.ndarray, right: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
+def _errors(z: np.ndarray, right: np.ndarray, n: int) -> np.ndarray:
     """Turns scores into errors: probabilities less one at the right place, over ``n``, but for
     a factor of each row, which is returned."""
     np.exp(z, out=z)
     total = _sums(z)
-    z[row[:len(z)], right] -= total
-    return (1 / (n * total))[:, None]
+    flat, at = _at(z, right)
+    flat[at] -= total
+    return np.divide(1 / n, total, dtype=z.dtype)
 
 
 def gradient(net: list[np.ndarray], around: np.ndarray, classes: np.ndarray) -> np.ndarray:
     """Mean gradient of the negative log-probability, laid out like the weights."""
     n = len(classes)
-    order, of, ends = _by_class(net, classes)
-    around, wanted = around.take(order, axis=0), classes.take(order)
-    h = _hidden(net, around)
-    back, row = np.empty_like(h), np.arange(BLOCK)
-    choice, choice_bias = np.zeros_like(net[3]), np.zeros_like(net[4])
-    members, member_bias = np.zeros_like(net[5]), np.zeros_like(net[6])
+    order, of, member, ends = _by_class(net, classes)
+    h = _hidden(net, around).take(order, axis=0)
+    choice, members = np.zeros_like(net[10].T), np.zeros_like(net[11])
+    own, part = np.empty_like(h[:, :HIDDEN]), np.zeros_like(h[:, :HIDDEN])
+    share = np.zeros((n, 1), dtype=h.dtype)
     for a in range(0, n, BLOCK):
         some = slice(a, a + BLOCK)
         mine = h[some]
-        z = _powers(mine, net[3], net[4], net[9][-1])
-        share = _errors(z, of[some], row, n)
-        np.multiply(z @ net[3].T, share, out=back[some])
-        choice += (mine * share).T @ z
-        choice_bias += share[:, 0] @ z
+        z = _powers(mine, net[10], net[9][-1])
+        share[some, 0] = _errors(z, of[some], n)
+        np.matmul(z, net[3].T, out=own[some])
+        choice += z.T @ (mine * share[some])
+    own *= share
     for c, low, high, a, b in _blocks(net, ends):
-        mine, weights = h[a:b], net[5][low:high]
-        z = _powers(mine, weights.T, net[6][low:high], net[9][c])
-        share = _errors(z, wanted[a:b] - low, row, n)
-        back[a:b] += (z @ weights) * share
-        members[low:high] += z.T @ (mine * share)
-        member_bias[low:high] += share[:, 0] @ z
-    back *= 1 - h * h
-    table, places = np.zeros_like(net[0]), np.empty_like(net[1])
-    units = np.ascontiguousarray(back.T)
-    for k in range(len(PLACES)):
-        used = np.zeros(len(table), dtype=bool)
-        used[around[:, k]] = True
-        held = np.flatnonzero(used)
-        at = (np.cumsum(used) - 1).take(around[:, k])
-        by_token = np.empty((len(held), HIDDEN), dtype=back.dtype)
-        for j in range(HIDDEN):
-            by_token[:, j] = np.bincount(at, weights=units[j], minlength=len(held))
-        table[held] += by_token @ net[1][k].T
-        places[k] = net[0][held].T @ by_token
-    return np.concatenate([table.ravel(), places.ravel(), back.sum(axis=0), choice.ravel(),
-                           choice_bias, members.ravel(), member_bias])
+        mine = h[a:b]
+        z = _powers(mine, net[11][low:high].T, net[9][c])
+        share[a:b, 0] = _errors(z, member[a:b], n)
+        np.matmul(z, net[5][low:high], out=part[a:b])
+        members[low:high] += z.T @ (mine * share[a:b])
+    for a in range(0, n, BLOCK):
+        some = slice(a, a + BLOCK)
+        own[some] += part[some] * share[some]
+        own[some] *= 1 - h[some, :HIDDEN] ** 2
+    del h, mine, part
+    place = np.empty_like(order)
+    place[order] = np.arange(n)
+    back = own.take(place, axis=0)
+    del own
+    table, places = _context(net, around, classes, back)
+    return np.concatenate([table.ravel(), places.ravel(), back.sum(axis=0),
+                           choice.T.ravel(), members[:, :HIDDEN].ravel(), members[:, HIDDEN]])
+
+
+def _context(net: list[np.ndarray], around: np.ndarray, classes: np.ndarray, back: np.ndarray
+             ) -> tuple[np.ndarray, np.ndarray]:
+    """Gradients of the table of tokens and of the matrices, from those of the hidden units.
+
+    What a token gets as a neighbour is first added up at its own place, if that is among the
+    given ones; what others get, and the bounds of texts, stands behind."""
+    n, matrix = len(classes), net[1].reshape(-1, HIDDEN)
+    apart = np.ones((len(PLACES), n), dtype=bool)
+    for k, d in enumerate(PLACES):
+        low, high = max(0, -d), max(0, -d, min(n, n - d))
+        apart[k, low:high] = around[low:high, k] != classes[low + d:high + d]
+    token = np.concatenate([classes, around.T[apart]]).astype(np.int64)
+    total, places = np.zeros((HIDDEN, len(token)), dtype=back.dtype), np.zeros_like(matrix)
+    ends = n + np.append(0, np.cumsum(apart.sum(axis=1)))
+    for a in range(0, n, 4 * BLOCK):
+        mine = back[a:a + 4 * BLOCK]
+        b = a + len(mine)
+        places += net[0].take(around[a:b], axis=0).reshape(len(mine), -1).T @ mine
+        parts = (matrix @ mine.T).reshape(len(PLACES), HIDDEN, -1)
+        for k, d in enumerate(PLACES):
+            out = np.flatnonzero(apart[k, a:b])
+            total[:, ends[k]:ends[k] + len(out)] = parts[k][:, out]
+            ends[k] += len(out)
+            parts[k][:, out] = 0
+            low, high = max(a, -d), max(a, -d, min(b, n - d))
+            total[:, low + d:high + d] += parts[k][:, low - a:high - a]
+    table = np.empty(net[0].shape[::-1], dtype=net[0].dtype)
+    for j in range(HIDDEN):
+        table[j] = np.bincount(token, weights=total[j], minlength=table.shape[1])
+    return table.T, places
 
 
 class Trainer:
@@ -394,7 +452,7 @@ class Trainer:
         while a < len(found):
             size = min(BATCHES[1], BATCHES[0] + (self.before + self.seen) // 4)
             some = slice(a, a + size)
-            g = gradient(layers(self.flat, self.cuts), around[some], found[some])
+            g = gradient(layers(self.flat, self.cuts, tables=False), around[some], found[some])
             self.squares += g * g
             g *= np.float32(RATE)
             g /= np.sqrt(self.squares) + np.float32(1e-8)
@@ -447,7 +505,7 @@ def fit(docs: DataFrame, text_col: str = "text") -> Model:
 def score(chunk: Chunk, model: Model) -> tuple[np.ndarray, np.ndarray]:
     """Words and summed log-probability of each text."""
     found, text = tokens(chunk, model.tokens)
-    each = log_likelihood(layers(model.weights, model.cuts),
+    each = log_likelihood(layers(model.weights, model.cuts, tables=False),
                           neighbours(found, text, int(model.cuts[-1])), found).astype(float)
     n_words = chunk.per_text(chunk.words[2]).astype(np.int64)
     return n_words, chunk.per_text(text, each).astype(float)

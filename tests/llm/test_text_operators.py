@@ -333,3 +333,41 @@ def test_empty_tables(spark, step):
            "bpe": lambda: bpe.apply(df, word_vocabulary()),
            "lm": lambda: lm_scoring.apply(df, lm_scoring.fit(df))}[step]()
     assert out.count() == 0
+
+
+def test_lm_neighbours_add_up_in_one_place(monkeypatch):
+    """What a token gets from all sides is summed once, also where texts or steps end."""
+    rng = np.random.default_rng(9)
+    cuts, n = lm_scoring.classes_of(700), 3000
+    found = rng.integers(0, 700, n).astype(np.int32)
+    net = lm_scoring.layers(lm_scoring.start(cuts), cuts)
+    counted, bincount = [], np.bincount
+    monkeypatch.setattr(np, "bincount", lambda x, *a, **k: (counted.append(len(x)), bincount(x, *a, **k))[1])
+    for text in (np.arange(n), np.arange(n) // 2, np.arange(n) // 100):
+        around = lm_scoring.neighbours(found, text, 700)
+        for some in (slice(0, n), slice(1500, 1501), slice(101, 103), slice(7, 2900)):
+            counted.clear()
+            got = lm_scoring.gradient(net, around[some], found[some])
+            size = len(found[some])
+            if size > 2000 and text[-1] < n // 50:
+                assert sum(counted) < 1.2 * lm_scoring.HIDDEN * size
+            step = 1e-2
+            for token in {700, *around[some][:2].ravel().tolist()[:2]}:
+                held = [a.copy() if i == 0 else a for i, a in enumerate(net)]
+                loss = []
+                for by in (step, -step):
+                    held[0][token] = net[0][token] + by
+                    loss.append(-lm_scoring.log_likelihood(held, around[some], found[some]).astype(float).mean())
+                want = (loss[0] - loss[1]) / 2 / step
+                assert got[:701 * 16].reshape(701, 16)[token].sum() == pytest.approx(want, rel=0.02, abs=2e-4)
+
+
+def test_lm_piece_keys():
+    rng = np.random.default_rng(10)
+    for size in (1, 3, 500):
+        data = rng.integers(0, 256, size).astype(np.uint8)
+        begin = rng.integers(0, size + 1, 300)
+        end, first = np.minimum(begin + rng.integers(0, 5, 300), size), rng.integers(0, 2, 300)
+        want = [((e - b) * 2 + f) << 32 | int.from_bytes(data[b:e].tobytes().ljust(4, b"\0"), "big")
+                for b, e, f in zip(begin.tolist(), end.tolist(), first.tolist())]
+        assert lm_scoring.keys(data, begin, end, first).tolist() == want
